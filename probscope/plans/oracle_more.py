@@ -1,3 +1,115 @@
-"""More oracle SQL."""
+"""Oracle SQL for the histogram, probability-difference, relday, catalogue and
+exploration families (DuckDB dialect)."""
 
-from probscope.plans.oracle import oracle  # noqa: F401
+from __future__ import annotations
+
+from probscope.plans.oracle import oracle
+from probscope.plans.oracle_base import round6, width_bucket_sql
+
+D = "CAST({} AS DOUBLE)".format
+
+TBIN = width_bucket_sql("deltat", -30.0, 100.0, 26)
+PROBBIN = width_bucket_sql("probability", 0.0, 1.0, 20)
+
+
+def probbin_val(b: str) -> str:
+    cb = f"least(greatest(CAST({b} AS DOUBLE), {D(0.0)}), {D(21.0)})"
+    return (f"(CASE WHEN {cb} = 0.0 THEN {D(-1.0)} WHEN {cb} = 21.0 THEN {D(1.0)} "
+            f"ELSE ({cb} - {D(1.0)}) * {D(0.05)} + {D(0.025)} END)")
+
+
+def tbin_val(b: str) -> str:
+    cb = f"least(greatest(CAST({b} AS DOUBLE), {D(0.0)}), {D(27.0)})"
+    return f"(({cb} - {D(1.0)}) * {D(5.0)} + {D(-30.0)} + {D(2.5)})"
+
+
+CTX = """
+        SELECT m.broker_message_id, m.alert_id, m.desc_ingest_ts, a.dia_source_id, a.dia_object_id,
+               a.alert_sent_ts, s.mid_point_tai - t.peakmjd AS deltat, t.gentype, s.filter_name
+        FROM broker_message m
+        JOIN diaalert a ON a.alert_id = m.alert_id
+        JOIN diasource s ON s.dia_source_id = a.dia_source_id
+        JOIN truth t ON t.dia_object_id = s.dia_object_id"""
+DED = """
+        SELECT c.classifier_id, x.dia_source_id, c.class_id, avg(c.probability) AS probability,
+               count(*) AS n_messages, x.deltat, x.gentype
+        FROM broker_classification c JOIN ctx x ON x.broker_message_id = c.broker_message_id
+        GROUP BY c.classifier_id, x.dia_source_id, c.class_id, x.deltat, x.gentype"""
+
+
+def _hist(dim: str) -> str:
+    return f"""
+        SELECT d.classifier_id, d.class_id, g.class_id AS true_class_id, {TBIN} AS tbin, {PROBBIN} AS probbin,
+               count(*) AS n
+        FROM ded d JOIN {dim} g ON g.gentype = d.gentype
+        GROUP BY ALL"""
+
+
+HIST = _hist("gentype_dim")
+NORM = """
+        SELECT *, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY classifier_id, true_class_id, class_id, tbin) AS frac
+        FROM hist"""
+EXPECTED = f"""
+        SELECT classifier_id, true_class_id, tbin, class_id,
+               sum(frac * CASE WHEN probbin = 1 THEN {D(0.0)} ELSE {probbin_val('probbin')} END) AS prob
+        FROM norm GROUP BY ALL"""
+HC = {"ctx": CTX, "ded": DED, "hist": HIST, "norm": NORM, "expected": EXPECTED}
+
+oracle("dedupe_mean", f"""
+        SELECT classifier_id, dia_source_id, class_id, {round6('probability')} AS probability, n_messages
+        FROM ded""", HC)
+
+TOTPROB = """
+        SELECT c.classifier_id, a.dia_source_id, sum(c.probability) AS totprob
+        FROM broker_classification c
+        JOIN broker_message m ON m.broker_message_id = c.broker_message_id
+        JOIN diaalert a ON a.alert_id = m.alert_id
+        GROUP BY ALL"""
+oracle("totprob_per_source", f"SELECT classifier_id, dia_source_id, {round6('totprob')} AS totprob FROM tot",
+       {"tot": TOTPROB})
+oracle("totprob_audit", f"""
+        SELECT classifier_id, count(*) AS n_pairs,
+               {round6('avg(CASE WHEN totprob > 1.001 THEN 1.0 ELSE 0.0 END)')} AS share_above,
+               {round6('avg(CASE WHEN totprob < 0.999 THEN 1.0 ELSE 0.0 END)')} AS share_below
+        FROM tot GROUP BY classifier_id""", {"tot": TOTPROB})
+oracle("prob_sum_check", f"""
+        SELECT classifier_id, count(*) AS n_messages,
+               CAST(sum(CASE WHEN abs(total - 1.0) <= 1e-6 THEN 1 ELSE 0 END) AS BIGINT) AS n_sum_to_one,
+               {round6('min(total)')} AS min_total, {round6('max(total)')} AS max_total
+        FROM (SELECT broker_message_id, classifier_id, sum(probability) AS total
+              FROM broker_classification GROUP BY ALL) m
+        GROUP BY classifier_id""")
+
+oracle("probhist", "SELECT classifier_id, class_id, true_class_id, tbin, probbin, CAST(n AS BIGINT) AS n FROM hist", HC)
+oracle("probhist_hier", "SELECT classifier_id, class_id, true_class_id, tbin, probbin, CAST(n AS BIGINT) AS n FROM h2",
+       {**HC, "h2": _hist("gentype_hier")})
+oracle("probhist_normalized", f"""
+        SELECT classifier_id, class_id, true_class_id, tbin, probbin, CAST(n AS BIGINT) AS n,
+               {round6('frac')} AS frac FROM norm""", HC)
+oracle("probhist_top_merged", """
+        SELECT classifier_id, true_class_id, class_id, tbin, least(probbin, 20) AS probbin, CAST(sum(n) AS BIGINT) AS n
+        FROM hist GROUP BY ALL""", HC)
+oracle("expected_prob_by_tbin", f"""
+        SELECT classifier_id, true_class_id, tbin, class_id, {round6('prob')} AS prob,
+               CASE WHEN tbin <= 0 THEN '<-30.0' WHEN tbin >= 27 THEN '≥100.0'
+                    ELSE CAST({tbin_val('tbin')} AS VARCHAR) END AS tbin_label
+        FROM expected""", HC)
+oracle("expected_prob_heatmap", "SELECT classifier_id, true_class_id, class_id, "
+       + ", ".join(f"{round6(f'max(CASE WHEN tbin = {k} THEN prob END)')} AS tbin_{k}" for k in range(28))
+       + " FROM expected GROUP BY ALL", HC)
+oracle("lost_probability", f"""
+        SELECT classifier_id, true_class_id, tbin, {round6('sum(prob)')} AS total_prob FROM expected GROUP BY ALL""", HC)
+oracle("prob_violin_table", f"""
+        SELECT n.classifier_id, n.true_class_id, n.tbin, n.class_id, n.probbin,
+               {round6(probbin_val('n.probbin'))} AS prob, {round6('n.frac')} AS frac,
+               {round6('n.frac * 0.4')} AS half_width
+        FROM norm n JOIN confusion_classes cc ON cc.true_class_id = n.true_class_id AND cc.class_id = n.class_id
+        WHERE n.tbin IN (5, 7, 13, 19, 27)""", HC)
+oracle("tbin_counts", f"""
+        SELECT classifier_id, true_class_id, tbin, CAST(sum(n) AS BIGINT) AS n, {round6(tbin_val('tbin'))} AS t
+        FROM hist GROUP BY ALL""", HC)
+oracle("mean_prob_by_tbin", f"""
+        SELECT d.classifier_id, g.class_id AS true_class_id, {TBIN} AS tbin, d.class_id,
+               {round6('avg(d.probability)')} AS mean_prob, count(*) AS n
+        FROM ded d JOIN gentype_dim g ON g.gentype = d.gentype
+        GROUP BY ALL""", HC)
