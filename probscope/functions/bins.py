@@ -81,7 +81,7 @@ def probdiffbin(d) -> Column:
 
 def probdiff_bin_mean(b) -> Column:
     """Centre of a probability-difference bin: -1.025 + 0.025 + (b - 1) * 0.05."""
-    return F.lit(DIFFBINS.lo) + F.lit(DIFFBINS.width / 2.0) + (_c(b) - 1).cast("double") * F.lit(DIFFBINS.width)
+    return F.lit(-1.025) + F.lit(0.05 / 2) + (_c(b) - 1).cast("double") * F.lit(0.05)
 
 
 def merge_top(b, n: int = PROBBINS.n) -> Column:

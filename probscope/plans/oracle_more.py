@@ -113,3 +113,65 @@ oracle("mean_prob_by_tbin", f"""
                {round6('avg(d.probability)')} AS mean_prob, count(*) AS n
         FROM ded d JOIN gentype_dim g ON g.gentype = d.gentype
         GROUP BY ALL""", HC)
+
+# ---------------------------------------------------------------- probability differences
+DIFFBIN = width_bucket_sql("probdiff", -1.025, 1.025, 41)
+MP = """
+        SELECT c.classifier_id, g.class_id AS true_class_id, x.dia_object_id, tb.timebin, max(c.probability) AS maxprob
+        FROM broker_classification c
+        JOIN ctx x ON x.broker_message_id = c.broker_message_id
+        JOIN gentype_dim g ON g.gentype = x.gentype AND g.class_id = c.class_id
+        JOIN timebins tb ON x.deltat >= tb.dtmin AND x.deltat < tb.dtmax
+        GROUP BY ALL"""
+PD = """
+        SELECT e.classifier_id, e.true_class_id, e.dia_object_id, e.timebin AS earlytimebin,
+               l.timebin AS latetimebin, l.maxprob - e.maxprob AS probdiff
+        FROM mp e JOIN mp l ON l.classifier_id = e.classifier_id AND l.true_class_id = e.true_class_id
+                            AND l.dia_object_id = e.dia_object_id AND e.timebin < l.timebin"""
+PDH = f"""
+        SELECT classifier_id, true_class_id, earlytimebin, latetimebin, {DIFFBIN} AS probdiffbin, count(*) AS n
+        FROM pd GROUP BY ALL"""
+BINMEAN = "(CAST(-1.025 AS DOUBLE) + CAST(0.025 AS DOUBLE) + CAST(probdiffbin - 1 AS DOUBLE) * CAST(0.05 AS DOUBLE))"
+PICK = """
+        SELECT a.dia_object_id, count(*) AS n
+        FROM broker_classification c
+        JOIN broker_message m ON m.broker_message_id = c.broker_message_id
+        JOIN diaalert a ON a.alert_id = m.alert_id
+        JOIN truth t ON t.dia_object_id = a.dia_object_id
+        JOIN gentype_dim g ON g.gentype = t.gentype
+        WHERE c.classifier_id = 1
+        GROUP BY a.dia_object_id
+        ORDER BY n DESC, a.dia_object_id ASC
+        OFFSET 2 LIMIT 1"""
+PDC = {"ctx": CTX, "mp": MP, "pd": PD, "pdh": PDH, "pick": PICK}
+
+oracle("max_prob_by_timebin", f"""
+        SELECT classifier_id, true_class_id, dia_object_id, timebin, {round6('maxprob')} AS maxprob FROM mp""", PDC)
+oracle("probdiff_all_objects", f"""
+        SELECT classifier_id, true_class_id, dia_object_id, earlytimebin, latetimebin,
+               {round6('probdiff')} AS probdiff FROM pd""", PDC)
+oracle("probdiff_for_object", f"""
+        SELECT p.classifier_id, p.true_class_id, p.dia_object_id, p.earlytimebin, tbe.dtmin AS earlytimet0,
+               tbe.dtmax AS earlytimet1, p.latetimebin, tbl.dtmin AS latetimet0, tbl.dtmax AS latetimet1,
+               {round6('p.probdiff')} AS probdiff
+        FROM pd p
+        JOIN timebins tbe ON tbe.timebin = p.earlytimebin
+        JOIN timebins tbl ON tbl.timebin = p.latetimebin
+        WHERE p.dia_object_id IN (SELECT dia_object_id FROM pick)""", PDC)
+oracle("probdiff_hist", f"""
+        SELECT h.classifier_id, h.true_class_id, h.earlytimebin, tbe.dtmin AS earlytimet0, tbe.dtmax AS earlytimet1,
+               h.latetimebin, tbl.dtmin AS latetimet0, tbl.dtmax AS latetimet1, h.probdiffbin,
+               {round6(BINMEAN)} AS binmeanprobdiff, h.n,
+               {round6('CAST(h.n AS DOUBLE) / sum(h.n) OVER (PARTITION BY h.classifier_id, h.true_class_id, h.earlytimebin, h.latetimebin)')} AS frac
+        FROM pdh h
+        JOIN timebins tbe ON tbe.timebin = h.earlytimebin
+        JOIN timebins tbl ON tbl.timebin = h.latetimebin""", PDC)
+oracle("probdiff_hist_filled", f"""
+        SELECT g.classifier_id, g.true_class_id, g.earlytimebin, g.latetimebin, b.probdiffbin,
+               {round6(BINMEAN.replace('probdiffbin', 'b.probdiffbin'))} AS binmeanprobdiff, CAST(coalesce(h.n, 0) AS BIGINT) AS n,
+               {round6('coalesce(CAST(h.n AS DOUBLE) / sum(h.n) OVER (PARTITION BY g.classifier_id, g.true_class_id, g.earlytimebin, g.latetimebin), 0.0)')} AS frac
+        FROM (SELECT DISTINCT classifier_id, true_class_id, earlytimebin, latetimebin FROM pdh) g
+        CROSS JOIN (SELECT CAST(range AS BIGINT) AS probdiffbin FROM range(1, 42)) b
+        LEFT JOIN pdh h ON h.classifier_id = g.classifier_id AND h.true_class_id = g.true_class_id
+                        AND h.earlytimebin = g.earlytimebin AND h.latetimebin = g.latetimebin
+                        AND h.probdiffbin = b.probdiffbin""", PDC)
