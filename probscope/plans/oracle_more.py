@@ -175,3 +175,137 @@ oracle("probdiff_hist_filled", f"""
         LEFT JOIN pdh h ON h.classifier_id = g.classifier_id AND h.true_class_id = g.true_class_id
                         AND h.earlytimebin = g.earlytimebin AND h.latetimebin = g.latetimebin
                         AND h.probdiffbin = b.probdiffbin""", PDC)
+
+# ---------------------------------------------------------------- relday family
+def closed_bin_sql(x: str, lo: float, hi: float, n: int) -> str:
+    """numpy.histogram bin (1-based) on linspace edges, last bin closed; NULL outside."""
+    lo_s, hi_s = D(lo), D(hi)
+    step = f"(({hi_s} - {lo_s}) / {D(float(n))})"
+
+    def edge(i: str) -> str:
+        return f"(CASE WHEN ({i}) >= {n} THEN {hi_s} ELSE {lo_s} + CAST({i} AS DOUBLE) * {step} END)"
+    k0 = f"floor((({x} - {lo_s}) / ({hi_s} - {lo_s})) * {D(float(n))})"
+    k1 = f"(CASE WHEN {k0} >= {n} THEN {n - 1} ELSE {k0} END)"
+    k2 = f"(CASE WHEN {x} < {edge(k1)} THEN {k1} - 1 ELSE {k1} END)"
+    k3 = f"(CASE WHEN {x} >= {edge(k2 + ' + 1')} AND {k2} <> {n - 1} THEN {k2} + 1 ELSE {k2} END)"
+    return f"(CASE WHEN {x} >= {lo_s} AND {x} <= {hi_s} THEN CAST({k3} + 1 AS BIGINT) END)"
+
+
+RELDAY = "CAST(round_even(deltat, 0) AS INTEGER)"
+LATEST = """
+        SELECT broker_message_id, classifier_id, deltat, gentype FROM (
+          SELECT p.broker_message_id, p.classifier_id, x.deltat, x.gentype,
+                 row_number() OVER (PARTITION BY p.classifier_id, x.dia_source_id
+                                    ORDER BY x.desc_ingest_ts DESC NULLS LAST, p.broker_message_id DESC) AS rn
+          FROM (SELECT DISTINCT broker_message_id, classifier_id FROM broker_classification) p
+          JOIN ctx x ON x.broker_message_id = p.broker_message_id) q
+        WHERE rn = 1"""
+BYDAY = f"""
+        SELECT c.classifier_id, g.class_id AS true_class_id, {RELDAY.replace('deltat', 'l.deltat')} AS relday,
+               c.class_id, avg(c.probability) AS mean_probability, max(c.probability) AS max_probability,
+               count(*) AS n
+        FROM broker_classification c
+        JOIN latest l ON l.broker_message_id = c.broker_message_id AND l.classifier_id = c.classifier_id
+        JOIN gentype_dim g ON g.gentype = l.gentype
+        WHERE {RELDAY.replace('deltat', 'l.deltat')} BETWEEN -20 AND 90
+        GROUP BY ALL"""
+TOP5 = """
+        SELECT classifier_id, true_class_id, class_id, peak_probability, peak_relday, rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY classifier_id, true_class_id
+                                       ORDER BY peak_probability DESC, class_id ASC) AS rank
+          FROM (SELECT classifier_id, true_class_id, class_id, mean_probability AS peak_probability,
+                       relday AS peak_relday
+                FROM (SELECT *, row_number() OVER (PARTITION BY classifier_id, true_class_id, class_id
+                                                   ORDER BY mean_probability DESC, relday ASC) AS r1
+                      FROM byday) a WHERE r1 = 1) b) c
+        WHERE rank <= 5"""
+RC = {"ctx": CTX, "latest": LATEST, "byday": BYDAY, "top5": TOP5}
+oracle("mean_prob_by_relday", f"""
+        SELECT classifier_id, true_class_id, relday, class_id, {round6('mean_probability')} AS mean_probability, n
+        FROM byday""", RC)
+oracle("max_prob_by_relday", f"""
+        SELECT classifier_id, true_class_id, relday, class_id, {round6('max_probability')} AS max_probability, n
+        FROM byday""", RC)
+oracle("top5_classes", f"""
+        SELECT classifier_id, true_class_id, class_id, {round6('peak_probability')} AS peak_probability,
+               peak_relday, rank FROM top5""", RC)
+oracle("top5_curves", f"""
+        SELECT b.classifier_id, b.true_class_id, b.class_id, t.rank, b.relday,
+               {round6('b.mean_probability')} AS mean_probability
+        FROM byday b JOIN top5 t ON t.classifier_id = b.classifier_id AND t.true_class_id = b.true_class_id
+                                AND t.class_id = b.class_id""", RC)
+
+CSRC = """
+        SELECT DISTINCT c.classifier_id, a.dia_source_id
+        FROM broker_classification c
+        JOIN broker_message m ON m.broker_message_id = c.broker_message_id
+        JOIN diaalert a ON a.alert_id = m.alert_id"""
+CHOSEN = """
+        SELECT classifier_id, dia_object_id, dia_source_id, deltat, gentype FROM (
+          SELECT cs.classifier_id, s.dia_object_id, s.dia_source_id, s.mid_point_tai - t.peakmjd AS deltat, t.gentype,
+                 row_number() OVER (PARTITION BY cs.classifier_id, s.dia_object_id
+                                    ORDER BY abs(s.mid_point_tai - t.peakmjd), s.dia_source_id) AS rn
+          FROM csrc cs
+          JOIN diasource s ON s.dia_source_id = cs.dia_source_id
+          JOIN truth t ON t.dia_object_id = s.dia_object_id
+          WHERE s.filter_name = 'r') q
+        WHERE rn = 1"""
+PRED = """
+        SELECT classifier_id, dia_object_id, class_id, gentype FROM (
+          SELECT ch.classifier_id, ch.dia_object_id, c.class_id, ch.gentype,
+                 row_number() OVER (PARTITION BY ch.classifier_id, ch.dia_object_id
+                                    ORDER BY c.probability DESC, c.class_id ASC) AS rn
+          FROM chosen ch
+          JOIN diaalert a ON a.dia_source_id = ch.dia_source_id
+          JOIN broker_message m ON m.alert_id = a.alert_id
+          JOIN broker_classification c ON c.broker_message_id = m.broker_message_id
+                                       AND c.classifier_id = ch.classifier_id) q
+        WHERE rn = 1"""
+PKC = {"csrc": CSRC, "chosen": CHOSEN, "pred": PRED}
+oracle("peak_confusion_column", f"""
+        SELECT classifier_id, true_class_id, pred_class, n,
+               {round6('CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY classifier_id, true_class_id) AS DOUBLE) * 100.0')} AS percent
+        FROM (SELECT p.classifier_id, g.class_id AS true_class_id, p.class_id AS pred_class, count(*) AS n
+              FROM pred p JOIN gentype_dim g ON g.gentype = p.gentype
+              GROUP BY ALL) q""", PKC)
+oracle("closest_to_peak_stats", f"""
+        SELECT ch.classifier_id, g.class_id AS true_class_id, count(*) AS n_objects,
+               {round6('avg(ch.deltat)')} AS mean_deltat, {round6('sqrt(avg(ch.deltat * ch.deltat))')} AS rms_deltat
+        FROM chosen ch JOIN gentype_dim g ON g.gentype = ch.gentype
+        GROUP BY ALL""", PKC)
+
+ALLROWS = f"""
+        SELECT c.classifier_id, c.class_id, c.probability, x.gentype, x.dia_source_id, x.dia_object_id,
+               {RELDAY.replace('deltat', 'x.deltat')} AS relday
+        FROM broker_classification c JOIN ctx x ON x.broker_message_id = c.broker_message_id"""
+oracle("relday_distribution", f"""
+        SELECT r.classifier_id, g.class_id AS true_class_id, r.relday, r.class_id, count(*) AS n,
+               {round6('min(r.probability)')} AS min_probability, {round6('max(r.probability)')} AS max_probability,
+               {round6('avg(r.probability)')} AS mean_probability
+        FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype
+        GROUP BY ALL""", {"ctx": CTX, "allrows": ALLROWS})
+oracle("prob_histogram_closed", f"""
+        SELECT classifier_id, true_class_id, relday, class_id, bin, count(*) AS n FROM (
+          SELECT r.classifier_id, g.class_id AS true_class_id, r.relday, r.class_id,
+                 {closed_bin_sql('r.probability', 0.0, 1.0, 20)} AS bin
+          FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype) q
+        WHERE bin IS NOT NULL
+        GROUP BY ALL""", {"ctx": CTX, "allrows": ALLROWS})
+oracle("source_summary", """
+        SELECT cs.classifier_id, g.class_id AS true_class_id, s.dia_object_id, s.dia_source_id, s.filter_name,
+               s.mid_point_tai - t.peakmjd AS deltat
+        FROM csrc cs
+        JOIN diasource s ON s.dia_source_id = cs.dia_source_id
+        JOIN truth t ON t.dia_object_id = s.dia_object_id
+        JOIN gentype_dim g ON g.gentype = t.gentype""", PKC)
+oracle("object_summary", """
+        SELECT o.classifier_id, g.class_id AS true_class_id, o.dia_object_id, t.gentype, t.peakmjd
+        FROM (SELECT DISTINCT cs.classifier_id, s.dia_object_id FROM csrc cs
+              JOIN diasource s ON s.dia_source_id = cs.dia_source_id) o
+        JOIN truth t ON t.dia_object_id = o.dia_object_id
+        JOIN gentype_dim g ON g.gentype = t.gentype""", PKC)
+oracle("classification_summary", """
+        SELECT r.classifier_id, g.class_id AS true_class_id, count(*) AS n_rows,
+               count(DISTINCT r.dia_source_id) AS n_sources, count(DISTINCT r.dia_object_id) AS n_objects
+        FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype
+        GROUP BY ALL""", {"ctx": CTX, "allrows": ALLROWS})

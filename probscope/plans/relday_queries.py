@@ -1,3 +1,69 @@
-"""Registered queries."""
+"""Per-day (relday) and closest-to-peak queries, plus the per-classifier listings."""
 
-from probscope.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from probscope.operators import relday as rd
+from probscope.plans.registry import register
+from probscope.sources.fixtures import Tables
+
+
+@register("mean_prob_by_relday")
+def mean_prob_by_relday(t: Tables):
+    """Mean probability per class and day rel. peak (latest message per source), -20..90."""
+    return rd.prob_by_relday(t).select("classifier_id", "true_class_id", "relday", "class_id",
+                                       "mean_probability", "n")
+
+
+@register("max_prob_by_relday")
+def max_prob_by_relday(t: Tables):
+    """Our definition of the per-day maximum: max at the same keys as the mean."""
+    return rd.prob_by_relday(t).select("classifier_id", "true_class_id", "relday", "class_id",
+                                       "max_probability", "n")
+
+
+@register("top5_classes")
+def top5_classes(t: Tables):
+    return rd.top_classes(rd.prob_by_relday(t), 5)
+
+
+@register("top5_curves")
+def top5_curves(t: Tables):
+    means = rd.prob_by_relday(t)
+    top = rd.top_classes(means, 5).select("classifier_id", "true_class_id", "class_id", "rank")
+    return means.join(top, ["classifier_id", "true_class_id", "class_id"]).select(
+        "classifier_id", "true_class_id", "class_id", "rank", "relday", "mean_probability")
+
+
+@register("peak_confusion_column")
+def peak_confusion_column(t: Tables):
+    return rd.peak_confusion_column(t)
+
+
+@register("closest_to_peak_stats")
+def closest_to_peak_stats(t: Tables):
+    return rd.closest_to_peak_stats(t)
+
+
+@register("relday_distribution")
+def relday_distribution(t: Tables):
+    return rd.relday_distribution(t)
+
+
+@register("prob_histogram_closed")
+def prob_histogram_closed(t: Tables):
+    return rd.prob_histogram_closed(t)
+
+
+@register("object_summary")
+def object_summary(t: Tables):
+    return rd.object_summary(t)
+
+
+@register("source_summary")
+def source_summary(t: Tables):
+    return rd.source_summary(t)
+
+
+@register("classification_summary")
+def classification_summary(t: Tables):
+    return rd.classification_summary(t)
