@@ -177,9 +177,10 @@ oracle("probdiff_hist_filled", f"""
                         AND h.probdiffbin = b.probdiffbin""", PDC)
 
 # ---------------------------------------------------------------- relday family
-def closed_bin_sql(x: str, lo: float, hi: float, n: int) -> str:
+def closed_bin_sql(x: str, lo, hi, n: int) -> str:
     """numpy.histogram bin (1-based) on linspace edges, last bin closed; NULL outside."""
-    lo_s, hi_s = D(lo), D(hi)
+    lo_s = D(lo) if isinstance(lo, float) else f"CAST({lo} AS DOUBLE)"
+    hi_s = D(hi) if isinstance(hi, float) else f"CAST({hi} AS DOUBLE)"
     step = f"(({hi_s} - {lo_s}) / {D(float(n))})"
 
     def edge(i: str) -> str:
@@ -309,3 +310,85 @@ oracle("classification_summary", """
                count(DISTINCT r.dia_source_id) AS n_sources, count(DISTINCT r.dia_object_id) AS n_objects
         FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype
         GROUP BY ALL""", {"ctx": CTX, "allrows": ALLROWS})
+
+# ---------------------------------------------------------------- exploration
+VIEW = """
+        SELECT c.classifier_id, a.dia_object_id, a.dia_source_id, c.class_id, m.alert_id, g.class_id AS true_class_id,
+               c.probability, m.desc_ingest_ts, a.alert_sent_ts, c.broker_message_id
+        FROM broker_classification c
+        JOIN broker_message m ON m.broker_message_id = c.broker_message_id
+        JOIN diaalert a ON a.alert_id = m.alert_id
+        JOIN truth t ON t.dia_object_id = a.dia_object_id
+        JOIN gentype_dim g ON g.gentype = t.gentype"""
+PICKED = """
+        SELECT p.dia_object_id, p.n AS n_classifications, g.class_id AS true_class_id
+        FROM pick p JOIN truth t ON t.dia_object_id = p.dia_object_id JOIN gentype_dim g ON g.gentype = t.gentype"""
+EC = {"view": VIEW, "pick": PICK, "picked": PICKED}
+_VCOLS = "classifier_id, dia_object_id, class_id, alert_id, true_class_id, probability, desc_ingest_ts, alert_sent_ts"
+oracle("page_offset_limit", f"""
+        SELECT {_VCOLS} FROM view WHERE classifier_id = 1
+        ORDER BY dia_object_id, desc_ingest_ts, class_id, broker_message_id OFFSET 2000 LIMIT 1000""", EC)
+oracle("third_richest_object", "SELECT * FROM picked", EC)
+oracle("object_prob_history", """
+        SELECT v.classifier_id, v.dia_object_id, v.class_id, v.alert_id, v.true_class_id, v.probability,
+               v.alert_sent_ts, s.mid_point_tai
+        FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
+        WHERE v.dia_object_id IN (SELECT dia_object_id FROM picked) AND v.class_id = v.true_class_id""", EC)
+oracle("light_curve", """
+        SELECT dia_object_id, mid_point_tai, ps_flux, ps_flux_err, filter_name FROM diaforcedsource
+        WHERE dia_object_id IN (SELECT dia_object_id FROM picked)""", EC)
+oracle("classifications_with_deltat", """
+        SELECT v.classifier_id, v.dia_object_id, v.class_id, v.alert_id, v.true_class_id, v.probability,
+               v.alert_sent_ts, s.mid_point_tai - t.peakmjd AS deltat
+        FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
+        JOIN truth t ON t.dia_object_id = v.dia_object_id
+        WHERE v.classifier_id IN (SELECT classifier_id FROM classifiers WHERE broker_name = 'Aster')
+          AND v.true_class_id = 2222""", EC)
+oracle("prob_matrix_pivot", "SELECT classifier_id, dia_object_id, deltat, " + ", ".join(
+    f"{round6(f'avg(CASE WHEN class_id = {c} THEN bin_prob END)')} AS class_{c}"
+    for c in (2222, 2223, 2224, 2232, 2242)) + """
+        FROM (SELECT v.classifier_id, v.dia_object_id, v.class_id, s.mid_point_tai - t.peakmjd AS deltat,
+                     round_even(v.probability * 100.0, 0) / 100.0 AS bin_prob
+              FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
+              JOIN truth t ON t.dia_object_id = v.dia_object_id
+              WHERE v.dia_object_id IN (SELECT dia_object_id FROM picked)) q
+        GROUP BY classifier_id, dia_object_id, deltat""", EC)
+SEMI = """
+        SELECT v.classifier_id, v.dia_object_id, v.class_id, v.alert_id, v.probability, v.alert_sent_ts,
+               s.mid_point_tai, t.peakmjd, s.mid_point_tai - t.peakmjd AS deltat, v.true_class_id
+        FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
+        JOIN truth t ON t.dia_object_id = v.dia_object_id
+        WHERE v.dia_object_id IN (SELECT dia_object_id FROM truth
+                                  WHERE gentype IN (SELECT gentype FROM gentype_hier WHERE class_id = 2222))
+          AND v.class_id = 2222"""
+oracle("semi_join_class_objects", f"""
+        SELECT classifier_id, dia_object_id, class_id, alert_id, {round6('probability')} AS probability, alert_sent_ts,
+               mid_point_tai, peakmjd, deltat, true_class_id FROM semi_rows""", {**EC, "semi_rows": SEMI})
+oracle("naive_tbin_mean", f"""
+        SELECT classifier_id, CAST(floor((deltat + 20.0) / 5.0) AS BIGINT) AS tbin,
+               {round6('avg(probability)')} AS mean_prob, count(*) AS n
+        FROM semi_rows GROUP BY ALL""", {**EC, "semi_rows": SEMI})
+oracle("object_weighted_tbin_mean", f"""
+        SELECT classifier_id, tbin, {round6('avg(p)')} AS mean_prob, count(*) AS n
+        FROM (SELECT classifier_id, CAST(floor((deltat + 20.0) / 5.0) AS BIGINT) AS tbin, dia_object_id,
+                     avg(probability) AS p
+              FROM semi_rows GROUP BY ALL) q
+        GROUP BY ALL""", {**EC, "semi_rows": SEMI})
+oracle("class_histogram10", f"""
+        SELECT r.classifier_id, b.bin,
+               {round6('r.lo + CAST(b.bin - 1 AS DOUBLE) * ((r.hi - r.lo) / 10.0)')} AS bin_lo,
+               {round6('CASE WHEN b.bin = 10 THEN r.hi ELSE r.lo + CAST(b.bin AS DOUBLE) * ((r.hi - r.lo) / 10.0) END')} AS bin_hi,
+               CAST(coalesce(h.n, 0) AS BIGINT) AS n
+        FROM rng r
+        CROSS JOIN (SELECT CAST(range AS BIGINT) AS bin FROM range(1, 11)) b
+        LEFT JOIN (SELECT c.classifier_id, {closed_bin_sql('CAST(c.class_id AS DOUBLE)', 'r.lo', 'r.hi', 10)} AS bin,
+                          count(*) AS n
+                   FROM broker_classification c JOIN rng r ON r.classifier_id = c.classifier_id
+                   GROUP BY ALL) h ON h.classifier_id = r.classifier_id AND h.bin = b.bin""",
+       {"rng": """
+        SELECT classifier_id,
+               CASE WHEN min(class_id) = max(class_id) THEN CAST(min(class_id) AS DOUBLE) - 0.5
+                    ELSE CAST(min(class_id) AS DOUBLE) END AS lo,
+               CASE WHEN min(class_id) = max(class_id) THEN CAST(max(class_id) AS DOUBLE) + 0.5
+                    ELSE CAST(max(class_id) AS DOUBLE) END AS hi
+        FROM broker_classification GROUP BY classifier_id"""})
