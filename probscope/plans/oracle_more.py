@@ -392,3 +392,125 @@ oracle("class_histogram10", f"""
                CASE WHEN min(class_id) = max(class_id) THEN CAST(max(class_id) AS DOUBLE) + 0.5
                     ELSE CAST(max(class_id) AS DOUBLE) END AS hi
         FROM broker_classification GROUP BY classifier_id"""})
+
+# ---------------------------------------------------------------- catalogue
+USED = """
+        SELECT DISTINCT class_id FROM broker_classification
+        UNION
+        SELECT g.class_id FROM (SELECT DISTINCT gentype FROM truth) t JOIN gentype_hier g ON g.gentype = t.gentype"""
+CATALOG = """
+        SELECT u.class_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_classifications, d.description
+        FROM used u
+        LEFT JOIN (SELECT class_id, count(*) AS n FROM broker_classification GROUP BY class_id) c
+               ON c.class_id = u.class_id
+        LEFT JOIN (SELECT class_id, min(description) AS description FROM gentype_hier GROUP BY class_id) d
+               ON d.class_id = u.class_id"""
+LEVEL = """CASE WHEN NOT (class_id >= 2000) THEN 'none' WHEN class_id < 1000 THEN 'none'
+                WHEN class_id % 1000 = 0 THEN 'broad' WHEN class_id % 100 = 0 THEN 'general'
+                WHEN class_id % 10 = 0 THEN 'category' ELSE 'exact' END"""
+LEVELS = f"""
+        SELECT class_id, level, level = 'exact' AS exactmatch, level = 'category' AS categorymatch,
+               level = 'general' AS generalmatch, level = 'broad' AS broadmatch
+        FROM (SELECT class_id, {LEVEL} AS level FROM used) q"""
+CC = {"used": USED, "catalog": CATALOG, "levels": LEVELS}
+oracle("class_catalog", "SELECT * FROM catalog", CC)
+oracle("taxonomy_order", """
+        SELECT class_id, description,
+               CAST(rpad(CAST(class_id AS VARCHAR),
+                         CAST((SELECT max(length(CAST(class_id AS VARCHAR))) FROM catalog) AS INTEGER), '0') AS BIGINT) AS sort_key
+        FROM catalog
+        UNION ALL SELECT -1, 'missed', -1""", CC)
+oracle("match_level", "SELECT * FROM levels", CC)
+oracle("match_rate_by_level", f"""
+        SELECT classifier_id, true_class, level, CAST(sum(n) AS BIGINT) AS n_objects,
+               CAST(sum(CASE WHEN pred_class >= 0 AND CAST(floor(pred_class / d) * d AS INTEGER)
+                                  = CAST(floor(true_class / d) * d AS INTEGER) THEN n ELSE 0 END) AS BIGINT) AS n_match,
+               {round6('sum(CASE WHEN pred_class >= 0 AND CAST(floor(pred_class / d) * d AS INTEGER) = CAST(floor(true_class / d) * d AS INTEGER) THEN n ELSE 0 END) / sum(n)')} AS rate
+        FROM counts
+        CROSS JOIN (VALUES ('exact', 1), ('category', 10), ('general', 100), ('broad', 1000)) lv(level, d)
+        GROUP BY ALL""", {"best": __import__('probscope.plans.oracle', fromlist=['chosen_sql']).chosen_sql("last_best"),
+                          "counts": """
+        SELECT b.classifier_id, b.class_id AS pred_class, g.class_id AS true_class, count(*) AS n
+        FROM truth t JOIN gentype_dim g ON t.gentype = g.gentype JOIN best b ON b.dia_object_id = t.dia_object_id
+        GROUP BY ALL"""})
+CFSTATS = """
+        SELECT classifier_id, count(*) AS n_messages, sum(c) AS n_classifications
+        FROM (SELECT broker_message_id, classifier_id, count(*) AS c FROM broker_classification GROUP BY ALL) m
+        GROUP BY classifier_id"""
+oracle("classifier_catalog", """
+        SELECT cf.classifier_id, cf.broker_name, cf.broker_version, cf.classifier_name, cf.classifier_params,
+               coalesce(cf.broker_name, 'None') || ' ' || coalesce(cf.broker_version, 'None') || ' ' ||
+               coalesce(cf.classifier_name, 'None') || ' ' || coalesce(cf.classifier_params, 'None') AS title,
+               CAST(coalesce(s.n_messages, 0) AS BIGINT) AS n_messages,
+               CAST(coalesce(s.n_classifications, 0) AS BIGINT) AS n_classifications
+        FROM classifiers cf LEFT JOIN cfstats s ON s.classifier_id = cf.classifier_id""", {"cfstats": CFSTATS})
+oracle("catalog_from_json", """
+        SELECT l.class_id, c.description, l.exactmatch, l.categorymatch, l.generalmatch, l.broadmatch, g.gentypes
+        FROM levels l JOIN catalog c ON c.class_id = l.class_id
+        LEFT JOIN (SELECT class_id, string_agg(CAST(gentype AS VARCHAR), ',' ORDER BY gentype) AS gentypes
+                   FROM (SELECT DISTINCT class_id, gentype FROM gentype_hier) q GROUP BY class_id) g
+               ON g.class_id = l.class_id""", CC)
+oracle("classifier_catalog_json",
+       "SELECT classifier_id, broker_name, broker_version, classifier_name, classifier_params FROM classifiers")
+oracle("tight_json_rows", f"""
+        SELECT classifier_id, true_class_id, relday, class_id, {round6('mean_probability')} AS mean_probability, n
+        FROM byday""", RC)
+oracle("summary_partition_roundtrip", f"""
+        SELECT classifier_id, true_class_id, relday, class_id, {round6('mean_probability')} AS mean_probability, n
+        FROM byday""", RC)
+
+# ---------------------------------------------------------------- service diagnostics, I/O, arrays
+ALERT_RATE = """
+        SELECT date_trunc('day', alert_sent_ts) AS window_start,
+               date_trunc('day', alert_sent_ts) + INTERVAL 1 DAY AS window_end, count(*) AS n_alerts
+        FROM diaalert WHERE alert_sent_ts IS NOT NULL GROUP BY ALL"""
+oracle("alert_rate", ALERT_RATE)
+oracle("alert_rate_stream", ALERT_RATE)
+oracle("delay_stats", f"""
+        SELECT classifier_id, delay, count(*) AS n, {round6('avg(seconds)')} AS mean_seconds,
+               min(seconds) AS min_seconds, max(seconds) AS max_seconds
+        FROM (SELECT p.classifier_id, k.delay,
+                     CASE k.delay WHEN 'alert_to_broker' THEN date_diff('second', a.alert_sent_ts, m.desc_ingest_ts)
+                                  WHEN 'broker_to_ingest' THEN date_diff('second', m.desc_ingest_ts, m.broker_ingest_ts)
+                                  ELSE date_diff('second', a.alert_sent_ts, m.broker_ingest_ts) END AS seconds
+              FROM (SELECT DISTINCT broker_message_id, classifier_id FROM broker_classification) p
+              JOIN broker_message m ON m.broker_message_id = p.broker_message_id
+              JOIN diaalert a ON a.alert_id = m.alert_id
+              CROSS JOIN (VALUES ('alert_to_broker'), ('broker_to_ingest'), ('alert_to_ingest')) k(delay)
+              WHERE a.alert_sent_ts IS NOT NULL) q
+        GROUP BY ALL""")
+oracle("completeness", f"""
+        SELECT cf.classifier_id, (SELECT count(DISTINCT dia_source_id) FROM diaalert WHERE alert_sent_ts IS NOT NULL)
+                 AS n_sent,
+               CAST(coalesce(k.n, 0) AS BIGINT) AS n_classified,
+               {round6('coalesce(CAST(coalesce(k.n, 0) AS DOUBLE) / (SELECT count(DISTINCT dia_source_id) FROM diaalert WHERE alert_sent_ts IS NOT NULL), 0.0)')} AS completeness
+        FROM classifiers cf
+        LEFT JOIN (SELECT cs.classifier_id, count(*) AS n FROM csrc cs
+                   WHERE cs.dia_source_id IN (SELECT dia_source_id FROM diaalert WHERE alert_sent_ts IS NOT NULL)
+                   GROUP BY cs.classifier_id) k ON k.classifier_id = cf.classifier_id""", PKC)
+oracle("prob_by_detection", f"""
+        SELECT v.classifier_id, v.true_class_id, d.detection, {round6('avg(v.probability)')} AS mean_prob,
+               count(*) AS n
+        FROM view v
+        JOIN (SELECT dia_source_id, row_number() OVER (PARTITION BY dia_object_id
+                                                       ORDER BY mid_point_tai, dia_source_id) AS detection
+              FROM diasource) d ON d.dia_source_id = v.dia_source_id
+        WHERE v.class_id = v.true_class_id
+        GROUP BY ALL""", EC)
+oracle("csv_roundtrip", __import__('probscope.plans.oracle', fromlist=['_inner'])._inner("last_best"),
+       {"best": __import__('probscope.plans.oracle', fromlist=['chosen_sql']).chosen_sql("last_best")})
+oracle("parameterised_sql", f"""
+        SELECT v.classifier_id, v.dia_object_id, v.class_id, v.alert_id, v.true_class_id,
+               {round6('v.probability')} AS probability, s.mid_point_tai - t.peakmjd AS deltat
+        FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
+        JOIN truth t ON t.dia_object_id = v.dia_object_id
+        WHERE v.classifier_id IN (1, 2, 3, 4) AND v.true_class_id = 2223""", EC)
+oracle("explode_messages", f"""
+        SELECT broker_message_id, classifier_id, class_id, {round6('probability')} AS probability
+        FROM broker_classification""")
+oracle("argmax_from_array", f"""
+        SELECT broker_message_id, classifier_id, class_id, {round6('probability')} AS probability FROM (
+          SELECT *, row_number() OVER (PARTITION BY broker_message_id, classifier_id
+                                       ORDER BY probability DESC, class_id ASC) AS rn
+          FROM broker_classification) q
+        WHERE rn = 1""")
