@@ -71,18 +71,30 @@ def merge_top_bin(hist: DataFrame) -> DataFrame:
 def expected_probability(hist: DataFrame, zero_first_bin: bool = True) -> DataFrame:
     """Mean probability per (classifier, true class, tbin, class) from the histogram:
     sum over probbins of frac x bin centre. With ``zero_first_bin`` probbin 1 counts
-    as probability 0 (most of it is an exact 0 reported by the classifier)."""
-    norm = normalize_over_probbin(hist)
-    centre = B.probbin_val("probbin")
-    if zero_first_bin:
-        centre = F.when(F.col("probbin") == 1, F.lit(0.0)).otherwise(centre)
-    return (norm.groupBy("classifier_id", "true_class_id", "tbin", "class_id")
-            .agg(F.sum(F.col("frac") * centre).alias("prob")))
+    as probability 0 (most of it is an exact 0 reported by the classifier).
+
+    Written as one aggregate with integer sums: inner bin ``b`` has centre
+    ``(2b - 1) * w / 2`` and the outer bins -1 / +1, so the mean is
+    ``(sum n (2b-1) * w/2 + n_over - n_under) / N`` with a single final division,
+    exact up to that division and independent of summation order."""
+    b, n = F.col("probbin"), F.col("n")
+    first_inner = 2 if zero_first_bin else 1
+    inner = (b >= first_inner) & (b <= B.PROBBINS.n)
+    a = F.sum(F.when(inner, n * (2 * b - 1)).otherwise(0))
+    edges = F.sum(F.when(b >= B.PROBBINS.n + 1, n).when(b <= 0, -n).otherwise(0))
+    total = F.sum(n)
+    prob = (a.cast("double") * (B.PROBBINS.width / 2.0) + edges.cast("double")) / total.cast("double")
+    return hist.groupBy("classifier_id", "true_class_id", "tbin", "class_id").agg(prob.alias("prob"))
 
 
 def lost_probability(expected: DataFrame) -> DataFrame:
-    """Sum over classes of the expected probability per (classifier, true class, tbin)."""
-    return expected.groupBy("classifier_id", "true_class_id", "tbin").agg(F.sum("prob").alias("total_prob"))
+    """Sum over classes of the expected probability per (classifier, true class, tbin).
+
+    The per-class values (one per class, bounded by the taxonomy) are added in
+    ascending order so the float sum does not depend on row arrival order."""
+    vals = F.array_sort(F.collect_list("prob"))
+    return (expected.groupBy("classifier_id", "true_class_id", "tbin")
+            .agg(F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x).alias("total_prob")))
 
 
 def heatmap(expected: DataFrame, n_tbins: int = B.TBINS.n + 2) -> DataFrame:

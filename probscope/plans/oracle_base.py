@@ -136,4 +136,5 @@ def width_bucket_sql(x: str, lo: float, hi: float, n: int) -> str:
 
 
 def round6(x: str) -> str:
-    return f"round(CAST({x} AS DOUBLE), 6)"
+    """Same operations as the Spark side: floor(x * 1e6 + 0.5) / 1e6."""
+    return f"(floor(CAST({x} AS DOUBLE) * CAST(1000000.0 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000000.0 AS DOUBLE))"

@@ -51,8 +51,11 @@ NORM = """
         FROM hist"""
 EXPECTED = f"""
         SELECT classifier_id, true_class_id, tbin, class_id,
-               sum(frac * CASE WHEN probbin = 1 THEN {D(0.0)} ELSE {probbin_val('probbin')} END) AS prob
-        FROM norm GROUP BY ALL"""
+               (CAST(sum(CASE WHEN probbin >= 2 AND probbin <= 20 THEN n * (2 * probbin - 1) ELSE 0 END) AS DOUBLE)
+                  * {D(0.025)}
+                + CAST(sum(CASE WHEN probbin >= 21 THEN n WHEN probbin <= 0 THEN -n ELSE 0 END) AS DOUBLE))
+               / CAST(sum(n) AS DOUBLE) AS prob
+        FROM hist GROUP BY ALL"""
 HC = {"ctx": CTX, "ded": DED, "hist": HIST, "norm": NORM, "expected": EXPECTED}
 
 oracle("dedupe_mean", f"""
@@ -98,7 +101,10 @@ oracle("expected_prob_heatmap", "SELECT classifier_id, true_class_id, class_id,
        + ", ".join(f"{round6(f'max(CASE WHEN tbin = {k} THEN prob END)')} AS tbin_{k}" for k in range(28))
        + " FROM expected GROUP BY ALL", HC)
 oracle("lost_probability", f"""
-        SELECT classifier_id, true_class_id, tbin, {round6('sum(prob)')} AS total_prob FROM expected GROUP BY ALL""", HC)
+        SELECT classifier_id, true_class_id, tbin,
+               {round6('list_reduce(list_prepend(CAST(0.0 AS DOUBLE), list_sort(list(prob))), lambda a, b: a + b)')}
+                 AS total_prob
+        FROM expected GROUP BY ALL""", HC)
 oracle("prob_violin_table", f"""
         SELECT n.classifier_id, n.true_class_id, n.tbin, n.class_id, n.probbin,
                {round6(probbin_val('n.probbin'))} AS prob, {round6('n.frac')} AS frac,

@@ -31,12 +31,20 @@ def register(name: str):
     return deco
 
 
+def round_half_up(c, places: int = 6):
+    """``floor(x * 10^p + 0.5) / 10^p``: the same IEEE operations in every engine, so
+    two engines that computed the same double print the same rounded value (built-in
+    ``round`` differs between engines at exact ties)."""
+    f = float(10 ** places)
+    return F.when(F.isnan(c), c).otherwise(F.floor(c * f + 0.5) / f)
+
+
 def finish(df: DataFrame, places: int = 6) -> DataFrame:
     """Round every double column (top level) to ``places``."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            cols.append(F.round(F.col(f.name), places).alias(f.name))
+            cols.append(round_half_up(F.col(f.name), places).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
