@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from probscope.functions import exact as X
 from probscope.operators.context import message_context, truth_classes
 from probscope.sources.fixtures import Tables
 
@@ -83,4 +84,4 @@ def prob_by_detection(t: Tables) -> DataFrame:
     rows = t.broker_classification.join(ctx, (t.broker_classification["broker_message_id"] == ctx["broker_message_id"])
                                         & (t.broker_classification["class_id"] == ctx["true_class_id"]))
     return rows.groupBy("classifier_id", "true_class_id", "detection").agg(
-        F.avg("probability").alias("mean_prob"), F.count(F.lit(1)).alias("n"))
+        X.fmean("probability").alias("mean_prob"), F.count(F.lit(1)).alias("n"))

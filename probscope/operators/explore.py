@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from probscope.functions import bins as B
+from probscope.functions import exact as X
 from probscope.operators.context import source_classifications, truth_classes
 from probscope.sources.fixtures import Tables
 
@@ -114,10 +115,10 @@ def naive_tbin_mean(rows: DataFrame, weight: str = "row") -> DataFrame:
     binned = rows.withColumn("tbin", B.five_day_bin("deltat").cast("long"))
     if weight == "object":
         binned = (binned.groupBy("classifier_id", "tbin", "dia_object_id")
-                  .agg(F.avg("probability").alias("probability")))
+                  .agg(X.fmean("probability").alias("probability")))
     elif weight != "row":
         raise ValueError("weight must be 'row' or 'object'")
-    return binned.groupBy("classifier_id", "tbin").agg(F.avg("probability").alias("mean_prob"),
+    return binned.groupBy("classifier_id", "tbin").agg(X.fmean("probability").alias("mean_prob"),
                                                        F.count(F.lit(1)).alias("n"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from probscope.functions import bins as B
+from probscope.functions import exact as X
 from probscope.operators.context import message_context, source_deltat
 from probscope.sources.fixtures import Tables
 
@@ -40,7 +41,7 @@ def dedupe_mean(t: Tables, ctx: DataFrame | None = None) -> DataFrame:
     rows = t.broker_classification.join(ctx.select("broker_message_id", "dia_source_id", "deltat", "gentype"),
                                         "broker_message_id")
     return (rows.groupBy("classifier_id", "dia_source_id", "class_id", "deltat", "gentype")
-            .agg(F.avg("probability").alias("probability"), F.count(F.lit(1)).alias("n_messages")))
+            .agg(X.fmean("probability").alias("probability"), F.count(F.lit(1)).alias("n_messages")))
 
 
 def probhist(t: Tables, hierarchical: bool = False) -> DataFrame:
@@ -128,19 +129,19 @@ def mean_prob_by_tbin(t: Tables) -> DataFrame:
     """Mean of the de-duplicated (unbinned) probabilities per (classifier, true class, tbin, class)."""
     ded = dedupe_mean(t)
     per_gentype = (ded.groupBy("classifier_id", "gentype", B.tbin("deltat").alias("tbin"), "class_id")
-                   .agg(F.sum("probability").alias("s"), F.count(F.lit(1)).alias("c")))
+                   .agg(X.fixed_sum("probability").alias("s"), F.count(F.lit(1)).alias("c")))
     return (per_gentype.join(t.gentype.select("gentype", F.col("class_id").alias("true_class_id")), "gentype")
             .groupBy("classifier_id", "true_class_id", "tbin", "class_id")
-            .agg((F.sum("s") / F.sum("c")).alias("mean_prob"), F.sum("c").alias("n")))
+            .agg(X.mean_of(F.sum("s"), F.sum("c")).alias("mean_prob"), F.sum("c").alias("n")))
 
 
 def totprob_per_source(t: Tables) -> DataFrame:
     """Total probability per (classifier, source) over all its classifications."""
     ctx = message_context(t).select("broker_message_id", "dia_source_id")
     per_msg = t.broker_classification.groupBy("broker_message_id", "classifier_id") \
-        .agg(F.sum("probability").alias("p"))
+        .agg(X.fixed_sum("probability").alias("p"))
     return (per_msg.join(ctx, "broker_message_id")
-            .groupBy("classifier_id", "dia_source_id").agg(F.sum("p").alias("totprob")))
+            .groupBy("classifier_id", "dia_source_id").agg(X.from_fixed(F.sum("p")).alias("totprob")))
 
 
 def totprob_audit(tot: DataFrame, hi: float = 1.001, lo: float = 0.999) -> DataFrame:
@@ -155,7 +156,7 @@ def totprob_audit(tot: DataFrame, hi: float = 1.001, lo: float = 0.999) -> DataF
 def prob_sum_check(t: Tables, tol: float = 1e-6) -> DataFrame:
     """Per classifier, at message grain: how many probability vectors sum to 1."""
     per_msg = t.broker_classification.groupBy("broker_message_id", "classifier_id") \
-        .agg(F.sum("probability").alias("total"))
+        .agg(X.fsum("probability").alias("total"))
     return per_msg.groupBy("classifier_id").agg(
         F.count(F.lit(1)).alias("n_messages"),
         F.sum((F.abs(F.col("total") - 1.0) <= tol).cast("long")).alias("n_sum_to_one"),

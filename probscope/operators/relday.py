@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from probscope.functions import bins as B
+from probscope.functions import exact as X
 from probscope.operators.context import classified_sources, source_deltat
 from probscope.operators.probhist import message_source_context
 from probscope.operators.select_one import asc, desc, pick_one
@@ -52,11 +53,11 @@ def prob_by_relday(t: Tables, lo: int = RELDAY_RANGE[0], hi: int = RELDAY_RANGE[
     over the latest message per classifier and source, reldays in [lo, hi]."""
     rows = latest_message_rows(t).withColumn("relday", relday("deltat")).where(F.col("relday").between(lo, hi))
     per_gentype = (rows.groupBy("classifier_id", "gentype", "relday", "class_id")
-                   .agg(F.sum("probability").alias("s"), F.max("probability").alias("m"),
+                   .agg(X.fixed_sum("probability").alias("s"), F.max("probability").alias("m"),
                         F.count(F.lit(1)).alias("c")))
     return (per_gentype.join(_true_classes(t), "gentype")
             .groupBy("classifier_id", "true_class_id", "relday", "class_id")
-            .agg((F.sum("s") / F.sum("c")).alias("mean_probability"), F.max("m").alias("max_probability"),
+            .agg(X.mean_of(F.sum("s"), F.sum("c")).alias("mean_probability"), F.max("m").alias("max_probability"),
                  F.sum("c").alias("n")))
 
 
@@ -115,11 +116,11 @@ def relday_distribution(t: Tables) -> DataFrame:
     rows = all_rows_with_relday(t)
     per_gentype = (rows.groupBy("classifier_id", "gentype", "relday", "class_id")
                    .agg(F.count(F.lit(1)).alias("c"), F.min("probability").alias("lo"),
-                        F.max("probability").alias("hi"), F.sum("probability").alias("s")))
+                        F.max("probability").alias("hi"), X.fixed_sum("probability").alias("s")))
     return (per_gentype.join(_true_classes(t), "gentype")
             .groupBy("classifier_id", "true_class_id", "relday", "class_id")
             .agg(F.sum("c").alias("n"), F.min("lo").alias("min_probability"), F.max("hi").alias("max_probability"),
-                 (F.sum("s") / F.sum("c")).alias("mean_probability")))
+                 X.mean_of(F.sum("s"), F.sum("c")).alias("mean_probability")))
 
 
 def relday_quantiles(t: Tables, probs=(0.25, 0.5, 0.75), accuracy: int = 10000) -> DataFrame:

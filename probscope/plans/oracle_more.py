@@ -8,6 +8,18 @@ from probscope.plans.oracle_base import round6, width_bucket_sql
 
 D = "CAST({} AS DOUBLE)".format
 
+
+def FIXED(x: str) -> str:
+    return f"CAST(floor({x} * CAST(1e9 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT)"
+
+
+def FSUM(x: str) -> str:
+    return f"(CAST(sum({FIXED(x)}) AS DOUBLE) / CAST(1e9 AS DOUBLE))"
+
+
+def FMEAN(x: str) -> str:
+    return f"({FSUM(x)} / CAST(count({x}) AS DOUBLE))"
+
 TBIN = width_bucket_sql("deltat", -30.0, 100.0, 26)
 PROBBIN = width_bucket_sql("probability", 0.0, 1.0, 20)
 
@@ -30,8 +42,8 @@ CTX = """
         JOIN diaalert a ON a.alert_id = m.alert_id
         JOIN diasource s ON s.dia_source_id = a.dia_source_id
         JOIN truth t ON t.dia_object_id = s.dia_object_id"""
-DED = """
-        SELECT c.classifier_id, x.dia_source_id, c.class_id, avg(c.probability) AS probability,
+DED = f"""
+        SELECT c.classifier_id, x.dia_source_id, c.class_id, {FMEAN("c.probability")} AS probability,
                count(*) AS n_messages, x.deltat, x.gentype
         FROM broker_classification c JOIN ctx x ON x.broker_message_id = c.broker_message_id
         GROUP BY c.classifier_id, x.dia_source_id, c.class_id, x.deltat, x.gentype"""
@@ -62,8 +74,8 @@ oracle("dedupe_mean", f"""
         SELECT classifier_id, dia_source_id, class_id, {round6('probability')} AS probability, n_messages
         FROM ded""", HC)
 
-TOTPROB = """
-        SELECT c.classifier_id, a.dia_source_id, sum(c.probability) AS totprob
+TOTPROB = f"""
+        SELECT c.classifier_id, a.dia_source_id, {FSUM("c.probability")} AS totprob
         FROM broker_classification c
         JOIN broker_message m ON m.broker_message_id = c.broker_message_id
         JOIN diaalert a ON a.alert_id = m.alert_id
@@ -79,7 +91,7 @@ oracle("prob_sum_check", f"""
         SELECT classifier_id, count(*) AS n_messages,
                CAST(sum(CASE WHEN abs(total - 1.0) <= 1e-6 THEN 1 ELSE 0 END) AS BIGINT) AS n_sum_to_one,
                {round6('min(total)')} AS min_total, {round6('max(total)')} AS max_total
-        FROM (SELECT broker_message_id, classifier_id, sum(probability) AS total
+        FROM (SELECT broker_message_id, classifier_id, {FSUM("probability")} AS total
               FROM broker_classification GROUP BY ALL) m
         GROUP BY classifier_id""")
 
@@ -116,7 +128,7 @@ oracle("tbin_counts", f"""
         FROM hist GROUP BY ALL""", HC)
 oracle("mean_prob_by_tbin", f"""
         SELECT d.classifier_id, g.class_id AS true_class_id, {TBIN} AS tbin, d.class_id,
-               {round6('avg(d.probability)')} AS mean_prob, count(*) AS n
+               {round6(FMEAN('d.probability'))} AS mean_prob, count(*) AS n
         FROM ded d JOIN gentype_dim g ON g.gentype = d.gentype
         GROUP BY ALL""", HC)
 
@@ -209,7 +221,7 @@ LATEST = """
         WHERE rn = 1"""
 BYDAY = f"""
         SELECT c.classifier_id, g.class_id AS true_class_id, {RELDAY.replace('deltat', 'l.deltat')} AS relday,
-               c.class_id, avg(c.probability) AS mean_probability, max(c.probability) AS max_probability,
+               c.class_id, {FMEAN("c.probability")} AS mean_probability, max(c.probability) AS max_probability,
                count(*) AS n
         FROM broker_classification c
         JOIN latest l ON l.broker_message_id = c.broker_message_id AND l.classifier_id = c.classifier_id
@@ -288,7 +300,7 @@ ALLROWS = f"""
 oracle("relday_distribution", f"""
         SELECT r.classifier_id, g.class_id AS true_class_id, r.relday, r.class_id, count(*) AS n,
                {round6('min(r.probability)')} AS min_probability, {round6('max(r.probability)')} AS max_probability,
-               {round6('avg(r.probability)')} AS mean_probability
+               {round6(FMEAN('r.probability'))} AS mean_probability
         FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype
         GROUP BY ALL""", {"ctx": CTX, "allrows": ALLROWS})
 oracle("prob_histogram_closed", f"""
@@ -372,12 +384,12 @@ oracle("semi_join_class_objects", f"""
                mid_point_tai, peakmjd, deltat, true_class_id FROM semi_rows""", {**EC, "semi_rows": SEMI})
 oracle("naive_tbin_mean", f"""
         SELECT classifier_id, CAST(floor((deltat + 20.0) / 5.0) AS BIGINT) AS tbin,
-               {round6('avg(probability)')} AS mean_prob, count(*) AS n
+               {round6(FMEAN('probability'))} AS mean_prob, count(*) AS n
         FROM semi_rows GROUP BY ALL""", {**EC, "semi_rows": SEMI})
 oracle("object_weighted_tbin_mean", f"""
-        SELECT classifier_id, tbin, {round6('avg(p)')} AS mean_prob, count(*) AS n
+        SELECT classifier_id, tbin, {round6(FMEAN('p'))} AS mean_prob, count(*) AS n
         FROM (SELECT classifier_id, CAST(floor((deltat + 20.0) / 5.0) AS BIGINT) AS tbin, dia_object_id,
-                     avg(probability) AS p
+                     {FMEAN('probability')} AS p
               FROM semi_rows GROUP BY ALL) q
         GROUP BY ALL""", {**EC, "semi_rows": SEMI})
 oracle("class_histogram10", f"""
@@ -495,7 +507,7 @@ oracle("completeness", f"""
                    WHERE cs.dia_source_id IN (SELECT dia_source_id FROM diaalert WHERE alert_sent_ts IS NOT NULL)
                    GROUP BY cs.classifier_id) k ON k.classifier_id = cf.classifier_id""", PKC)
 oracle("prob_by_detection", f"""
-        SELECT v.classifier_id, v.true_class_id, d.detection, {round6('avg(v.probability)')} AS mean_prob,
+        SELECT v.classifier_id, v.true_class_id, d.detection, {round6(FMEAN('v.probability'))} AS mean_prob,
                count(*) AS n
         FROM view v
         JOIN (SELECT dia_source_id, row_number() OVER (PARTITION BY dia_object_id
