@@ -99,24 +99,21 @@ def tbin_label(b) -> Column:
 def closed_histogram_bin(x, lo, hi, n: int) -> Column:
     """1-based bin of ``numpy.histogram(x, bins=linspace(lo, hi, n + 1))``.
 
-    ``lo``/``hi`` may be columns (per-group ranges). Edges are ``lo + i * step``
-    with ``step = (hi - lo) / n`` and the last edge exactly ``hi``; the last bin is
-    closed; values outside ``[lo, hi]`` give NULL (NumPy drops them).
+    ``lo``/``hi`` may be columns (per-group ranges). The edges are
+    ``lo + i * step`` (``step = (hi - lo) / n``), exactly the doubles ``linspace``
+    produces, and the bin is one plus the number of inner edges at or below ``x``:
+    bins are half open except the last, which is closed; values outside
+    ``[lo, hi]`` give NULL (NumPy drops them). The expression is linear in ``n``.
     """
     x = _c(x).cast("double")
     lo = (lo if isinstance(lo, Column) else F.lit(float(lo))).cast("double")
     hi = (hi if isinstance(hi, Column) else F.lit(float(hi))).cast("double")
     step = (hi - lo) / float(n)
-
-    def edge(i: Column) -> Column:
-        return F.when(i >= n, hi).otherwise(lo + i.cast("double") * step)
-
-    k0 = F.floor(((x - lo) / (hi - lo)) * float(n))
-    k1 = F.when(k0 >= n, F.lit(n - 1)).otherwise(k0)
-    k2 = F.when(x < edge(k1), k1 - 1).otherwise(k1)
-    k3 = F.when((x >= edge(k2 + 1)) & (k2 != n - 1), k2 + 1).otherwise(k2)
-    inside = (x >= lo) & (x <= hi)
-    return F.when(inside, (k3 + 1).cast("long"))
+    above = [F.when(x >= lo + F.lit(float(i)) * step, 1).otherwise(0) for i in range(1, n)]
+    k = F.lit(1)
+    for a in above:
+        k = k + a
+    return F.when((x >= lo) & (x <= hi), k.cast("long"))
 
 
 def equal_width_range(lo: Column, hi: Column) -> tuple[Column, Column]:

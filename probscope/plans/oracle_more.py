@@ -200,14 +200,8 @@ def closed_bin_sql(x: str, lo, hi, n: int) -> str:
     lo_s = D(lo) if isinstance(lo, float) else f"CAST({lo} AS DOUBLE)"
     hi_s = D(hi) if isinstance(hi, float) else f"CAST({hi} AS DOUBLE)"
     step = f"(({hi_s} - {lo_s}) / {D(float(n))})"
-
-    def edge(i: str) -> str:
-        return f"(CASE WHEN ({i}) >= {n} THEN {hi_s} ELSE {lo_s} + CAST({i} AS DOUBLE) * {step} END)"
-    k0 = f"floor((({x} - {lo_s}) / ({hi_s} - {lo_s})) * {D(float(n))})"
-    k1 = f"(CASE WHEN {k0} >= {n} THEN {n - 1} ELSE {k0} END)"
-    k2 = f"(CASE WHEN {x} < {edge(k1)} THEN {k1} - 1 ELSE {k1} END)"
-    k3 = f"(CASE WHEN {x} >= {edge(k2 + ' + 1')} AND {k2} <> {n - 1} THEN {k2} + 1 ELSE {k2} END)"
-    return f"(CASE WHEN {x} >= {lo_s} AND {x} <= {hi_s} THEN CAST({k3} + 1 AS BIGINT) END)"
+    edges = " + ".join(f"(CASE WHEN {x} >= {lo_s} + {D(float(i))} * {step} THEN 1 ELSE 0 END)" for i in range(1, n))
+    return f"(CASE WHEN {x} >= {lo_s} AND {x} <= {hi_s} THEN CAST(1 + {edges} AS BIGINT) END)"
 
 
 RELDAY = "CAST(round_even(deltat, 0) AS INTEGER)"
