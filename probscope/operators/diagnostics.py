@@ -69,11 +69,24 @@ def completeness(t: Tables) -> DataFrame:
                                                                 F.col("n_sent")), F.lit(0.0))))
 
 
-def detection_ordinals(t: Tables) -> DataFrame:
-    """(dia_source_id, detection): 1-based ordinal of each source within its object by time."""
+def detection_ordinals(t: Tables, bucket_days: float = 1.0) -> DataFrame:
+    """(dia_source_id, detection): 1-based ordinal of each source within its object by
+    (time, source id), without sorting a whole object in one task.
+
+    Sources are cut into time buckets per object; bucket sizes are counted with a
+    map-side-combined aggregate, their running totals (one row per object and
+    bucket, bounded by the survey length) give each bucket's offset, and rows are
+    ranked only within their own (object, bucket)."""
     from pyspark.sql import Window
-    w = Window.partitionBy("dia_object_id").orderBy("mid_point_tai", "dia_source_id")
-    return t.diasource.select("dia_source_id", F.row_number().over(w).alias("detection"))
+    src = t.diasource.select("dia_source_id", "dia_object_id", "mid_point_tai",
+                             F.floor(F.col("mid_point_tai") / bucket_days).alias("bucket"))
+    sizes = src.groupBy("dia_object_id", "bucket").agg(F.count(F.lit(1)).alias("c"))
+    before = Window.partitionBy("dia_object_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("dia_object_id", "bucket", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("offset"))
+    local = Window.partitionBy("dia_object_id", "bucket").orderBy("mid_point_tai", "dia_source_id")
+    ranked = src.withColumn("r", F.row_number().over(local))
+    return ranked.join(offsets, ["dia_object_id", "bucket"]).select(
+        "dia_source_id", (F.col("r") + F.col("offset")).alias("detection"))
 
 
 def prob_by_detection(t: Tables) -> DataFrame:

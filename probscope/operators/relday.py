@@ -71,26 +71,36 @@ def top_classes(means: DataFrame, k: int = 5) -> DataFrame:
     return peak.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def per_message_argmax(t: Tables) -> DataFrame:
+    """(broker_message_id, classifier_id, class_id, probability): each message's
+    highest-probability class (ties to the smaller class), map-side combined."""
+    return pick_one(t.broker_classification, ["broker_message_id", "classifier_id"],
+                    [desc("probability"), asc("class_id")], ["class_id", "probability"])
+
+
+def closest_to_peak_picks(t: Tables, band: str = "r") -> DataFrame:
+    """Per (classifier, object), in one aggregate: the classified ``band`` source with
+    the smallest |deltat| (ties to the smaller source id) and, among that source's
+    messages, the highest-probability class (ties to the smaller class).
+
+    Returns classifier_id, dia_object_id, dia_source_id, deltat, gentype, class_id."""
+    ctx = (message_source_context(t).where(F.col("filter_name") == band)
+           .select("broker_message_id", "dia_source_id", "dia_object_id", "deltat", "gentype"))
+    rows = per_message_argmax(t).join(ctx, "broker_message_id")
+    order = [asc(F.abs(F.col("deltat"))), asc("dia_source_id"), desc("probability"), asc("class_id")]
+    return pick_one(rows, ["classifier_id", "dia_object_id"], order,
+                    ["dia_source_id", "deltat", "gentype", "class_id"])
+
+
 def closest_to_peak_sources(t: Tables, band: str = "r") -> DataFrame:
-    """Per (classifier, object): the classified ``band`` source with the smallest |deltat|
-    (ties to the smaller source id): classifier_id, dia_object_id, dia_source_id, deltat, gentype."""
-    src = source_deltat(t).where(F.col("filter_name") == band)
-    cand = classified_sources(t).join(src.select("dia_source_id", "dia_object_id", "deltat", "gentype"),
-                                      "dia_source_id")
-    return pick_one(cand, ["classifier_id", "dia_object_id"], [asc(F.abs(F.col("deltat"))), asc("dia_source_id")],
-                    ["dia_source_id", "deltat", "gentype"])
+    """Per (classifier, object): the classified ``band`` source closest to peak."""
+    return closest_to_peak_picks(t, band).drop("class_id")
 
 
 def peak_confusion_column(t: Tables, band: str = "r") -> DataFrame:
     """Confusion column from the highest-probability class at the source closest to peak:
     (classifier_id, true_class_id, pred_class, n, percent)."""
-    chosen = closest_to_peak_sources(t, band)
-    per_msg = pick_one(t.broker_classification, ["broker_message_id", "classifier_id"],
-                       [desc("probability"), asc("class_id")], ["class_id", "probability"])
-    ctx = message_source_context(t).select("broker_message_id", "dia_source_id")
-    cand = per_msg.join(ctx, "broker_message_id").join(chosen, ["classifier_id", "dia_source_id"])
-    pred = pick_one(cand, ["classifier_id", "dia_object_id"], [desc("probability"), asc("class_id")],
-                    ["class_id", "gentype"])
+    pred = closest_to_peak_picks(t, band)
     counts = (pred.groupBy("classifier_id", "gentype", F.col("class_id").alias("pred_class"))
               .agg(F.count(F.lit(1)).alias("n"))
               .join(_true_classes(t), "gentype")

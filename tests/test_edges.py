@@ -146,3 +146,13 @@ def test_norm_of_empty_row_is_zero(spark):
 def test_nan_probability_ranks_highest(spark):
     df = spark.createDataFrame([(1, 2222, 0.9), (1, 2223, float("nan"))], "m long, class_id int, probability double")
     assert math.isnan(argmax(df, ["m"], "probability", ["probability"]).first().probability)
+
+
+def test_bucketed_detection_ordinals_equal_plain_ranking(tables):
+    from pyspark.sql import Window
+    from probscope.operators.diagnostics import detection_ordinals
+    w = Window.partitionBy("dia_object_id").orderBy("mid_point_tai", "dia_source_id")
+    plain = tables.diasource.select("dia_source_id", F.row_number().over(w).alias("detection"))
+    for days in (1.0, 7.0, 1000.0):
+        got = detection_ordinals(tables, days)
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
