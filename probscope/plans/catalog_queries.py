@@ -70,7 +70,8 @@ def tight_json_rows(t: Tables):
     means = rd.prob_by_relday(t)
     docs = io.to_tight_json(means, ["classifier_id", "true_class_id"], ["relday", "class_id"],
                             ["mean_probability", "n"])
-    rows = io.parse_tight_json(docs, keep=["classifier_id", "true_class_id"])
+    rows = io.parse_tight_json(docs, keep=["classifier_id", "true_class_id"], index_names=["relday", "class_id"],
+                               columns=["mean_probability", "n"])
     return rows.select("classifier_id", "true_class_id", F.col("relday").cast("int").alias("relday"),
                        F.col("class_id").cast("int").alias("class_id"), "mean_probability",
                        F.col("n").cast("long").alias("n"))

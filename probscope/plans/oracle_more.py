@@ -526,3 +526,19 @@ oracle("argmax_from_array", f"""
                                        ORDER BY probability DESC, class_id ASC) AS rn
           FROM broker_classification) q
         WHERE rn = 1""")
+
+oracle("delay_histogram", """
+        SELECT p.classifier_id,
+               CAST(floor(date_diff('second', a.alert_sent_ts, m.desc_ingest_ts) / 86400) * 86400 AS BIGINT)
+                 AS bin_start_seconds,
+               count(*) AS n
+        FROM (SELECT DISTINCT broker_message_id, classifier_id FROM broker_classification) p
+        JOIN broker_message m ON m.broker_message_id = p.broker_message_id
+        JOIN diaalert a ON a.alert_id = m.alert_id
+        WHERE a.alert_sent_ts IS NOT NULL AND m.desc_ingest_ts IS NOT NULL
+        GROUP BY ALL""")
+oracle("classifications_relday", f"""
+        SELECT r.classifier_id, g.class_id AS true_class_id, r.dia_source_id, r.class_id, r.relday,
+               {round6('r.probability')} AS probability
+        FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype""", {"ctx": CTX, "allrows": ALLROWS})
+oracle("json_rows_roundtrip", "SELECT alert_id, dia_source_id, dia_object_id, alert_sent_ts FROM diaalert")

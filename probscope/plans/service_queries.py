@@ -100,3 +100,32 @@ def explode_messages(t: Tables):
 def argmax_from_array(t: Tables):
     """Highest-probability class of every message, from the array form."""
     return rs.argmax_from_array(rs.messages_as_arrays(t.broker_classification))
+
+
+@register("delay_histogram")
+def delay_histogram(t: Tables):
+    """Alert-to-broker delays per classifier in one-day bins."""
+    return dg.delay_histogram(t, "alert_to_broker", 86400)
+
+
+@register("classifications_relday")
+def classifications_relday(t: Tables):
+    """Every classification with its source, class, day rel. peak and true class."""
+    rows = rd.all_rows_with_relday(t).join(rd._true_classes(t), "gentype")
+    return rows.select("classifier_id", "true_class_id", "dia_source_id", "class_id", "relday", "probability")
+
+
+@register("json_rows_roundtrip")
+def json_rows_roundtrip(t: Tables):
+    """Alert rows written as JSON lines with ISO-8601 text times, read back with an
+    explicit schema and the text parsed back to timestamps."""
+    from pyspark.sql import types as T
+    spark = t.truth.sparkSession
+    path = io.scratch_path(spark, "alerts-json", uuid.uuid4().hex[:10])
+    t.diaalert.select("alert_id", "dia_source_id", "dia_object_id",
+                      io.iso_text("alert_sent_ts").alias("alert_sent_ts")).write.mode("overwrite").json(path)
+    schema = T.StructType([T.StructField("alert_id", T.LongType()), T.StructField("dia_source_id", T.LongType()),
+                           T.StructField("dia_object_id", T.LongType()),
+                           T.StructField("alert_sent_ts", T.StringType())])
+    back = io.read_json_rows(spark, path, schema)
+    return back.withColumn("alert_sent_ts", io.parse_iso("alert_sent_ts"))

@@ -54,6 +54,19 @@ def read_json_rows(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).json(path)
 
 
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def iso_text(c) -> Column:
+    """Wall-clock timestamp as ISO-8601 text with microseconds."""
+    return F.date_format(F.col(c) if isinstance(c, str) else c, ISO_FORMAT)
+
+
+def parse_iso(c) -> Column:
+    """ISO-8601 text (``T`` separator, optional fraction) -> wall-clock TIMESTAMP_NTZ."""
+    return F.to_timestamp_ntz(F.col(c) if isinstance(c, str) else c)
+
+
 def parse_class_catalog(df: DataFrame, col: str = "value") -> DataFrame:
     """``{"<classid>": {exactmatch, categorymatch, broadmatch, generalmatch, description,
     gentype: [..]}}`` text -> one row per class."""
@@ -94,17 +107,20 @@ def to_tight_json(df: DataFrame, by: Sequence[str], index: Sequence[str], column
             .select(*by, F.to_json(doc).alias("value")))
 
 
-def parse_tight_json(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """A ``tight`` document -> long rows: index levels and data columns, named as in the doc.
+def parse_tight_json(df: DataFrame, col: str = "value", keep: Sequence[str] = (),
+                     index_names: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    """A ``tight`` document -> long rows: index levels and data columns.
 
-    Names are taken from the first document (the frames of one summary share a layout)."""
+    Pass the level / column names when the layout is known; otherwise they are
+    read from the first document (one small job)."""
     parsed = df.select(*keep, F.from_json(F.col(col), TIGHT_FRAME_JSON).alias("t"))
-    first = parsed.select("t.index_names", "t.columns").first()
-    idx_names, col_names = list(first["index_names"]), list(first["columns"])
+    if index_names is None or columns is None:
+        first = parsed.select("t.index_names", "t.columns").first()
+        index_names, columns = list(first["index_names"]), list(first["columns"])
     rows = parsed.select(*keep, F.explode(F.arrays_zip(F.col("t.index").alias("i"), F.col("t.data").alias("d")))
                          .alias("r"))
-    return rows.select(*keep, *[F.col("r.i")[k].alias(n) for k, n in enumerate(idx_names)],
-                       *[F.col("r.d")[k].alias(n) for k, n in enumerate(col_names)])
+    return rows.select(*keep, *[F.col("r.i")[k].alias(n) for k, n in enumerate(index_names)],
+                       *[F.col("r.d")[k].alias(n) for k, n in enumerate(columns)])
 
 
 def run_sql(spark: SparkSession, text: str, params: dict | None = None, **frames: DataFrame) -> DataFrame:

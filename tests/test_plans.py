@@ -38,3 +38,18 @@ def test_filters_reach_the_scan(tables):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(classifier_id), EqualTo(classifier_id,1)]" in plan
     assert "ReadSchema: struct<classifier_id:int,class_id:int>" in plan
+
+
+def test_summary_read_prunes_partitions(spark, tables):
+    import uuid
+
+    from probscope.operators import relday as rd
+    from probscope.sources import io
+    path = io.scratch_path(spark, "test-summary", uuid.uuid4().hex[:8])
+    io.write_summary(rd.prob_by_relday(tables), path)
+    one = io.read_summary(spark, path, classifier_id=2, true_class_id=2223)
+    plan = _plan(one)
+    assert "PartitionFilters: [isnotnull(classifier_id" in plan
+    assert one.select("classifier_id", "true_class_id").distinct().collect() == [(2, 2223)]
+    full = rd.prob_by_relday(tables).where("classifier_id = 2 AND true_class_id = 2223")
+    assert one.count() == full.count()
