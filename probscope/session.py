@@ -38,7 +38,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="probscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
