@@ -223,7 +223,8 @@ BYDAY = f"""
         WHERE {RELDAY.replace('deltat', 'l.deltat')} BETWEEN -20 AND 90
         GROUP BY ALL"""
 TOP5 = """
-        SELECT classifier_id, true_class_id, class_id, peak_probability, peak_relday, rank FROM (
+        SELECT classifier_id, true_class_id, class_id, peak_probability, peak_relday, CAST(rank AS INTEGER) AS rank
+        FROM (
           SELECT *, row_number() OVER (PARTITION BY classifier_id, true_class_id
                                        ORDER BY peak_probability DESC, class_id ASC) AS rank
           FROM (SELECT classifier_id, true_class_id, class_id, mean_probability AS peak_probability,
