@@ -122,15 +122,21 @@ def naive_tbin_mean(rows: DataFrame, weight: str = "row") -> DataFrame:
                                                        F.count(F.lit(1)).alias("n"))
 
 
-def equal_width_histogram(df: DataFrame, value: str, n_bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
+def equal_width_histogram(df: DataFrame, value: str, n_bins: int = 10, by: Sequence[str] = (),
+                          catalogue_groups: bool = True) -> DataFrame:
     """``numpy.histogram(x, bins=n_bins)`` per group: n equal bins over the group's
-    [min, max] (last bin closed), every bin listed with its edges and count."""
+    [min, max] (last bin closed), every bin listed with its edges and count.
+
+    The per-group range table has one row per group. When ``by`` is a catalogue
+    key (classifier, class) its size is bounded by the catalogue and it is
+    broadcast, so the rows are never shuffled by a low-cardinality key; otherwise
+    the join is left to AQE."""
     by = list(by)
     rng = df.groupBy(*by).agg(F.min(value).cast("double").alias("lo0"), F.max(value).cast("double").alias("hi0"))
     lo, hi = B.equal_width_range(F.col("lo0"), F.col("hi0"))
     rng = rng.select(*by, lo.alias("lo"), hi.alias("hi"))
     if by:
-        binned = df.join(rng, by).select(*by, B.closed_histogram_bin(value, F.col("lo"), F.col("hi"), n_bins)
+        binned = df.join(F.broadcast(rng) if catalogue_groups else rng, by).select(*by, B.closed_histogram_bin(value, F.col("lo"), F.col("hi"), n_bins)
                                          .alias("bin"))
     else:  # one range for the whole frame: scalar subqueries, no join
         binned = df.select(B.closed_histogram_bin(value, rng.select("lo").scalar(), rng.select("hi").scalar(),

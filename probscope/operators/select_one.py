@@ -6,6 +6,10 @@ combines map-side before the shuffle, so a hot group (one object holding a
 third of all rows) is reduced to one row per map task and never sorted in a
 single task.
 
+Because the aggregation buffer holds a struct, Spark runs it as a
+(partial + final) SortAggregate: each map task sorts its own rows by the group
+key and emits one row per group, and only those rows are shuffled.
+
 Ordering is given as ``(column, 'desc' | 'asc', nulls_first)`` triples with
 explicit NULL placement, because engines disagree on the default (PostgreSQL
 puts NULLs first in DESC, Spark and DuckDB last).
