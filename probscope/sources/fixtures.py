@@ -48,6 +48,7 @@ class Tables:
     classifiers: DataFrame        # broker_classifier
     timebins: DataFrame           # timebin, dtmin, dtmax
     confusion_classes: DataFrame  # true_class_id, class_id
+    paths: dict[str, str] | None = None  # Parquet folder of each data table, when materialised
 
 
 def _days(c: str) -> Column:
@@ -171,12 +172,15 @@ def _materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Tables:
     """Domain tables for ``sf_dir``; Parquet-backed unless ``materialize=False``."""
+    paths = None
     if materialize:
-        data = {name: spark.read.parquet(path) for name, path in _materialize(spark, sf_dir).items()}
+        paths = _materialize(spark, sf_dir)
+        data = {name: spark.read.parquet(path) for name, path in paths.items()}
     else:
         data = derive(spark, sf_dir)
     return Tables(
         **data,
+        paths=paths,
         gentype=dims.gentype_of_classid(spark),
         gentype_hier=dims.gentype_of_classid(spark, hierarchical=True),
         classifiers=dims.broker_classifier(spark),
