@@ -13,6 +13,7 @@ pushed-down Parquet scan instead of re-deriving its inputs.
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import threading
 from dataclasses import dataclass
@@ -170,8 +171,26 @@ def _materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         return paths
 
 
+_TABLES: dict[tuple[str, str, bool], Tables] = {}
+
+
 def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Tables:
-    """Domain tables for ``sf_dir``; Parquet-backed unless ``materialize=False``."""
+    """Domain tables for ``sf_dir``; Parquet-backed unless ``materialize=False``.
+
+    DataFrames are immutable, so one ``Tables`` per application and data set is
+    built and handed out as a shallow copy (callers may swap attributes)."""
+    key = (spark.sparkContext.applicationId, sf_dir, materialize)
+    with _LOCK:
+        cached = _TABLES.get(key)
+    if cached is not None:
+        return dataclasses.replace(cached)
+    tables = _build_tables(spark, sf_dir, materialize)
+    with _LOCK:
+        _TABLES[key] = tables
+    return dataclasses.replace(tables)
+
+
+def _build_tables(spark: SparkSession, sf_dir: str, materialize: bool) -> Tables:
     paths = None
     if materialize:
         paths = _materialize(spark, sf_dir)
