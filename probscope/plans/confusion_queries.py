@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from probscope.operators import confusion as cm
 from probscope.plans.registry import register
 from probscope.sources.fixtures import Tables
@@ -82,5 +80,3 @@ def confusion_hier_best(t: Tables):
     per class its gentype maps to)."""
     return _named(t, cm.confusion_counts(t, "best", hierarchical=True))
 
-
-__all__ = ["F"]

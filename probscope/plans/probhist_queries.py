@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from probscope.functions import bins as B
 from probscope.operators import probhist as ph
 from probscope.plans.registry import register
@@ -82,5 +80,3 @@ def tbin_counts(t: Tables):
 def mean_prob_by_tbin(t: Tables):
     return ph.mean_prob_by_tbin(t)
 
-
-__all__ = ["F"]
