@@ -159,3 +159,24 @@ def test_peak_confusion_column(fx):
     want = pred.groupby(["cfer", "true", "cls"]).size().to_dict()
     got = {(x.classifier_id, x.true_class_id, x.pred_class): x.n for x in rd.peak_confusion_column(t).collect()}
     assert got == want
+
+
+def test_probdiff_hist(fx):
+    from probscope.operators import probdiff as pdiff
+    t, p = fx
+    r = _rows(p).merge(p["src"][["src", "mpt"]], on="src")
+    r = r[r["cls"] == r["true"]].copy()
+    dt = r["mpt"] - r["peak"]
+    bins = [(1, -99999.0, -20.0)] + [(k + 2, -20.0 + 10 * k, -10.0 + 10 * k) for k in range(12)] + [(14, 100.0, 99999.0)]
+    r["tb"] = None
+    for b, lo, hi in bins:
+        r.loc[(dt >= lo) & (dt < hi), "tb"] = b
+    mp = r.groupby(["cfer", "true", "obj", "tb"], as_index=False)["p"].max()
+    pairs = mp.merge(mp, on=["cfer", "true", "obj"], suffixes=("_e", "_l"))
+    pairs = pairs[pairs["tb_e"] < pairs["tb_l"]]
+    d = (pairs["p_l"] - pairs["p_e"]).to_numpy()
+    pairs = pairs.assign(bin=_width_bucket(d, -1.025, 1.025, 41))
+    want = pairs.groupby(["cfer", "true", "tb_e", "tb_l", "bin"]).size().to_dict()
+    got = {(x.classifier_id, x.true_class_id, x.earlytimebin, x.latetimebin, x.probdiffbin): x.n
+           for x in pdiff.probdiff_hist(t).collect()}
+    assert got == want
