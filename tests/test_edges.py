@@ -156,3 +156,14 @@ def test_bucketed_detection_ordinals_equal_plain_ranking(tables):
     for days in (1.0, 7.0, 1000.0):
         got = detection_ordinals(tables, days)
         assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+
+
+def test_best_equal_probability_goes_to_later_alert(spark):
+    t = make_tables(spark, [(1, 10, 100.0)], [(11, 1, 100.0, "r"), (12, 1, 101.0, "r")],
+                    [(111, 11, 1, ts(1)), (112, 12, 1, ts(2))],
+                    [(1001, 111, ts(5)), (1002, 112, ts(6))],
+                    [(1001, 1, 2222, 0.6), (1002, 1, 2224, 0.6), (1001, 1, 2223, 0.4), (1002, 1, 2223, 0.4)])
+    best = cm.chosen_classification(t, "best").first()
+    assert best.class_id == 2224  # equal p: the alert sent at t2 > t1 wins
+    last = cm.chosen_classification(t, "last_best").first()
+    assert last.class_id == 2224
