@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from probscope import schemas as S
 from probscope.schemas import CLASS_CATALOG_JSON, CLASSIFIER_CATALOG_JSON, TIGHT_FRAME_JSON
 from probscope.session import checkpoint_root, join_path
 
@@ -26,8 +27,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def write_summary(df: DataFrame, path: str, partition_by: Sequence[str] = SUMMARY_PARTITIONS) -> str:
-    """Materialise a summary: Parquet partitioned by classifier and true class."""
-    (df.repartition(*partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path))
+    """Materialise a summary: Parquet partitioned by classifier and true class.
+
+    Rows are only sorted by the partition columns inside each task, not shuffled by
+    them: a (classifier, true class) pair holding a third of the rows is written by
+    many tasks in parallel instead of one."""
+    df.sortWithinPartitions(*partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -131,3 +136,48 @@ def run_sql(spark: SparkSession, text: str, params: dict | None = None, **frames
     for k, v in (params or {}).items():
         args[k] = F.array(*[F.lit(x) for x in v]) if isinstance(v, (list, tuple)) else v
     return spark.sql(text, args=args, **frames)
+
+
+DATA_TABLES = {
+    "truth": S.DIAOBJECT_TRUTH,
+    "diasource": S.DIASOURCE,
+    "diaforcedsource": S.DIAFORCEDSOURCE,
+    "diaalert": S.DIAALERT,
+    "broker_message": S.BROKER_MESSAGE,
+    "broker_classification": S.BROKER_CLASSIFICATION,
+}
+DIM_TABLES = {
+    "gentype": S.GENTYPE_OF_CLASSID,
+    "gentype_hier": S.GENTYPE_OF_CLASSID,
+    "classifiers": S.BROKER_CLASSIFIER,
+    "timebins": S.MAXPROB_TIMEBINS,
+    "confusion_classes": S.CONFUSION_CLASSES,
+}
+
+
+def read_tables(spark: SparkSession, root: str):
+    """Domain tables from ``<root>/<table>`` Parquet folders with explicit schemas.
+
+    Catalogue tables missing under ``root`` fall back to the built-in literal
+    catalogues. Catalogues read from files are broadcast only through AQE's
+    measured decision (their size is not known up front)."""
+    import os
+
+    from probscope.sources import dims
+    from probscope.sources.fixtures import Tables
+
+    def path(name):
+        return join_path(root, name)
+
+    data = {n: spark.read.schema(sch).parquet(path(n)) for n, sch in DATA_TABLES.items()}
+    builtin = {"gentype": lambda: dims.gentype_of_classid(spark),
+               "gentype_hier": lambda: dims.gentype_of_classid(spark, hierarchical=True),
+               "classifiers": lambda: dims.broker_classifier(spark),
+               "timebins": lambda: dims.maxprob_timebins(spark),
+               "confusion_classes": lambda: dims.confusion_classes(spark)}
+    cats = {}
+    for n, sch in DIM_TABLES.items():
+        p = path(n)
+        local = "://" not in p
+        cats[n] = spark.read.schema(sch).parquet(p) if (not local or os.path.exists(p)) else builtin[n]()
+    return Tables(**data, **cats, paths={n: path(n) for n in DATA_TABLES})
