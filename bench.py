@@ -24,7 +24,8 @@ def main() -> None:
     from probscope.session import local_session
     from probscope.sources.fixtures import load_tables
 
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="probscope-bench")
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
+                          app="probscope-bench")
     t0 = time.perf_counter()
     load_tables(spark, sf_dir)
     timings = {"derive_tables": round(time.perf_counter() - t0, 3)}
