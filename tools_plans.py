@@ -21,6 +21,15 @@ if __name__ == "__main__":
              f"Initial adaptive plans at `{sf_dir}` (generated by `tools_plans.py`). `Exchange` counts",
              "shuffles (plus the one-row exchanges of global aggregates); `BroadcastExchange` are broadcasts of",
              "catalogues or of AQE-measured small sides. No query has a CartesianProduct or a Python UDF.", "",
+             "Reading guide:", "",
+             "* `SortAggregate` is `max_by(struct, struct)` (top-1 per group): its buffer holds a struct, so Spark",
+             "  runs it as partial + final sort-based aggregation; each task sorts only its own rows and emits one",
+             "  row per group before the shuffle (no global sort, no single task per hot key).",
+             "* `WindowGroupLimit` is the partial top-n Spark inserts for `row_number() = n` (n-th detection).",
+             "* `Window` nodes run on aggregated rows (normalisation, top-k per classifier and true class) or on",
+             "  (object, day) buckets (detection ordinals).",
+             "* `BroadcastNestedLoopJoin` is the range join of message-grain rows to the 14-row time-bin table.",
+             "* `Generate` is `explode` of bounded arrays (bin spines, early/late pairs, catalogue entries).", "",
              "| query | " + " | ".join(n for n in NODES if "Python" not in n and n != "CartesianProduct") + " |",
              "| --- |" + " --- |" * (len(NODES) - 3)]
     for name, fn in sorted(queries().items()):
