@@ -150,6 +150,20 @@ def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+# Physical layout of the written tables. Classifications are partitioned by the
+# (catalogue-bounded) classifier id, so per-classifier filters prune folders and a
+# semi join with a filtered catalogue gets dynamic partition pruning; rows stay
+# sorted by message inside each file so a message's rows combine map-side.
+# Object-keyed tables are sorted by object so point lookups skip row groups.
+# Only local sorts: nothing is shuffled by a low-cardinality key.
+LAYOUT = {
+    "broker_classification": {"partition": ["classifier_id"], "sort": ["classifier_id", "broker_message_id"]},
+    "diasource": {"sort": ["dia_object_id", "mid_point_tai"]},
+    "diaforcedsource": {"sort": ["dia_object_id", "mid_point_tai"]},
+    "diaalert": {"sort": ["dia_object_id"]},
+    "truth": {"sort": ["dia_object_id"]},
+}
+
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], dict[str, str]] = {}
 
@@ -165,7 +179,13 @@ def _materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         paths = {}
         for name, df in derive(spark, sf_dir).items():
             path = join_path(base, name)
-            df.write.mode("overwrite").parquet(path)
+            layout = LAYOUT.get(name, {})
+            if layout.get("sort"):
+                df = df.sortWithinPartitions(*layout["sort"])
+            writer = df.write.mode("overwrite")
+            if layout.get("partition"):
+                writer = writer.partitionBy(*layout["partition"])
+            writer.parquet(path)
             paths[name] = path
         _CACHE[key] = paths
         return paths
@@ -193,8 +213,10 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
 def _build_tables(spark: SparkSession, sf_dir: str, materialize: bool) -> Tables:
     paths = None
     if materialize:
+        from probscope.sources.io import DATA_TABLES
         paths = _materialize(spark, sf_dir)
-        data = {name: spark.read.parquet(path) for name, path in paths.items()}
+        data = {name: spark.read.schema(DATA_TABLES[name]).parquet(path).select(*DATA_TABLES[name].fieldNames())
+                for name, path in paths.items()}
     else:
         data = derive(spark, sf_dir)
     return Tables(

@@ -169,7 +169,7 @@ def read_tables(spark: SparkSession, root: str):
     def path(name):
         return join_path(root, name)
 
-    data = {n: spark.read.schema(sch).parquet(path(n)) for n, sch in DATA_TABLES.items()}
+    data = {n: spark.read.schema(sch).parquet(path(n)).select(*sch.fieldNames()) for n, sch in DATA_TABLES.items()}
     builtin = {"gentype": lambda: dims.gentype_of_classid(spark),
                "gentype_hier": lambda: dims.gentype_of_classid(spark, hierarchical=True),
                "classifiers": lambda: dims.broker_classifier(spark),
