@@ -150,14 +150,13 @@ def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-# Physical layout of the written tables. Classifications are partitioned by the
-# (catalogue-bounded) classifier id, so per-classifier filters prune folders and a
-# semi join with a filtered catalogue gets dynamic partition pruning; rows stay
-# sorted by message inside each file so a message's rows combine map-side.
-# Object-keyed tables are sorted by object so point lookups skip row groups.
-# Only local sorts: nothing is shuffled by a low-cardinality key.
+# Physical layout of the written tables: object-keyed tables are sorted by object
+# inside each task so point lookups skip row groups (local sorts only; nothing is
+# shuffled by a key). Classification rows are written as derived, the rows of one
+# message contiguous, so a message's rows combine map-side. A per-classifier
+# directory layout was measured and dropped: without first range-clustering the
+# table it writes (tasks x classifiers) small files.
 LAYOUT = {
-    "broker_classification": {"partition": ["classifier_id"], "sort": ["classifier_id", "broker_message_id"]},
     "diasource": {"sort": ["dia_object_id", "mid_point_tai"]},
     "diaforcedsource": {"sort": ["dia_object_id", "mid_point_tai"]},
     "diaalert": {"sort": ["dia_object_id"]},

