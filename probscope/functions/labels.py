@@ -62,3 +62,22 @@ def cell_annotation(n, fraction) -> Column:
     """'<round-half-even(100 f)>%\\n<count>' as printed by a NumPy float."""
     pct = F.rint(_c(fraction) * 100.0).cast("string")
     return F.concat(pct, F.lit("%\n"), count_text(n))
+
+
+def pad_right(x, width: int) -> Column:
+    """Left-aligned text padded with spaces to at least ``width`` (never truncated,
+    unlike ``rpad``), as Python's ``f'{x:{width}s}'`` does."""
+    t = py_str(x)
+    return F.concat(t, F.repeat(F.lit(" "), F.greatest(F.lit(0), F.lit(width) - F.length(t))))
+
+
+# Column widths of the printed classifier listing (broker, classifier, version, params).
+LISTING_WIDTHS = (20, 32, 16, 12)
+
+
+def classifier_listing_key(broker, classifier, version, params) -> Column:
+    """The printed listing line 'broker  classifier  version  params' in fixed-width
+    columns; sorting by it gives the listing order."""
+    w = LISTING_WIDTHS
+    return F.concat_ws("  ", pad_right(broker, w[0]), pad_right(classifier, w[1]), pad_right(version, w[2]),
+                       pad_right(params, w[3]))

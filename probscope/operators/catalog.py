@@ -76,5 +76,7 @@ def classifier_catalog(t: Tables) -> DataFrame:
     return (t.classifiers.join(stats, "classifier_id", "left")
             .select("classifier_id", "broker_name", "broker_version", "classifier_name", "classifier_params",
                     title.alias("title"),
+                    L.classifier_listing_key("broker_name", "classifier_name", "broker_version",
+                                             "classifier_params").alias("sort_key"),
                     F.coalesce("n_messages", F.lit(0)).cast("long").alias("n_messages"),
                     F.coalesce("n_classifications", F.lit(0)).cast("long").alias("n_classifications")))

@@ -454,6 +454,11 @@ oracle("classifier_catalog", """
         SELECT cf.classifier_id, cf.broker_name, cf.broker_version, cf.classifier_name, cf.classifier_params,
                coalesce(cf.broker_name, 'None') || ' ' || coalesce(cf.broker_version, 'None') || ' ' ||
                coalesce(cf.classifier_name, 'None') || ' ' || coalesce(cf.classifier_params, 'None') AS title,
+               concat_ws('  ', rpad(coalesce(cf.broker_name, 'None'), CAST(greatest(20, length(coalesce(cf.broker_name, 'None'))) AS INTEGER), ' '),
+                         rpad(coalesce(cf.classifier_name, 'None'), CAST(greatest(32, length(coalesce(cf.classifier_name, 'None'))) AS INTEGER), ' '),
+                         rpad(coalesce(cf.broker_version, 'None'), CAST(greatest(16, length(coalesce(cf.broker_version, 'None'))) AS INTEGER), ' '),
+                         rpad(coalesce(cf.classifier_params, 'None'), CAST(greatest(12, length(coalesce(cf.classifier_params, 'None'))) AS INTEGER), ' '))
+                 AS sort_key,
                CAST(coalesce(s.n_messages, 0) AS BIGINT) AS n_messages,
                CAST(coalesce(s.n_classifications, 0) AS BIGINT) AS n_classifications
         FROM classifiers cf LEFT JOIN cfstats s ON s.classifier_id = cf.classifier_id""", {"cfstats": CFSTATS})
