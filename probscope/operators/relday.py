@@ -134,11 +134,18 @@ def relday_distribution(t: Tables) -> DataFrame:
 
 
 def relday_quantiles(t: Tables, probs=(0.25, 0.5, 0.75), accuracy: int = 10000) -> DataFrame:
-    """Approximate quartiles per (classifier, true class, relday, class): a bounded
-    sketch per group, safe at any group size."""
+    """Quartiles of raw probabilities per (classifier, true class, relday, class).
+
+    ``percentile_approx`` keeps a bounded sketch per group (relative rank error
+    1/accuracy), so a group of any size fits in memory; while a group is small the
+    sketch holds every value and the result is the exact lower quantile
+    (``quantile_disc``). Columns ``q25``, ``q50``, ``q75`` for the default ``probs``."""
     rows = all_rows_with_relday(t).join(_true_classes(t), "gentype")
-    return (rows.groupBy("classifier_id", "true_class_id", "relday", "class_id")
-            .agg(F.percentile_approx("probability", list(probs), accuracy).alias("quantiles")))
+    q = F.percentile_approx("probability", list(probs), accuracy)
+    names = [f"q{int(round(p * 100))}" for p in probs]
+    return (rows.groupBy("classifier_id", "true_class_id", "relday", "class_id").agg(q.alias("qs"))
+            .select("classifier_id", "true_class_id", "relday", "class_id",
+                    *[F.col("qs")[i].alias(n) for i, n in enumerate(names)]))
 
 
 def prob_histogram_closed(t: Tables, n_bins: int = 20) -> DataFrame:

@@ -548,3 +548,11 @@ oracle("classifications_relday", f"""
                {round6('r.probability')} AS probability
         FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype""", {"ctx": CTX, "allrows": ALLROWS})
 oracle("json_rows_roundtrip", "SELECT alert_id, dia_source_id, dia_object_id, alert_sent_ts FROM diaalert")
+
+oracle("relday_quantiles", f"""
+        SELECT classifier_id, true_class_id, relday, class_id, {round6('qs[1]')} AS q25, {round6('qs[2]')} AS q50,
+               {round6('qs[3]')} AS q75
+        FROM (SELECT r.classifier_id, g.class_id AS true_class_id, r.relday, r.class_id,
+                     quantile_disc(r.probability, [0.25, 0.5, 0.75]) AS qs
+              FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype
+              GROUP BY ALL) q""", {"ctx": CTX, "allrows": ALLROWS})

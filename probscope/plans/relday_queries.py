@@ -67,3 +67,9 @@ def source_summary(t: Tables):
 @register("classification_summary")
 def classification_summary(t: Tables):
     return rd.classification_summary(t)
+
+
+@register("relday_quantiles")
+def relday_quantiles(t: Tables):
+    """Quartiles of raw probabilities per day and class (bounded sketch per group)."""
+    return rd.relday_quantiles(t)
