@@ -42,6 +42,7 @@ class Metrics:
 
     def __init__(self, tables: Tables):
         self.t = tables
+        self._probhist: DataFrame | None = None
 
     @classmethod
     def from_tables(cls, tables: Tables) -> Metrics:
@@ -75,7 +76,17 @@ class Metrics:
 
     # ---- probability histogram
     def probhist(self) -> DataFrame:
-        return ph.probhist(self.t)
+        """The (tiny, aggregated) histogram, computed once per ``Metrics`` and kept with
+        ``persist(MEMORY_AND_DISK)``; lost blocks are recomputed from lineage."""
+        if self._probhist is None:
+            from pyspark import StorageLevel
+            self._probhist = ph.probhist(self.t).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._probhist
+
+    def release(self) -> None:
+        if self._probhist is not None:
+            self._probhist.unpersist()
+            self._probhist = None
 
     @staticmethod
     def tbin_val(b) -> Column:
