@@ -133,13 +133,21 @@ def densify(counts: DataFrame) -> DataFrame:
     for absent pairs, over labels with a non-zero row / column (empty rows and
     columns, e.g. 'missed' as a true label, are dropped).
 
-    The label lists per classifier are bounded by the class catalogue."""
-    labels_ = counts.groupBy("classifier_id").agg(F.collect_set("true_class").alias("trues"),
-                                                  F.collect_set("pred_class").alias("preds"))
-    spine = (labels_.select("classifier_id", F.explode("trues").alias("true_class"), "preds")
-             .select("classifier_id", "true_class", F.explode("preds").alias("pred_class")))
-    return (spine.join(counts, ["classifier_id", "true_class", "pred_class"], "left")
-            .select("classifier_id", "true_class", "pred_class", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    One aggregate per classifier (its cells are bounded by the class catalogue
+    squared) builds the label sets and a (true, pred) -> n map; the grid is then
+    generated with array functions, so the counts are read once and never joined
+    back."""
+    cells = F.collect_list(F.struct("true_class", "pred_class", "n"))
+    per = counts.groupBy("classifier_id").agg(cells.alias("cells"))
+    trues = F.array_sort(F.array_distinct(F.transform("cells", lambda c: c["true_class"])))
+    preds = F.array_sort(F.array_distinct(F.transform("cells", lambda c: c["pred_class"])))
+    lookup = F.map_from_entries(F.transform(
+        "cells", lambda c: F.struct(F.struct(c["true_class"], c["pred_class"]).alias("k"), c["n"].alias("v"))))
+    grid = F.flatten(F.transform(trues, lambda tc: F.transform(preds, lambda pc: F.struct(
+        tc.alias("true_class"), pc.alias("pred_class"),
+        F.coalesce(F.element_at(lookup, F.struct(tc.alias("true_class"), pc.alias("pred_class"))),
+                   F.lit(0)).cast("long").alias("n")))))
+    return per.select("classifier_id", F.inline(grid))
 
 
 def class_names(dim: DataFrame) -> DataFrame:
