@@ -93,23 +93,26 @@ def confusion_counts(t: Tables, definition: str = "last_best", nth_detection: in
                 .agg(F.count(F.lit(1)).alias("n")))
 
     sent_truth = truth.join(sent_objects(t), "dia_object_id", "left_semi")
-    classified = (best.join(sent_truth, "dia_object_id")
-                  .groupBy("classifier_id", F.col("class_id").alias("pred_class"), "true_class")
-                  .agg(F.count(F.lit(1)).alias("n")))
     n_sent = sent_truth.groupBy("true_class").agg(F.count(F.lit(1)).alias("n_sent"))
-    n_cls = classified.groupBy("classifier_id", "true_class").agg(F.sum("n").alias("n_cls"))
     catalogue = t.classifiers.select("classifier_id")
     if classifier_ids is not None:
         catalogue = catalogue.where(F.col("classifier_id").isin(list(classifier_ids)))
     # The catalogue id list is a scalar subquery (bounded by the classifier catalogue);
-    # exploding it per true class gives the (classifier, true class) spine.
+    # exploding it per true class gives the (classifier, true class) spine, which
+    # puts n_sent into each classifier's missed cell.
     ids = catalogue.select(F.collect_list("classifier_id")).scalar()
-    spine = n_sent.select("true_class", "n_sent", F.explode(ids).alias("classifier_id"))
-    missed = (spine.join(n_cls, ["classifier_id", "true_class"], "left")
-              .select("classifier_id", F.lit(MISSED).alias("pred_class"), "true_class",
-                      (F.col("n_sent") - F.coalesce(F.col("n_cls"), F.lit(0))).alias("n"))
-              .where(F.col("n") > 0))
-    return classified.unionByName(missed)
+    spine = n_sent.select(F.explode(ids).alias("classifier_id"), F.lit(MISSED).alias("pred_class"), "true_class",
+                          F.col("n_sent").alias("w"))
+    # Every classified sent object adds 1 to its own cell and takes 1 from the missed
+    # cell of its classifier and true class: one aggregate, the picks are read once.
+    votes = F.array(F.struct(F.col("class_id").alias("pred_class"), F.lit(1).cast("long").alias("w")),
+                    F.struct(F.lit(MISSED).alias("pred_class"), F.lit(-1).cast("long").alias("w")))
+    classified = (best.join(sent_truth, "dia_object_id")
+                  .select("classifier_id", "true_class", F.inline(votes))
+                  .select("classifier_id", "pred_class", "true_class", "w"))
+    return (classified.unionByName(spine)
+            .groupBy("classifier_id", "pred_class", "true_class").agg(F.sum("w").alias("n"))
+            .where(F.col("n") > 0))
 
 
 def with_classifier_name(df: DataFrame, classifiers: DataFrame, with_params: bool = False) -> DataFrame:
