@@ -90,11 +90,16 @@ def probdiff_hist(t: Tables) -> DataFrame:
 
 def zero_fill(hist: DataFrame, first: int = 1, last: int = B.DIFFBINS.n) -> DataFrame:
     """Every probdiff bin ``first..last`` for every group present, absent bins with
-    n = 0, frac = 0 and the bin centre; the spine is ``sequence`` per group."""
-    groups = hist.select(*GROUP).distinct()
-    spine = groups.select(*GROUP, F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long")))
-                          .alias("probdiffbin"))
-    return (spine.join(hist.select(*GROUP, "probdiffbin", "n", "frac"), [*GROUP, "probdiffbin"], "left")
-            .select(*GROUP, "probdiffbin", B.probdiff_bin_mean("probdiffbin").alias("binmeanprobdiff"),
-                    F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-                    F.coalesce("frac", F.lit(0.0)).alias("frac")))
+    n = 0, frac = 0 and the bin centre.
+
+    One aggregate per group (at most 41 bins) collects a bin -> (n, frac) map and
+    the bin range is generated with ``sequence``; the histogram is read once."""
+    per = hist.groupBy(*GROUP).agg(F.map_from_entries(F.collect_list(F.struct(
+        "probdiffbin", F.struct("n", "frac")))).alias("m"))
+    bins = F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long"))
+    grid = F.transform(bins, lambda b: F.struct(
+        b.alias("probdiffbin"),
+        F.coalesce(F.element_at("m", b)["n"], F.lit(0)).cast("long").alias("n"),
+        F.coalesce(F.element_at("m", b)["frac"], F.lit(0.0)).alias("frac")))
+    return (per.select(*GROUP, F.inline(grid))
+            .select(*GROUP, "probdiffbin", B.probdiff_bin_mean("probdiffbin").alias("binmeanprobdiff"), "n", "frac"))

@@ -78,6 +78,17 @@ def per_message_argmax(t: Tables) -> DataFrame:
                     [desc("probability"), asc("class_id")], ["class_id", "probability"])
 
 
+def top_class_curves(means: DataFrame, k: int = 5) -> DataFrame:
+    """The per-day curves of the ``k`` classes with the highest peak mean probability
+    per (classifier, true class): windows over the aggregated means (one row per
+    class and day), so the means are read once."""
+    peak = F.max("mean_probability").over(Window.partitionBy("classifier_id", "true_class_id", "class_id"))
+    ranked = means.withColumn("peak_probability", peak).withColumn(
+        "rank", F.dense_rank().over(Window.partitionBy("classifier_id", "true_class_id")
+                                    .orderBy(F.desc("peak_probability"), F.asc("class_id"))))
+    return ranked.where(F.col("rank") <= k).drop("peak_probability")
+
+
 def closest_to_peak_picks(t: Tables, band: str = "r") -> DataFrame:
     """Per (classifier, object), in one aggregate: the classified ``band`` source with
     the smallest |deltat| (ties to the smaller source id) and, among that source's

@@ -28,9 +28,7 @@ def top5_classes(t: Tables):
 
 @register("top5_curves")
 def top5_curves(t: Tables):
-    means = rd.prob_by_relday(t)
-    top = rd.top_classes(means, 5).select("classifier_id", "true_class_id", "class_id", "rank")
-    return means.join(top, ["classifier_id", "true_class_id", "class_id"]).select(
+    return rd.top_class_curves(rd.prob_by_relday(t), 5).select(
         "classifier_id", "true_class_id", "class_id", "rank", "relday", "mean_probability")
 
 
