@@ -55,3 +55,24 @@ def test_summary_read_prunes_partitions(spark, tables):
     assert one.select("classifier_id", "true_class_id").distinct().collect() == [(2, 2223)]
     full = rd.prob_by_relday(tables).where("classifier_id = 2 AND true_class_id = 2223")
     assert one.count() == full.count()
+
+
+def test_detection_ordinals_rank_within_day_buckets(tables):
+    from probscope.operators.diagnostics import detection_ordinals
+    import re
+    plan = _plan(detection_ordinals(tables))
+    specs = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)", plan)
+    assert specs and all(re.match(r"dia_object_id#\d+L?, bucket#\d+L?, ", s) for s in specs)  # never object-wide
+
+
+def test_pairing_is_not_a_self_join(tables):
+    from probscope.operators import probdiff as pdiff
+    plan = _plan(pdiff.probdiff(pdiff.max_prob_by_timebin(tables)))
+    assert "collect_list" in plan and "SortMergeJoin" in plan  # the only SMJ is classification x context
+    assert plan.count("SortMergeJoin") == 1
+
+
+def test_missed_objects_single_aggregate_no_product(tables):
+    plan = _plan(cm.confusion_counts(tables, include_missed=True))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "Union" in plan and "Subquery" in plan  # signed union + scalar catalogue subquery
