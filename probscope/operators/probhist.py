@@ -27,7 +27,12 @@ HIST_KEYS = ["classifier_id", "true_class_id", "class_id", "tbin", "probbin"]
 
 def message_source_context(t: Tables) -> DataFrame:
     """(broker_message_id, alert_id, dia_source_id, dia_object_id, deltat, gentype, filter_name,
-    alert_sent_ts, desc_ingest_ts) at message grain."""
+    alert_sent_ts, desc_ingest_ts) at message grain.
+
+    When ``t.context`` holds this table already written (the summary job does so
+    once per run) it is read instead of repeating the three joins."""
+    if t.context is not None:
+        return t.context
     src = source_deltat(t).select("dia_source_id", "deltat", "gentype", "filter_name")
     return message_context(t).join(src, "dia_source_id")
 

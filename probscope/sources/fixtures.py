@@ -50,6 +50,7 @@ class Tables:
     timebins: DataFrame           # timebin, dtmin, dtmax
     confusion_classes: DataFrame  # true_class_id, class_id
     paths: dict[str, str] | None = None  # Parquet folder of each data table, when materialised
+    context: DataFrame | None = None      # optional precomputed message-grain context (see probhist)
 
 
 def _days(c: str) -> Column:

@@ -19,3 +19,14 @@ def test_read_tables_roundtrip_and_summaries(spark, tables):
     assert sorted(back.select(*cols).collect()) == sorted(want.select(*cols).collect())
     conf = spark.read.parquet(paths["confusion_last_best"])
     assert conf.where(F.col("pred_class") == -1).count() > 0
+
+
+def test_shared_context_gives_same_summaries(spark, tables):
+    out = io.scratch_path(spark, "test-summaries-ctx", uuid.uuid4().hex[:8])
+    shared = build_summaries(tables, out + "/a", ["probhist", "peak_confusion_column"], share_context=True)
+    plain = build_summaries(tables, out + "/b", ["probhist", "peak_confusion_column"], share_context=False)
+    assert "_context" in shared and "_context" not in plain
+    for name in ("probhist", "peak_confusion_column"):
+        a = spark.read.parquet(shared[name])
+        b = spark.read.parquet(plain[name])
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
