@@ -122,7 +122,11 @@ def equal_width_range(lo: Column, hi: Column) -> tuple[Column, Column]:
     return F.when(same, lo - 0.5).otherwise(lo), F.when(same, hi + 0.5).otherwise(hi)
 
 
-def five_day_bin(dt, offset: float = 20.0, width: float = 5.0) -> Column:
+# The naive time bin of the exploration notebook, floor((dt + 20) / 5).
+NAIVE_BIN_OFFSET, NAIVE_BIN_WIDTH = 20.0, 5.0
+
+
+def five_day_bin(dt, offset: float = NAIVE_BIN_OFFSET, width: float = NAIVE_BIN_WIDTH) -> Column:
     """``floor((dt + offset) / width)`` (naive time bin of the exploration notebook)."""
     return F.floor((_c(dt) + offset) / width)
 

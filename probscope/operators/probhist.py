@@ -24,6 +24,12 @@ from probscope.sources.fixtures import Tables
 
 HIST_KEYS = ["classifier_id", "true_class_id", "class_id", "tbin", "probbin"]
 
+# Time bins of the violin table, outline half-width per unit fraction,
+# and the total-probability audit thresholds.
+VIOLIN_TBINS = (5, 7, 13, 19, 27)
+VIOLIN_HALF_WIDTH = 0.4
+TOTPROB_HI, TOTPROB_LO = 1.001, 0.999
+
 
 def message_source_context(t: Tables) -> DataFrame:
     """(broker_message_id, alert_id, dia_source_id, dia_object_id, deltat, gentype, filter_name,
@@ -113,8 +119,8 @@ def heatmap(expected: DataFrame, n_tbins: int = B.TBINS.n + 2) -> DataFrame:
                        *[F.col(str(v)).alias(f"tbin_{v}") for v in values])
 
 
-def violin_table(hist: DataFrame, confusion_classes: DataFrame, tbins=(5, 7, 13, 19, 27),
-                 half_width: float = 0.4) -> DataFrame:
+def violin_table(hist: DataFrame, confusion_classes: DataFrame, tbins=VIOLIN_TBINS,
+                 half_width: float = VIOLIN_HALF_WIDTH) -> DataFrame:
     """Binned violin outline for chosen tbins and each true class's confusion classes:
     (classifier_id, true_class_id, tbin, class_id, probbin, prob, frac, half_width)."""
     norm = normalize_over_probbin(hist).where(F.col("tbin").isin(list(tbins)))
@@ -149,7 +155,7 @@ def totprob_per_source(t: Tables) -> DataFrame:
             .groupBy("classifier_id", "dia_source_id").agg(X.from_fixed(F.sum("p")).alias("totprob")))
 
 
-def totprob_audit(tot: DataFrame, hi: float = 1.001, lo: float = 0.999) -> DataFrame:
+def totprob_audit(tot: DataFrame, hi: float = TOTPROB_HI, lo: float = TOTPROB_LO) -> DataFrame:
     """Per classifier: pairs, and the shares with total probability above ``hi`` / below ``lo``."""
     return tot.groupBy("classifier_id").agg(
         F.count(F.lit(1)).alias("n_pairs"),

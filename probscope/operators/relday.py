@@ -19,6 +19,7 @@ from probscope.operators.probhist import message_source_context
 from probscope.operators.select_one import asc, desc, pick_one
 from probscope.sources.fixtures import Tables
 
+# Fixed value: the per-day summaries cover days -20..90 relative to peak.
 RELDAY_RANGE = (-20, 90)
 
 
