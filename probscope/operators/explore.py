@@ -26,10 +26,11 @@ def page(df: DataFrame, order: Sequence, offset: int, limit: int) -> DataFrame:
 
 def classification_page(t: Tables, classifier_id: int, offset: int = 2000, limit: int = 1000) -> DataFrame:
     """A page of one classifier's classifications ordered by object and ingest time
-    (then class and message id, which make the order total)."""
+    (then class and message id, which make the order total); NULLs last, as
+    PostgreSQL orders ASC."""
     view = source_classifications(t).where(F.col("classifier_id") == classifier_id)
-    return page(view.select(*VIEW_COLS, "broker_message_id"),
-                ["dia_object_id", "desc_ingest_ts", "class_id", "broker_message_id"], offset, limit).select(*VIEW_COLS)
+    order = [F.asc_nulls_last(c) for c in ("dia_object_id", "desc_ingest_ts", "class_id", "broker_message_id")]
+    return page(view.select(*VIEW_COLS, "broker_message_id"), order, offset, limit).select(*VIEW_COLS)
 
 
 def richest_objects(df: DataFrame, key: str = "dia_object_id") -> DataFrame:
