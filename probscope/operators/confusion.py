@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from probscope.functions import labels
-from probscope.operators.context import truth_classes
 from probscope.operators.select_one import asc, desc, nth_ordinal_filter, one_description, pick_one
 from probscope.sources.fixtures import Tables
 
@@ -86,33 +85,42 @@ def confusion_counts(t: Tables, definition: str = "last_best", nth_detection: in
     ``n_missed = n_sent(true) - n_classified(classifier, true)``; no
     object x classifier product is formed."""
     best = chosen_classification(t, definition, nth_detection, classifier_ids)
-    truth = truth_classes(t, hierarchical)
+    truth = t.truth.select("dia_object_id", "gentype")
+    dim = (t.gentype_hier if hierarchical else t.gentype).select("gentype", F.col("class_id").alias("true_class"))
+    keys = ["classifier_id", "pred_class", "true_class"]
+
+    def fan_out(cells: DataFrame) -> DataFrame:
+        # cells are counted per gentype; the (broadcast) gentype -> class map fans
+        # out aggregated cells only, and an object counts once per class it maps to
+        return cells.join(dim, "gentype").groupBy(*keys).agg(F.sum("w").alias("n"))
+
     if not include_missed:
-        rows = best.join(truth, "dia_object_id")
-        return (rows.groupBy("classifier_id", F.col("class_id").alias("pred_class"), "true_class")
-                .agg(F.count(F.lit(1)).alias("n")))
+        cells = (best.join(truth, "dia_object_id")
+                 .groupBy("classifier_id", F.col("class_id").alias("pred_class"), "gentype")
+                 .agg(F.count(F.lit(1)).alias("w")))
+        return fan_out(cells)
 
     sent_truth = truth.join(sent_objects(t), "dia_object_id", "left_semi")
-    n_sent = sent_truth.groupBy("true_class").agg(F.count(F.lit(1)).alias("n_sent"))
+    n_sent = sent_truth.groupBy("gentype").agg(F.count(F.lit(1)).alias("n_sent"))
     catalogue = t.classifiers.select("classifier_id")
     if classifier_ids is not None:
         catalogue = catalogue.where(F.col("classifier_id").isin(list(classifier_ids)))
     # The catalogue id list is a scalar subquery (bounded by the classifier catalogue);
-    # exploding it per true class gives the (classifier, true class) spine, which
-    # puts n_sent into each classifier's missed cell.
+    # exploding it per gentype gives the (classifier, gentype) spine, which puts
+    # n_sent into each classifier's missed cell.
     ids = catalogue.select(F.collect_list("classifier_id")).scalar()
-    spine = n_sent.select(F.explode(ids).alias("classifier_id"), F.lit(MISSED).alias("pred_class"), "true_class",
+    spine = n_sent.select(F.explode(ids).alias("classifier_id"), F.lit(MISSED).alias("pred_class"), "gentype",
                           F.col("n_sent").alias("w"))
     # Every classified sent object adds 1 to its own cell and takes 1 from the missed
-    # cell of its classifier and true class: one aggregate, the picks are read once.
+    # cell of its classifier and gentype: one aggregate, the picks are read once.
     votes = F.array(F.struct(F.col("class_id").alias("pred_class"), F.lit(1).cast("long").alias("w")),
                     F.struct(F.lit(MISSED).alias("pred_class"), F.lit(-1).cast("long").alias("w")))
     classified = (best.join(sent_truth, "dia_object_id")
-                  .select("classifier_id", "true_class", F.inline(votes))
-                  .select("classifier_id", "pred_class", "true_class", "w"))
-    return (classified.unionByName(spine)
-            .groupBy("classifier_id", "pred_class", "true_class").agg(F.sum("w").alias("n"))
-            .where(F.col("n") > 0))
+                  .select("classifier_id", "gentype", F.inline(votes))
+                  .select("classifier_id", "pred_class", "gentype", "w"))
+    cells = (classified.unionByName(spine)
+             .groupBy("classifier_id", "pred_class", "gentype").agg(F.sum("w").alias("w")))
+    return fan_out(cells).where(F.col("n") > 0)
 
 
 def with_classifier_name(df: DataFrame, classifiers: DataFrame, with_params: bool = False) -> DataFrame:
