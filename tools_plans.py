@@ -40,5 +40,27 @@ if __name__ == "__main__":
         assert c["CartesianProduct"] == 0 and c["BatchEvalPython"] == 0 and c["ArrowEvalPython"] == 0, name
         lines.append(f"| {name} | " + " | ".join(str(c[n]) for n in NODES
                                                  if "Python" not in n and n != "CartesianProduct") + " |")
+    lines += ["", "## Hot keys (one key holding a third of all rows)", "",
+              "| where | key | why it stays safe |", "| --- | --- | --- |",
+              "| per-message / per-object picks (`select_one.pick_one`) | object, classifier, source | partial "
+              "aggregation: each map task forwards one row per key |",
+              "| n-th detection | object | `row_number() = n` gets a partial `WindowGroupLimit` (n rows per key per "
+              "task) |",
+              "| detection ordinals | object | ranked inside (object, day) buckets; bucket offsets from counted "
+              "(object, bucket) rows |",
+              "| dedupe / per-day / histogram aggregates | (classifier, source, class), (classifier, true class, "
+              "day, class) | sums, counts, min/max and fixed-point sums are mergeable: map-side combine |",
+              "| joins on message / alert / source / object | any | AQE skew-join splits an oversized partition of a "
+              "sort-merge join |",
+              "| joins with catalogues and time bins | gentype, classifier, time bin (low cardinality) | always "
+              "broadcast (row count fixed by the catalogue), never shuffled by these keys |",
+              "| per-group range table of the equal-width histogram | classifier | broadcast (one row per "
+              "catalogue key) |",
+              "| early/late pairs, dense matrices, zero fill, message arrays | object, classifier, group | arrays "
+              "bounded by catalogues (14 time bins, classes^2 cells, 41 bins, classes per message) |",
+              "| windows (normalisation, top-k, fractions) | classifier, true class | run on aggregated rows only "
+              "(classes x bins per key) |",
+              "| partitioned summary writes | (classifier, true class) | sorted within tasks, not shuffled by the "
+              "partition key |"]
     open("PLANS.md", "w").write("\n".join(lines) + "\n")
     print("wrote PLANS.md")
