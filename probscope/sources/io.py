@@ -181,3 +181,18 @@ def read_tables(spark: SparkSession, root: str):
         local = "://" not in p
         cats[n] = spark.read.schema(sch).parquet(p) if (not local or os.path.exists(p)) else builtin[n]()
     return Tables(**data, **cats, paths={n: path(n) for n in DATA_TABLES})
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "broker_message_id", buckets: int = 512) -> DataFrame:
+    """Store a table bucketed (and sorted) by ``key`` at ``path`` and register it in the
+    session catalogue; returns the bucketed table.
+
+    Writing the classification and message tables with the same key and bucket
+    count lets Spark run the per-message arg-max and the classification-message
+    join without shuffling the largest table (the bucket layout already co-locates
+    the rows). Choose ``buckets`` so one bucket of the largest table is a few
+    hundred MB."""
+    spark = df.sparkSession
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)

@@ -76,3 +76,24 @@ def test_missed_objects_single_aggregate_no_product(tables):
     plan = _plan(cm.confusion_counts(tables, include_missed=True))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Union" in plan and "Subquery" in plan  # signed union + scalar catalogue subquery
+
+
+def test_bucketed_tables_skip_the_shuffle(spark, tables):
+    import re
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from probscope.sources import io
+    run = uuid.uuid4().hex[:8]
+    cls = io.write_bucketed(tables.broker_classification, f"cls_{run}", io.scratch_path(spark, "bk", run, "c"), buckets=8)
+    msg = io.write_bucketed(tables.broker_message, f"msg_{run}", io.scratch_path(spark, "bk", run, "m"), buckets=8)
+    per_msg = cls.groupBy("broker_message_id", "classifier_id").agg(F.max("probability").alias("p"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(per_msg.join(msg, "broker_message_id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 0
