@@ -193,6 +193,8 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str = "broker_mess
     the rows). Choose ``buckets`` so one bucket of the largest table is a few
     hundred MB."""
     spark = df.sparkSession
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    # one shuffle at write time so each task writes exactly one bucket file
+    # (bucketBy alone writes tasks x buckets files)
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))
     return spark.table(table)
