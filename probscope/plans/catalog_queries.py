@@ -13,16 +13,19 @@ from probscope.sources.fixtures import Tables
 
 @register("class_catalog")
 def class_catalog(t: Tables):
+    """Classes in use with one description each and their classification counts."""
     return cat.class_catalog(t)
 
 
 @register("taxonomy_order")
 def taxonomy_order(t: Tables):
+    """Classes in taxonomy order (zero-padded sort key), 'missed' first."""
     return cat.taxonomy_order(t)
 
 
 @register("match_level")
 def match_level(t: Tables):
+    """Match level (exact/category/general/broad/none) and flags per class in use."""
     return cat.match_levels(t)
 
 
@@ -34,6 +37,7 @@ def match_rate_by_level(t: Tables):
 
 @register("classifier_catalog")
 def classifier_catalog(t: Tables):
+    """Classifier catalogue with titles, listing sort key and message/classification counts."""
     return cat.classifier_catalog(t)
 
 

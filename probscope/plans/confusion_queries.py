@@ -44,16 +44,19 @@ def _norm(t: Tables, norm: str):
 
 @register("confusion_norm_true")
 def confusion_norm_true(t: Tables):
+    """Missed-inclusive last_best counts as fractions of each true class (completeness)."""
     return _norm(t, "true")
 
 
 @register("confusion_norm_pred")
 def confusion_norm_pred(t: Tables):
+    """The same as fractions of each predicted class (purity)."""
     return _norm(t, "pred")
 
 
 @register("confusion_norm_all")
 def confusion_norm_all(t: Tables):
+    """The same as fractions of each classifier's whole matrix."""
     return _norm(t, "all")
 
 

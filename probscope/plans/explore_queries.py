@@ -25,6 +25,7 @@ def page_offset_limit(t: Tables):
 
 @register("third_richest_object")
 def third_richest_object(t: Tables):
+    """The 3rd object by number of classifications from classifier 1."""
     return _picked(t)
 
 

@@ -10,6 +10,7 @@ from probscope.sources.fixtures import Tables
 
 @register("max_prob_by_timebin")
 def max_prob_by_timebin(t: Tables):
+    """Maximum true-class probability per object and time bin."""
     return pd.max_prob_by_timebin(t)
 
 
@@ -27,6 +28,7 @@ def probdiff_all_objects(t: Tables):
 
 @register("probdiff_hist")
 def probdiff_hist(t: Tables):
+    """Histogram of late-minus-early maximum true-class probability."""
     return pd.probdiff_hist(t)
 
 

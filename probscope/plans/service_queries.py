@@ -18,6 +18,7 @@ from probscope.streaming import alert_rate as st
 
 @register("alert_rate")
 def alert_rate(t: Tables):
+    """Sent alerts per day."""
     return dg.alert_rate(t, "1 day")
 
 
@@ -38,16 +39,19 @@ def alert_rate_stream(t: Tables):
 
 @register("delay_stats")
 def delay_stats(t: Tables):
+    """Alert-to-broker, broker-to-ingest and alert-to-ingest delays per classifier."""
     return dg.delay_stats(t)
 
 
 @register("completeness")
 def completeness(t: Tables):
+    """Share of sent sources each catalogued classifier classified."""
     return dg.completeness(t)
 
 
 @register("prob_by_detection")
 def prob_by_detection(t: Tables):
+    """Mean true-class probability by detection ordinal."""
     return dg.prob_by_detection(t)
 
 
