@@ -22,7 +22,7 @@ def probdiff_for_object(t: Tables):
 
 @register("probdiff_all_objects")
 def probdiff_all_objects(t: Tables):
-    """Late-minus-early differences of every object (the maxprobdiff view)."""
+    """Late-minus-early differences of every object, classifier and true class."""
     return pd.probdiff(pd.max_prob_by_timebin(t))
 
 
