@@ -180,3 +180,23 @@ def test_probdiff_hist(fx):
     got = {(x.classifier_id, x.true_class_id, x.earlytimebin, x.latetimebin, x.probdiffbin): x.n
            for x in pdiff.probdiff_hist(t).collect()}
     assert got == want
+
+
+def test_missed_confusion_with_fan_out(fx):
+    t, p = fx
+    hier = {}
+    for c, g, _ in dims.EXACT_CLASSES + dims.HIER_EXTRA_CLASSES:
+        hier.setdefault(g, set()).add(c)
+    best = _brute_last_best(p)
+    sent = p["alert"].groupby("obj")["ts"].apply(lambda s: s.notna().any())
+    sent_objs = p["truth"][p["truth"]["obj"].map(sent).eq(True)]
+    want = {}
+    for cfer in [c[0] for c in dims.CLASSIFIERS]:
+        b = best[best["cfer"] == cfer].set_index("obj")["cls"]
+        for _, o in sent_objs.iterrows():
+            pred = int(b.get(o["obj"], -1))
+            for true in hier[o["gentype"]]:
+                want[(cfer, pred, true)] = want.get((cfer, pred, true), 0) + 1
+    got = {(r.classifier_id, r.pred_class, r.true_class): r.n
+           for r in cm.confusion_counts(t, "last_best", include_missed=True, hierarchical=True).collect()}
+    assert got == want
