@@ -175,11 +175,18 @@ def read_tables(spark: SparkSession, root: str):
                "classifiers": lambda: dims.broker_classifier(spark),
                "timebins": lambda: dims.maxprob_timebins(spark),
                "confusion_classes": lambda: dims.confusion_classes(spark)}
+    from pyspark.errors import AnalysisException
+
     cats = {}
     for n, sch in DIM_TABLES.items():
         p = path(n)
-        local = "://" not in p
-        cats[n] = spark.read.schema(sch).parquet(p) if (not local or os.path.exists(p)) else builtin[n]()
+        if "://" not in p and not os.path.exists(p):
+            cats[n] = builtin[n]()
+            continue
+        try:  # remote stores: a missing folder shows up as a path-not-found error
+            cats[n] = spark.read.schema(sch).parquet(p)
+        except AnalysisException:
+            cats[n] = builtin[n]()
     return Tables(**data, **cats, paths={n: path(n) for n in DATA_TABLES})
 
 
