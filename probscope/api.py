@@ -72,7 +72,7 @@ class Metrics:
     def conf_matrix(self, counts: DataFrame, norm: str = "true") -> DataFrame:
         """Dense, normalised, annotated matrix of ``classifications(...)`` output."""
         dense = cm.normalize(cm.densify(counts.select("classifier_id", "pred_class", "true_class", "n")), norm)
-        return cm.annotate(dense, cm.class_names(self.t.gentype_hier))
+        return cm.with_classifier_name(cm.annotate(dense, cm.class_names(self.t.gentype_hier)), self.t.classifiers)
 
     # ---- probability histogram
     def probhist(self) -> DataFrame:
@@ -96,6 +96,11 @@ class Metrics:
     def probbin_val(b) -> Column:
         return B.probbin_val(b)
 
+    @staticmethod
+    def tbin_label(b) -> Column:
+        """Axis label of a time bin ('<-30.0', centre, '≥100.0')."""
+        return B.tbin_label(b)
+
     def expected_probability(self, classifier_id=None, true_class_id=None) -> DataFrame:
         hist = _only(_only(self.probhist(), "classifier_id", classifier_id), "true_class_id", true_class_id)
         return ph.expected_probability(hist)

@@ -9,6 +9,7 @@ def test_facade_matches_operators(tables):
     assert a and all(r.classifier_id == 2 for r in a)
     missed = m.classifications("best", include_missed=True)
     mat = m.conf_matrix(missed, "pred")
+    assert "classifier_name" in mat.columns
     sums = mat.groupBy("classifier_id", "pred_class").agg(F.sum("fraction").alias("s")).collect()
     assert all(abs(r.s - 1.0) < 1e-9 for r in sums)
     assert m.mean_probabilities(classifier_id=1, true_class_id=2222).select("classifier_id").distinct().count() == 1
