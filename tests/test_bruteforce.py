@@ -200,3 +200,18 @@ def test_missed_confusion_with_fan_out(fx):
     got = {(r.classifier_id, r.pred_class, r.true_class): r.n
            for r in cm.confusion_counts(t, "last_best", include_missed=True, hierarchical=True).collect()}
     assert got == want
+
+
+def test_completeness_and_distinct_counts(fx):
+    from probscope.operators import diagnostics as dg
+    t, p = fx
+    r = _rows(p)
+    sent_src = set(p["alert"].loc[p["alert"]["ts"].notna(), "src"])
+    got = {x.classifier_id: (x.n_sent, x.n_classified) for x in dg.completeness(t).collect()}
+    for cfer in [c[0] for c in dims.CLASSIFIERS]:
+        classified = set(r.loc[r["cfer"] == cfer, "src"]) & sent_src
+        assert got[cfer] == (len(sent_src), len(classified))
+    summ = {(x.classifier_id, x.true_class_id): (x.n_rows, x.n_sources, x.n_objects)
+            for x in rd.classification_summary(t).collect()}
+    want = {k: (len(g), g["src"].nunique(), g["obj"].nunique()) for k, g in r.groupby(["cfer", "true"])}
+    assert summ == want
