@@ -215,3 +215,18 @@ def test_completeness_and_distinct_counts(fx):
             for x in rd.classification_summary(t).collect()}
     want = {k: (len(g), g["src"].nunique(), g["obj"].nunique()) for k, g in r.groupby(["cfer", "true"])}
     assert summ == want
+
+
+def test_dedupe_and_total_probability(fx):
+    t, p = fx
+    r = _rows(p)
+    want_tot = r.groupby(["cfer", "src"])["p"].sum().to_dict()
+    got_tot = {(x.classifier_id, x.dia_source_id): x.totprob for x in ph.totprob_per_source(t).collect()}
+    assert got_tot.keys() == want_tot.keys()
+    assert all(got_tot[k] == pytest.approx(v, abs=1e-8) for k, v in want_tot.items())
+    want_ded = r.groupby(["cfer", "src", "cls"])["p"].agg(["mean", "size"])
+    got_ded = {(x.classifier_id, x.dia_source_id, x.class_id): (x.probability, x.n_messages)
+               for x in ph.dedupe_mean(t).collect()}
+    assert len(got_ded) == len(want_ded)
+    for k, row in want_ded.iterrows():
+        assert got_ded[k][1] == row["size"] and got_ded[k][0] == pytest.approx(row["mean"], abs=1e-9)
