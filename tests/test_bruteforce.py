@@ -230,3 +230,26 @@ def test_dedupe_and_total_probability(fx):
     assert len(got_ded) == len(want_ded)
     for k, row in want_ded.iterrows():
         assert got_ded[k][1] == row["size"] and got_ded[k][0] == pytest.approx(row["mean"], abs=1e-9)
+
+
+def test_relday_distribution_and_closed_histogram(fx):
+    t, p = fx
+    r = _rows(p).merge(p["src"][["src", "mpt"]], on="src")
+    r["relday"] = np.rint(r["mpt"] - r["peak"]).astype(int)
+    g = r.groupby(["cfer", "true", "relday", "cls"])["p"]
+    want = {k: (len(v), v.min(), v.max(), v.mean()) for k, v in g}
+    got = {(x.classifier_id, x.true_class_id, x.relday, x.class_id):
+           (x.n, x.min_probability, x.max_probability, x.mean_probability) for x in rd.relday_distribution(t).collect()}
+    assert got.keys() == want.keys()
+    for k, (n, lo, hi, mean) in want.items():
+        assert got[k][:3] == (n, lo, hi) and got[k][3] == pytest.approx(mean, abs=1e-9)
+    edges = np.linspace(0, 1, 21)
+    want_h = {}
+    for k, v in g:
+        counts, _ = np.histogram(v.to_numpy(), bins=edges)
+        for b, c in enumerate(counts, start=1):
+            if c:
+                want_h[(*k, b)] = int(c)
+    got_h = {(x.classifier_id, x.true_class_id, x.relday, x.class_id, x.bin): x.n
+             for x in rd.prob_histogram_closed(t).collect()}
+    assert got_h == want_h
