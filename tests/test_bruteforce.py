@@ -253,3 +253,20 @@ def test_relday_distribution_and_closed_histogram(fx):
     got_h = {(x.classifier_id, x.true_class_id, x.relday, x.class_id, x.bin): x.n
              for x in rd.prob_histogram_closed(t).collect()}
     assert got_h == want_h
+
+
+def test_top_classes(fx):
+    t, p = fx
+    means = rd.prob_by_relday(t)
+    m = pd.DataFrame([r.asDict() for r in means.collect()])
+    peak = (m.sort_values(["classifier_id", "true_class_id", "class_id", "mean_probability", "relday"],
+                          ascending=[True, True, True, False, True])
+            .groupby(["classifier_id", "true_class_id", "class_id"], as_index=False).first())
+    peak = peak.sort_values(["classifier_id", "true_class_id", "mean_probability", "class_id"],
+                            ascending=[True, True, False, True])
+    peak["rank"] = peak.groupby(["classifier_id", "true_class_id"]).cumcount() + 1
+    want = {(r.classifier_id, r.true_class_id, r.class_id): (r.rank, r.relday)
+            for r in peak[peak["rank"] <= 5].itertuples()}
+    got = {(r.classifier_id, r.true_class_id, r.class_id): (r.rank, r.peak_relday)
+           for r in rd.top_classes(means, 5).collect()}
+    assert got == want
