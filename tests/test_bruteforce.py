@@ -270,3 +270,17 @@ def test_top_classes(fx):
     got = {(r.classifier_id, r.true_class_id, r.class_id): (r.rank, r.peak_relday)
            for r in rd.top_classes(means, 5).collect()}
     assert got == want
+
+
+def test_match_rate_by_level(fx):
+    from probscope.operators import catalog as cat
+    t, p = fx
+    best = _brute_last_best(p)
+    want = {}
+    for level, d in (("exact", 1), ("category", 10), ("general", 100), ("broad", 1000)):
+        for (cfer, true), g in best.groupby(["cfer", "true"]):
+            match = int(((g["cls"] // d) * d == (true // d) * d).sum())
+            want[(cfer, true, level)] = (len(g), match)
+    got = {(r.classifier_id, r.true_class, r.level): (r.n_objects, r.n_match)
+           for r in cat.match_rate_by_level(cm.confusion_counts(t, "last_best")).collect()}
+    assert got == want
