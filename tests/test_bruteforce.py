@@ -284,3 +284,20 @@ def test_match_rate_by_level(fx):
     got = {(r.classifier_id, r.true_class, r.level): (r.n_objects, r.n_match)
            for r in cat.match_rate_by_level(cm.confusion_counts(t, "last_best")).collect()}
     assert got == want
+
+
+def test_alert_rate_and_delays(fx):
+    from probscope.operators import diagnostics as dg
+    t, p = fx
+    sent = p["alert"].dropna(subset=["ts"])
+    want_rate = sent.groupby(sent["ts"].dt.floor("D")).size().to_dict()
+    got_rate = {r.window_start: r.n_alerts for r in dg.alert_rate(t).collect()}
+    assert {pd.Timestamp(k): v for k, v in got_rate.items()} == {pd.Timestamp(k): v for k, v in want_rate.items()}
+    r = _rows(p)[["msg", "cfer", "alert", "ts", "ingest"]].drop_duplicates(["msg", "cfer"]).dropna(subset=["ts"])
+    secs = (r["ingest"] - r["ts"]).dt.total_seconds()
+    want = r.assign(s=secs).groupby("cfer")["s"].agg(["size", "mean", "min", "max"])
+    got = {x.classifier_id: (x.n, x.mean_seconds, x.min_seconds, x.max_seconds)
+           for x in dg.delay_stats(t).collect() if x.delay == "alert_to_broker"}
+    for cfer, row in want.iterrows():
+        n, mean, lo, hi = got[cfer]
+        assert (n, lo, hi) == (row["size"], row["min"], row["max"]) and mean == pytest.approx(row["mean"])
