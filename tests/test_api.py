@@ -20,3 +20,16 @@ def test_facade_matches_operators(tables):
     rows = m.run_query("SELECT count(*) AS n FROM {c} WHERE classifier_id = :k", {"k": 1},
                        c=tables.broker_classification).first().n
     assert rows == tables.broker_classification.where("classifier_id = 1").count()
+
+
+def test_point_queries_equal_filtered_whole_table(tables):
+    from probscope.operators import probdiff as pdiff
+    m = Metrics.from_tables(tables)
+    obj = (pdiff.probdiff(pdiff.max_prob_by_timebin(tables)).groupBy("dia_object_id").count()
+           .orderBy(F.desc("count"), "dia_object_id").first().dia_object_id)
+    one = m.right_probdiffs_for_object(obj).select("classifier_id", "earlytimebin", "latetimebin", "probdiff")
+    whole = (pdiff.probdiff(pdiff.max_prob_by_timebin(tables)).where(F.col("dia_object_id") == obj)
+             .select("classifier_id", "earlytimebin", "latetimebin", "probdiff"))
+    assert one.count() > 0 and one.exceptAll(whole).count() == 0 and whole.exceptAll(one).count() == 0
+    lc = m.light_curve(obj)
+    assert lc.count() == tables.diaforcedsource.where(F.col("dia_object_id") == obj).count()
