@@ -301,3 +301,22 @@ def test_alert_rate_and_delays(fx):
     for cfer, row in want.iterrows():
         n, mean, lo, hi = got[cfer]
         assert (n, lo, hi) == (row["size"], row["min"], row["max"]) and mean == pytest.approx(row["mean"])
+
+
+def test_probhist_with_fan_out(fx):
+    t, p = fx
+    hier = {}
+    for c, g, _ in dims.EXACT_CLASSES + dims.HIER_EXTRA_CLASSES:
+        hier.setdefault(g, set()).add(c)
+    r = _rows(p).merge(p["src"][["src", "mpt"]], on="src").merge(p["truth"][["obj", "gentype"]], on="obj")
+    ded = r.groupby(["cfer", "src", "cls", "gentype", "mpt", "peak"], as_index=False)["p"].mean()
+    ded["tbin"] = _width_bucket((ded["mpt"] - ded["peak"]).to_numpy(), -30.0, 100.0, 26)
+    ded["pbin"] = _width_bucket(ded["p"].to_numpy(), 0.0, 1.0, 20)
+    want = {}
+    for row in ded.itertuples():
+        for true in hier[row.gentype]:
+            k = (row.cfer, row.cls, true, row.tbin, row.pbin)
+            want[k] = want.get(k, 0) + 1
+    got = {(x.classifier_id, x.class_id, x.true_class_id, x.tbin, x.probbin): x.n
+           for x in ph.probhist(t, hierarchical=True).collect()}
+    assert got == want
