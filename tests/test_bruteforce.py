@@ -320,3 +320,14 @@ def test_probhist_with_fan_out(fx):
     got = {(x.classifier_id, x.class_id, x.true_class_id, x.tbin, x.probbin): x.n
            for x in ph.probhist(t, hierarchical=True).collect()}
     assert got == want
+
+
+def test_object_and_source_listings(fx):
+    t, p = fx
+    r = _rows(p)
+    want_src = set(map(tuple, r[["cfer", "true", "src"]].drop_duplicates().to_numpy().tolist()))
+    got_src = {(x.classifier_id, x.true_class_id, x.dia_source_id) for x in rd.source_summary(t).collect()}
+    assert got_src == want_src
+    want_obj = set(map(tuple, r[["cfer", "true", "obj"]].drop_duplicates().to_numpy().tolist()))
+    got_obj = {(x.classifier_id, x.true_class_id, x.dia_object_id) for x in rd.object_summary(t).collect()}
+    assert got_obj == want_obj
