@@ -331,3 +331,15 @@ def test_object_and_source_listings(fx):
     want_obj = set(map(tuple, r[["cfer", "true", "obj"]].drop_duplicates().to_numpy().tolist()))
     got_obj = {(x.classifier_id, x.true_class_id, x.dia_object_id) for x in rd.object_summary(t).collect()}
     assert got_obj == want_obj
+
+
+def test_message_arrays_roundtrip_and_argmax(fx):
+    from probscope.operators import reshape as rs
+    t, p = fx
+    msgs = rs.messages_as_arrays(t.broker_classification)
+    back = {tuple(r) for r in rs.explode_messages(msgs).collect()}
+    assert back == {tuple(r) for r in p["cls"][["msg", "cfer", "cls", "p"]].itertuples(index=False)}
+    best = _first(p["cls"], ["msg", "cfer"], ["p", "cls"], [False, True])
+    want = {(r.msg, r.cfer): r.cls for r in best.itertuples()}
+    got = {(r.broker_message_id, r.classifier_id): r.class_id for r in rs.argmax_from_array(msgs).collect()}
+    assert got == want
