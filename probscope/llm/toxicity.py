@@ -6,8 +6,8 @@ lower-cased words with a mark at either end, present or not, hashed to ``BINS``.
 1. Every labelled training document is counted: each task adds up, per bin, in
    how many toxic and other documents it occurs; the sums are one row per bin.
 2. The log-count ratio r of a bin is ln of its smoothed share in toxic documents
-   over that in others. Bins whose ratio is not significant (|z| under
-   ``MIN_Z``) get no weight; at most ``FEATURES`` bins stay.
+   over that in others. Bins whose counts are not significantly different (root of
+   the G statistic under ``MIN_Z``) get no weight; at most ``FEATURES`` bins stay.
 3. A logistic regression on r * presence is fitted on a bounded sample of
    labelled documents (``FIT_ROWS``, about that many by a hash of the id).
 4. Every document is scored: a word's bins with weight are looked up once per
@@ -120,30 +120,35 @@ def ratios(counts: DataFrame) -> tuple[dict[int, float], tuple[int, int]]:
         return {}, n
     p, q = (F.col("toxic") + 1) / F.lit(n[1] + 2.0), (F.col("other") + 1) / F.lit(n[0] + 2.0)
     r = F.log(p) - F.log(q)
-    z = F.abs(r) / F.sqrt(1 / (F.col("toxic") + 1) + 1 / (F.col("other") + 1))
+
+    def part(observed: Column, share: float) -> Column:
+        expected = (F.col("toxic") + F.col("other")) * share
+        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
+
+    z = F.sqrt(F.greatest(2 * (part(F.col("toxic"), n[1] / sum(n)) + part(F.col("other"), n[0] / sum(n))), F.lit(0.0)))
     rows = (counts.where("bin >= 0").select("bin", r.alias("r"), z.alias("z")).where(F.col("z") >= MIN_Z)
             .orderBy(F.desc("z"), "bin").limit(FEATURES).collect())
     return {row.bin: row.r for row in rows}, n
 
 
-def fit(rows: list[tuple[list[int], int]], r: dict[int, float], share: float,
-        steps: int = 300, l2: float = 1e-3) -> tuple[dict[int, float], float]:
-    """Logistic regression on r * presence by gradient steps with momentum: (weight of each bin, intercept)."""
+def fit(bins: np.ndarray, sizes: np.ndarray, y: np.ndarray, r: dict[int, float], share: float,
+        steps: int = 300, l2: float = 1e-4, rate: float = 0.1) -> tuple[dict[int, float], float]:
+    """Logistic regression on r * presence by steps that each weight scales by its past gradients:
+    (weight of each bin, intercept). ``bins`` are the documents' one after another, ``sizes`` how many each has."""
     index = {b: i for i, b in enumerate(r)}
     scale = np.array(list(r.values()))
-    y = np.array([t for _, t in rows], float)
-    row = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows])
-    col = np.array([index[b] for bins, _ in rows for b in bins], np.int64)
+    places = np.zeros(BINS, np.int32)
+    places[list(index)] = list(index.values())
+    row, col = np.repeat(np.arange(len(y)), sizes), places[bins]
     value = scale[col] if len(col) else np.zeros(0)
-    size = np.bincount(row, value ** 2, len(rows)).max(initial=1.0) + 1
     w, b = np.zeros(len(scale)), math.log(share / (1 - share))
-    speed_w, speed_b, rate = np.zeros(len(scale)), 0.0, 4.0 / size
+    past_w, past_b = np.full(len(scale), 1e-8), 1e-8
     for _ in range(steps):
-        margin = np.clip(np.bincount(row, value * w[col], len(rows)) + b, -30, 30)
-        error = (1 / (1 + np.exp(-margin)) - y) * (1 + (y > 0) * ((1 - share) / share - 1) * 0.25)
-        speed_w = 0.9 * speed_w + np.bincount(col, value * error[row], len(scale)) / len(rows) * size ** 0.5 + l2 * w
-        speed_b = 0.9 * speed_b + error.mean()
-        w, b = w - rate * size ** 0.5 * speed_w, b - rate * size ** 0.5 * speed_b
+        margin = np.clip(np.bincount(row, value * w[col], len(y)) + b, -30, 30)
+        error = (1 / (1 + np.exp(-margin)) - y) / len(y)
+        slope_w, slope_b = np.bincount(col, value * error[row], len(scale)) + l2 * w, error.sum()
+        past_w, past_b = past_w + slope_w ** 2, past_b + slope_b ** 2
+        w, b = w - rate * slope_w / np.sqrt(past_w), b - rate * slope_b / math.sqrt(past_b)
     return {k: float(w[i] * scale[i]) for k, i in index.items()}, float(b)
 
 
@@ -163,12 +168,14 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple
         bins = Bins(weight)
         for batch in slices(batches):
             found = [sorted(bins.of_text(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), batch.column("toxic")],
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("toxic")],
                                              ["bins", "toxic"])
 
-    # about fit_rows rows of two numbers: its size does not grow with the input
-    sample = with_texts(docs, F.broadcast(part)).mapInArrow(run, "bins array<long>, toxic int").collect()
-    return fit([(x.bins, x.toxic) for x in sample], r, share)
+    # about fit_rows rows: its size does not grow with the input
+    sample = with_texts(docs, F.broadcast(part)).mapInArrow(run, "bins array<int>, toxic int").toArrow()
+    bins = sample.column("bins").combine_chunks()
+    return fit(np.array(bins.flatten()), np.diff(np.array(bins.offsets)), np.array(sample.column("toxic"), float),
+               r, share)
 
 
 def score(docs: DataFrame, model: tuple[dict[int, float], float], id_col: str = "doc_id",
