@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probscope.llm import decontamination, ngram_join, pii, sentencepiece_codec, toxicity
+from probscope.llm import decontamination, ngram_join, pii, quality, sentencepiece_codec, toxicity
 from probscope.llm.common import read_table
 
 
@@ -18,6 +18,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of all ``documents``."""
+    return quality.assess(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` linked at a Jaccard similarity of 0.85 of their four-word shingles."""
     return ngram_join.join(read_table(spark, sf_dir, "documents"), k=4, percent=85)
