@@ -29,7 +29,8 @@ WINDOW = 8
 LEAST = 200
 FENCE = 3
 #: Least spread of the quartiles of each measure, in its unit; ``short_words`` is rejected below, others above.
-SPREAD = {"symbols": 8, "capitals": 40, "repeats": 60, "dup_lines": 100, "long_words": 60, "short_words": 60}
+SPREAD = {"symbols": 8, "capitals": 40, "repeats": 90, "dup_lines": 200, "stutters": 30,
+          "long_words": 60, "short_words": 60}
 #: Groups whose thresholds are sent to every task; more are joined.
 SENT = 100_000
 
@@ -56,6 +57,9 @@ def measured(docs: DataFrame, names: list[str]) -> DataFrame:
                 F.length(F.array_join("q_words", "")).cast("long").alias("word_chars"))
     names += ["n_words", "word_chars"]
     span = F.col("q_hash")
+    again = F.zip_with(span, F.slice(span, F.lit(2), F.size(span)), lambda a, b: a == b)
+    rows = rows.withColumn("n_stutters", F.size(F.filter(again, lambda x: x)).cast("long"))
+    names.append("n_stutters")
     for step in (1, 2, 4):  # hashes of 2, 4 and then 8 words
         rows = once(rows, "q_hash", F.zip_with(span, F.slice(span, F.lit(step + 1), F.greatest(
             F.size(span) - step, F.lit(0))), lambda a, b: F.xxhash64(a, b)), *names)
@@ -82,6 +86,7 @@ def shares() -> dict[str, Column]:
     per_mille = lambda a, b: F.expr(f"1000 * {a} div greatest({b}, 1)")
     return {"symbols": per_mille("n_symbols", "n_chars_seen"), "capitals": per_mille("n_capitals", "n_chars_seen"),
             "repeats": per_mille("n_repeat_words", "n_words"), "dup_lines": per_mille("n_dup_lines", "n_lines"),
+            "stutters": per_mille("n_stutters", "n_words"),
             "long_words": length, "short_words": length}
 
 
