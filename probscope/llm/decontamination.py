@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from probscope.llm.common import slices, whole_texts
+from probscope.llm.shingles import letters
 
 Q = 10
 WINDOW = 80
@@ -45,13 +46,7 @@ RESULT = "doc_id long, item_id long, start int, end int, edits int, shared_qgram
 
 def fold(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Folded bytes of UTF-8 ``data`` and where each came from."""
-    upper = (data >= 65) & (data <= 90)
-    # two-byte capitals of Latin-1 (C3 80 to C3 9E but the multiplication sign)
-    after_c3 = np.zeros(len(data), bool)
-    after_c3[1:] = data[:-1] == 0xC3
-    upper |= after_c3 & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
-    lower = data + (upper.astype(np.uint8) << 5)
-    word = (data >= 0x80) | ((lower >= 97) & (lower <= 122)) | ((data >= 48) & (data <= 57))
+    lower, word = letters(data)
     keep = word.copy()
     keep[1:] |= word[:-1]
     at = np.flatnonzero(keep)

@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probscope.llm import decontamination, ngram_join, pii, quality, sentencepiece_codec, toxicity
-from probscope.llm.common import read_table
+from probscope.llm import (decontamination, ngram_join, pii, quality, sentencepiece_codec, substring_dedup,
+                           token_counts, toxicity, warc)
+from probscope.llm.common import read_table, scratch, written
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,6 +25,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stretches of ``documents`` that repeat a line or sentence of an earlier place."""
+    return substring_dedup.repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` linked at a Jaccard similarity of 0.85 of their four-word shingles."""
     return ngram_join.join(read_table(spark, sf_dir, "documents"), k=4, percent=85)
@@ -36,6 +42,14 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *pii.digest_columns(F.col("spans")))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` as archives without repeated payloads, read back."""
+    path = scratch(spark, "warc")
+    warc.write(warc.resolved(warc.records(read_table(spark, sf_dir, "pages"))), path)
+    rows = written(warc.read(spark, path, payloads=False), "warc-records")
+    return warc.joined(rows).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded and decoded."""
     docs = read_table(spark, sf_dir, "documents")
@@ -45,6 +59,30 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals of ``documents`` by source, language and tokenizer version after four commits: all documents
+    come in, those labelled as of low quality go, other ones labelled toxic lose their first line, and the second
+    batch is delivered again."""
+    import public_tokenizers
+    bpe = {"byte-bpe-50k": (tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)}
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    low = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    low = written(low.where("quality = 0 or toxic = 1"), "token-changes")
+    low = F.broadcast(low) if low.count() <= 1 << 20 else low
+    now = written(token_counts.counted(docs, bpe), "token-counts")
+    gone = now.join(low.where("quality = 0").select("doc_id"), "doc_id", "left_semi")
+    toxic = low.where("quality is null or quality != 0").select("doc_id")
+    shorter = F.expr("if(instr(text, '\n') > 0, substring(text, instr(text, '\n') + 1), text)")
+    revised = token_counts.counted(docs.join(toxic, "doc_id", "left_semi").withColumn("text", shorter), bpe)
+    revisions = token_counts.signed(now.join(toxic, "doc_id", "left_semi"), -1).union(token_counts.signed(revised, 1))
+    path = scratch(spark, "rollup")
+    token_counts.commit(token_counts.signed(now, 1), path, 1)
+    token_counts.commit(token_counts.signed(gone, -1), path, 2)
+    token_counts.commit(revisions, path, 3)
+    token_counts.commit(token_counts.signed(gone, -1), path, 2)
+    return token_counts.totals(spark, path)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every text of ``documents``."""
     docs = read_table(spark, sf_dir, "documents")

@@ -35,6 +35,17 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased bytes of UTF-8 ``data`` (ASCII and Latin-1 letters) and which belong to words: letters,
+    digits and all beyond ASCII."""
+    # two-byte capitals of Latin-1: C3 80 to C3 9E but the multiplication sign
+    after_c3 = np.zeros(len(data), bool)
+    after_c3[1:] = data[:-1] == 0xC3
+    upper = (data >= 65) & (data <= 90) | after_c3 & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
+    lower = data + (upper.astype(np.uint8) << 5)
+    return lower, (data >= 0x80) | ((lower >= 97) & (lower <= 122)) | ((data >= 48) & (data <= 57))
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text's number) of every word: longest runs without ASCII white space, A-Z lower-cased."""
     word = ~SPACE[data]
