@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probscope.llm import (decontamination, ngram_join, pii, quality, sentencepiece_codec, substring_dedup,
-                           token_counts, toxicity, warc)
+from probscope.llm import (decontamination, ngram_join, pii, quality, secrets, sentencepiece_codec,
+                           substring_dedup, token_counts, toxicity, warc)
 from probscope.llm.common import read_table, scratch, written
 
 
@@ -59,6 +59,12 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text of ``documents``."""
+    found = secrets.find(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *secrets.digest_columns(F.col("spans")))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals of ``documents`` by source, language and tokenizer version after four commits: all documents
     come in, those labelled as of low quality go, other ones labelled toxic lose their first line, and the second
