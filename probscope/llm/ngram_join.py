@@ -5,10 +5,12 @@ reaches a threshold, that is when they share at least T shingles, T from their
 sizes. The search looks for partners only where some can be:
 
 1. Documents with equal sets are one class; its smallest id stands for it.
-2. Shingles that occur often are ordered last, the others by their hash. Two linked
-   documents share one of the first ``n - ceil(t * n) + 1`` shingles of each, in
-   any order that is the same for both; classes that share one are put in one
-   cluster. Which shingles count as frequent changes the work, never the result.
+2. Linked sets differ in few elements: in at most d, a bound that follows from their size class.
+   The hash space is cut into more than d parts, so that linked sets agree in the whole content of some
+   part. A row per document and part, the hash of its content, finds these; classes that share
+   one are put in one cluster. Only documents that are alike in large parts share one, however
+   many others share a passage with them. A set that leaves so many parts empty that it may agree with another one in
+   empty parts alone sends rows for its empty parts, too.
 3. A cluster is searched in tasks of bounded size. Inverted lists of the shingles
    are made; for each document the short ones are merged, the L longest ones
    are set aside (DivideSkip), documents met at least T - L times are probed for
@@ -36,23 +38,18 @@ from pyspark.sql import functions as F
 
 from probscope.llm.common import slices, whole_texts, written
 from probscope.llm.components import components
-from probscope.llm.shingles import shingle_sets
+from probscope.llm.shingles import mix, shingle_sets
 
-#: At most so many frequent shingles are sent to the tasks (8 bytes each).
-FREQUENT = 1 << 18
-#: Shingles that one task searches, and that a chunk of documents is counted by.
+#: Size classes grow by this factor.
+GROWTH = 1.5
+#: Shingles that one task searches.
 BLOCK = 1 << 21
-CHUNK = 1 << 21
 #: A list this long is probed rather than merged.
 LONG = 4096
 #: Documents in clusters up to this many are sent to the tasks, more are joined.
 SENT = 1 << 20
 
 
-def signed(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64))
-
-
 def set_sizes(texts: DataFrame, k: int) -> DataFrame:
     """(doc_id, n, digest): the size and a 128-bit digest of every row's set."""
 
@@ -68,54 +65,55 @@ def set_sizes(texts: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, n long, digest binary")
 
 
-def frequent(texts: DataFrame, k: int) -> np.ndarray:
-    """Shingles that occur in several documents of a chunk, the most frequent ones first, as sorted numbers."""
+def schemes(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(least size of each size class, most elements in which linked sets differ whose smaller one is of the class)."""
+    least = [1]
+    while least[-1] <= largest:
+        least.append(max(least[-1] + 1, int(least[-1] * GROWTH)))
+    a = np.array(least[1:]) - 1
+    return np.array(least[:-1]), (a + a * 100 // percent) * (100 - percent) // (100 + percent)
+
+
+def contents(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the set, hash of the content of one of its parts): linked sets share such a hash unless they are equal."""
+    size = np.array([len(s) for s in sets])
+    least, differ = schemes(percent, int(size.max(initial=1)))
+    own = np.searchsorted(least, size, side="right") - 1
+    # a set meets smaller ones in its own class, and in the one below if these may be there
+    below = (size > 0) & (own > 0) & (-(-percent * size // 100) < least[own])
+    number = np.concatenate([np.flatnonzero(size > 0), np.flatnonzero(below)])
+    scheme = np.concatenate([own[size > 0], own[below] - 1])
+    number, scheme = number[differ[scheme] > 0], scheme[differ[scheme] > 0]
+    if not len(number):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    d = differ[scheme]
+    parts = d + 3 + d // 12
+    n = size[number]
+    token = np.concatenate([sets[i] for i in number])
+    row = np.repeat(np.arange(len(number)), n)
+    part = ((token >> np.uint64(32)) * parts[row].astype(np.uint64)) >> np.uint64(32)
+    change = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (row[1:] != row[:-1])))
+    row, part = row[change], part[change]
+    content = np.add.reduceat(mix(token + np.uint64(1)), change)
+    filled = np.bincount(row, minlength=len(number))
+    for i in np.flatnonzero(filled <= d):
+        empty = np.setdiff1d(np.arange(parts[i]), part[row == i].astype(np.int64)).astype(np.uint64)
+        row = np.concatenate([row, np.full(len(empty), i)])
+        part, content = np.concatenate([part, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
+    place = mix((scheme[row].astype(np.uint64) << np.uint64(40)) + part + np.uint64(1))
+    return number[row], mix(content ^ place)
+
+
+def signatures(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, part): a row for each part of the set of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted(sets):
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts > 1
-            return pa.RecordBatch.from_arrays([signed(values[often]), pa.array(counts[often])], ["token", "n"])
-
-        held, size = [], 0
         for batch in slices(batches):
-            held += shingle_sets(batch.column("text"), k)
-            size += sum(map(len, held[-len(batch):]))
-            if size >= CHUNK:
-                yield counted(held)
-                held, size = [], 0
-        if held:
-            yield counted(held)
-
-    counts = texts.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counts.where("n >= 8").orderBy(F.desc("n"), "token").limit(FREQUENT)
-    return np.sort(np.array([r.token for r in top.collect()], np.int64).view(np.uint64))
-
+            number, content = contents(shingle_sets(batch.column("text"), k), percent)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(number)),
+                                              pa.array(content.view(np.int64))], ["node", "part"])
 
-def prefixes(texts: DataFrame, k: int, percent: int, often: np.ndarray) -> DataFrame:
-    """(doc_id, token): the first shingles of every document, enough that linked ones share one."""
-    shared = texts.sparkSession.sparkContext.broadcast(often)  # FREQUENT numbers at most
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value
-        seen = np.zeros(1 << 22, bool)
-        seen[often >> np.uint64(42)] = True
-        for batch in slices(batches):
-            ids, tokens = [], []
-            for doc_id, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), k)):
-                if not len(s):
-                    continue
-                last = seen[s >> np.uint64(42)]
-                if last.any():
-                    at = np.searchsorted(often, s[last])
-                    last[last] = often[np.minimum(at, len(often) - 1)] == s[last]
-                    s = np.concatenate([s[~last], s[last]])
-                ids.append(doc_id)
-                tokens.append(s[:len(s) - (percent * len(s) + 99) // 100 + 1].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
-                                             ["doc_id", "tokens"])
-
-    return texts.mapInArrow(run, "doc_id long, tokens array<long>")
+    return texts.mapInArrow(run, "node long, part long")
 
 
 def needed(a: np.ndarray, b: int, percent: int) -> np.ndarray:
@@ -234,13 +232,13 @@ def join(docs: DataFrame, *, k: int = 4, percent: int = 85, id_col: str = "doc_i
     known = sizes.where("digest is not null and doc_id is not null")
     classes = written(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"),
                                                   F.count("*").alias("copies")), "classes")
-    first = prefixes(texts.where("doc_id is not null"), k, percent, frequent(texts, k))
-    postings = (first.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                .select(F.col("doc_id").alias("node"), F.explode("tokens").alias("token")))
-    least = F.expr("min(node) over (partition by token)")
-    shared = postings.select("node", least.alias("hub")).where("node != hub").select(
-        F.col("node").alias("a"), F.col("hub").alias("b"))
-    clusters = components(shared)
+    several = classes.where("copies > 1").select("digest", "node")
+    copies = sizes.join(several, "digest").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("node")).alias("first"))
+    copies = written(copies.where("not first").select("doc_id"), "copies")
+    copies = F.broadcast(copies) if copies.count() <= SENT else copies
+    parts = signatures(texts.where("doc_id is not null").join(copies, "doc_id", "left_anti"), k, percent)
+    hub = F.expr("min(node) over (partition by part)")
+    clusters = components(parts.select(F.col("node").alias("a"), hub.alias("b")).where("a != b"))
     sized = classes.groupBy("node").agg(F.max("n").alias("n"))
     clusters = written(clusters.join(sized, "node").select("node", F.col("component").alias("cluster"), "n"), "clusters")
     tasks = written(dealt(clusters, percent), "tasks")
@@ -248,7 +246,6 @@ def join(docs: DataFrame, *, k: int = 4, percent: int = 85, id_col: str = "doc_i
     members = texts.join(tasks, texts["doc_id"] == tasks["node"]).select("g", "side", "node", "text")
     links = search(members, k, percent)
     found = components(links)
-    several = classes.where("copies > 1").select("digest", "node")
     node = sizes.join(several, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("node", "doc_id").alias("node"))
     return node.join(found, "node", "left").select(

@@ -106,7 +106,3 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
