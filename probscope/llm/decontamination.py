@@ -1,9 +1,9 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Texts and benchmark items are folded alike (lower case, runs of anything but
-letters and digits to one space). An item is cut into windows of ``WINDOW``
-characters, every half window; a document holds a window when some stretch of it
-is within ``BUDGET`` edits per character of the window. Such a stretch shares at
+letters and digits to one space) and compared as bytes of UTF-8. An item is cut into windows
+of ``WINDOW`` bytes, every half window; a document holds a window when some stretch of it
+is within ``BUDGET`` edits per byte of the window. Such a stretch shares at
 least ``WINDOW - Q + 1 - edits * Q`` q-grams with it, all on diagonals (position
 in the document less position in the window) that lie within the edit budget of
 each other. So per (document, window) the shared q-grams are counted in bands of
@@ -13,7 +13,7 @@ the bound are verified by a banded alignment with free ends.
 The items are the stated query set: they are sent to the tasks in blocks of at
 most ``BLOCK`` characters, and each block reads the documents once.
 
-Null and empty texts hold nothing. Items of under ``MIN_ITEM`` folded characters,
+Null and empty texts hold nothing. Items of under ``MIN_ITEM`` folded bytes,
 empty and null ones among them, are too short to tell a leak and match nothing.
 Equal items are reported each; repeated rows and null or equal ids likewise. Very
 long texts are searched whole, in overlapping parts. Empty tables give an empty

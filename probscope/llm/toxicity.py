@@ -1,17 +1,17 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the character n-grams (``MIN_N`` to ``MAX_N``) of a document's
-lower-cased words with a mark at either end, present or not, hashed to ``BINS``.
+Features are the n-grams of ``MIN_N`` to ``MAX_N`` characters of a document's lower-cased words, with
+one space at either end, present or not, hashed to ``BINS``; a batch of texts is hashed at once.
 
 1. Every labelled training document is counted: each task adds up, per bin, in
    how many toxic and other documents it occurs; the sums are one row per bin.
 2. The log-count ratio r of a bin is ln of its smoothed share in toxic documents
    over that in others. Bins whose counts are not significantly different (root of
-   the G statistic under ``MIN_Z``) get no weight; at most ``FEATURES`` bins stay.
+   the G statistic under ``MIN_Z``), or whose ratio is under ``MIN_RATIO`` either way, get no weight; at most
+   ``FEATURES`` bins stay.
 3. A logistic regression on r * presence is fitted on a bounded sample of
    labelled documents (``FIT_ROWS``, about that many by a hash of the id).
-4. Every document is scored: a word's bins with weight are looked up once per
-   task, so most words cost one dictionary probe.
+4. Every document is scored: the weights of its distinct bins are added up.
 
 Null and empty texts have no features and get the intercept's score; null labels
 are left out, of repeated labels of one id the largest counts; rows with equal or
@@ -31,44 +31,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from probscope.llm.common import slices, whole_texts, written
+from probscope.llm.shingles import STEP, mix
 
 MIN_N, MAX_N = 3, 5
 BINS = 1 << 20
-FEATURES = 1 << 15
+FEATURES = 1 << 13
 MIN_Z = 4.0
+MIN_RATIO = math.log(4)
 #: About so many labelled documents are used to fit the weights; counts use all of them.
 FIT_ROWS = 20_000
-
-
-class Bins:
-    """Word -> its distinct n-gram bins, kept for words met before (at most ``size`` of them)."""
-
-    def __init__(self, weight: np.ndarray | None = None, size: int = 200_000):
-        import re
-        self.words = re.compile(r"\w+").findall
-        self.weight, self.size, self.known = weight, size, {}
-
-    def of_word(self, word: str) -> tuple[int, ...]:
-        from zlib import crc32
-        marked = f"<{word}>"
-        grams = {marked[i:i + n] for n in range(MIN_N, MAX_N + 1) for i in range(len(marked) - n + 1)}
-        bins = {crc32(g.encode()) & (BINS - 1) for g in grams}
-        if self.weight is not None:
-            bins = {b for b in bins if self.weight[b]}
-        return tuple(bins)
-
-    def of_text(self, text: str) -> set[int]:
-        found: set[int] = set()
-        known = self.known
-        if len(known) > self.size:
-            known.clear()
-        for word in set(self.words(text.lower())):
-            bins = known.get(word)
-            if bins is None:
-                bins = known[word] = self.of_word(word)
-            if bins:
-                found.update(bins)
-        return found
+#: Labelled documents up to this many are sent to the tasks as (id, label), more are joined.
+SENT = 1 << 20
+
+
+ASCII_WORD = np.array([chr(c).isalnum() or c == 95 for c in range(128)])
+
+
+def grams(texts: list[str], weight: np.ndarray | None = None) -> list[np.ndarray]:
+    """The distinct bins of each text, of those with weight if ``weight`` is given."""
+    lowered = [t.lower() for t in texts]
+    codes = np.frombuffer(" ".join([*lowered, " "]).encode("utf-32-le"), np.uint32)
+    end = np.cumsum([len(t) + 1 for t in lowered])
+    word = ASCII_WORD[np.minimum(codes, 127)] | (codes > 127)
+    codes = np.where(word, codes, 32).astype(np.uint64) + np.uint64(1)
+    found, at = [], []
+    h, inside = codes[:-1] * STEP + codes[1:], np.ones(len(codes), bool)
+    for n in range(3, MAX_N + 1):  # a space may stand at the ends only
+        h = h[:-1] * STEP + codes[n - 1:]
+        inside = inside[:len(h)] & word[n - 2:n - 2 + len(h)]
+        if n < MIN_N:
+            continue
+        place = np.flatnonzero(inside)
+        bins = (mix(h[place] + np.uint64(n)) >> np.uint64(44)).astype(np.int64)
+        if weight is not None:
+            has = weight[bins] != 0
+            place, bins = place[has], bins[has]
+        found.append(bins)
+        at.append(place)
+    out = []
+    cuts = [np.searchsorted(p, end - 1) for p in at]
+    begin = [0] * len(at)
+    for i in range(len(texts)):
+        out.append(np.unique(np.concatenate([b[a:c[i]] for b, a, c in zip(found, begin, cuts)])))
+        begin = [c[i] for c in cuts]
+    return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -82,6 +88,8 @@ def distinct_marks(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    marks = written(marks, "toxic-labels")
+    marks = F.broadcast(marks) if marks.count() <= SENT else marks
     return (whole_texts(docs).select("doc_id", F.xxhash64("text").alias("h")).join(marks, "doc_id")
             .groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
             .select("doc_id", "toxic"))
@@ -97,11 +105,9 @@ def count_bins(train: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BINS + 1), np.int64)
-        bins = Bins(size=100_000)
         for batch in slices(batches):
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                found = bins.of_text(text)
-                counts[toxic][np.fromiter(found, np.int64, len(found))] += 1
+            for bins, toxic in zip(grams(batch.column("text").to_pylist()), batch.column("toxic").to_pylist()):
+                counts[toxic][bins] += 1
                 counts[toxic][BINS] += 1
         used = np.flatnonzero(counts.any(0))
         yield pa.RecordBatch.from_arrays(
@@ -126,7 +132,7 @@ def ratios(counts: DataFrame) -> tuple[dict[int, float], tuple[int, int]]:
         return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
 
     z = F.sqrt(F.greatest(2 * (part(F.col("toxic"), n[1] / sum(n)) + part(F.col("other"), n[0] / sum(n))), F.lit(0.0)))
-    rows = (counts.where("bin >= 0").select("bin", r.alias("r"), z.alias("z")).where(F.col("z") >= MIN_Z)
+    rows = (counts.where("bin >= 0").select("bin", r.alias("r"), z.alias("z")).where((F.col("z") >= MIN_Z) & (F.abs("r") >= MIN_RATIO))
             .orderBy(F.desc("z"), "bin").limit(FEATURES).collect())
     return {row.bin: row.r for row in rows}, n
 
@@ -155,6 +161,7 @@ def fit(bins: np.ndarray, sizes: np.ndarray, y: np.ndarray, r: dict[int, float],
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[dict[int, float], float]:
     """The model: weight of each bin, intercept."""
     marks = written(distinct_marks(docs, labels), "toxic-marks")
+    marks = F.broadcast(marks) if marks.count() <= SENT else marks
     r, n = ratios(written(count_bins(with_texts(docs, marks)), "toxic-counts"))
     share = (n[1] + 1) / (sum(n) + 2)
     if not r:
@@ -165,9 +172,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple
     weight[list(r)] = 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = Bins(weight)
         for batch in slices(batches):
-            found = [sorted(bins.of_text(t)) for t in batch.column("text").to_pylist()]
+            found = grams(batch.column("text").to_pylist(), weight)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("toxic")],
                                              ["bins", "toxic"])
 
@@ -188,10 +194,8 @@ def score(docs: DataFrame, model: tuple[dict[int, float], float], id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
-        bins = Bins(w)
         for batch in slices(batches):
-            margins = [intercept + math.fsum(float(w[b]) for b in bins.of_text(t))
-                       for t in batch.column("text").to_pylist()]
+            margins = [intercept + w[b].sum(dtype=float) for b in grams(batch.column("text").to_pylist(), w)]
             p = 1 / (1 + np.exp(-np.clip(np.array(margins), -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p)], ["doc_id", "score"])
 
