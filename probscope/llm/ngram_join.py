@@ -7,10 +7,11 @@ sizes. The search looks for partners only where some can be:
 1. Documents with equal sets are one class; its smallest id stands for it.
 2. Linked sets differ in few elements: in at most d, a bound that follows from their size class.
    The hash space is cut into more than d parts, so that linked sets agree in the whole content of some
-   part. A row per document and part, the hash of its content, finds these; classes that share
-   one are put in one cluster. Only documents that are alike in large parts share one, however
-   many others share a passage with them. A set that leaves so many parts empty that it may agree with another one in
-   empty parts alone sends rows for its empty parts, too.
+   part, and of the parts that a set fills in all but d. A row per document and part, the hash of its content, finds
+   these. A set of which too few parts are shared by any other goes, which is repeated on what is left;
+   classes that then share a part are put in one cluster. Only documents that are alike in large parts share enough,
+   however many others share a passage with them. A set that leaves so many parts empty that it may agree with
+   another one in empty parts alone sends rows for its empty parts, too.
 3. A cluster is searched in tasks of bounded size. Inverted lists of the shingles
    are made; for each document the short ones are merged, the L longest ones
    are set aside (DivideSkip), documents met at least T - L times are probed for
@@ -74,8 +75,9 @@ def schemes(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(least[:-1]), (a + a * 100 // percent) * (100 - percent) // (100 + percent)
 
 
-def contents(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the set, hash of the content of one of its parts): linked sets share such a hash unless they are equal."""
+def contents(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, ...]:
+    """For each filled part of each set: the set's number, its size class, the hash of the part's content, and of how
+    many parts of the set and class any linked, different set has the same."""
     size = np.array([len(s) for s in sets])
     least, differ = schemes(percent, int(size.max(initial=1)))
     own = np.searchsorted(least, size, side="right") - 1
@@ -85,9 +87,9 @@ def contents(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarr
     scheme = np.concatenate([own[size > 0], own[below] - 1])
     number, scheme = number[differ[scheme] > 0], scheme[differ[scheme] > 0]
     if not len(number):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return (*(np.zeros(0, np.int64),) * 2, np.zeros(0, np.uint64), np.zeros(0, np.int64))
     d = differ[scheme]
-    parts = d + 3 + d // 12
+    parts = d + 3 + d // 8
     n = size[number]
     token = np.concatenate([sets[i] for i in number])
     row = np.repeat(np.arange(len(number)), n)
@@ -95,25 +97,38 @@ def contents(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarr
     change = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (row[1:] != row[:-1])))
     row, part = row[change], part[change]
     content = np.add.reduceat(mix(token + np.uint64(1)), change)
-    filled = np.bincount(row, minlength=len(number))
-    for i in np.flatnonzero(filled <= d):
+    need = np.bincount(row, minlength=len(number)) - d
+    for i in np.flatnonzero(need <= 0):
         empty = np.setdiff1d(np.arange(parts[i]), part[row == i].astype(np.int64)).astype(np.uint64)
         row = np.concatenate([row, np.full(len(empty), i)])
         part, content = np.concatenate([part, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
+        need[i] = 1
     place = mix((scheme[row].astype(np.uint64) << np.uint64(40)) + part + np.uint64(1))
-    return number[row], mix(content ^ place)
+    return number[row], scheme[row], mix(content ^ place), need[row]
 
 
 def signatures(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, part): a row for each part of the set of every row."""
+    """(node, scheme, need, part): a row for each part of the set of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            number, content = contents(shingle_sets(batch.column("text"), k), percent)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(number)),
-                                              pa.array(content.view(np.int64))], ["node", "part"])
+            number, scheme, content, need = contents(shingle_sets(batch.column("text"), k), percent)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(number)), pa.array(scheme.astype(np.int16)),
+                 pa.array(need.astype(np.int32)), pa.array(content.view(np.int64))], ["node", "scheme", "need", "part"])
+
+    return texts.mapInArrow(run, "node long, scheme short, need int, part long")
+
 
-    return texts.mapInArrow(run, "node long, part long")
+def neighbours(parts: DataFrame, rounds: int = 3) -> DataFrame:
+    """(a, b): each node that shares enough parts, and the smallest node that shares one of them."""
+    others = "count(*) over (partition by part)"
+    rows = written(parts.withColumn("others", F.expr(others)).where("others > 1").drop("others"), "parts")
+    for _ in range(rounds):
+        rows = rows.withColumn("shared", F.expr("count(*) over (partition by node, scheme)")).where("shared >= need")
+        rows = rows.withColumn("others", F.expr(others)).where("others > 1").drop("shared", "others")
+        rows = written(rows, "parts")
+    return rows.select(F.col("node").alias("a"), F.expr("min(node) over (partition by part)").alias("b")).where("a != b")
 
 
 def needed(a: np.ndarray, b: int, percent: int) -> np.ndarray:
@@ -237,8 +252,7 @@ def join(docs: DataFrame, *, k: int = 4, percent: int = 85, id_col: str = "doc_i
     copies = written(copies.where("not first").select("doc_id"), "copies")
     copies = F.broadcast(copies) if copies.count() <= SENT else copies
     parts = signatures(texts.where("doc_id is not null").join(copies, "doc_id", "left_anti"), k, percent)
-    hub = F.expr("min(node) over (partition by part)")
-    clusters = components(parts.select(F.col("node").alias("a"), hub.alias("b")).where("a != b"))
+    clusters = components(neighbours(parts))
     sized = classes.groupBy("node").agg(F.max("n").alias("n"))
     clusters = written(clusters.join(sized, "node").select("node", F.col("component").alias("cluster"), "n"), "clusters")
     tasks = written(dealt(clusters, percent), "tasks")
