@@ -2,7 +2,7 @@
 
 Each query is executed in full through the ``noop`` sink (all rows computed,
 nothing collected to the driver). The domain tables are derived once per
-session (timed separately as ``derive_tables``). Prints one JSON line.
+session (timed as ``derive_tables``, part of the total). Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def main() -> None:
 
     registry = queries()
     names = only or sorted(registry)
-    total = 0.0
+    total = timings["derive_tables"]
     for name in names:
         t0 = time.perf_counter()
         registry[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

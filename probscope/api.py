@@ -9,6 +9,7 @@ class (filter the result, or pass ids, to narrow it).
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -116,28 +117,47 @@ class Metrics:
     def right_probdiffs_hist(self) -> DataFrame:
         return pdiff.probdiff_hist(self.t)
 
+    def right_probdiffs_hist_filled(self) -> DataFrame:
+        return pdiff.zero_fill(self.right_probdiffs_hist())
+
     @staticmethod
     def right_probdiffs_hist_probbin_mean(b) -> Column:
         return B.probdiff_bin_mean(b)
 
     # ---- per-day summaries (the cached summaries of the original service)
+    def _of(self, operator, classifier_id, true_class_id) -> DataFrame:
+        """``operator`` over the objects of one true class and the rows of one classifier, if given: both
+        filters reach the scans."""
+        t = self.t
+        if true_class_id is not None and t.context is None:
+            gentypes = t.gentype.where(F.col("class_id") == true_class_id).select("gentype")
+            t = dataclasses.replace(t, truth=t.truth.join(gentypes, "gentype", "left_semi").select(*t.truth.columns))
+        if classifier_id is not None:
+            only = {n: _only(getattr(t, n), "classifier_id", classifier_id)
+                    for n in ("broker_classification", "message_probs") if getattr(t, n) is not None}
+            t = dataclasses.replace(t, **only)
+        return _only(_only(operator(t), "classifier_id", classifier_id), "true_class_id", true_class_id)
+
     def mean_probabilities(self, classifier_id=None, true_class_id=None) -> DataFrame:
-        df = rd.prob_by_relday(self.t).drop("max_probability")
-        return _only(_only(df, "classifier_id", classifier_id), "true_class_id", true_class_id)
+        return self._of(rd.prob_by_relday, classifier_id, true_class_id).drop("max_probability")
 
     def max_probabilities(self, classifier_id=None, true_class_id=None) -> DataFrame:
-        df = rd.prob_by_relday(self.t).drop("mean_probability")
-        return _only(_only(df, "classifier_id", classifier_id), "true_class_id", true_class_id)
+        return self._of(rd.prob_by_relday, classifier_id, true_class_id).drop("mean_probability")
+
+    def objects(self, classifier_id=None, true_class_id=None) -> DataFrame:
+        return self._of(rd.object_summary, classifier_id, true_class_id)
+
+    def sources(self, classifier_id=None, true_class_id=None) -> DataFrame:
+        return self._of(rd.source_summary, classifier_id, true_class_id)
 
-    def objects(self) -> DataFrame:
-        return rd.object_summary(self.t)
+    def classifications_with_relday(self, classifier_id=None, true_class_id=None) -> DataFrame:
+        return self._of(rd.classification_rows, classifier_id, true_class_id)
 
-    def sources(self) -> DataFrame:
-        return rd.source_summary(self.t)
+    def top_class_curves(self, classifier_id=None, true_class_id=None, k: int = 5) -> DataFrame:
+        return rd.top_class_curves(self._of(rd.prob_by_relday, classifier_id, true_class_id), k)
 
-    def classifications_with_relday(self) -> DataFrame:
-        rows = rd.all_rows_with_relday(self.t).join(rd._true_classes(self.t), "gentype")
-        return rows.select("classifier_id", "true_class_id", "dia_source_id", "class_id", "relday", "probability")
+    def relday_distribution(self, classifier_id=None, true_class_id=None) -> DataFrame:
+        return self._of(rd.relday_distribution, classifier_id, true_class_id)
 
     def peak_confusion_column(self, band: str = "r") -> DataFrame:
         return rd.peak_confusion_column(self.t, band)
@@ -155,6 +175,20 @@ class Metrics:
         objs = self.t.truth.where(F.col("dia_object_id") == dia_object_id).select("dia_object_id")
         return ex.object_prob_history(self.t, objs)
 
+    def classifications_with_deltat(self, classifiers: DataFrame, true_class_id: int, limit: int | None = None) -> DataFrame:
+        return ex.classifications_with_deltat(self.t, classifiers, true_class_id, limit)
+
+    def prob_matrix(self, dia_object_id: int) -> DataFrame:
+        """deltat x class matrix of one object's rounded probabilities, per classifier."""
+        rows = rd.all_rows_with_relday(self.t).where(F.col("dia_object_id") == dia_object_id)
+        return ex.prob_matrix(rows, ex.catalogue_classes(self.t))
+
+    def totprob_audit(self) -> DataFrame:
+        return ph.totprob_audit(ph.totprob_per_source(self.t))
+
+    def richest_object(self, classifier_id: int = 1, rank: int = 3) -> DataFrame:
+        return ex.richest_object(self.t, classifier_id, rank)
+
     def alert_rate(self, every: str = "1 day") -> DataFrame:
         return dg.alert_rate(self.t, every)
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from probscope.functions import labels
+from probscope.operators.reshape import per_message_argmax
 from probscope.operators.select_one import asc, desc, nth_ordinal_filter, one_description, pick_one
 from probscope.sources.fixtures import Tables
 
@@ -52,13 +53,9 @@ def chosen_classification(t: Tables, definition: str = "last_best", nth_detectio
     classifier and classified object."""
     if definition not in DEFINITIONS:
         raise ValueError(f"Unknown classification definition: {definition}")
-    cls = t.broker_classification
-    if classifier_ids is not None:
-        cls = cls.where(F.col("classifier_id").isin(list(classifier_ids)))
     # Within one message the alert time is constant, so its best row is the arg-max of
     # (probability desc, class asc); the global winner is always such a row.
-    per_msg = pick_one(cls, ["broker_message_id", "classifier_id"], [desc("probability"), asc("class_id")],
-                       ["class_id", "probability"])
+    per_msg = per_message_argmax(t, classifier_ids)
     alerts = t.diaalert.select("alert_id", "dia_object_id", "dia_source_id", "alert_sent_ts")
     if definition == "nth":
         alerts = alerts.join(nth_detection_sources(t, nth_detection), "dia_source_id", "left_semi")
@@ -165,7 +162,7 @@ def class_names(dim: DataFrame) -> DataFrame:
     """(class_id, description) with one name per class and -1 = 'missed'."""
     names = one_description(dim)
     missed = names.sparkSession.createDataFrame([(MISSED, "missed")], "class_id int, description string")
-    return F.broadcast(names.unionByName(missed))
+    return names.unionByName(missed)
 
 
 def annotate(dense: DataFrame, names: DataFrame | None = None) -> DataFrame:

@@ -25,8 +25,8 @@ def truth_classes(t: Tables, hierarchical: bool = False, name: str = "true_class
 
 
 def message_context(t: Tables) -> DataFrame:
-    """Message -> alert: (broker_message_id, alert_id, desc_ingest_ts, dia_source_id, dia_object_id, alert_sent_ts)."""
-    return (t.broker_message.select("broker_message_id", "alert_id", "desc_ingest_ts")
+    """Message -> alert: (broker_message_id, alert_id, ingest_ts, dia_source_id, dia_object_id, alert_sent_ts)."""
+    return (t.broker_message.select("broker_message_id", "alert_id", "ingest_ts")
             .join(t.diaalert.select("alert_id", "dia_source_id", "dia_object_id", "alert_sent_ts"), "alert_id"))
 
 
@@ -39,7 +39,7 @@ def source_deltat(t: Tables) -> DataFrame:
 
 def source_classifications(t: Tables, hierarchical: bool = False) -> DataFrame:
     """The per-classification view: classifier_id, dia_object_id, dia_source_id,
-    class_id, alert_id, true_class_id, probability, desc_ingest_ts, alert_sent_ts,
+    class_id, alert_id, true_class_id, probability, ingest_ts, alert_sent_ts,
     broker_message_id."""
     ctx = message_context(t).join(truth_classes(t, hierarchical, "true_class_id"), "dia_object_id")
     return t.broker_classification.join(ctx, "broker_message_id")

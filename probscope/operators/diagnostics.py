@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from probscope.functions import exact as X
 from probscope.operators.context import message_context, truth_classes
+from probscope.operators.quantiles import exact_quantiles
 from probscope.sources.fixtures import Tables
 
 
@@ -18,39 +19,42 @@ def alert_rate(t: Tables, every: str = "1 day") -> DataFrame:
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_alerts"))
 
 
+#: kind -> (from, to): the alert is sent, the broker publishes its message, the service takes it in.
 DELAYS = {
-    "alert_to_broker": ("alert_sent_ts", "desc_ingest_ts"),
-    "broker_to_ingest": ("desc_ingest_ts", "broker_ingest_ts"),
-    "alert_to_ingest": ("alert_sent_ts", "broker_ingest_ts"),
+    "alert_to_broker": ("alert_sent_ts", "broker_ts"),
+    "broker_to_ingest": ("broker_ts", "ingest_ts"),
+    "alert_to_ingest": ("alert_sent_ts", "ingest_ts"),
 }
 
 
-def delay_stats(t: Tables) -> DataFrame:
-    """Per classifier and delay kind: count, mean, min and max seconds, over messages of
-    sent alerts (message grain; the classifier comes from the classification rows)."""
+def delays(t: Tables) -> DataFrame:
+    """(classifier_id, delay, seconds): a row per message of a sent alert, classifier and kind of delay whose
+    two times are known (the classifier comes from the classification rows)."""
     pairs = t.broker_classification.select("broker_message_id", "classifier_id").distinct()
-    msg = (t.broker_message.select("broker_message_id", "alert_id", "desc_ingest_ts", "broker_ingest_ts")
-           .join(t.diaalert.select("alert_id", "alert_sent_ts").where(F.col("alert_sent_ts").isNotNull()),
-                 "alert_id"))
-    kinds = F.array(*[F.struct(F.lit(k).alias("delay"),
-                               F.timestamp_diff("SECOND", F.col(a), F.col(b)).alias("seconds"))
+    msg = t.broker_message.select("broker_message_id", "alert_id", "broker_ts", "ingest_ts").join(
+        t.diaalert.select("alert_id", "alert_sent_ts").where(F.col("alert_sent_ts").isNotNull()), "alert_id")
+    kinds = F.array(*[F.struct(F.lit(k).alias("delay"), F.timestamp_diff("SECOND", F.col(a), F.col(b)).alias("seconds"))
                       for k, (a, b) in DELAYS.items()])
     rows = pairs.join(msg, "broker_message_id").select("classifier_id", F.inline(kinds))
-    return rows.groupBy("classifier_id", "delay").agg(
+    return rows.where(F.col("seconds").isNotNull())
+
+
+def delay_stats(t: Tables) -> DataFrame:
+    """Per classifier and kind of delay: count, mean, min, max and exact quartiles of the seconds."""
+    rows = delays(t)
+    by = ["classifier_id", "delay"]
+    sums = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.avg("seconds").alias("mean_seconds"),
         F.min("seconds").alias("min_seconds"), F.max("seconds").alias("max_seconds"))
+    quartiles = exact_quantiles(rows, by, "seconds", {"q25_seconds": 0.25, "q50_seconds": 0.5, "q75_seconds": 0.75},
+                                F.floor(F.col("seconds") / 3600))
+    return sums.join(quartiles, by)
 
 
-def delay_histogram(t: Tables, kind: str = "alert_to_broker", width_seconds: int = 86400) -> DataFrame:
-    """Fixed-width histogram of one delay per classifier: (classifier_id, bin_start_seconds, n)."""
-    a, b = DELAYS[kind]
-    pairs = t.broker_classification.select("broker_message_id", "classifier_id").distinct()
-    msg = (t.broker_message.join(t.diaalert.select("alert_id", "alert_sent_ts"), "alert_id")
-           .where(F.col(a).isNotNull() & F.col(b).isNotNull()))
-    secs = F.timestamp_diff("SECOND", F.col(a), F.col(b))
-    return (pairs.join(msg, "broker_message_id")
-            .groupBy("classifier_id", (F.floor(secs / width_seconds) * width_seconds).alias("bin_start_seconds"))
-            .agg(F.count(F.lit(1)).alias("n")))
+def delay_histogram(t: Tables, width_seconds: int = 86400) -> DataFrame:
+    """Fixed-width histogram of every kind of delay: (classifier_id, delay, bin_start_seconds, n)."""
+    start = (F.floor(F.col("seconds") / width_seconds) * width_seconds).alias("bin_start_seconds")
+    return delays(t).groupBy("classifier_id", "delay", start).agg(F.count(F.lit(1)).alias("n"))
 
 
 def completeness(t: Tables) -> DataFrame:

@@ -25,8 +25,8 @@ GROUP = ["classifier_id", "true_class_id", "earlytimebin", "latetimebin"]
 
 
 def assign_timebin(df: DataFrame, timebins: DataFrame, dt: str = "deltat") -> DataFrame:
-    """Range join ``dtmin <= dt < dtmax`` against the (broadcast) time-bin dimension."""
-    tb = F.broadcast(timebins.select("timebin", "dtmin", "dtmax"))
+    """Range join ``dtmin <= dt < dtmax`` against the time-bin dimension (a literal one is marked for broadcast)."""
+    tb = timebins.select("timebin", "dtmin", "dtmax")
     return df.join(tb, (F.col(dt) >= tb["dtmin"]) & (F.col(dt) < tb["dtmax"])).drop("dtmin", "dtmax")
 
 
@@ -59,7 +59,7 @@ def probdiff(maxprob: DataFrame) -> DataFrame:
 
 def with_bin_ranges(df: DataFrame, timebins: DataFrame) -> DataFrame:
     """Attach [t0, t1) of the early and late bins (the dimension joined twice)."""
-    tb = F.broadcast(timebins)
+    tb = timebins
     early = tb.select(F.col("timebin").alias("earlytimebin"), F.col("dtmin").alias("earlytimet0"),
                       F.col("dtmax").alias("earlytimet1"))
     late = tb.select(F.col("timebin").alias("latetimebin"), F.col("dtmin").alias("latetimet0"),

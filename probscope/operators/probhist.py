@@ -33,14 +33,15 @@ TOTPROB_HI, TOTPROB_LO = 1.001, 0.999
 
 def message_source_context(t: Tables) -> DataFrame:
     """(broker_message_id, alert_id, dia_source_id, dia_object_id, deltat, gentype, filter_name,
-    alert_sent_ts, desc_ingest_ts) at message grain.
+    alert_sent_ts, ingest_ts) at message grain.
 
     When ``t.context`` holds this table already written (the summary job does so
     once per run) it is read instead of repeating the three joins."""
     if t.context is not None:
         return t.context
-    src = source_deltat(t).select("dia_source_id", "deltat", "gentype", "filter_name")
-    return message_context(t).join(src, "dia_source_id")
+    # both tables hold the object: joining on it, too, takes a filter on objects to both scans
+    src = source_deltat(t).select("dia_source_id", "dia_object_id", "deltat", "gentype", "filter_name")
+    return message_context(t).join(src, ["dia_source_id", "dia_object_id"])
 
 
 def dedupe_mean(t: Tables, ctx: DataFrame | None = None) -> DataFrame:
@@ -124,7 +125,7 @@ def violin_table(hist: DataFrame, confusion_classes: DataFrame, tbins=VIOLIN_TBI
     """Binned violin outline for chosen tbins and each true class's confusion classes:
     (classifier_id, true_class_id, tbin, class_id, probbin, prob, frac, half_width)."""
     norm = normalize_over_probbin(hist).where(F.col("tbin").isin(list(tbins)))
-    return (norm.join(F.broadcast(confusion_classes), ["true_class_id", "class_id"])
+    return (norm.join(confusion_classes, ["true_class_id", "class_id"])
             .select("classifier_id", "true_class_id", "tbin", "class_id", "probbin",
                     B.probbin_val("probbin").alias("prob"), "frac",
                     (F.col("frac") * half_width).alias("half_width")))
@@ -140,19 +141,19 @@ def mean_prob_by_tbin(t: Tables) -> DataFrame:
     """Mean of the de-duplicated (unbinned) probabilities per (classifier, true class, tbin, class)."""
     ded = dedupe_mean(t)
     per_gentype = (ded.groupBy("classifier_id", "gentype", B.tbin("deltat").alias("tbin"), "class_id")
-                   .agg(X.fixed_sum("probability").alias("s"), F.count(F.lit(1)).alias("c")))
+                   .agg(*X.partial("probability", "s"), F.count(F.lit(1)).alias("c")))
     return (per_gentype.join(t.gentype.select("gentype", F.col("class_id").alias("true_class_id")), "gentype")
             .groupBy("classifier_id", "true_class_id", "tbin", "class_id")
-            .agg(X.mean_of(F.sum("s"), F.sum("c")).alias("mean_prob"), F.sum("c").alias("n")))
+            .agg(X.mean_of("s", F.sum("c")).alias("mean_prob"), F.sum("c").alias("n")))
 
 
 def totprob_per_source(t: Tables) -> DataFrame:
     """Total probability per (classifier, source) over all its classifications."""
     ctx = message_context(t).select("broker_message_id", "dia_source_id")
     per_msg = t.broker_classification.groupBy("broker_message_id", "classifier_id") \
-        .agg(X.fixed_sum("probability").alias("p"))
+        .agg(*X.partial("probability", "p"))
     return (per_msg.join(ctx, "broker_message_id")
-            .groupBy("classifier_id", "dia_source_id").agg(X.from_fixed(F.sum("p")).alias("totprob")))
+            .groupBy("classifier_id", "dia_source_id").agg(X.merged("p").alias("totprob")))
 
 
 def totprob_audit(tot: DataFrame, hi: float = TOTPROB_HI, lo: float = TOTPROB_LO) -> DataFrame:

@@ -16,6 +16,8 @@ from probscope.functions import bins as B
 from probscope.functions import exact as X
 from probscope.operators.context import classified_sources, source_deltat
 from probscope.operators.probhist import message_source_context
+from probscope.operators.reshape import message_arrays, per_message_argmax
+from probscope.operators.quantiles import exact_quantiles
 from probscope.operators.select_one import asc, desc, pick_one
 from probscope.sources.fixtures import Tables
 
@@ -35,12 +37,12 @@ def _true_classes(t: Tables, hierarchical: bool = False) -> DataFrame:
 def latest_message_rows(t: Tables) -> DataFrame:
     """Classification rows of the latest message per (classifier, source), all classes kept,
     with ``deltat`` and ``gentype``. Latest = ingest time, then message id."""
-    ctx = message_source_context(t).select("broker_message_id", "dia_source_id", "desc_ingest_ts", "deltat", "gentype")
-    pairs = t.broker_classification.select("broker_message_id", "classifier_id").distinct()
-    latest = pick_one(pairs.join(ctx, "broker_message_id"), ["classifier_id", "dia_source_id"],
-                      [desc("desc_ingest_ts", nulls_first=False), desc("broker_message_id", nulls_first=False)],
-                      ["broker_message_id", "deltat", "gentype"])
-    return t.broker_classification.join(latest.drop("dia_source_id"), ["broker_message_id", "classifier_id"])
+    ctx = message_source_context(t).select("broker_message_id", "dia_source_id", "ingest_ts", "deltat", "gentype")
+    # picked as whole messages (an array of bounded size), so the classification rows are read once
+    latest = pick_one(message_arrays(t).join(ctx, "broker_message_id"), ["classifier_id", "dia_source_id"],
+                      [desc("ingest_ts", nulls_first=False), desc("broker_message_id", nulls_first=False)],
+                      ["broker_message_id", "deltat", "gentype", "probs"])
+    return latest.select("broker_message_id", "classifier_id", "deltat", "gentype", F.inline("probs"))
 
 
 def all_rows_with_relday(t: Tables) -> DataFrame:
@@ -49,16 +51,22 @@ def all_rows_with_relday(t: Tables) -> DataFrame:
     return t.broker_classification.join(ctx, "broker_message_id").withColumn("relday", relday("deltat"))
 
 
+def classification_rows(t: Tables) -> DataFrame:
+    """The classifications of each (classifier, true class) with their day rel. peak (the 'classifications' listing)."""
+    rows = all_rows_with_relday(t).join(_true_classes(t), "gentype")
+    return rows.select("classifier_id", "true_class_id", "dia_source_id", "class_id", "relday", "probability")
+
+
 def prob_by_relday(t: Tables, lo: int = RELDAY_RANGE[0], hi: int = RELDAY_RANGE[1]) -> DataFrame:
     """(classifier_id, true_class_id, relday, class_id, mean_probability, max_probability, n)
     over the latest message per classifier and source, reldays in [lo, hi]."""
     rows = latest_message_rows(t).withColumn("relday", relday("deltat")).where(F.col("relday").between(lo, hi))
     per_gentype = (rows.groupBy("classifier_id", "gentype", "relday", "class_id")
-                   .agg(X.fixed_sum("probability").alias("s"), F.max("probability").alias("m"),
-                        F.count(F.lit(1)).alias("c")))
+                   .agg(*X.partial("probability", "s"), F.max("probability").alias("m"),
+                        F.count("probability").alias("c")))
     return (per_gentype.join(_true_classes(t), "gentype")
             .groupBy("classifier_id", "true_class_id", "relday", "class_id")
-            .agg(X.mean_of(F.sum("s"), F.sum("c")).alias("mean_probability"), F.max("m").alias("max_probability"),
+            .agg(X.mean_of("s", F.sum("c")).alias("mean_probability"), F.max("m").alias("max_probability"),
                  F.sum("c").alias("n")))
 
 
@@ -72,13 +80,6 @@ def top_classes(means: DataFrame, k: int = 5) -> DataFrame:
     return peak.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def per_message_argmax(t: Tables) -> DataFrame:
-    """(broker_message_id, classifier_id, class_id, probability): each message's
-    highest-probability class (ties to the smaller class), map-side combined."""
-    return pick_one(t.broker_classification, ["broker_message_id", "classifier_id"],
-                    [desc("probability"), asc("class_id")], ["class_id", "probability"])
-
-
 def top_class_curves(means: DataFrame, k: int = 5) -> DataFrame:
     """The per-day curves of the ``k`` classes with the highest peak mean probability
     per (classifier, true class): windows over the aggregated means (one row per
@@ -138,26 +139,20 @@ def relday_distribution(t: Tables) -> DataFrame:
     rows = all_rows_with_relday(t)
     per_gentype = (rows.groupBy("classifier_id", "gentype", "relday", "class_id")
                    .agg(F.count(F.lit(1)).alias("c"), F.min("probability").alias("lo"),
-                        F.max("probability").alias("hi"), X.fixed_sum("probability").alias("s")))
+                        F.max("probability").alias("hi"), *X.partial("probability", "s")))
     return (per_gentype.join(_true_classes(t), "gentype")
             .groupBy("classifier_id", "true_class_id", "relday", "class_id")
             .agg(F.sum("c").alias("n"), F.min("lo").alias("min_probability"), F.max("hi").alias("max_probability"),
-                 X.mean_of(F.sum("s"), F.sum("c")).alias("mean_probability")))
-
+                 X.mean_of("s", F.sum("c")).alias("mean_probability")))
 
-def relday_quantiles(t: Tables, probs=(0.25, 0.5, 0.75), accuracy: int = 10000) -> DataFrame:
-    """Quartiles of raw probabilities per (classifier, true class, relday, class).
 
-    ``percentile_approx`` keeps a bounded sketch per group (relative rank error
-    1/accuracy), so a group of any size fits in memory; while a group is small the
-    sketch holds every value and the result is the exact lower quantile
-    (``quantile_disc``). Columns ``q25``, ``q50``, ``q75`` for the default ``probs``."""
+def relday_quantiles(t: Tables, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact lower quantiles of raw probabilities per (classifier, true class, relday, class), groups of any
+    size. Columns ``q25``, ``q50``, ``q75`` for the default ``probs``."""
     rows = all_rows_with_relday(t).join(_true_classes(t), "gentype")
-    q = F.percentile_approx("probability", list(probs), accuracy)
-    names = [f"q{int(round(p * 100))}" for p in probs]
-    return (rows.groupBy("classifier_id", "true_class_id", "relday", "class_id").agg(q.alias("qs"))
-            .select("classifier_id", "true_class_id", "relday", "class_id",
-                    *[F.col("qs")[i].alias(n) for i, n in enumerate(names)]))
+    inside = F.least(F.greatest(F.col("probability"), F.lit(0.0)), F.lit(1.0))
+    return exact_quantiles(rows, ["classifier_id", "true_class_id", "relday", "class_id"], "probability",
+                           {f"q{int(round(p * 100))}": p for p in probs}, F.floor(inside * 1000))
 
 
 def prob_histogram_closed(t: Tables, n_bins: int = 20) -> DataFrame:

@@ -6,9 +6,14 @@ with a higher-order function, before any explode."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from probscope.operators.select_one import asc, desc, pick_one
+from probscope.sources.fixtures import Tables
+
 
 def messages_as_arrays(cls: DataFrame) -> DataFrame:
     """(broker_message_id, classifier_id, probs array<struct<class_id, probability>>); one
@@ -23,11 +28,26 @@ def explode_messages(msgs: DataFrame) -> DataFrame:
 
 
 def argmax_from_array(msgs: DataFrame) -> DataFrame:
-    """Highest-probability class of each message without exploding (ties: smaller class)."""
-    def better(acc, x):
-        wins = (x["probability"] > acc["probability"]) | (
-            (x["probability"] == acc["probability"]) & (x["class_id"] < acc["class_id"]))
-        return F.when(wins, x).otherwise(acc)
-    best = F.aggregate("probs", F.col("probs")[0], better)
-    return msgs.select("broker_message_id", "classifier_id", best["class_id"].alias("class_id"),
-                       best["probability"].alias("probability"))
+    """Highest-probability class of each message without exploding (ties: smaller class), a NULL before all
+    numbers, as PostgreSQL orders DESC."""
+    best = F.array_max(F.transform("probs", lambda x: F.struct(
+        x["probability"].isNull().alias("none"), x["probability"].alias("p"), (-x["class_id"]).alias("c"))))
+    return msgs.where(F.size("probs") > 0).select(
+        "broker_message_id", "classifier_id", (-best["c"]).alias("class_id"), best["p"].alias("probability"))
+
+
+def message_arrays(t: Tables) -> DataFrame:
+    """The array form: as stored, where the data set holds it, else built from the long rows."""
+    return t.message_probs if t.message_probs is not None else messages_as_arrays(t.broker_classification)
+
+
+def per_message_argmax(t: Tables, classifier_ids: Sequence[int] | None = None) -> DataFrame:
+    """(broker_message_id, classifier_id, class_id, probability): each message's highest-probability class (ties
+    to the smaller class). From the stored array form it needs no shuffle; else it is a map-side combined aggregate."""
+    rows = t.message_probs if t.message_probs is not None else t.broker_classification
+    if classifier_ids is not None:
+        rows = rows.where(F.col("classifier_id").isin(list(classifier_ids)))
+    if t.message_probs is not None:
+        return argmax_from_array(rows)
+    return pick_one(rows, ["broker_message_id", "classifier_id"], [desc("probability"), asc("class_id")],
+                    ["class_id", "probability"])

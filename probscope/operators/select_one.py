@@ -50,7 +50,10 @@ def order_key(order: Order) -> Column:
             val = -col
         else:
             raise ValueError(f"direction must be 'asc' or 'desc', got {direction!r}")
-        fields += [flag.alias(f"n{i}"), val.alias(f"v{i}")]
+        if direction == "asc":  # PostgreSQL holds NaN for the greatest number: last under ASC
+            fields += [flag.alias(f"n{i}"), (~F.isnan(col.cast("double"))).alias(f"r{i}"), val.alias(f"v{i}")]
+        else:
+            fields += [flag.alias(f"n{i}"), val.alias(f"v{i}")]
     return F.struct(*fields)
 
 

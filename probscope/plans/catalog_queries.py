@@ -32,7 +32,7 @@ def match_level(t: Tables):
 @register("match_rate_by_level")
 def match_rate_by_level(t: Tables):
     """Share of objects whose last-best prediction matches the truth at each level."""
-    return cat.match_rate_by_level(cm.confusion_counts(t, "last_best"))
+    return cat.match_rate_by_level(cm.confusion_counts(t, "last_best"), cat.class_catalog(t))
 
 
 @register("classifier_catalog")
@@ -42,10 +42,8 @@ def classifier_catalog(t: Tables):
 
 
 def _catalog_entries(t: Tables):
-    levels = cat.match_levels(t)
     gentypes = t.gentype_hier.groupBy("class_id").agg(F.array_sort(F.collect_set("gentype")).alias("gentype"))
-    names = cat.class_catalog(t).select("class_id", "description")
-    return levels.join(names, "class_id").join(gentypes, "class_id", "left")
+    return cat.with_match_levels(cat.class_catalog(t), keep=["description"]).join(gentypes, "class_id", "left")
 
 
 @register("catalog_from_json")
@@ -58,11 +56,12 @@ def catalog_from_json(t: Tables):
 
 @register("classifier_catalog_json")
 def classifier_catalog_json(t: Tables):
-    """Classifier catalogue as JSON (keyed by id text) and parsed back, with titles."""
+    """Classifier catalogue with its message counts as JSON (keyed by id text) and parsed back."""
     entry = F.struct(F.col("classifier_id").cast("string").alias("key"),
                      F.struct(F.col("broker_name").alias("brokername"), F.col("broker_version").alias("brokerversion"),
                               F.col("classifier_name").alias("classifiername"),
-                              F.col("classifier_params").alias("classifierparams")).alias("value"))
+                              F.col("classifier_params").alias("classifierparams"),
+                              F.col("n_messages").alias("nmessages")).alias("value"))
     doc = cat.classifier_catalog(t).agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
     return io.parse_classifier_catalog(doc)
 
@@ -74,8 +73,16 @@ def tight_json_rows(t: Tables):
     means = rd.prob_by_relday(t)
     docs = io.to_tight_json(means, ["classifier_id", "true_class_id"], ["relday", "class_id"],
                             ["mean_probability", "n"])
-    rows = io.parse_tight_json(docs, keep=["classifier_id", "true_class_id"], index_names=["relday", "class_id"],
-                               columns=["mean_probability", "n"])
-    return rows.select("classifier_id", "true_class_id", F.col("relday").cast("int").alias("relday"),
-                       F.col("class_id").cast("int").alias("class_id"), "mean_probability",
-                       F.col("n").cast("long").alias("n"))
+    return io.parse_tight_json(docs, keep=["classifier_id", "true_class_id"], index_names=["relday", "class_id"],
+                               columns=["mean_probability", "n"], types={"relday": "int", "class_id": "int", "n": "long"})
+
+
+@register("tight_json_sources")
+def tight_json_sources(t: Tables):
+    """The sources of each classified object, with 64-bit ids and band names, as one 'tight' document per object,
+    parsed back."""
+    from probscope.operators import relday as rd
+    by = ["classifier_id", "true_class_id", "dia_object_id"]
+    docs = io.to_tight_json(rd.source_summary(t), by, ["dia_source_id"], ["filter_name", "deltat"])
+    return io.parse_tight_json(docs, keep=by, index_names=["dia_source_id"], columns=["filter_name", "deltat"],
+                               types={"dia_source_id": "long", "filter_name": "string"})

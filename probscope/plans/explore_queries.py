@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from probscope.operators import explore as ex
 from probscope.operators.context import source_classifications
 from probscope.plans.registry import register
-from probscope.sources import dims
 from probscope.sources.fixtures import Tables
 
 PICK_CLASSIFIER, PICK_RANK = 1, 3
@@ -49,6 +48,19 @@ def classifications_with_deltat(t: Tables):
     return ex.classifications_with_deltat(t, cfers, true_class_id=2222)
 
 
+@register("first_classifications")
+def first_classifications(t: Tables):
+    """The first 10000 of these rows by object, time, message and class (LIMIT after ORDER BY)."""
+    return ex.classifications_with_deltat(t, t.classifiers, true_class_id=2222, limit=10_000)
+
+
+@register("predicate_rows")
+def predicate_rows(t: Tables):
+    """Classifications of every classifier filtered by a predicate given as text."""
+    view = source_classifications(t).where("probability >= 0.25 AND class_id <> true_class_id AND alert_sent_ts IS NOT NULL")
+    return view.select("classifier_id", "true_class_id", "class_id", "alert_id", "broker_message_id", "probability")
+
+
 @register("prob_matrix_pivot")
 def prob_matrix_pivot(t: Tables):
     """deltat x class matrix of rounded probabilities for the picked object, per classifier."""
@@ -56,7 +68,7 @@ def prob_matrix_pivot(t: Tables):
             .join(t.diasource.select("dia_source_id", "mid_point_tai"), "dia_source_id")
             .join(t.truth.select("dia_object_id", "peakmjd"), "dia_object_id")
             .withColumn("deltat", F.col("mid_point_tai") - F.col("peakmjd")))
-    return ex.prob_matrix(hist, dims.FIXTURE_CLASS_IDS)
+    return ex.prob_matrix(hist, ex.catalogue_classes(t))
 
 
 @register("semi_join_class_objects")
@@ -67,14 +79,14 @@ def semi_join_class_objects(t: Tables):
 
 @register("naive_tbin_mean")
 def naive_tbin_mean(t: Tables):
-    """Mean probability per classifier in 5-day bins (row-weighted) over those rows."""
-    return ex.naive_tbin_mean(ex.semi_join_class_rows(t, 2222), weight="row")
+    """Mean probability of the true class per classifier, true class and 5-day bin (row-weighted)."""
+    return ex.naive_tbin_mean(ex.true_class_rows(t), weight="row")
 
 
 @register("object_weighted_tbin_mean")
 def object_weighted_tbin_mean(t: Tables):
     """Same with every object weighted once per bin."""
-    return ex.naive_tbin_mean(ex.semi_join_class_rows(t, 2222), weight="object")
+    return ex.naive_tbin_mean(ex.true_class_rows(t), weight="object")
 
 
 @register("class_histogram10")

@@ -4,21 +4,19 @@ exploration families (DuckDB dialect)."""
 from __future__ import annotations
 
 from probscope.plans.oracle import oracle
+from probscope.sources import dims
 from probscope.plans.oracle_base import round6, width_bucket_sql
 
 D = "CAST({} AS DOUBLE)".format
 
 
-def FIXED(x: str) -> str:
-    return f"CAST(floor({x} * CAST(1e9 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT)"
-
-
 def FSUM(x: str) -> str:
-    return f"(CAST(sum({FIXED(x)}) AS DOUBLE) / CAST(1e9 AS DOUBLE))"
+    return f"fsum({x})"  # a sum with error compensation
 
 
 def FMEAN(x: str) -> str:
-    return f"({FSUM(x)} / CAST(count({x}) AS DOUBLE))"
+    return f"favg({x})"
+
 
 TBIN = width_bucket_sql("deltat", -30.0, 100.0, 26)
 PROBBIN = width_bucket_sql("probability", 0.0, 1.0, 20)
@@ -36,7 +34,7 @@ def tbin_val(b: str) -> str:
 
 
 CTX = """
-        SELECT m.broker_message_id, m.alert_id, m.desc_ingest_ts, a.dia_source_id, a.dia_object_id,
+        SELECT m.broker_message_id, m.alert_id, m.ingest_ts, a.dia_source_id, a.dia_object_id,
                a.alert_sent_ts, s.mid_point_tai - t.peakmjd AS deltat, t.gentype, s.filter_name
         FROM broker_message m
         JOIN diaalert a ON a.alert_id = m.alert_id
@@ -61,13 +59,11 @@ HIST = _hist("gentype_dim")
 NORM = """
         SELECT *, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY classifier_id, true_class_id, class_id, tbin) AS frac
         FROM hist"""
+# probbin 1 counts as probability 0
 EXPECTED = f"""
         SELECT classifier_id, true_class_id, tbin, class_id,
-               (CAST(sum(CASE WHEN probbin >= 2 AND probbin <= 20 THEN n * (2 * probbin - 1) ELSE 0 END) AS DOUBLE)
-                  * {D(0.025)}
-                + CAST(sum(CASE WHEN probbin >= 21 THEN n WHEN probbin <= 0 THEN -n ELSE 0 END) AS DOUBLE))
-               / CAST(sum(n) AS DOUBLE) AS prob
-        FROM hist GROUP BY ALL"""
+               fsum(frac * CASE WHEN probbin = 1 THEN 0.0 ELSE {probbin_val("probbin")} END) AS prob
+        FROM norm GROUP BY ALL"""
 HC = {"ctx": CTX, "ded": DED, "hist": HIST, "norm": NORM, "expected": EXPECTED}
 
 oracle("dedupe_mean", f"""
@@ -184,7 +180,7 @@ oracle("probdiff_hist", f"""
         FROM pdh h
         JOIN timebins tbe ON tbe.timebin = h.earlytimebin
         JOIN timebins tbl ON tbl.timebin = h.latetimebin""", PDC)
-oracle("probdiff_hist_filled", f"""
+FILLED = f"""
         SELECT g.classifier_id, g.true_class_id, g.earlytimebin, g.latetimebin, b.probdiffbin,
                {round6(BINMEAN.replace('probdiffbin', 'b.probdiffbin'))} AS binmeanprobdiff, CAST(coalesce(h.n, 0) AS BIGINT) AS n,
                {round6('coalesce(CAST(h.n AS DOUBLE) / sum(h.n) OVER (PARTITION BY g.classifier_id, g.true_class_id, g.earlytimebin, g.latetimebin), 0.0)')} AS frac
@@ -192,7 +188,9 @@ oracle("probdiff_hist_filled", f"""
         CROSS JOIN (SELECT CAST(range AS BIGINT) AS probdiffbin FROM range(1, 42)) b
         LEFT JOIN pdh h ON h.classifier_id = g.classifier_id AND h.true_class_id = g.true_class_id
                         AND h.earlytimebin = g.earlytimebin AND h.latetimebin = g.latetimebin
-                        AND h.probdiffbin = b.probdiffbin""", PDC)
+                        AND h.probdiffbin = b.probdiffbin"""
+oracle("probdiff_hist_filled", FILLED, PDC)
+oracle("probdiff_hist_inner", f"SELECT * FROM ({FILLED}) f WHERE probdiffbin BETWEEN 2 AND 40", PDC)
 
 # ---------------------------------------------------------------- relday family
 def closed_bin_sql(x: str, lo, hi, n: int) -> str:
@@ -209,7 +207,7 @@ LATEST = """
         SELECT broker_message_id, classifier_id, deltat, gentype FROM (
           SELECT p.broker_message_id, p.classifier_id, x.deltat, x.gentype,
                  row_number() OVER (PARTITION BY p.classifier_id, x.dia_source_id
-                                    ORDER BY x.desc_ingest_ts DESC NULLS LAST, p.broker_message_id DESC) AS rn
+                                    ORDER BY x.ingest_ts DESC NULLS LAST, p.broker_message_id DESC) AS rn
           FROM (SELECT DISTINCT broker_message_id, classifier_id FROM broker_classification) p
           JOIN ctx x ON x.broker_message_id = p.broker_message_id) q
         WHERE rn = 1"""
@@ -305,13 +303,15 @@ oracle("prob_histogram_closed", f"""
           FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype) q
         WHERE bin IS NOT NULL
         GROUP BY ALL""", {"ctx": CTX, "allrows": ALLROWS})
-oracle("source_summary", """
+SOURCES = """
         SELECT cs.classifier_id, g.class_id AS true_class_id, s.dia_object_id, s.dia_source_id, s.filter_name,
                s.mid_point_tai - t.peakmjd AS deltat
         FROM csrc cs
         JOIN diasource s ON s.dia_source_id = cs.dia_source_id
         JOIN truth t ON t.dia_object_id = s.dia_object_id
-        JOIN gentype_dim g ON g.gentype = t.gentype""", PKC)
+        JOIN gentype_dim g ON g.gentype = t.gentype"""
+oracle("source_summary", SOURCES, PKC)
+oracle("tight_json_sources", SOURCES, PKC)
 oracle("object_summary", """
         SELECT o.classifier_id, g.class_id AS true_class_id, o.dia_object_id, t.gentype, t.peakmjd
         FROM (SELECT DISTINCT cs.classifier_id, s.dia_object_id FROM csrc cs
@@ -327,7 +327,7 @@ oracle("classification_summary", """
 # ---------------------------------------------------------------- exploration
 VIEW = """
         SELECT c.classifier_id, a.dia_object_id, a.dia_source_id, c.class_id, m.alert_id, g.class_id AS true_class_id,
-               c.probability, m.desc_ingest_ts, a.alert_sent_ts, c.broker_message_id
+               c.probability, m.ingest_ts, a.alert_sent_ts, c.broker_message_id
         FROM broker_classification c
         JOIN broker_message m ON m.broker_message_id = c.broker_message_id
         JOIN diaalert a ON a.alert_id = m.alert_id
@@ -337,29 +337,42 @@ PICKED = """
         SELECT p.dia_object_id, p.n AS n_classifications, g.class_id AS true_class_id
         FROM pick p JOIN truth t ON t.dia_object_id = p.dia_object_id JOIN gentype_dim g ON g.gentype = t.gentype"""
 EC = {"view": VIEW, "pick": PICK, "picked": PICKED}
-_VCOLS = "classifier_id, dia_object_id, class_id, alert_id, true_class_id, probability, desc_ingest_ts, alert_sent_ts"
+_VCOLS = "classifier_id, dia_object_id, class_id, alert_id, true_class_id, " + round6("probability") + " AS probability, ingest_ts, alert_sent_ts"
 oracle("page_offset_limit", f"""
         SELECT {_VCOLS} FROM view WHERE classifier_id = 1
-        ORDER BY dia_object_id, desc_ingest_ts, class_id, broker_message_id OFFSET 2000 LIMIT 1000""", EC)
+        ORDER BY dia_object_id, ingest_ts, class_id, broker_message_id OFFSET 2000 LIMIT 1000""", EC)
 oracle("third_richest_object", "SELECT * FROM picked", EC)
-oracle("object_prob_history", """
-        SELECT v.classifier_id, v.dia_object_id, v.class_id, v.alert_id, v.true_class_id, v.probability,
+oracle("object_prob_history", f"""
+        SELECT v.classifier_id, v.dia_object_id, v.class_id, v.alert_id, v.true_class_id, {round6("v.probability")} AS probability,
                v.alert_sent_ts, s.mid_point_tai
         FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
         WHERE v.dia_object_id IN (SELECT dia_object_id FROM picked) AND v.class_id = v.true_class_id""", EC)
 oracle("light_curve", """
         SELECT dia_object_id, mid_point_tai, ps_flux, ps_flux_err, filter_name FROM diaforcedsource
         WHERE dia_object_id IN (SELECT dia_object_id FROM picked)""", EC)
-oracle("classifications_with_deltat", """
-        SELECT v.classifier_id, v.dia_object_id, v.class_id, v.alert_id, v.true_class_id, v.probability,
+oracle("classifications_with_deltat", f"""
+        SELECT v.classifier_id, v.dia_object_id, v.class_id, v.alert_id, v.true_class_id, {round6("v.probability")} AS probability,
                v.alert_sent_ts, s.mid_point_tai - t.peakmjd AS deltat
         FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
         JOIN truth t ON t.dia_object_id = v.dia_object_id
         WHERE v.classifier_id IN (SELECT classifier_id FROM classifiers WHERE broker_name = 'Aster')
           AND v.true_class_id = 2222""", EC)
+oracle("first_classifications", f"""
+        SELECT classifier_id, dia_object_id, class_id, alert_id, true_class_id, {round6("probability")} AS probability,
+               alert_sent_ts, deltat
+        FROM (SELECT v.*, s.mid_point_tai - t.peakmjd AS deltat
+              FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
+              JOIN truth t ON t.dia_object_id = v.dia_object_id
+              WHERE v.true_class_id = 2222
+              ORDER BY v.dia_object_id NULLS FIRST, v.alert_sent_ts NULLS LAST, v.broker_message_id, v.class_id
+              LIMIT 10000) q""", EC)
+oracle("predicate_rows", f"""
+        SELECT classifier_id, true_class_id, class_id, alert_id, broker_message_id, {round6("probability")} AS probability
+        FROM view WHERE probability >= 0.25 AND class_id <> true_class_id AND alert_sent_ts IS NOT NULL""", EC)
 oracle("prob_matrix_pivot", "SELECT classifier_id, dia_object_id, deltat, " + ", ".join(
     f"{round6(f'avg(CASE WHEN class_id = {c} THEN bin_prob END)')} AS class_{c}"
-    for c in (2222, 2223, 2224, 2232, 2242)) + """
+    for c in sorted({c for c, *_ in dims.EXACT_CLASSES + dims.HIER_EXTRA_CLASSES})) + """,
+               count(*) FILTER (class_id NOT IN (SELECT class_id FROM gentype_hier)) AS n_other
         FROM (SELECT v.classifier_id, v.dia_object_id, v.class_id, s.mid_point_tai - t.peakmjd AS deltat,
                      round_even(v.probability * 100.0, 0) / 100.0 AS bin_prob
               FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
@@ -377,16 +390,21 @@ SEMI = """
 oracle("semi_join_class_objects", f"""
         SELECT classifier_id, dia_object_id, class_id, alert_id, {round6('probability')} AS probability, alert_sent_ts,
                mid_point_tai, peakmjd, deltat, true_class_id FROM semi_rows""", {**EC, "semi_rows": SEMI})
+TRUE_ROWS = """
+        SELECT v.classifier_id, v.dia_object_id, v.true_class_id, v.probability, s.mid_point_tai - t.peakmjd AS deltat
+        FROM view v JOIN diasource s ON s.dia_source_id = v.dia_source_id
+        JOIN truth t ON t.dia_object_id = v.dia_object_id
+        WHERE v.class_id = v.true_class_id"""
 oracle("naive_tbin_mean", f"""
-        SELECT classifier_id, CAST(floor((deltat + 20.0) / 5.0) AS BIGINT) AS tbin,
+        SELECT classifier_id, true_class_id, CAST(floor((deltat + 20.0) / 5.0) AS BIGINT) AS tbin,
                {round6(FMEAN('probability'))} AS mean_prob, count(*) AS n
-        FROM semi_rows GROUP BY ALL""", {**EC, "semi_rows": SEMI})
+        FROM true_rows GROUP BY ALL""", {**EC, "true_rows": TRUE_ROWS})
 oracle("object_weighted_tbin_mean", f"""
-        SELECT classifier_id, tbin, {round6(FMEAN('p'))} AS mean_prob, count(*) AS n
-        FROM (SELECT classifier_id, CAST(floor((deltat + 20.0) / 5.0) AS BIGINT) AS tbin, dia_object_id,
+        SELECT classifier_id, true_class_id, tbin, {round6(FMEAN('p'))} AS mean_prob, count(*) AS n
+        FROM (SELECT classifier_id, true_class_id, CAST(floor((deltat + 20.0) / 5.0) AS BIGINT) AS tbin, dia_object_id,
                      {FMEAN('probability')} AS p
-              FROM semi_rows GROUP BY ALL) q
-        GROUP BY ALL""", {**EC, "semi_rows": SEMI})
+              FROM true_rows GROUP BY ALL) q
+        GROUP BY ALL""", {**EC, "true_rows": TRUE_ROWS})
 oracle("class_histogram10", f"""
         SELECT r.classifier_id, b.bin,
                {round6('r.lo + CAST(b.bin - 1 AS DOUBLE) * ((r.hi - r.lo) / 10.0)')} AS bin_lo,
@@ -418,13 +436,13 @@ CATALOG = """
                ON c.class_id = u.class_id
         LEFT JOIN (SELECT class_id, min(description) AS description FROM gentype_hier GROUP BY class_id) d
                ON d.class_id = u.class_id"""
-LEVEL = """CASE WHEN NOT (class_id >= 2000) THEN 'none' WHEN class_id < 1000 THEN 'none'
+LEVEL = """CASE WHEN NOT (class_id >= 2000) OR description LIKE '%/Other' THEN 'none' WHEN class_id < 1000 THEN 'none'
                 WHEN class_id % 1000 = 0 THEN 'broad' WHEN class_id % 100 = 0 THEN 'general'
                 WHEN class_id % 10 = 0 THEN 'category' ELSE 'exact' END"""
 LEVELS = f"""
         SELECT class_id, level, level = 'exact' AS exactmatch, level = 'category' AS categorymatch,
                level = 'general' AS generalmatch, level = 'broad' AS broadmatch
-        FROM (SELECT class_id, {LEVEL} AS level FROM used) q"""
+        FROM (SELECT class_id, {LEVEL} AS level FROM catalog) q"""
 CC = {"used": USED, "catalog": CATALOG, "levels": LEVELS}
 oracle("class_catalog", "SELECT * FROM catalog", CC)
 oracle("taxonomy_order", """
@@ -439,13 +457,15 @@ oracle("match_rate_by_level", f"""
                CAST(sum(CASE WHEN pred_class >= 0 AND CAST(floor(pred_class / d) * d AS INTEGER)
                                   = CAST(floor(true_class / d) * d AS INTEGER) THEN n ELSE 0 END) AS BIGINT) AS n_match,
                {round6('sum(CASE WHEN pred_class >= 0 AND CAST(floor(pred_class / d) * d AS INTEGER) = CAST(floor(true_class / d) * d AS INTEGER) THEN n ELSE 0 END) / sum(n)')} AS rate
-        FROM counts
+        FROM matchable
         CROSS JOIN (VALUES ('exact', 1), ('category', 10), ('general', 100), ('broad', 1000)) lv(level, d)
-        GROUP BY ALL""", {"best": __import__('probscope.plans.oracle', fromlist=['chosen_sql']).chosen_sql("last_best"),
+        GROUP BY ALL""", {**CC,"best": __import__('probscope.plans.oracle', fromlist=['chosen_sql']).chosen_sql("last_best"),
                           "counts": """
         SELECT b.classifier_id, b.class_id AS pred_class, g.class_id AS true_class, count(*) AS n
         FROM truth t JOIN gentype_dim g ON t.gentype = g.gentype JOIN best b ON b.dia_object_id = t.dia_object_id
-        GROUP BY ALL"""})
+        GROUP BY ALL""", "matchable": """
+        SELECT c.classifier_id, c.true_class, c.n, CASE WHEN l.level = 'none' THEN -1 ELSE c.pred_class END AS pred_class
+        FROM counts c LEFT JOIN levels l ON l.class_id = c.pred_class"""})
 CFSTATS = """
         SELECT classifier_id, count(*) AS n_messages, sum(c) AS n_classifications
         FROM (SELECT broker_message_id, classifier_id, count(*) AS c FROM broker_classification GROUP BY ALL) m
@@ -468,8 +488,10 @@ oracle("catalog_from_json", """
         LEFT JOIN (SELECT class_id, string_agg(CAST(gentype AS VARCHAR), ',' ORDER BY gentype) AS gentypes
                    FROM (SELECT DISTINCT class_id, gentype FROM gentype_hier) q GROUP BY class_id) g
                ON g.class_id = l.class_id""", CC)
-oracle("classifier_catalog_json",
-       "SELECT classifier_id, broker_name, broker_version, classifier_name, classifier_params FROM classifiers")
+oracle("classifier_catalog_json", """
+        SELECT c.classifier_id, c.broker_name, c.broker_version, c.classifier_name, c.classifier_params,
+               CAST(coalesce(s.n_messages, 0) AS BIGINT) AS n_messages
+        FROM classifiers c LEFT JOIN cfstats s ON s.classifier_id = c.classifier_id""", {"cfstats": CFSTATS})
 oracle("tight_json_rows", f"""
         SELECT classifier_id, true_class_id, relday, class_id, {round6('mean_probability')} AS mean_probability, n
         FROM byday""", RC)
@@ -484,19 +506,22 @@ ALERT_RATE = """
         FROM diaalert WHERE alert_sent_ts IS NOT NULL GROUP BY ALL"""
 oracle("alert_rate", ALERT_RATE)
 oracle("alert_rate_stream", ALERT_RATE)
+# An alert is sent, the broker publishes a message on it, the service takes the message in.
+DELAYS = """
+        SELECT p.classifier_id, k.delay,
+               CASE k.delay WHEN 'alert_to_broker' THEN epoch(m.broker_ts) - epoch(a.alert_sent_ts)
+                            WHEN 'broker_to_ingest' THEN epoch(m.ingest_ts) - epoch(m.broker_ts)
+                            ELSE epoch(m.ingest_ts) - epoch(a.alert_sent_ts) END::BIGINT AS seconds
+        FROM (SELECT DISTINCT broker_message_id, classifier_id FROM broker_classification) p
+        JOIN broker_message m ON m.broker_message_id = p.broker_message_id
+        JOIN diaalert a ON a.alert_id = m.alert_id
+        CROSS JOIN (VALUES ('alert_to_broker'), ('broker_to_ingest'), ('alert_to_ingest')) k(delay)
+        WHERE a.alert_sent_ts IS NOT NULL"""
 oracle("delay_stats", f"""
         SELECT classifier_id, delay, count(*) AS n, {round6('avg(seconds)')} AS mean_seconds,
-               min(seconds) AS min_seconds, max(seconds) AS max_seconds
-        FROM (SELECT p.classifier_id, k.delay,
-                     CASE k.delay WHEN 'alert_to_broker' THEN date_diff('second', a.alert_sent_ts, m.desc_ingest_ts)
-                                  WHEN 'broker_to_ingest' THEN date_diff('second', m.desc_ingest_ts, m.broker_ingest_ts)
-                                  ELSE date_diff('second', a.alert_sent_ts, m.broker_ingest_ts) END AS seconds
-              FROM (SELECT DISTINCT broker_message_id, classifier_id FROM broker_classification) p
-              JOIN broker_message m ON m.broker_message_id = p.broker_message_id
-              JOIN diaalert a ON a.alert_id = m.alert_id
-              CROSS JOIN (VALUES ('alert_to_broker'), ('broker_to_ingest'), ('alert_to_ingest')) k(delay)
-              WHERE a.alert_sent_ts IS NOT NULL) q
-        GROUP BY ALL""")
+               min(seconds) AS min_seconds, max(seconds) AS max_seconds, quantile_disc(seconds, 0.25) AS q25_seconds,
+               quantile_disc(seconds, 0.5) AS q50_seconds, quantile_disc(seconds, 0.75) AS q75_seconds
+        FROM delays GROUP BY ALL""", {"delays": DELAYS})
 oracle("completeness", f"""
         SELECT cf.classifier_id, (SELECT count(DISTINCT dia_source_id) FROM diaalert WHERE alert_sent_ts IS NOT NULL)
                  AS n_sent,
@@ -534,15 +559,8 @@ oracle("argmax_from_array", f"""
         WHERE rn = 1""")
 
 oracle("delay_histogram", """
-        SELECT p.classifier_id,
-               CAST(floor(date_diff('second', a.alert_sent_ts, m.desc_ingest_ts) / 86400) * 86400 AS BIGINT)
-                 AS bin_start_seconds,
-               count(*) AS n
-        FROM (SELECT DISTINCT broker_message_id, classifier_id FROM broker_classification) p
-        JOIN broker_message m ON m.broker_message_id = p.broker_message_id
-        JOIN diaalert a ON a.alert_id = m.alert_id
-        WHERE a.alert_sent_ts IS NOT NULL AND m.desc_ingest_ts IS NOT NULL
-        GROUP BY ALL""")
+        SELECT classifier_id, delay, CAST(floor(seconds / 86400) * 86400 AS BIGINT) AS bin_start_seconds, count(*) AS n
+        FROM delays GROUP BY ALL""", {"delays": DELAYS})
 oracle("classifications_relday", f"""
         SELECT r.classifier_id, g.class_id AS true_class_id, r.dia_source_id, r.class_id, r.relday,
                {round6('r.probability')} AS probability

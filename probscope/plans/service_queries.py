@@ -34,7 +34,7 @@ def alert_rate_stream(t: Tables):
     out = io.scratch_path(spark, "alert-rate", run)
     q = st.start_alert_rate(spark, folder, io.scratch_path(spark, "stream-ckpt", run), out)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return st.read_alert_rate(spark, out)
 
 
 @register("delay_stats")
@@ -110,15 +110,14 @@ def argmax_from_array(t: Tables):
 
 @register("delay_histogram")
 def delay_histogram(t: Tables):
-    """Alert-to-broker delays per classifier in one-day bins."""
-    return dg.delay_histogram(t, "alert_to_broker", 86400)
+    """Every kind of delay per classifier in one-day bins."""
+    return dg.delay_histogram(t, 86400)
 
 
 @register("classifications_relday")
 def classifications_relday(t: Tables):
     """Every classification with its source, class, day rel. peak and true class."""
-    rows = rd.all_rows_with_relday(t).join(rd._true_classes(t), "gentype")
-    return rows.select("classifier_id", "true_class_id", "dia_source_id", "class_id", "relday", "probability")
+    return rd.classification_rows(t)
 
 
 @register("json_rows_roundtrip")

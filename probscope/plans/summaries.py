@@ -32,6 +32,7 @@ SUMMARIES: dict[str, tuple[Callable[[Tables], DataFrame], tuple[str, ...]]] = {
     "peak_confusion_column": (rd.peak_confusion_column, io.SUMMARY_PARTITIONS),
     "objects": (rd.object_summary, io.SUMMARY_PARTITIONS),
     "sources": (rd.source_summary, io.SUMMARY_PARTITIONS),
+    "classifications": (rd.classification_rows, io.SUMMARY_PARTITIONS),
     "confusion_last_best": (lambda t: cm.with_classifier_name(
         cm.confusion_counts(t, "last_best", include_missed=True), t.classifiers), ("classifier_id",)),
     "confusion_best": (lambda t: cm.with_classifier_name(
@@ -39,6 +40,10 @@ SUMMARIES: dict[str, tuple[Callable[[Tables], DataFrame], tuple[str, ...]]] = {
 }
 
 
+#: Summaries of about as many rows as the sources or classifications.
+LARGE = {"objects", "sources", "classifications"}
+
+
 def build_summaries(tables: Tables, out_root: str, names=None, share_context: bool = True) -> dict[str, str]:
     """Write the chosen summaries under ``out_root``; returns name -> path.
 
@@ -57,7 +62,7 @@ def build_summaries(tables: Tables, out_root: str, names=None, share_context: bo
         written["_context"] = ctx_path
     for name in names or SUMMARIES:
         fn, parts = SUMMARIES[name]
-        written[name] = io.write_summary(fn(tables), io.join_path(out_root, name), parts)
+        written[name] = io.write_summary(fn(tables), io.join_path(out_root, name), parts, large=name in LARGE)
     return written
 
 

@@ -18,10 +18,12 @@ DIASOURCE = _st(("dia_source_id", _L), ("dia_object_id", _L), ("mid_point_tai",
 DIAFORCEDSOURCE = _st(("dia_object_id", _L), ("mid_point_tai", _D), ("ps_flux", _D), ("ps_flux_err", _D),
                       ("filter_name", _S))
 DIAALERT = _st(("alert_id", _L), ("dia_source_id", _L), ("dia_object_id", _L), ("alert_sent_ts", _TS))
-BROKER_MESSAGE = _st(("broker_message_id", _L), ("alert_id", _L), ("desc_ingest_ts", _TS),
-                     ("broker_ingest_ts", _TS))
+BROKER_MESSAGE = _st(("broker_message_id", _L), ("alert_id", _L), ("ingest_ts", _TS),
+                     ("broker_ts", _TS))
 BROKER_CLASSIFICATION = _st(("broker_message_id", _L), ("classifier_id", _I), ("class_id", _I),
                             ("probability", _D))
+MESSAGE_PROBS = _st(("broker_message_id", _L), ("classifier_id", _I),
+                    ("probs", T.ArrayType(_st(("class_id", _I), ("probability", _D)))))
 MAXPROB_TIMEBINS = _st(("timebin", _I), ("dtmin", _D), ("dtmax", _D))
 CONFUSION_CLASSES = _st(("true_class_id", _I), ("class_id", _I))
 
@@ -33,13 +35,13 @@ CLASS_CATALOG_JSON = T.MapType(_S, T.StructType([
 ]))
 CLASSIFIER_CATALOG_JSON = T.MapType(_S, T.StructType([
     T.StructField("brokername", _S), T.StructField("brokerversion", _S),
-    T.StructField("classifiername", _S), T.StructField("classifierparams", _S),
+    T.StructField("classifiername", _S), T.StructField("classifierparams", _S), T.StructField("nmessages", _L),
 ]))
-# pandas "tight" dict: index rows, column names, data rows.
+# pandas "tight" dict: index rows, column names, data rows; cells as text, whatever their type.
 TIGHT_FRAME_JSON = T.StructType([
-    T.StructField("index", T.ArrayType(T.ArrayType(_D))),
+    T.StructField("index", T.ArrayType(T.ArrayType(_S))),
     T.StructField("columns", T.ArrayType(_S)),
-    T.StructField("data", T.ArrayType(T.ArrayType(_D))),
+    T.StructField("data", T.ArrayType(T.ArrayType(_S))),
     T.StructField("index_names", T.ArrayType(_S)),
     T.StructField("column_names", T.ArrayType(_S)),
 ])

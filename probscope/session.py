@@ -30,12 +30,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at shared storage; we
-    only read it. Where it is unset (unit tests on a laptop) a local folder is
-    chosen and registered, so lineage cuts still work.
+    only read it. Where it is unset and the master is local (unit tests on a laptop) a
+    local folder is chosen and registered; on a cluster, whose executors would each
+    write to their own disk, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not root and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="probscope-ckpt-")
         spark.sparkContext.setCheckpointDir(root)

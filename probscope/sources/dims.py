@@ -28,6 +28,9 @@ EXACT_CLASSES = [
     (2224, 30, "SNII"),
     (2232, 40, "KN"),
     (2242, 50, "SLSN"),
+    (2312, 60, "Pulsator A"),
+    (2322, 70, "Pulsator/Other"),
+    (3121, 80, "Lens"),
 ]
 # Coarser taxonomy levels that the same gentypes fan out to, plus one repeated
 # (class, description) pair so that "one description per class" is exercised.
@@ -38,6 +41,11 @@ HIER_EXTRA_CLASSES = [
     (2220, 20, "SN-like"),
     (2220, 30, "SN-like"),
     (2222, 12, "SNIa"),
+    (2000, 60, "Variable"),
+    (2300, 60, "Periodic"),
+    (2300, 70, "Periodic"),
+    (3100, 80, "Lens family"),
+    (100, 0, "Residual"),
 ]
 # Classifier catalogue: ids 1..4 have data, 5 has none; one NULL params value.
 CLASSIFIERS = [
@@ -47,8 +55,11 @@ CLASSIFIERS = [
     (4, "Cygnus", "0.9", "LightCurveNet", "v2.0"),
     (5, "Cygnus", "0.9", "Baseline", "v1"),
 ]
-# Ordered class list used when the fixture builds one message into 5 rows.
-FIXTURE_CLASS_IDS = [2222, 2223, 2224, 2232, 2242]
+# Ordered class list used when the fixture builds one message into one row per class: exact classes in
+# three hundreds and two thousands, and a meta class.
+FIXTURE_CLASS_IDS = [2222, 2223, 2224, 2232, 2242, 2312, 2322, 3121, 100]
+# Objects whose key leaves such a remainder have these gentypes instead of their priority's.
+RARE_GENTYPES = [(13, 5, 60), (13, 7, 70), (17, 3, 80)]
 # Max-probability time bins: (-99999, -20), ten-day bins up to 100, [100, 99999).
 TIMEBIN_SENTINEL = 99999.0
 TIMEBIN_EDGES = (-20.0, 100.0, 10.0)
@@ -74,6 +85,7 @@ def maxprob_timebins(spark: SparkSession, lo: float = TIMEBIN_EDGES[0], hi: floa
 
 
 def confusion_classes(spark: SparkSession) -> DataFrame:
-    """For each true class, the classes whose probability is shown next to it."""
-    rows = [(t, c) for t, _, _ in EXACT_CLASSES for c in FIXTURE_CLASS_IDS]
+    """For each true class, the classes whose probability is shown next to it: itself and the next two."""
+    true_ = [c for c, _, _ in EXACT_CLASSES]
+    rows = [(t, true_[(i + k) % len(true_)]) for i, t in enumerate(true_) for k in range(3)]
     return F.broadcast(spark.createDataFrame(rows, CONFUSION_CLASSES))

@@ -18,7 +18,7 @@ import hashlib
 import threading
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from probscope.session import checkpoint_root, join_path
@@ -26,8 +26,7 @@ from probscope.sources import dims
 
 # Fixed values of the fixture formulas (FIXTURES.md section 2).
 SOURCE_KEY_FACTOR = 10            # dia_source_id = orderkey * 10 + linenumber
-MESSAGE_KEY_FACTOR = 100_000_000  # message id = source key * 1e8 + partkey * 1e3 + suppkey
-PART_FACTOR = 1_000
+MESSAGE_KEY_FACTOR = 1_000_000    # message id = source key * 1e6 + ordinal of the message within its source
 DAY_PERIOD = 160                  # mid_point_tai = peak + posmod(ship - peak, 160) - 40
 DAY_OFFSET = 40
 FILTER_OF_FLAG = {"R": "r", "A": "g", "N": "i"}
@@ -42,7 +41,7 @@ class Tables:
     diasource: DataFrame          # dia_source_id, dia_object_id, mid_point_tai, ps_flux, ps_flux_err, filter_name
     diaforcedsource: DataFrame    # dia_object_id, mid_point_tai, ps_flux, ps_flux_err, filter_name
     diaalert: DataFrame           # alert_id, dia_source_id, dia_object_id, alert_sent_ts
-    broker_message: DataFrame     # broker_message_id, alert_id, desc_ingest_ts, broker_ingest_ts
+    broker_message: DataFrame     # broker_message_id, alert_id, ingest_ts, broker_ts
     broker_classification: DataFrame  # broker_message_id, classifier_id, class_id, probability
     gentype: DataFrame            # class_id, gentype, description (exact level)
     gentype_hier: DataFrame       # the same plus coarser levels (fan-out)
@@ -50,6 +49,7 @@ class Tables:
     timebins: DataFrame           # timebin, dtmin, dtmax
     confusion_classes: DataFrame  # true_class_id, class_id
     paths: dict[str, str] | None = None  # Parquet folder of each data table, when materialised
+    message_probs: DataFrame | None = None  # optional array form: broker_message_id, classifier_id, probs
     context: DataFrame | None = None      # optional precomputed message-grain context (see probhist)
 
 
@@ -67,7 +67,8 @@ def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     truth = orders.select(
         F.col("o_orderkey").alias("dia_object_id"),
-        (F.substring("o_orderpriority", 1, 1).cast("int") * 10).alias("gentype"),
+        F.coalesce(*[F.when(F.col("o_orderkey") % m == r, g) for m, r, g in dims.RARE_GENTYPES],
+                   F.substring("o_orderpriority", 1, 1).cast("int") * 10).alias("gentype"),
         _days("o_orderdate").cast("double").alias("peakmjd"),
     )
 
@@ -103,21 +104,22 @@ def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     msg = (
         lineitem.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        .agg(F.min("l_shipdate").alias("desc_ingest_ts"), F.min("l_discount").alias("disc"),
+        .agg(F.min("l_shipdate").alias("broker_ts"), F.min("l_discount").alias("disc"),
              F.min("l_tax").alias("tax"), F.min("l_quantity").alias("qty"))
         .withColumn("source_key", F.col("l_orderkey") * SOURCE_KEY_FACTOR + F.col("l_linenumber"))
-        .withColumn("broker_message_id", F.col("source_key") * MESSAGE_KEY_FACTOR
-                    + F.col("l_partkey") * PART_FACTOR + F.col("l_suppkey"))
+        # (part, supplier) is unique within the group, so ordinals never collide; a source has a few messages
+        .withColumn("broker_message_id", F.col("source_key") * MESSAGE_KEY_FACTOR + F.row_number().over(
+            Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey")))
     )
     broker_message = msg.select(
         "broker_message_id",
         (F.col("source_key") + 1).alias("alert_id"),
-        "desc_ingest_ts",
-        (F.col("desc_ingest_ts") + F.make_dt_interval(secs=F.col("qty").cast("long"))).alias("broker_ingest_ts"),
+        (F.col("broker_ts") + F.make_dt_interval(secs=F.col("qty").cast("long"))).alias("ingest_ts"),
+        "broker_ts",
     )
 
     # One message -> one row per class. Weights, their sum and the arg-max are
-    # computed on the 5-element array before it is exploded.
+    # computed on the array before it is exploded.
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     weights = F.transform(
         F.sequence(F.lit(1), F.lit(len(dims.FIXTURE_CLASS_IDS))),
@@ -130,17 +132,17 @@ def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .select("broker_message_id", "l_suppkey", "disc", "tax", weights.alias("ws"))
         .select("*", F.aggregate("ws", F.lit(0).cast("long"), lambda a, x: a + x).alias("tot"),
                 F.array_position("ws", F.array_max("ws")).alias("best"))
-        .select("*", F.posexplode("ws").alias("pos", "w"))
-    )
-    one_hot = F.when(F.col("pos") + 1 == F.col("best"), 1.0).otherwise(0.0)
-    share = (F.col("w").cast("double") / F.col("tot").cast("double")) \
-        * F.when(F.col("tax") == 0, 0.5).otherwise(1.0)
-    broker_classification = cls.select(
-        "broker_message_id",
-        (F.col("l_suppkey") % 4 + 1).cast("int").alias("classifier_id"),
-        F.element_at(class_ids, (F.col("pos") + 1).cast("int")).alias("class_id"),
-        F.when(F.col("disc") == 0, one_hot).otherwise(share).alias("probability"),
     )
+
+    def probability(w, i):
+        share = (w.cast("double") / F.col("tot").cast("double")) * F.when(F.col("tax") == 0, 0.5).otherwise(1.0)
+        return F.when(F.col("disc") == 0, F.when(i + 1 == F.col("best"), 1.0).otherwise(0.0)).otherwise(share)
+
+    probs = F.array_sort(F.transform("ws", lambda w, i: F.struct(
+        F.element_at(class_ids, i + 1).alias("class_id"), probability(w, i).alias("probability"))))
+    message_probs = cls.select("broker_message_id", (F.col("l_suppkey") % 4 + 1).cast("int").alias("classifier_id"),
+                               probs.alias("probs"))
+    broker_classification = message_probs.select("broker_message_id", "classifier_id", F.inline("probs"))
     return {
         "truth": truth,
         "diasource": diasource,
@@ -148,6 +150,7 @@ def derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "diaalert": diaalert,
         "broker_message": broker_message,
         "broker_classification": broker_classification,
+        "message_probs": message_probs,
     }
 
 
@@ -208,9 +211,10 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
 def _build_tables(spark: SparkSession, sf_dir: str, materialize: bool) -> Tables:
     paths = None
     if materialize:
-        from probscope.sources.io import DATA_TABLES
+        from probscope.sources.io import ARRAY_TABLES, DATA_TABLES
         paths = _materialize(spark, sf_dir)
-        data = {name: spark.read.schema(DATA_TABLES[name]).parquet(path).select(*DATA_TABLES[name].fieldNames())
+        schemas = DATA_TABLES | ARRAY_TABLES
+        data = {name: spark.read.schema(schemas[name]).parquet(path).select(*schemas[name].fieldNames())
                 for name, path in paths.items()}
     else:
         data = derive(spark, sf_dir)

@@ -8,7 +8,7 @@ true class prunes to one directory.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +26,20 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return join_path(checkpoint_root(spark), "probscope-out", spark.sparkContext.applicationId, *parts)
 
 
-def write_summary(df: DataFrame, path: str, partition_by: Sequence[str] = SUMMARY_PARTITIONS) -> str:
+def write_summary(df: DataFrame, path: str, partition_by: Sequence[str] = SUMMARY_PARTITIONS, large: bool = False,
+                  rows_per_file: int = 5_000_000) -> str:
     """Materialise a summary: Parquet partitioned by classifier and true class.
 
-    Rows are only sorted by the partition columns inside each task, not shuffled by
-    them: a (classifier, true class) pair holding a third of the rows is written by
-    many tasks in parallel instead of one."""
-    df.sortWithinPartitions(*partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    A small (aggregated) one is only sorted by the partition columns inside each task. A ``large`` one would so
+    be written as one file per task and pair: its rows are counted per pair (the pairs are bounded by the
+    catalogues) and dealt by pair and a salt sized from the count, so that every file has about
+    ``rows_per_file`` rows and a pair with a third of all rows is written by many tasks."""
+    keys = list(partition_by)
+    if large:
+        files = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_files")).alias("_salt")
+        df = df.join(files, keys).select(*df.columns, salt).repartition(*keys, "_salt").drop("_salt")
+    df.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(*keys).parquet(path)
     return path
 
 
@@ -68,8 +75,13 @@ def iso_text(c) -> Column:
 
 
 def parse_iso(c) -> Column:
-    """ISO-8601 text (``T`` separator, optional fraction) -> wall-clock TIMESTAMP_NTZ."""
-    return F.to_timestamp_ntz(F.col(c) if isinstance(c, str) else c)
+    """ISO-8601 text (``T`` separator, optional fraction and offset) -> UTC wall clock as TIMESTAMP_NTZ. Text without
+    an offset is a UTC wall clock already."""
+    c = F.col(c) if isinstance(c, str) else c
+    instant = F.to_timestamp(F.when(c.rlike(r"[0-9](Z|[+-][0-9]{2}(:?[0-9]{2})?)$"), c))
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.when(instant.isNotNull(), utc).otherwise(F.to_timestamp_ntz(F.when(instant.isNull(), c)))
 
 
 def parse_class_catalog(df: DataFrame, col: str = "value") -> DataFrame:
@@ -88,7 +100,7 @@ def parse_classifier_catalog(df: DataFrame, col: str = "value") -> DataFrame:
             .select(F.col("k").cast("int").alias("classifier_id"), F.col("v.brokername").alias("broker_name"),
                     F.col("v.brokerversion").alias("broker_version"),
                     F.col("v.classifiername").alias("classifier_name"),
-                    F.col("v.classifierparams").alias("classifier_params")))
+                    F.col("v.classifierparams").alias("classifier_params"), F.col("v.nmessages").alias("n_messages")))
 
 
 def class_catalog_json(classes: DataFrame) -> DataFrame:
@@ -100,32 +112,51 @@ def class_catalog_json(classes: DataFrame) -> DataFrame:
     return classes.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
 
 
-def to_tight_json(df: DataFrame, by: Sequence[str], index: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One pandas ``orient='tight'`` document per ``by`` group (groups must be bounded)."""
-    rows = F.collect_list(F.struct(F.array(*[F.col(c).cast("double") for c in index]).alias("i"),
-                                   F.array(*[F.col(c).cast("double") for c in columns]).alias("d")))
-    doc = F.struct(F.col("r.i").alias("index"), F.lit(list(columns)).alias("columns"),
-                   F.col("r.d").alias("data"), F.lit(list(index)).alias("index_names"),
-                   F.array(F.lit(None).cast("string")).alias("column_names"))
-    return (df.groupBy(*by).agg(rows.alias("rows"))
-            .select(*by, F.struct(F.col("rows.i").alias("i"), F.col("rows.d").alias("d")).alias("r"))
-            .select(*by, F.to_json(doc).alias("value")))
+def _json_cell(c: str) -> Column:
+    """One value as JSON text: quoted text, bare numbers with all their digits, null."""
+    text = F.to_json(F.array(F.col(c)))
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
+def to_tight_json(df: DataFrame, by: Sequence[str], index: Sequence[str], columns: Sequence[str],
+                  max_rows: int = 1_000_000) -> DataFrame:
+    """One pandas ``orient='tight'`` document per ``by`` group. A document is one value, so its size is
+    bounded: a group of more than ``max_rows`` rows is an error (choose finer groups)."""
+    def row(names: Sequence[str]) -> Column:
+        return F.concat(F.lit("["), F.concat_ws(",", *[_json_cell(c) for c in names]), F.lit("]"))
+
+    def names(values: Sequence[str]) -> Column:
+        return F.to_json(F.array(*[F.lit(v) for v in values]))
+
+    rows = df.groupBy(*by).agg(F.collect_list(F.struct(row(index).alias("i"), row(columns).alias("d"))).alias("r"))
+    doc = F.concat(F.lit('{"index":['), F.array_join("r.i", ","), F.lit('],"columns":'), names(columns),
+                   F.lit(',"data":['), F.array_join("r.d", ","), F.lit('],"index_names":'), names(index),
+                   F.lit(',"column_names":[null]}'))
+    too_many = F.raise_error(F.concat(F.lit("too many rows for one document: "), F.size("r").cast("string")))
+    return rows.select(*by, F.when(F.size("r") > max_rows, too_many.cast("string")).otherwise(doc).alias("value"))
 
 
 def parse_tight_json(df: DataFrame, col: str = "value", keep: Sequence[str] = (),
-                     index_names: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+                     index_names: Sequence[str] | None = None, columns: Sequence[str] | None = None,
+                     types: Mapping[str, str] | None = None) -> DataFrame:
     """A ``tight`` document -> long rows: index levels and data columns.
 
     Pass the level / column names when the layout is known; otherwise they are
-    read from the first document (one small job)."""
-    parsed = df.select(*keep, F.from_json(F.col(col), TIGHT_FRAME_JSON).alias("t"))
+    read from the first document (one small job). Cells are read as text and cast to ``types`` (name -> type,
+    double unless given), so text and 64-bit numbers come through whole; a malformed document or a cell that its
+    type cannot hold is an error."""
+    parsed = F.from_json(F.col(col), TIGHT_FRAME_JSON)
+    broken = F.col(col).isNotNull() & (parsed["index"].isNull() | parsed["data"].isNull()
+                                       | (F.size(parsed["index"]) != F.size(parsed["data"])))
+    bad = F.raise_error(F.concat(F.lit("not a tight document: "), F.substring(col, 1, 80)))
+    docs = df.select(*keep, F.when(broken, bad.cast(TIGHT_FRAME_JSON)).otherwise(parsed).alias("t"))
     if index_names is None or columns is None:
-        first = parsed.select("t.index_names", "t.columns").first()
+        first = docs.select("t.index_names", "t.columns").first()
         index_names, columns = list(first["index_names"]), list(first["columns"])
-    rows = parsed.select(*keep, F.explode(F.arrays_zip(F.col("t.index").alias("i"), F.col("t.data").alias("d")))
-                         .alias("r"))
-    return rows.select(*keep, *[F.col("r.i")[k].alias(n) for k, n in enumerate(index_names)],
-                       *[F.col("r.d")[k].alias(n) for k, n in enumerate(columns)])
+    kinds = dict(types or {})
+    rows = docs.select(*keep, F.explode(F.arrays_zip(F.col("t.index").alias("i"), F.col("t.data").alias("d"))).alias("r"))
+    cells = [(F.col("r.i")[k], n) for k, n in enumerate(index_names)] + [(F.col("r.d")[k], n) for k, n in enumerate(columns)]
+    return rows.select(*keep, *[c.cast(kinds.get(n, "double")).alias(n) for c, n in cells])
 
 
 def run_sql(spark: SparkSession, text: str, params: dict | None = None, **frames: DataFrame) -> DataFrame:
@@ -146,6 +177,8 @@ DATA_TABLES = {
     "broker_message": S.BROKER_MESSAGE,
     "broker_classification": S.BROKER_CLASSIFICATION,
 }
+#: The same classifications with one row per message, an optional second layout.
+ARRAY_TABLES = {"message_probs": S.MESSAGE_PROBS}
 DIM_TABLES = {
     "gentype": S.GENTYPE_OF_CLASSID,
     "gentype_hier": S.GENTYPE_OF_CLASSID,
@@ -155,38 +188,26 @@ DIM_TABLES = {
 }
 
 
-def read_tables(spark: SparkSession, root: str):
+def read_tables(spark: SparkSession, root: str, catalogues: Mapping[str, DataFrame] | None = None,
+                arrays: bool = False):
     """Domain tables from ``<root>/<table>`` Parquet folders with explicit schemas.
 
-    Catalogue tables missing under ``root`` fall back to the built-in literal
-    catalogues. Catalogues read from files are broadcast only through AQE's
-    measured decision (their size is not known up front)."""
-    import os
-
-    from probscope.sources import dims
+    Every catalogue is read from its folder, too, unless the caller passes it in ``catalogues``: a missing folder
+    is an error, since another catalogue would silently drop the objects it does not list. Catalogues read from
+    files are broadcast only through AQE's measured decision (their size is not known up front). With ``arrays`` the
+    folder holds the array form of the classifications, too, from which picks per message need no shuffle."""
     from probscope.sources.fixtures import Tables
 
     def path(name):
         return join_path(root, name)
 
+    given = dict(catalogues or {})
+    if unknown := sorted(set(given) - set(DIM_TABLES)):
+        raise ValueError(f"not a catalogue: {', '.join(unknown)}")
     data = {n: spark.read.schema(sch).parquet(path(n)).select(*sch.fieldNames()) for n, sch in DATA_TABLES.items()}
-    builtin = {"gentype": lambda: dims.gentype_of_classid(spark),
-               "gentype_hier": lambda: dims.gentype_of_classid(spark, hierarchical=True),
-               "classifiers": lambda: dims.broker_classifier(spark),
-               "timebins": lambda: dims.maxprob_timebins(spark),
-               "confusion_classes": lambda: dims.confusion_classes(spark)}
-    from pyspark.errors import AnalysisException
-
-    cats = {}
-    for n, sch in DIM_TABLES.items():
-        p = path(n)
-        if "://" not in p and not os.path.exists(p):
-            cats[n] = builtin[n]()
-            continue
-        try:  # remote stores: a missing folder shows up as a path-not-found error
-            cats[n] = spark.read.schema(sch).parquet(p)
-        except AnalysisException:
-            cats[n] = builtin[n]()
+    if arrays:
+        data |= {n: spark.read.schema(sch).parquet(path(n)) for n, sch in ARRAY_TABLES.items()}
+    cats = {n: given[n] if n in given else spark.read.schema(sch).parquet(path(n)) for n, sch in DIM_TABLES.items()}
     return Tables(**data, **cats, paths={n: path(n) for n in DATA_TABLES})
 
 

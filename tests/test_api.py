@@ -33,3 +33,28 @@ def test_point_queries_equal_filtered_whole_table(tables):
     assert one.count() > 0 and one.exceptAll(whole).count() == 0 and whole.exceptAll(one).count() == 0
     lc = m.light_curve(obj)
     assert lc.count() == tables.diaforcedsource.where(F.col("dia_object_id") == obj).count()
+
+
+def test_listings_by_classifier_and_class(tables):
+    m = Metrics.from_tables(tables)
+    for method in (m.objects, m.sources, m.classifications_with_relday, m.mean_probabilities, m.top_class_curves):
+        whole = method().where("classifier_id = 1 AND true_class_id = 2223")
+        one = method(classifier_id=1, true_class_id=2223)
+        assert one.columns == whole.columns and one.count() == whole.count() > 0
+        assert one.exceptAll(whole).count() == 0
+
+
+def test_histogram_is_kept(tables):
+    m = Metrics.from_tables(tables)
+    first = m.probhist()
+    assert m.probhist() is first and first.is_cached
+    m.release()
+    assert not first.is_cached
+
+
+def test_more_analyses_run(tables):
+    m = Metrics.from_tables(tables)
+    obj = m.richest_object().first().dia_object_id
+    assert m.prob_matrix(obj).count() > 0 and m.totprob_audit().count() == 4
+    assert m.classifications_with_deltat(tables.classifiers, 2222, limit=7).count() == 7
+    assert m.right_probdiffs_hist_filled().count() % 41 == 0 and m.relday_distribution(1).count() > 0

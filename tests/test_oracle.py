@@ -4,7 +4,7 @@ import pytest
 
 from probscope.plans.oracle import oracle_sql
 from probscope.plans.registry import queries
-from probscope.plans.verify import compare, duck
+from tests.verify import compare, duck
 
 NAMES = sorted(queries())
 

@@ -71,8 +71,9 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     res["values_match"] = a == b
     if not res["values_match"]:
-        diff_a = [r for r in a if r not in set(b)][:3]
-        diff_b = [r for r in b if r not in set(a)][:3]
+        in_a, in_b = set(a), set(b)
+        diff_a = [r for r in a if r not in in_b][:3]
+        diff_b = [r for r in b if r not in in_a][:3]
         res["spark_only"], res["oracle_only"] = diff_a, diff_b
         res["cols"] = sorted(s_cols)
     res["ok"] = res["columns_match"] and res["values_match"] and len(s_rows) == len(d_rows)

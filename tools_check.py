@@ -8,7 +8,7 @@ import time
 
 from probscope.plans.oracle import oracle_sql
 from probscope.plans.registry import queries
-from probscope.plans.verify import compare, duck
+from tests.verify import compare, duck
 from probscope.session import local_session
 
 if __name__ == "__main__":
