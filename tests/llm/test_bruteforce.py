@@ -15,7 +15,7 @@ from probscope.llm import (decontamination, ngram_join, pii, queries, secrets, s
 from probscope.llm.components import components
 from probscope.llm.oracle import oracle_sql
 from probscope.llm.queries import tokenizer_path
-from probscope.plans.verify import _rows, duck
+from tests.verify import _rows, duck
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
