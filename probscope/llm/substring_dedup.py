@@ -9,9 +9,13 @@ then first in the text) stays, the others are removed. Counting per digest is a
 partial aggregate, and one row per digest is joined back, so that a line that a third
 of the documents share costs no task more than others.
 
+``PASSAGE_WORDS`` sets how much has to repeat: units to remove that follow each other, with less than ``GAP``
+characters between them, make a passage, and passages with fewer repeated words stay, so that common openings and
+one-line notices do not mark every document that has them; with 0 every repeated unit goes.
+
 Spans keep the offsets of the original text, in code points, end exclusive; a sentence
 within a removed line is part of the line's span. A null or empty text has no units;
-rows with null ids rank after all others; rows with equal ids and texts are one
+rows with a null id are left as they are; rows with equal ids and texts are one
 document, of which each keeps what the other keeps. Further columns are not read, and an
 empty table gives an empty result. Texts of any length are taken whole.
 """
@@ -30,7 +34,8 @@ from probscope.llm.shingles import BYTE, buffers, letters, mix, powers
 
 LINE_WORDS = 5
 SENTENCE_WORDS = 8
-LAST = (1 << 63) - 1
+PASSAGE_WORDS = 20
+GAP = 60
 
 UNITS = "doc_id long, d1 long, d2 long, start int, end int, n_words int, again boolean"
 
@@ -111,18 +116,22 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return whole_texts(docs, id_col, text_col).mapInArrow(run, UNITS)
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, passage_words: int = PASSAGE_WORDS, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
     """(doc_id, start, end, n_words, kept_doc_id): a row per stretch to remove, and where its first occurrence stays."""
-    rows = written(units(docs, id_col, text_col), "units")
-    rank = F.coalesce("doc_id", F.lit(LAST))
-    firsts = (rows.groupBy("d1", "d2").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
+    rows = written(units(docs.where(F.col(id_col).isNotNull()), id_col, text_col), "units")
+    firsts = (rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n"))
               .where("n > 1").drop("n"))
-    found = rows.join(firsts, ["d1", "d2"]).where((rank != F.col("first")) | F.col("again"))
-    covered = F.expr("max(end) over (partition by doc_id order by start, end desc, n_words desc "
-                     "rows between unbounded preceding and 1 preceding)")
-    return (found.select("doc_id", "start", "end", "n_words", "first").distinct().withColumn("covered", covered)
-            .where("covered is null or end > covered")
-            .select("doc_id", "start", "end", "n_words", F.when(F.col("first") != LAST, F.col("first")).alias("kept_doc_id")))
+    found = rows.join(firsts, ["d1", "d2"]).where("doc_id != kept_doc_id or again")
+    # all windows are over one document's repeated units
+    before = ("over (partition by doc_id order by start, end desc, n_words desc "
+              "rows between unbounded preceding and 1 preceding)")
+    outer = (found.select("doc_id", "start", "end", "n_words", "kept_doc_id").distinct()
+             .withColumn("upto", F.expr(f"max(end) {before}")).where("upto is null or end > upto"))
+    passage = F.expr(f"sum(if(upto is null or start - upto >= {GAP}, 1, 0)) over (partition by doc_id order by start)")
+    words = F.expr("sum(n_words) over (partition by doc_id, passage)")
+    return (outer.withColumn("passage", passage).withColumn("words", words).where(F.col("words") >= passage_words)
+            .select("doc_id", "start", "end", "n_words", "kept_doc_id"))
 
 
 def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,6 +158,7 @@ def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, "doc_id long, text string, removed array<struct<start:int,end:int>>")
 
 
-def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedupe(docs: DataFrame, passage_words: int = PASSAGE_WORDS, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
     """(doc_id, text, removed) of every row after substring dedup."""
-    return remove(docs, repeats(docs, id_col, text_col), id_col, text_col)
+    return remove(docs, repeats(docs, passage_words, id_col, text_col), id_col, text_col)
