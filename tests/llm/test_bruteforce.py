@@ -44,7 +44,7 @@ def plain_units(text):
         at += len(line) + 1
 
 
-def plain_repeats(texts):
+def plain_repeats(texts, least):
     first, rows = {}, []
     for doc in sorted(texts):
         for a, b, n, words in sorted(plain_units(texts[doc]), key=lambda u: u[:2]):
@@ -56,12 +56,19 @@ def plain_repeats(texts):
     for doc, a, b, n, kept in sorted(rows, key=lambda r: (r[0], r[1], -r[2])):
         if not any(d == doc and s <= a and b <= e for d, s, e, *_ in out):
             out.append((doc, a, b, n, kept))
-    return out
-
-
-def test_substring_dedup(spark, documents, texts):
-    got = [tuple(r) for r in substring_dedup.repeats(documents).collect()]
-    assert sorted(got) == sorted(plain_repeats(texts)) and got
+    passages = []
+    for row in out:
+        if passages and passages[-1][-1][0] == row[0] and row[1] - max(r[2] for r in passages[-1]) < substring_dedup.GAP:
+            passages[-1].append(row)
+        else:
+            passages.append([row])
+    return [row for p in passages if sum(r[3] for r in p) >= least for row in p]
+
+
+@pytest.mark.parametrize("least", [0, substring_dedup.PASSAGE_WORDS])
+def test_substring_dedup(spark, documents, texts, least):
+    got = [tuple(r) for r in substring_dedup.repeats(documents, least).collect()]
+    assert sorted(got) == sorted(plain_repeats(texts, least)) and got
 
 
 def test_passages_within_lines(frame):
