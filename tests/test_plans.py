@@ -97,3 +97,35 @@ def test_bucketed_tables_skip_the_shuffle(spark, tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 0
+
+
+def test_stored_arrays_need_no_shuffle(tables):
+    from probscope.operators.reshape import per_message_argmax
+    plan = _plan(per_message_argmax(tables))
+    assert "Exchange" not in plan and "Sort" not in plan and "probs#" in plan
+
+
+def test_arrays_and_long_rows_agree(tables):
+    import dataclasses
+
+    from probscope.operators import relday as rd
+    from probscope.operators.reshape import per_message_argmax
+    plain = dataclasses.replace(tables, message_probs=None)
+    for f in (per_message_argmax, rd.latest_message_rows):
+        a, b = f(tables), f(plain).select(*f(tables).columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_latest_messages_read_the_classifications_once(tables):
+    from probscope.operators import relday as rd
+    plan = _plan(rd.latest_message_rows(tables))
+    assert plan.count("probs") > 0 and "broker_classification" not in plan
+
+
+def test_object_filter_reaches_both_scans(tables):
+    from pyspark.sql import functions as F
+
+    from probscope.operators.probhist import message_source_context
+    plan = _plan(message_source_context(tables).where(F.col("dia_object_id") == 32))
+    scans = [x for x in plan.splitlines() if "FileScan" in x and "dia_source_id" in x]  # alerts and sources
+    assert len(scans) == 2 and all("EqualTo(dia_object_id,32)" in x for x in scans), scans
