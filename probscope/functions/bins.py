@@ -63,6 +63,13 @@ def tbin(dt) -> Column:
     return TBINS.bucket(dt)
 
 
+def settled(x) -> Column:
+    """``x`` to 12 places. Means of small rationals often lie on a bin's edge, where the last bit, which depends on the
+    order of summation, would choose the bin: within 1e-12 of an edge counts as on it."""
+    c = _c(x)
+    return F.when(F.abs(c) < 1000, F.floor(c * 1e12 + 0.5) / 1e12).otherwise(c)
+
+
 def probbin(p) -> Column:
     return PROBBINS.bucket(p)
 

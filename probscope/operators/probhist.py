@@ -60,7 +60,7 @@ def probhist(t: Tables, hierarchical: bool = False) -> DataFrame:
     """(classifier_id, class_id, true_class_id, tbin, probbin, n)."""
     ded = dedupe_mean(t)
     per_gentype = (ded.select("classifier_id", "class_id", "gentype", B.tbin("deltat").alias("tbin"),
-                              B.probbin("probability").alias("probbin"))
+                              B.probbin(B.settled("probability")).alias("probbin"))
                    .groupBy("classifier_id", "class_id", "gentype", "tbin", "probbin")
                    .agg(F.count(F.lit(1)).alias("n")))
     dim = (t.gentype_hier if hierarchical else t.gentype).select("gentype", F.col("class_id").alias("true_class_id"))

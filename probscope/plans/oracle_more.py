@@ -19,7 +19,8 @@ def FMEAN(x: str) -> str:
 
 
 TBIN = width_bucket_sql("deltat", -30.0, 100.0, 26)
-PROBBIN = width_bucket_sql("probability", 0.0, 1.0, 20)
+# a mean within 1e-12 of a bin's edge counts as on it
+PROBBIN = width_bucket_sql("(floor(probability * CAST(1e12 AS DOUBLE) + 0.5) / CAST(1e12 AS DOUBLE))", 0.0, 1.0, 20)
 
 
 def probbin_val(b: str) -> str:

@@ -124,7 +124,7 @@ def _width_bucket(x, lo, hi, n):
 def test_probhist(fx):
     t, p = fx
     r = _rows(p).merge(p["src"][["src", "mpt"]], on="src")
-    ded = r.groupby(["cfer", "src", "cls", "true", "mpt", "peak"], as_index=False)["p"].agg(lambda x: math.fsum(x) / len(x))
+    ded = r.groupby(["cfer", "src", "cls", "true", "mpt", "peak"], as_index=False)["p"].agg(lambda x: round(math.fsum(x) / len(x), 12))
     ded["tbin"] = _width_bucket((ded["mpt"] - ded["peak"]).to_numpy(), -30.0, 100.0, 26)
     ded["pbin"] = _width_bucket(ded["p"].to_numpy(), 0.0, 1.0, 20)
     want = ded.groupby(["cfer", "cls", "true", "tbin", "pbin"]).size().to_dict()
@@ -312,7 +312,7 @@ def test_probhist_with_fan_out(fx):
         hier.setdefault(g, set()).add(c)
     r = _rows(p).merge(p["src"][["src", "mpt"]], on="src").merge(p["truth"][["obj", "gentype"]], on="obj")
     ded = r.groupby(["cfer", "src", "cls", "gentype", "mpt", "peak"], as_index=False)["p"].agg(
-        lambda x: math.fsum(x) / len(x))
+        lambda x: round(math.fsum(x) / len(x), 12))
     ded["tbin"] = _width_bucket((ded["mpt"] - ded["peak"]).to_numpy(), -30.0, 100.0, 26)
     ded["pbin"] = _width_bucket(ded["p"].to_numpy(), 0.0, 1.0, 20)
     want = {}
