@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from probscope.llm import (decontamination, ngram_join, pii, queries, secrets, sentencepiece_codec, substring_dedup,
-                           token_counts, toxicity)
+                           token_counts)
 from probscope.llm.components import components
 from probscope.llm.oracle import oracle_sql
 from probscope.llm.queries import tokenizer_path
