@@ -173,8 +173,9 @@ def annotate(dense: DataFrame, names: DataFrame | None = None) -> DataFrame:
            .withColumn("is_diagonal", is_diag)
            .withColumn("never_predicted", ~F.max(is_diag).over(w_true)))
     if names is not None:
-        out = (out.join(names.select(F.col("class_id").alias("true_class"), F.col("description").alias("true_label")),
-                        "true_class", "left")
-               .join(names.select(F.col("class_id").alias("pred_class"), F.col("description").alias("pred_label")),
-                     "pred_class", "left"))
+        # one map of the (bounded) names, computed once and looked up for both labels
+        entries = F.collect_list(F.struct("class_id", "description"))
+        lookup = names.where("class_id is not null").agg(F.map_from_entries(entries).alias("m")).select("m").scalar()
+        out = out.withColumns({"true_label": F.try_element_at(lookup, F.col("true_class")),
+                               "pred_label": F.try_element_at(lookup, F.col("pred_class"))})
     return out
