@@ -12,9 +12,11 @@ lower or upper case letters with digits, base 64). Three tests of the hypothesis
 The smallest p of the three (by Sidak's formula) is uniform for random strings and small for
 names, paths and numbered words. Short strings tell less, so the control of false discoveries
 works per stratum of encoding and length (doublings): by the share of p over one half the random strings of a
-stratum are estimated, and the lowest p from which on at most ``RATE`` of the candidates are expected not to be
-random is its threshold, ``FLOOR`` at least. The p-values come as counts in ``BINS`` bins, so that the control
-needs no global order. Candidates that touch a base span, and plain numbers, add nothing.
+stratum are estimated, to one standard error, and the lowest p from which on at most ``RATE`` of the candidates are
+expected not to be random is its threshold, ``FLOOR`` at least. A stratum of under ``POOL`` candidates takes what it
+lacks from the other lengths of its encoding, half as much for each doubling between. The p-values come as counts in
+``BINS`` bins, each edge of which is tried, so that the control needs no global order; a string that occurs often counts
+once, as its copies are no further evidence. Candidates that touch a base span, and plain numbers, add nothing.
 
 A null text is an empty one; empty texts have no spans; rows with equal or null ids are searched one
 by one; further columns are not read; an empty table gives an empty result. Texts are searched whole.
@@ -46,6 +48,8 @@ ENCODINGS = {"hex": _digits + "abcdef", "upper hex": _digits + "ABCDEF", "base32
 RATE = 0.05
 FLOOR = 0.05
 BINS = 20
+#: Strata of fewer candidates are filled up to so many from the other lengths of their encoding
+POOL = 20
 
 
 def hits(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -83,7 +87,7 @@ def normal(z: Column) -> Column:
 
 
 def tested(candidates: DataFrame) -> DataFrame:
-    """``candidates`` with encoding, band (doublings of length) and p."""
+    """``candidates`` with encoding, hash of the string, band (doublings of length) and p."""
     text = F.regexp_replace("value", "=+$", "")
     encoding = F.lit("base64")
     for name, letters in reversed(list(ENCODINGS.items())):
@@ -120,22 +124,39 @@ def tested(candidates: DataFrame) -> DataFrame:
     serial_z = F.when(F.col("within") > 0, F.abs(F.col("between") / F.col("within") + 1 / F.col("n"))
                       * F.sqrt("n")).otherwise(8.0)
     least = F.least(1 - normal(chi_z), normal(runs_z + 1), 2 * (1 - normal(serial_z)))
-    return rows.select("uid", "start", "end", "encoding", F.floor(F.log2("n")).cast("int").alias("band"),
+    return rows.select("uid", "start", "end", "encoding", F.xxhash64("text").alias("string"), F.floor(F.log2("n")).cast("int").alias("band"),
                        (1 - F.pow(1 - F.greatest(F.least(least, F.lit(1.0)), F.lit(0.0)), F.lit(3.0))).alias("p"))
 
 
 def thresholds(tests: DataFrame) -> DataFrame:
     """(encoding, band, least): the p from which on a candidate of the stratum counts as random."""
-    binned = tests.groupBy("encoding", "band", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("bin")).agg(
-        F.count("*").alias("c"))
-    upto = binned.selectExpr(
-        "*", "sum(c) over (partition by encoding, band order by bin desc) accepted",
-        "sum(c) over (partition by encoding, band) m",
-        f"sum(if(bin >= {BINS // 2}, c, 0)) over (partition by encoding, band) over_half")
-    low = F.greatest(F.col("bin") / BINS, F.lit(FLOOR))
-    random = F.least(2.0 * F.col("over_half") + 1, F.col("m").cast("double"))
-    rate = 1 - random * (1 - low) / F.col("accepted")
-    return upto.where(rate <= RATE + 1e-9).groupBy("encoding", "band").agg(F.min(low).alias("least"))
+    counts = tests.groupBy("encoding", "band", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("bin")).agg(
+        F.count("*").cast("double").alias("c"))
+    # a row for each stratum, with the counts of all bins: 6 times 31 at most
+    strata = counts.groupBy("encoding", "band").agg(
+        F.array(*[F.sum(F.when(F.col("bin") == i, F.col("c")).otherwise(0.0)) for i in range(BINS)]).alias("own"),
+        F.sum("c").alias("m"))
+    near = strata.select("encoding", F.col("band").alias("other"), F.col("own").alias("c"), F.col("m").alias("n"))
+    weight = F.when(F.col("other") != F.col("band"), F.pow(F.lit(0.5), F.abs(F.col("other") - F.col("band")))).otherwise(0.0)
+    pooled = strata.join(near, "encoding").withColumn("weight", weight).groupBy("encoding", "band").agg(
+        F.first("own").alias("own"), F.first("m").alias("m"), F.sum(F.col("weight") * F.col("n")).alias("n"),
+        F.array(*[F.sum(F.col("weight") * F.col("c")[i]) for i in range(BINS)]).alias("others"))
+    lacks = F.greatest(F.lit(POOL) - F.col("m"), F.lit(0.0))
+    share = F.coalesce(F.least(F.try_divide(lacks, F.col("n")), F.lit(1.0)), F.lit(0.0))
+    pooled = pooled.withColumn("share", share).withColumn("c", F.zip_with(
+        "own", "others", lambda own, other: own + F.col("share") * other))
+
+    def over(i: Column) -> Column:
+        return F.aggregate(F.slice("c", i + 1, BINS), F.lit(0.0), lambda a, x: a + x)
+
+    # every edge is tried, whether or not a candidate lies in the bin above it
+    cuts = pooled.select("encoding", "band", F.explode(F.sequence(F.lit(0), F.lit(BINS - 1))).alias("bin"), "c").select(
+        "encoding", "band", F.greatest(F.col("bin") / BINS, F.lit(FLOOR)).alias("low"), over(F.col("bin")).alias("accepted"),
+        (2.0 * over(F.lit(BINS // 2))).alias("estimate"), over(F.lit(0)).alias("m"))
+    random = F.least(F.col("estimate") + F.sqrt("estimate") + 1, F.col("m"))
+    wrong = F.col("accepted") - random * (1 - F.col("low"))
+    return cuts.where(wrong <= (RATE + 1e-9) * F.col("accepted")).groupBy("encoding", "band").agg(
+        F.min("low").alias("least"))
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,7 +169,8 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
         "uid", "start", "end", "value").agg(F.max((F.col("start") < F.col("e")) & (F.col("s") < F.col("end"))).alias("t"))
     tests = written(tested(touched.where("t is null or not t").drop("t")), "secret-tests")
     # a row for each encoding and doubling of length: 6 times 31 at most
-    added = tests.join(F.broadcast(thresholds(tests)), ["encoding", "band"]).where("p >= least").select(
+    least = thresholds(tests.dropDuplicates(["encoding", "band", "string"]))
+    added = tests.join(F.broadcast(least), ["encoding", "band"]).where("p >= least").select(
         "uid", "start", "end", F.lit(3).alias("kind"))
     names = F.array(*map(F.lit, KINDS))
     all_ = base.union(added).groupBy("uid").agg(F.sort_array(F.collect_list(F.struct(

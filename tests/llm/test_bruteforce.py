@@ -354,3 +354,32 @@ def test_decontamination_parts(spark, frame, monkeypatch):
     text = parts[0] + "".join(f" {t} {p}" for (_, t), p in zip(items, parts[1:]))
     rows = decontamination.find(frame((1, text)), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert sorted((r.item_id, text[r.start:r.end]) for r in rows) == items
+
+
+@pytest.mark.parametrize("keys", [1, 3, 10])
+def test_secrets_sparse(spark, keys):
+    """Of few random candidates in a stratum, hardly more are lost than the floor takes, and names stay refused."""
+    rng = random.Random(keys)
+    rows = [(f"s{i}", 5, rng.random()) for i in range(300) for _ in range(keys)]
+    names = [(f"n{i}", 5, rng.random() * 0.3) for i in range(300) for _ in range(keys + 2)]
+    tests = spark.createDataFrame([*rows, *names], "encoding string, band int, p double")
+    least = {r.encoding: r.least for r in secrets.thresholds(tests).collect()}
+    recall = sum(p >= least.get(e, 2) for e, _, p in rows) / len(rows)
+    wrong = sum(p >= least.get(e, 2) for e, _, p in names) / len(names)
+    assert recall > 0.8 and wrong < 0.1
+
+
+def test_secrets_copies(frame):
+    """Copies of one key are no evidence against it."""
+    key = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    rows = secrets.find(frame(*((i, f"use {key} here") for i in range(10)))).collect()
+    assert all([(s.no, s.start, s.end) for s in r.spans] == [(3, 4, 44)] for r in rows)
+
+
+def test_secrets_pooled(spark):
+    """A key of a rare length goes by the other lengths of its encoding."""
+    tests = [("keys", 5, (i + 0.5) / 200) for i in range(200)] + [("keys", 7, 0.07)]
+    tests += [("names", 5, 0.3 * (i + 0.5) / 200) for i in range(200)] + [("names", 6, 0.29)]
+    rows = secrets.thresholds(spark.createDataFrame(tests, "encoding string, band int, p double")).collect()
+    least = {(r.encoding, r.band): r.least for r in rows}
+    assert least["keys", 7] <= 0.07 and least.get(("names", 6), 1) > 0.29
