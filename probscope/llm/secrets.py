@@ -1,15 +1,16 @@
 """Secrets: base rules and a battery of randomness tests, with DataFrame functions only.
 
-Beside the base rules, runs of 16 or more characters of the usual encodings that hold a digit and a letter
-are candidates. The encoding is inferred from the characters (hex in either case, base 32,
-lower or upper case letters with digits, base 64). Three tests of the hypothesis that the symbols are random are made:
+Beside the base rules, runs of 16 or more characters of the usual encodings that hold a letter, and a digit or a
+capital, are candidates. The encoding is inferred from the characters (hex in either case, base 32,
+lower or upper case letters with digits, base 64, and without digits capitals, letters of either case, these with signs).
+Three tests of the hypothesis that the symbols are random are made, the second where the alphabet has several classes:
 
 * chi-squared: the symbols are uniform over the alphabet of the encoding;
 * runs: classes of characters (small letters, capitals, digits, signs) follow each other as chance has it,
   against too few changes;
 * serial correlation of neighbouring symbols' places in the alphabet.
 
-The smallest p of the three (by Sidak's formula) is uniform for random strings and small for
+The smallest p of them (by Sidak's formula) is uniform for random strings and small for
 names, paths and numbered words. Short strings tell less, so the control of false discoveries
 works per stratum of encoding and length (doublings): by the share of p over one half the random strings of a
 stratum are estimated, to one standard error, and the lowest p from which on at most ``RATE`` of the candidates are
@@ -38,13 +39,15 @@ PATTERNS = {
     "assign": rf"""({_names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     "access": "AKIA[A-Z0-9]+",
     "hex": "[0-9a-f]{32,}",
-    "random": rf"(?<![{_signs}])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[{_signs}]{{16,}}",
+    "random": rf"(?<![{_signs}])(?=[a-z+/_=-]*+[A-Z0-9])(?=[0-9+/_=-]*+[A-Za-z])[{_signs}]{{16,}}",
 }
 KINDS = list(PATTERNS)
 #: encoding -> characters, in the order in which they are tried
 _digits, _small, _big = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-ENCODINGS = {"hex": _digits + "abcdef", "upper hex": _digits + "ABCDEF", "base32": _big + "234567",
-             "lower": _digits + _small, "upper": _digits + _big, "base64": _big + _small + _digits + "+/-_"}
+ENCODINGS = {"hex": _digits + "abcdef", "upper hex": _digits + "ABCDEF", "capitals": _big,
+             "base32": _big + "234567", "lower": _digits + _small, "upper": _digits + _big,
+             "letters": _big + _small, "signed letters": _big + _small + "+/-_",
+             "base64": _big + _small + _digits + "+/-_"}
 RATE = 0.05
 FLOOR = 0.05
 BINS = 20
@@ -120,19 +123,22 @@ def tested(candidates: DataFrame) -> DataFrame:
     chi = F.col("k") / F.col("n") * F.col("squares") - F.col("n")
     chi_z = (F.cbrt(chi / df) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
     change = 1 - F.col("same")
-    runs_z = (F.col("runs") - 0.5 - 1 - (F.col("n") - 1) * change) / F.sqrt((F.col("n") - 1) * change * F.col("same"))
+    # an alphabet of one class has no runs to test: null, which least() passes over
+    runs_z = F.try_divide(F.col("runs") - 0.5 - 1 - (F.col("n") - 1) * change,
+                          F.sqrt((F.col("n") - 1) * change * F.col("same")))
+    made = F.when(change > 0, 3.0).otherwise(2.0)
     serial_z = F.when(F.col("within") > 0, F.abs(F.col("between") / F.col("within") + 1 / F.col("n"))
                       * F.sqrt("n")).otherwise(8.0)
-    least = F.least(1 - normal(chi_z), normal(runs_z + 1), 2 * (1 - normal(serial_z)))
+    least = F.least(1 - normal(chi_z), F.when(change > 0, normal(runs_z + 1)), 2 * (1 - normal(serial_z)))
     return rows.select("uid", "start", "end", "encoding", F.xxhash64("text").alias("string"), F.floor(F.log2("n")).cast("int").alias("band"),
-                       (1 - F.pow(1 - F.greatest(F.least(least, F.lit(1.0)), F.lit(0.0)), F.lit(3.0))).alias("p"))
+                       (1 - F.pow(1 - F.greatest(F.least(least, F.lit(1.0)), F.lit(0.0)), made)).alias("p"))
 
 
 def thresholds(tests: DataFrame) -> DataFrame:
     """(encoding, band, least): the p from which on a candidate of the stratum counts as random."""
     counts = tests.groupBy("encoding", "band", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("bin")).agg(
         F.count("*").cast("double").alias("c"))
-    # a row for each stratum, with the counts of all bins: 6 times 31 at most
+    # a row for each stratum, with the counts of all bins: 9 times 31 at most
     strata = counts.groupBy("encoding", "band").agg(
         F.array(*[F.sum(F.when(F.col("bin") == i, F.col("c")).otherwise(0.0)) for i in range(BINS)]).alias("own"),
         F.sum("c").alias("m"))
@@ -168,7 +174,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
         base.select("uid", F.col("start").alias("s"), F.col("end").alias("e")), "uid", "left").groupBy(
         "uid", "start", "end", "value").agg(F.max((F.col("start") < F.col("e")) & (F.col("s") < F.col("end"))).alias("t"))
     tests = written(tested(touched.where("t is null or not t").drop("t")), "secret-tests")
-    # a row for each encoding and doubling of length: 6 times 31 at most
+    # a row for each encoding and doubling of length: 9 times 31 at most
     least = thresholds(tests.dropDuplicates(["encoding", "band", "string"]))
     added = tests.join(F.broadcast(least), ["encoding", "band"]).where("p >= least").select(
         "uid", "start", "end", F.lit(3).alias("kind"))

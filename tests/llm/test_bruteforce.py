@@ -383,3 +383,15 @@ def test_secrets_pooled(spark):
     rows = secrets.thresholds(spark.createDataFrame(tests, "encoding string, band int, p double")).collect()
     least = {(r.encoding, r.band): r.least for r in rows}
     assert least["keys", 7] <= 0.07 and least.get(("names", 6), 1) > 0.29
+
+
+def test_secrets_without_digits(frame):
+    rng = random.Random(8)
+    key = lambda letters, n: "".join(rng.choices(letters, k=n))
+    keys = [key(letters, n) for letters in (string.ascii_letters, string.ascii_uppercase) for n in (16, 24, 40) for _ in range(40)]
+    keys += [key(string.ascii_letters + "+/", 40) for _ in range(40)]
+    names = ["getElementsByClassName", "src/main/java/com/example/App", "MAX_CONNECTIONS_PER_HOST", "ConnectionFactoryBean",
+             "internationalization", "HttpServletRequestWrapper", "1234567890123456789"]
+    rows = secrets.find(frame(*enumerate([f"use {k} here" for k in [*keys, *names]]))).collect()
+    found = {r.doc_id for r in rows if any((s.no, s.start) == (3, 4) for s in r.spans)}
+    assert len([i for i in found if i < len(keys)]) > 0.85 * len(keys) and max(found) < len(keys)
