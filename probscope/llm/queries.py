@@ -26,8 +26,9 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stretches of ``documents`` that repeat a line or sentence of an earlier place."""
-    return substring_dedup.repeats(read_table(spark, sf_dir, "documents"))
+    """The stretches of ``documents`` that repeat a line or sentence of an earlier place, all of them, with the
+    repeated words of their passage."""
+    return substring_dedup.stretches(read_table(spark, sf_dir, "documents"))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,9 +9,9 @@ then first in the text) stays, the others are removed. Counting per digest is a
 partial aggregate, and one row per digest is joined back, so that a line that a third
 of the documents share costs no task more than others.
 
-``PASSAGE_WORDS`` sets how much has to repeat: units to remove that follow each other, with less than ``GAP``
-characters between them, make a passage, and passages with fewer repeated words stay, so that common openings and
-one-line notices do not mark every document that has them; with 0 every repeated unit goes.
+Every repeated unit goes. Units to remove that follow each other, with less than ``GAP`` characters between them, make
+a passage, whose words come with each of them. A caller that wants common openings and one-line notices to stay
+gives a least number of them, such as ``PASSAGE_WORDS``.
 
 Spans keep the offsets of the original text, in code points, end exclusive; a sentence
 within a removed line is part of the line's span. A null or empty text has no units;
@@ -116,9 +116,9 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return whole_texts(docs, id_col, text_col).mapInArrow(run, UNITS)
 
 
-def repeats(docs: DataFrame, passage_words: int = PASSAGE_WORDS, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """(doc_id, start, end, n_words, kept_doc_id): a row per stretch to remove, and where its first occurrence stays."""
+def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, start, end, n_words, kept_doc_id, passage_words): a row per stretch to remove, where its first
+    occurrence stays, and the repeated words of the passage that it is part of."""
     rows = written(units(docs.where(F.col(id_col).isNotNull()), id_col, text_col), "units")
     firsts = (rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n"))
               .where("n > 1").drop("n"))
@@ -130,8 +130,13 @@ def repeats(docs: DataFrame, passage_words: int = PASSAGE_WORDS, id_col: str = "
              .withColumn("upto", F.expr(f"max(end) {before}")).where("upto is null or end > upto"))
     passage = F.expr(f"sum(if(upto is null or start - upto >= {GAP}, 1, 0)) over (partition by doc_id order by start)")
     words = F.expr("sum(n_words) over (partition by doc_id, passage)")
-    return (outer.withColumn("passage", passage).withColumn("words", words).where(F.col("words") >= passage_words)
-            .select("doc_id", "start", "end", "n_words", "kept_doc_id"))
+    return (outer.withColumn("passage", passage).withColumn("passage_words", words)
+            .select("doc_id", "start", "end", "n_words", "kept_doc_id", "passage_words"))
+
+
+def repeats(docs: DataFrame, passage_words: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, start, end, n_words, kept_doc_id) of the stretches whose passage has ``passage_words`` at least."""
+    return stretches(docs, id_col, text_col).where(F.col("passage_words") >= passage_words).drop("passage_words")
 
 
 def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,7 +163,7 @@ def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, "doc_id long, text string, removed array<struct<start:int,end:int>>")
 
 
-def dedupe(docs: DataFrame, passage_words: int = PASSAGE_WORDS, id_col: str = "doc_id",
+def dedupe(docs: DataFrame, passage_words: int = 0, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(doc_id, text, removed) of every row after substring dedup."""
     return remove(docs, repeats(docs, passage_words, id_col, text_col), id_col, text_col)

@@ -71,6 +71,20 @@ def test_substring_dedup(spark, documents, texts, least):
     assert sorted(got) == sorted(plain_repeats(texts, least)) and got
 
 
+def test_substring_dedup_query(spark, sf_dir, texts):
+    """The query returns every repeated unit, short ones too, with the words of its passage."""
+    rows = queries.op2_substring_dedup(spark, sf_dir).collect()
+    assert sorted(tuple(r)[:5] for r in rows) == sorted(plain_repeats(texts, 0))
+    long = [tuple(r)[:5] for r in rows if r.passage_words >= substring_dedup.PASSAGE_WORDS]
+    assert sorted(long) == sorted(plain_repeats(texts, substring_dedup.PASSAGE_WORDS)) and len(long) < len(rows)
+
+
+def test_short_repeats_go(frame):
+    docs = frame((1, "a notice of only six words\nfirst"), (2, "second\na notice of only six words"))
+    rows = substring_dedup.dedupe(docs).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["a notice of only six words\nfirst", "second\n"]
+
+
 def test_passages_within_lines(frame):
     rng = random.Random(1)
     say = lambda n: " ".join("".join(rng.choices(string.ascii_lowercase, k=5)) for _ in range(n))
