@@ -2,7 +2,9 @@
 
 Units are the lines of a text with ``LINE_WORDS`` words at least, and the sentences (up to
 a full stop, question or exclamation mark before white space, or the line's end) with
-``SENTENCE_WORDS`` at least, since a passage may begin and end within a line. A unit is
+``SENTENCE_WORDS`` at least, since a passage may begin and end within a line. From each shorter
+sentence on, and up to it, as few neighbours as make so many words within the line are a unit, too (``joined``);
+such units may overlap, and their common words count once in a passage. A unit is
 normalised to its words, lower-cased, without punctuation and white space, and hashed to
 128 bits. Of the units with one digest in all documents the one that ranks first (lowest id,
 then first in the text) stays, the others are removed. Counting per digest is a
@@ -37,13 +39,43 @@ SENTENCE_WORDS = 8
 PASSAGE_WORDS = 20
 GAP = 60
 
-UNITS = "doc_id long, d1 long, d2 long, start int, end int, n_words int, again boolean"
-
-
-def unit_rows(texts: pa.Array) -> tuple[np.ndarray, ...]:
-    """(text's number, both halves of the digest, start, end, words, whether the text had it before) of every unit."""
+UNITS = "doc_id long, d1 long, d2 long, start int, end int, n_words int, first int, again boolean"
+
+
+def runs(sentence: np.ndarray, line: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(first word, word after the last, both halves of the digest) of the runs of sentences around short ones:
+    from each sentence of under ``SENTENCE_WORDS`` on, and up to it, as few as have so many words within the line."""
+    at = np.append(np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1])), len(sentence))
+    n = np.diff(at)
+    short = np.flatnonzero(n < SENTENCE_WORDS)
+    its = line[at[short]]
+    on = np.searchsorted(at, at[short] + SENTENCE_WORDS)  # the sentence after the last one of the run
+    upto = np.searchsorted(at, at[short + 1] - SENTENCE_WORDS, side="right") - 1
+    a = np.concatenate([short, np.maximum(upto, 0)])
+    b = np.concatenate([np.minimum(on, len(n)), short + 1])
+    own = np.concatenate([its, its])
+    keep = (line[at[a]] == own) & (line[at[b] - 1] == own) & (at[b] - at[a] >= SENTENCE_WORDS)
+    # the run that is all of its line is the line
+    words = np.bincount(line)
+    keep &= at[b] - at[a] < words[own]
+    pairs = np.unique(np.stack([at[a[keep]], at[b[keep]]], axis=1), axis=0)
+    first, after = pairs[:, 0], pairs[:, 1]
+    if not len(first):
+        return first, after, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    m = after - first
+    begin = np.append(0, np.cumsum(m)[:-1])
+    place = np.arange(m.sum()) - np.repeat(begin, m)
+    of = hashed[np.repeat(first, m) + place]
+    power = powers(int(m.max()))[place]
+    return (first, after, mix(np.add.reduceat(of * power, begin)),
+            mix(np.add.reduceat(mix(of + np.uint64(1)) * power, begin) + m.astype(np.uint64)))
+
+
+def unit_rows(texts: pa.Array, joined: bool = True) -> tuple[np.ndarray, ...]:
+    """(text's number, both halves of the digest, start, end, words, place of the first word, whether the text had it
+    before) of every unit."""
     data, offsets = buffers(texts)
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int32, np.int32, np.int32, bool))
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int32, np.int32, np.int32, np.int32, bool))
     lower, word = letters(data)
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
@@ -85,28 +117,32 @@ def unit_rows(texts: pa.Array) -> tuple[np.ndarray, ...]:
     sents, n_sent, b1, b2 = units(sentence[begin], SENTENCE_WORDS)
     its_line, its_sent = line[begin[lines]] - 1, sentence[begin[sents]] - 1
     end = np.minimum(sentence_end[its_sent], line_end[line[begin[sents]] - 1])
+    run, after, c1, c2 = (x[:None if joined else 0] for x in runs(sentence[begin], line[begin], hashed))
+    run_end = np.minimum(sentence_end[sentence[begin[after - 1]] - 1], line_end[line[begin[run]] - 1])
     # a sentence that is all of its line is the line
     only = n_sent == np.bincount(line[begin])[line[begin[sents]]]
     sents, n_sent, b1, b2, end = (x[~only] for x in (sents, n_sent, b1, b2, end))
-    number = np.concatenate([doc[lines], doc[sents]])
-    d1, d2 = np.concatenate([a1, b1]), np.concatenate([a2, b2])
-    starts = np.concatenate([line_begin[its_line], begin[sents]])
-    ends = np.concatenate([line_end[its_line], end])
+    number = np.concatenate([doc[lines], doc[sents], doc[run]])
+    d1, d2 = np.concatenate([a1, b1, c1]), np.concatenate([a2, b2, c2])
+    starts = np.concatenate([line_begin[its_line], begin[sents], begin[run]])
+    ends = np.concatenate([line_end[its_line], end, run_end])
+    place = np.concatenate([lines, sents, run]) - np.searchsorted(doc, number)
     base = point[offsets[number]]
     order = np.lexsort((starts, d2, d1, number))
     again = np.zeros(len(order), bool)
     again[order[1:]] = ((number[order][1:] == number[order][:-1]) & (d1[order][1:] == d1[order][:-1])
                         & (d2[order][1:] == d2[order][:-1]))
-    return (number, d1, d2, point[starts] - base, point[ends] - base, np.concatenate([n_line, n_sent]), again)
+    return (number, d1, d2, point[starts] - base, point[ends] - base, np.concatenate([n_line, n_sent, after - run]),
+            place, again)
 
 
-def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The units of every text."""
+def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", joined: bool = True) -> DataFrame:
+    """The units of every text; ``joined``: runs around short sentences as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
         for batch in slices(batches):
-            number, d1, d2, *rest = unit_rows(batch.column("text"))
+            number, d1, d2, *rest = unit_rows(batch.column("text"), joined)
             columns = [d1.view(np.int64), d2.view(np.int64), *rest]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(number)),
@@ -116,27 +152,31 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return whole_texts(docs, id_col, text_col).mapInArrow(run, UNITS)
 
 
-def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", joined: bool = True) -> DataFrame:
     """(doc_id, start, end, n_words, kept_doc_id, passage_words): a row per stretch to remove, where its first
     occurrence stays, and the repeated words of the passage that it is part of."""
-    rows = written(units(docs.where(F.col(id_col).isNotNull()), id_col, text_col), "units")
+    rows = written(units(docs.where(F.col(id_col).isNotNull()), id_col, text_col, joined), "units")
     firsts = (rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n"))
               .where("n > 1").drop("n"))
     found = rows.join(firsts, ["d1", "d2"]).where("doc_id != kept_doc_id or again")
     # all windows are over one document's repeated units
     before = ("over (partition by doc_id order by start, end desc, n_words desc "
               "rows between unbounded preceding and 1 preceding)")
-    outer = (found.select("doc_id", "start", "end", "n_words", "kept_doc_id").distinct()
-             .withColumn("upto", F.expr(f"max(end) {before}")).where("upto is null or end > upto"))
+    outer = (found.select("doc_id", "start", "end", "n_words", "first", "kept_doc_id").distinct()
+             .withColumns({"upto": F.expr(f"max(end) {before}"), "upto_word": F.expr(f"max(first + n_words) {before}")})
+             .where("upto is null or end > upto"))
     passage = F.expr(f"sum(if(upto is null or start - upto >= {GAP}, 1, 0)) over (partition by doc_id order by start)")
-    words = F.expr("sum(n_words) over (partition by doc_id, passage)")
+    words = F.expr("sum(first + n_words - greatest(first, upto_word)) over (partition by doc_id, passage)")
     return (outer.withColumn("passage", passage).withColumn("passage_words", words)
             .select("doc_id", "start", "end", "n_words", "kept_doc_id", "passage_words"))
 
 
-def repeats(docs: DataFrame, passage_words: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, end, n_words, kept_doc_id) of the stretches whose passage has ``passage_words`` at least."""
-    return stretches(docs, id_col, text_col).where(F.col("passage_words") >= passage_words).drop("passage_words")
+def repeats(docs: DataFrame, passage_words: int = 0, id_col: str = "doc_id", text_col: str = "text",
+            joined: bool = False) -> DataFrame:
+    """(doc_id, start, end, n_words, kept_doc_id) of the stretches, of lines and sentences unless ``joined``, whose
+    passage has ``passage_words`` at least."""
+    rows = stretches(docs, id_col, text_col, joined)
+    return rows.where(F.col("passage_words") >= passage_words).drop("passage_words")
 
 
 def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,4 +206,4 @@ def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
 def dedupe(docs: DataFrame, passage_words: int = 0, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(doc_id, text, removed) of every row after substring dedup."""
-    return remove(docs, repeats(docs, passage_words, id_col, text_col), id_col, text_col)
+    return remove(docs, repeats(docs, passage_words, id_col, text_col, joined=True), id_col, text_col)

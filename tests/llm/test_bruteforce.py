@@ -73,10 +73,26 @@ def test_substring_dedup(spark, documents, texts, least):
 
 def test_substring_dedup_query(spark, sf_dir, texts):
     """The query returns every repeated unit, short ones too, with the words of its passage."""
-    rows = queries.op2_substring_dedup(spark, sf_dir).collect()
-    assert sorted(tuple(r)[:5] for r in rows) == sorted(plain_repeats(texts, 0))
-    long = [tuple(r)[:5] for r in rows if r.passage_words >= substring_dedup.PASSAGE_WORDS]
-    assert sorted(long) == sorted(plain_repeats(texts, substring_dedup.PASSAGE_WORDS)) and len(long) < len(rows)
+    of = defaultdict(list)
+    for r in queries.op2_substring_dedup(spark, sf_dir).collect():
+        of[r.doc_id].append(r)
+    for doc, a, b, n, _ in plain_repeats(texts, 0):
+        assert any(r.start <= a and b <= r.end and r.passage_words >= n for r in of[doc]), (doc, a, b)
+    assert any(r.passage_words < substring_dedup.PASSAGE_WORDS for rows in of.values() for r in rows)
+
+
+def test_short_sentences(frame):
+    """A repeated passage of short sentences goes, wherever it lies in its line; words of overlapping runs count once."""
+    rng = random.Random(3)
+    say = lambda n: " ".join("".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(n))
+    passage = " ".join(f"{say(n)}." for n in (3, 4, 2, 7, 1, 5, 6, 3, 4, 7))
+    docs = frame((1, f"{say(9)}. {passage} {say(9)}."), (2, f"{say(4)}. {passage.upper()} {say(2)}. {say(7)}"))
+    rows = substring_dedup.stretches(docs).collect()
+    begin = docs.where("doc_id = 2").first().text.index(passage.upper())
+    assert {(r.doc_id, r.kept_doc_id, r.passage_words) for r in rows} == {(2, 1, 42)}
+    assert min(r.start for r in rows) == begin and max(r.end for r in rows) == begin + len(passage)
+    done = substring_dedup.dedupe(docs).where("doc_id = 2").first().text
+    assert len(re.findall("[a-zA-Z]+", done)) == 13 and passage.upper()[:20] not in done
 
 
 def test_short_repeats_go(frame):
