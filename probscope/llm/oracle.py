@@ -92,6 +92,66 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM r
 """
 
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 5
+"""
+
+#: crc32 by its table of 256 entries, a byte at a time; near words share a text with one code point left out.
+SPELLING = r"""
+WITH RECURSIVE entry AS (
+  SELECT list(list_reduce(range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+              ORDER BY i) AS t FROM range(256) r(i)),
+run AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+found AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS bytes
+          FROM run WHERE length(run) >= 7 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(1, length(bytes), 2), lambda i: ('0x' || bytes[i:i + 1])::BIGINT),
+                                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM found, entry),
+w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2),
+cut AS (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest
+        FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+met AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT word, rest FROM cut SEMI JOIN w ON w.word = cut.rest
+  UNION SELECT rest, word FROM cut SEMI JOIN w ON w.word = cut.rest),
+best AS (
+  SELECT met.word, count(*) OVER (PARTITION BY met.word) AS n_near, near, w.n AS near_n
+  FROM met JOIN w ON w.word = near
+  QUALIFY row_number() OVER (PARTITION BY met.word ORDER BY w.n DESC, near) = 1),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM w LEFT JOIN best ON best.word = w.word),
+way AS (
+  SELECT word, word AS reached FROM formed
+  UNION ALL SELECT way.word, form FROM way JOIN formed ON formed.word = reached WHERE form IS NOT NULL)
+SELECT formed.word, formed.form, reached AS root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN way ON way.word = formed.word JOIN formed last ON last.word = reached AND last.form IS NULL
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality": quality_sql(), "op3_ngram_join": JOIN, "op5_warc": WARC}
+    return {"op1_quality": quality_sql(), "op3_ngram_join": JOIN, "op5_warc": WARC, "op12_hard_negatives": NEGATIVES,
+            "op13_spelling_variants": SPELLING}

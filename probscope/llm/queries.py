@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probscope.llm import (decontamination, ngram_join, pii, quality, secrets, sentencepiece_codec,
-                           substring_dedup, token_counts, toxicity, warc)
+from probscope.llm import (decontamination, hard_negatives, language_id, ngram_join, pii, quality, secrets,
+                           sentencepiece_codec, spelling, substring_dedup, token_counts, toxicity, warc)
 from probscope.llm.common import read_table, scratch, written
 
 
@@ -104,6 +104,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text of ``documents``."""
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs)).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row of ``embeddings``; every seventh one has its label changed."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents``, some misspelled, with their frequent neighbours."""
+    words = written(spelling.counted(read_table(spark, sf_dir, "documents"), spelling.misspelled), "words")
+    return spelling.grouped(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
