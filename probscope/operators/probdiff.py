@@ -78,12 +78,20 @@ def probdiff_for_objects(t: Tables, objects: DataFrame) -> DataFrame:
 def probdiff_hist(t: Tables) -> DataFrame:
     """Histogram of late-minus-early differences per (classifier, true class, early, late),
     with bin centre and the fraction of the group in each bin."""
-    pd = probdiff(max_prob_by_timebin(t))
-    hist = (pd.groupBy(*GROUP, B.probdiffbin("probdiff").alias("probdiffbin"))
+    return described(probdiff_counts(probdiff(max_prob_by_timebin(t))), t.timebins)
+
+
+def probdiff_counts(pairs: DataFrame) -> DataFrame:
+    """(the group, probdiffbin, n) of differences."""
+    return (pairs.groupBy(*GROUP, B.probdiffbin("probdiff").alias("probdiffbin"))
             .agg(F.count(F.lit(1)).alias("n")))
+
+
+def described(hist: DataFrame, timebins: DataFrame) -> DataFrame:
+    """The histogram with time ranges, bin centre and the fraction of its group in each bin."""
     frac = F.col("n") / F.sum("n").over(Window.partitionBy(*GROUP))
     out = hist.withColumn("binmeanprobdiff", B.probdiff_bin_mean("probdiffbin")).withColumn("frac", frac)
-    return with_bin_ranges(out, t.timebins).select(
+    return with_bin_ranges(out, timebins).select(
         "classifier_id", "true_class_id", "earlytimebin", "earlytimet0", "earlytimet1", "latetimebin",
         "latetimet0", "latetimet1", "probdiffbin", "binmeanprobdiff", "n", "frac")
 
