@@ -14,7 +14,7 @@ def oracle(name: str, body: str, extra: dict[str, str] | None = None) -> None:
 
 
 def oracle_sql() -> dict[str, str]:
-    from probscope.plans import oracle_more  # noqa: F401  (registers the remaining families)
+    from probscope.plans import oracle_added, oracle_more  # noqa: F401  (register the remaining families)
     return dict(_ORACLE)
 
 

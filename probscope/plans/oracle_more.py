@@ -3,7 +3,7 @@ exploration families (DuckDB dialect)."""
 
 from __future__ import annotations
 
-from probscope.plans.oracle import oracle
+from probscope.plans.oracle import _inner, chosen_sql, oracle
 from probscope.sources import dims
 from probscope.plans.oracle_base import round6, width_bucket_sql
 
@@ -460,7 +460,7 @@ oracle("match_rate_by_level", f"""
                {round6('sum(CASE WHEN pred_class >= 0 AND CAST(floor(pred_class / d) * d AS INTEGER) = CAST(floor(true_class / d) * d AS INTEGER) THEN n ELSE 0 END) / sum(n)')} AS rate
         FROM matchable
         CROSS JOIN (VALUES ('exact', 1), ('category', 10), ('general', 100), ('broad', 1000)) lv(level, d)
-        GROUP BY ALL""", {**CC,"best": __import__('probscope.plans.oracle', fromlist=['chosen_sql']).chosen_sql("last_best"),
+        GROUP BY ALL""", {**CC,"best": chosen_sql("last_best"),
                           "counts": """
         SELECT b.classifier_id, b.class_id AS pred_class, g.class_id AS true_class, count(*) AS n
         FROM truth t JOIN gentype_dim g ON t.gentype = g.gentype JOIN best b ON b.dia_object_id = t.dia_object_id
@@ -541,8 +541,7 @@ oracle("prob_by_detection", f"""
               FROM diasource) d ON d.dia_source_id = v.dia_source_id
         WHERE v.class_id = v.true_class_id
         GROUP BY ALL""", EC)
-oracle("csv_roundtrip", __import__('probscope.plans.oracle', fromlist=['_inner'])._inner("last_best"),
-       {"best": __import__('probscope.plans.oracle', fromlist=['chosen_sql']).chosen_sql("last_best")})
+oracle("csv_roundtrip", _inner("last_best"), {"best": chosen_sql("last_best")})
 oracle("parameterised_sql", f"""
         SELECT v.classifier_id, v.dia_object_id, v.class_id, v.alert_id, v.true_class_id,
                {round6('v.probability')} AS probability, s.mid_point_tai - t.peakmjd AS deltat

@@ -54,5 +54,5 @@ def finish(df: DataFrame, places: int = 6) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     # import the modules that register queries
     from probscope.plans import catalog_queries, confusion_queries, explore_queries, probdiff_queries  # noqa: F401
-    from probscope.plans import probhist_queries, relday_queries, service_queries  # noqa: F401
+    from probscope.plans import added_queries, incremental_queries, probhist_queries, relday_queries, service_queries  # noqa: F401
     return dict(_REGISTRY)
