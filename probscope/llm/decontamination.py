@@ -2,16 +2,18 @@
 
 Texts and benchmark items are folded alike (lower case, runs of anything but
 letters and digits to one space) and compared as bytes of UTF-8. An item is cut into windows
-of ``WINDOW`` bytes, every half window; a document holds a window when some stretch of it
-is within ``BUDGET`` edits per byte of the window. Such a stretch shares at
+of ``WINDOW`` bytes, every ``STRIDE`` bytes; a document holds a window when some stretch of it
+is within ``BUDGET`` edits per byte of the window. Half a stride costs fewer edits than the budget, so that
+a stretch of ``WINDOW`` bytes that is copied whole is found wherever it begins. Such a stretch shares at
 least ``WINDOW - Q + 1 - edits * Q`` q-grams with it, all on diagonals (position
 in the document less position in the window) that lie within the edit budget of
 each other. So per (document, window) the shared q-grams are counted in bands of
 diagonals, twice as wide as needed and overlapping by half; regions that reach
 the bound are verified by a banded alignment with free ends.
 
-The items are the stated query set: they are sent to the tasks in blocks of at
-most ``BLOCK`` characters, and each block reads the documents once.
+The items are the stated query set: they are numbered into blocks of at most ``BLOCK`` characters (or one
+longer item), whose sizes are counted before any is fetched, and written to the shared folder; one block at a time is sent
+to the tasks and reads the documents once. Nothing of a former block is kept but its regions.
 
 Null and empty texts hold nothing. Items of under ``MIN_ITEM`` folded bytes,
 empty and null ones among them, are too short to tell a leak and match nothing.
@@ -30,16 +32,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from probscope.llm.common import slices, whole_texts
+from probscope.llm.common import slices, whole_texts, written
 from probscope.llm.shingles import letters
 
 Q = 10
 WINDOW = 80
+STRIDE = 8
 BUDGET = 0.075
 MIN_ITEM = 12
 #: Characters of items in a block, and bytes of text that are searched at a time.
 BLOCK = 1 << 21
 PART = 1 << 20
+#: Bands that are aligned at once.
+ALIGNED = 4096
 
 RESULT = "doc_id long, item_id long, start int, end int, edits int, shared_qgrams int"
 
@@ -81,7 +86,7 @@ class Block:
                 continue
             width = min(n, WINDOW)
             edits = min(int(BUDGET * width), (width - Q) // Q)
-            for start in sorted({*range(0, n - width, WINDOW // 2), n - width}):
+            for start in sorted({*range(0, n - width, STRIDE), n - width}):
                 window = folded[start:start + width]
                 hashes = qgrams(window)
                 grams.append(hashes)
@@ -127,10 +132,11 @@ class Block:
         owner, band, shared = owner[good], band[good], shared[good]
         return owner, band * (self.edits[owner] + 1) - WINDOW, shared
 
-    def align(self, folded: np.ndarray, owner: int, lowest: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(edits, start, end) of the best stretch near each band's diagonals: rows of the window by
-        diagonals, all bands of one window at once. A cell holds edits and start as one number."""
-        _, window, edits, _ = self.windows[owner]
+    def align(self, folded: np.ndarray, owners: np.ndarray, lowest: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(edits, start, end) of the best stretch near each band's diagonals, for windows of one length: rows of the
+        window by diagonals, all windows and bands at once. A cell holds edits and start as one number."""
+        windows = np.stack([self.windows[o][1] for o in owners])
+        edits = int(self.edits[owners[0]])
         wide = 2 * (edits + 1) + 2 * edits
         padded = np.concatenate([np.zeros(2 * WINDOW, np.uint8), folded, np.zeros(2 * WINDOW, np.uint8)])
         origin = lowest - edits
@@ -138,14 +144,14 @@ class Block:
         ramp = np.arange(wide, dtype=np.int64) * one
         start = origin[:, None] + np.arange(wide)
         cell = start + 2 * WINDOW
-        for i, c in enumerate(window):
+        for i in range(windows.shape[1]):
             j = np.clip(start + i + 2 * WINDOW, 0, len(padded) - 1)
-            best = cell + (padded[j] != c) * one
+            best = cell + (padded[j] != windows[:, i, None]) * one
             best[:, :-1] = np.minimum(best[:, :-1], cell[:, 1:] + one)
             cell = np.minimum.accumulate(best - ramp, axis=1) + ramp
         at = cell.argmin(1)
         best = cell[np.arange(len(lowest)), at]
-        return best // one, best % one - 2 * WINDOW, origin + at + len(window)
+        return best // one, best % one - 2 * WINDOW, origin + at + windows.shape[1]
 
     def search(self, data: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(item's number, first byte, byte after the last, edits, shared q-grams) of the verified regions."""
@@ -154,13 +160,14 @@ class Block:
         folded, at = fold(data)
         owners, lowest, shared = self.regions(folded)
         found = []
-        for owner in np.unique(owners):
-            mine = owners == owner
-            edits, start, end = self.align(folded, owner, lowest[mine])
-            for e, a, b, n in zip(edits, start, end, shared[mine]):
-                if e <= self.edits[owner]:
+        length = np.array([len(self.windows[o][1]) for o in owners])
+        for n in np.unique(length):
+            for mine in np.array_split(np.flatnonzero(length == n), -(-int((length == n).sum()) // ALIGNED)):
+                edits, start, end = self.align(folded, owners[mine], lowest[mine])
+                good = edits <= self.edits[owners[mine]]
+                for o, e, a, b, c in zip(owners[mine][good], edits[good], start[good], end[good], shared[mine][good]):
                     a, b = max(int(a), 0), min(int(b), len(at))
-                    found.append((self.windows[owner][0], int(at[a]), int(at[b - 1]) + 1, int(e), int(n)))
+                    found.append((self.windows[o][0], int(at[a]), int(at[b - 1]) + 1, int(e), int(c)))
         return found
 
 
@@ -180,29 +187,42 @@ def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_
          item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per region of a document that holds part of an item; offsets in code points, end exclusive."""
     texts = whole_texts(docs, id_col, text_col)
-    return reduce(DataFrame.unionAll, [_find_block(texts, b) for b in blocks(benchmark, item_id_col, item_text_col)])
+    items, n = blocks(benchmark, item_id_col, item_text_col)
+    if n == 1:
+        return _find_block(texts, fetched(items, 0))
+    return reduce(DataFrame.unionAll, [written(_find_block(texts, fetched(items, k)), "regions") for k in range(n)])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, keep: Sequence[str] = (), id_col: str = "doc_id",
           text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, text) and the columns ``keep`` of the documents without any region, in one pass for each block."""
     texts = whole_texts(docs, id_col, text_col, keep)
-    for block in blocks(benchmark, item_id_col, item_text_col):
-        texts = _clean_block(texts, block)
+    items, n = blocks(benchmark, item_id_col, item_text_col)
+    if n == 1:
+        return _clean_block(texts, fetched(items, 0))
+    for k in range(n):
+        texts = written(_clean_block(texts, fetched(items, k)), "clean")
     return texts
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int | None, bytes]]]:
-    items = benchmark.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).dropna(subset=[text_col])
-    out: list[list[tuple[int | None, bytes]]] = [[]]
-    size = 0
-    for item_id, text in items.toLocalIterator():
-        if size + len(text) > BLOCK and out[-1]:
-            out.append([])
-            size = 0
-        out[-1].append((item_id, text.encode()))
-        size += len(text)
-    return out
+def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """(item_id, text, block) of the items with a text, in the shared folder, and how many blocks there are."""
+    items = written(benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
+                    .where("text is not null"), "items")
+    size = F.sum(F.length("text"))
+    n = max(1, -(-(items.agg(size).first()[0] or 0) // BLOCK))
+    while True:
+        numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+        over = numbered.groupBy("block").agg(size.alias("size"), F.min("text").alias("a"), F.max("text").alias("b"))
+        # copies of one item cannot be parted, and need not: their windows are the same
+        if n == 1 or not over.where((F.col("size") > BLOCK) & (F.col("a") != F.col("b"))).count():
+            return numbered, n
+        n += n // 2 + 1
+
+
+def fetched(items: DataFrame, block: int) -> list[tuple[int | None, bytes]]:
+    """The items of a block: ``BLOCK`` characters at most, or one item and its copies."""
+    return [(r.item_id, r.text.encode()) for r in items.where(F.col("block") == block).select("item_id", "text").collect()]
 
 
 def _search(block: Block, data: np.ndarray) -> list[list[int]]:

@@ -18,7 +18,8 @@ gives a least number of them, such as ``PASSAGE_WORDS``.
 Spans keep the offsets of the original text, in code points, end exclusive; a sentence
 within a removed line is part of the line's span. A null or empty text has no units;
 rows with a null id are left as they are; rows with equal ids and texts are one
-document, of which each keeps what the other keeps. Further columns are not read, and an
+document, of which each keeps what the other keeps; rows with one id and several texts are
+several documents, which rank by a hash of the text. Further columns are not read, and an
 empty table gives an empty result. Texts of any length are taken whole.
 """
 
@@ -39,7 +40,9 @@ SENTENCE_WORDS = 8
 PASSAGE_WORDS = 20
 GAP = 60
 
-UNITS = "doc_id long, d1 long, d2 long, start int, end int, n_words int, first int, again boolean"
+#: A document is an id with the hash of a text: rows with one id may hold several texts.
+DOCUMENT = ["doc_id", "text_hash"]
+UNITS = "doc_id long, text_hash long, d1 long, d2 long, start int, end int, n_words int, first int, again boolean"
 
 
 def runs(sentence: np.ndarray, line: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -136,6 +139,10 @@ def unit_rows(texts: pa.Array, joined: bool = True) -> tuple[np.ndarray, ...]:
             place, again)
 
 
+def hashed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return whole_texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+
+
 def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", joined: bool = True) -> DataFrame:
     """The units of every text; ``joined``: runs around short sentences as well."""
 
@@ -145,30 +152,30 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", joine
             number, d1, d2, *rest = unit_rows(batch.column("text"), joined)
             columns = [d1.view(np.int64), d2.view(np.int64), *rest]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(number)),
+                [batch.column("doc_id").take(pa.array(number)), batch.column("text_hash").take(pa.array(number)),
                  *(pa.array(c, k, safe=False) for c, k in zip(columns, kinds))],
                 [x.split()[0] for x in UNITS.split(", ")])
 
-    return whole_texts(docs, id_col, text_col).mapInArrow(run, UNITS)
+    return hashed_texts(docs, id_col, text_col).mapInArrow(run, UNITS)
 
 
 def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", joined: bool = True) -> DataFrame:
-    """(doc_id, start, end, n_words, kept_doc_id, passage_words): a row per stretch to remove, where its first
-    occurrence stays, and the repeated words of the passage that it is part of."""
+    """(doc_id, start, end, n_words, kept_doc_id, passage_words, text_hash): a row per stretch to remove, where its first
+    occurrence stays, the repeated words of the passage that it is part of, and the hash of the text that it is in."""
     rows = written(units(docs.where(F.col(id_col).isNotNull()), id_col, text_col, joined), "units")
-    firsts = (rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n"))
+    firsts = (rows.groupBy("d1", "d2").agg(F.min(F.struct(*DOCUMENT)).alias("kept"), F.count("*").alias("n"))
               .where("n > 1").drop("n"))
-    found = rows.join(firsts, ["d1", "d2"]).where("doc_id != kept_doc_id or again")
+    found = rows.join(firsts, ["d1", "d2"]).where("doc_id != kept.doc_id or text_hash != kept.text_hash or again")
     # all windows are over one document's repeated units
-    before = ("over (partition by doc_id order by start, end desc, n_words desc "
-              "rows between unbounded preceding and 1 preceding)")
-    outer = (found.select("doc_id", "start", "end", "n_words", "first", "kept_doc_id").distinct()
+    of = f"partition by {', '.join(DOCUMENT)}"
+    before = f"over ({of} order by start, end desc, n_words desc rows between unbounded preceding and 1 preceding)"
+    outer = (found.select(*DOCUMENT, "start", "end", "n_words", "first", F.col("kept.doc_id").alias("kept_doc_id")).distinct()
              .withColumns({"upto": F.expr(f"max(end) {before}"), "upto_word": F.expr(f"max(first + n_words) {before}")})
              .where("upto is null or end > upto"))
-    passage = F.expr(f"sum(if(upto is null or start - upto >= {GAP}, 1, 0)) over (partition by doc_id order by start)")
-    words = F.expr("sum(first + n_words - greatest(first, upto_word)) over (partition by doc_id, passage)")
+    passage = F.expr(f"sum(if(upto is null or start - upto >= {GAP}, 1, 0)) over ({of} order by start)")
+    words = F.expr(f"sum(first + n_words - greatest(first, upto_word)) over ({of}, passage)")
     return (outer.withColumn("passage", passage).withColumn("passage_words", words)
-            .select("doc_id", "start", "end", "n_words", "kept_doc_id", "passage_words"))
+            .select("doc_id", "start", "end", "n_words", "kept_doc_id", "passage_words", "text_hash"))
 
 
 def repeats(docs: DataFrame, passage_words: int = 0, id_col: str = "doc_id", text_col: str = "text",
@@ -176,15 +183,14 @@ def repeats(docs: DataFrame, passage_words: int = 0, id_col: str = "doc_id", tex
     """(doc_id, start, end, n_words, kept_doc_id) of the stretches, of lines and sentences unless ``joined``, whose
     passage has ``passage_words`` at least."""
     rows = stretches(docs, id_col, text_col, joined)
-    return rows.where(F.col("passage_words") >= passage_words).drop("passage_words")
+    return rows.where(F.col("passage_words") >= passage_words).drop("passage_words", "text_hash")
 
 
 def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, removed): every text without its stretches, and these as (start, end) of the original text."""
-    texts = whole_texts(docs, id_col, text_col)
-    of = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
-    of = of.withColumnRenamed("doc_id", "of")
-    rows = texts.join(of, texts["doc_id"].eqNullSafe(of["of"]), "left").select("doc_id", "text", "removed")
+    """(doc_id, text, removed): every text without its ``stretches``, and these as (start, end) of the original text."""
+    texts = hashed_texts(docs, id_col, text_col)
+    of = spans.groupBy(*DOCUMENT).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
+    rows = texts.join(of, DOCUMENT, "left").select("doc_id", "text", "removed")  # rows without an id have no spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -206,4 +212,5 @@ def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
 def dedupe(docs: DataFrame, passage_words: int = 0, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(doc_id, text, removed) of every row after substring dedup."""
-    return remove(docs, repeats(docs, passage_words, id_col, text_col, joined=True), id_col, text_col)
+    spans = stretches(docs, id_col, text_col).where(F.col("passage_words") >= passage_words)
+    return remove(docs, spans, id_col, text_col)

@@ -3,12 +3,13 @@
 Changes to documents come in batches: inserts, deletes, and revisions with the count before and
 after. A batch becomes signed rows, which add up to one row per (source, language,
 tokenizer version); the totals are the sum over all batches, so that no batch reads more
-than its own changes. A batch is committed by overwriting its own partition of
-the rollup: committing it again, after a lost driver or a repeated delivery, changes nothing.
+than its own changes. A batch is committed whole or not at all (``sources.commits``); the last commit of a batch
+counts, in place of any earlier one, also if it is empty: committing it again, after a lost driver or a repeated
+delivery, changes nothing. One writer commits at a time.
 
 A null text has no tokens, a null source or language is a group like any other, rows with equal
-ids count one by one, further columns are not read. An empty batch commits no rows and empty
-tables give an empty rollup. Groups whose totals are all zero are left out.
+ids count one by one, further columns are not read. An empty batch commits no rows, empty
+tables give an empty rollup, and so does a path without any commit. Groups whose totals are all zero are left out.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probscope.llm.common import slices
+from probscope.sources import commits
 
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = ["n_docs", "n_tokens", "n_chars"]
@@ -63,18 +65,23 @@ def signed(rows: DataFrame, sign: int) -> DataFrame:
 
 def commit(changes: DataFrame, path: str, batch_id: int) -> None:
     """Adds a batch of signed rows to the rollup in ``path``, in place of any earlier commit of this batch."""
+    folder = commits.new_folder()
     sums = changes.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
-    (sums.withColumn("batch_id", F.lit(batch_id).cast("long")).write.partitionBy("batch_id")
-     .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
+    sums.withColumn("batch_id", F.lit(batch_id).cast("long")).write.parquet(commits.folder_path(path, "data", folder))
+    commits.record(changes.sparkSession, path, batch_id, folder)
 
 
 def totals(spark: SparkSession, path: str) -> DataFrame:
     """The sums of all committed batches by source, language and tokenizer version."""
-    rows = spark.read.schema(DELTA).parquet(path).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
+    rows = commits.committed(spark, path, "data", DELTA).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
     return rows.where(" or ".join(f"{c} != 0" for c in SUMS))
 
 
 def compact(spark: SparkSession, path: str, target: str, batch_id: int) -> None:
     """The batches up to ``batch_id`` as one, and the later ones as they are, in the new folder ``target``."""
-    rows = spark.read.schema(DELTA).parquet(path).withColumn("batch_id", F.greatest("batch_id", F.lit(batch_id)))
-    rows.groupBy("batch_id", *KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).write.partitionBy("batch_id").parquet(target)
+    rows = commits.committed(spark, path, "data", DELTA).withColumn("batch_id", F.greatest("batch_id", F.lit(batch_id)))
+    merged = rows.groupBy("batch_id", *KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
+    for batch in sorted(r.batch_id for r in merged.select("batch_id").distinct().collect()):  # the later batches and one
+        folder = commits.new_folder()
+        merged.where(F.col("batch_id") == batch).write.parquet(commits.folder_path(target, "data", folder))
+        commits.record(spark, target, batch, folder)

@@ -101,6 +101,20 @@ def test_short_repeats_go(frame):
     assert [r.text for r in rows] == ["a notice of only six words\nfirst", "second\n"]
 
 
+def test_one_id_with_several_texts(frame):
+    """Spans are of a row's own text; of two rows with one id that share a line, one keeps it."""
+    line = "this whole line of words stands in the other text too"
+    a, b = f"{line}\nonly here is the first one of them", f"second text has it after that\n{line}\nand goes on alone"
+    rows = substring_dedup.dedupe(frame((1, line), (2, a), (2, "let this other text stay whole as it repeats nothing"))).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == [
+        (1, line), (2, "\nonly here is the first one of them"), (2, "let this other text stay whole as it repeats nothing")]
+    rows = [r.text for r in substring_dedup.dedupe(frame((2, a), (2, b))).collect()]
+    assert sorted(line in t for t in rows) == [False, True] and all(t in (a, b, a.replace(line, ""), b.replace(line, "")) for t in rows)
+    # repeated rows are one document
+    rows = substring_dedup.dedupe(frame((2, a), (2, a))).collect()
+    assert [r.text for r in rows] == [a, a]
+
+
 def test_passages_within_lines(frame):
     rng = random.Random(1)
     say = lambda n: " ".join("".join(rng.choices(string.ascii_lowercase, k=5)) for _ in range(n))
@@ -292,6 +306,28 @@ def test_token_counts(spark, frame, tmp_path):
     assert [tuple(r) for r in token_counts.totals(spark, str(tmp_path / "c")).collect()] == want
 
 
+def test_token_counts_again(spark, frame, tmp_path):
+    """An empty correction replaces the batch; what no log names does not count; no commit is no rollup."""
+    path = str(tmp_path / "r")
+    assert token_counts.totals(spark, path).count() == 0
+    now = token_counts.signed(token_counts.counted(frame((1, "a b c"), (2, "d e")), {}), 1)
+    none = token_counts.signed(token_counts.counted(frame(), {}), 1)
+    token_counts.commit(none, path, 0)
+    token_counts.commit(now, path, 1)
+    token_counts.commit(now, path, 2)
+    sums = lambda: [(r.n_docs, r.n_tokens, r.n_chars) for r in token_counts.totals(spark, path).collect()]
+    assert sums() == [(4, 10, 16)]
+    token_counts.commit(none, path, 2)
+    assert sums() == [(2, 5, 8)]
+    # a writer that is lost before its row of the log is written
+    now.groupBy(*token_counts.KEYS).agg(*[F.sum(c).alias(c) for c in token_counts.SUMS]).withColumn(
+        "batch_id", F.lit(3).cast("long")).write.parquet(f"{path}/data/folder=commit-lost")
+    assert sums() == [(2, 5, 8)]
+    token_counts.commit(now, path, 2)
+    token_counts.commit(none, path, 1)
+    assert sums() == [(2, 5, 8)]
+
+
 def test_token_counts_query(spark, sf_dir, documents, texts):
     import base64
 
@@ -362,7 +398,7 @@ def test_decontamination(spark, frame):
                 continue
             w = min(n, decontamination.WINDOW)
             most = min(int(decontamination.BUDGET * w), (w - decontamination.Q) // decontamination.Q)
-            starts = {*range(0, n - w, decontamination.WINDOW // 2), n - w}
+            starts = {*range(0, n - w, decontamination.STRIDE), n - w}
             if any(edits(folded[s:s + w], plain_fold(text)) <= most for s in starts):
                 want.add((d, k))
     table = spark.createDataFrame(list(items.items()), "item_id long, text string")
@@ -374,6 +410,21 @@ def test_decontamination(spark, frame):
     assert {(r.doc_id, r.item_id) for r in decontamination.find(frame(*docs.items()), table).collect()} == want
 
 
+@pytest.mark.parametrize("length", [80, 90, 100])
+def test_decontamination_partial(spark, frame, length):
+    """Stretches of a long item that are copied whole are found wherever they begin."""
+    rng = random.Random(length)
+    say = lambda n: " ".join("".join(rng.choices("abcdef", k=rng.randrange(2, 7))) for _ in range(n))
+    items = [(i, say(90)[:400].strip()) for i in range(5)]
+    docs = []
+    for i, (_, item) in enumerate(items):
+        for at in range(0, len(item) - length, 7):
+            docs.append((len(docs), f"{say(20)} {item[at:at + length]} {say(20)}"))
+    found = decontamination.find(frame(*docs), spark.createDataFrame(items, "item_id long, text string"))
+    found = {r.doc_id for r in found.collect()}
+    assert len(found) / len(docs) > 0.97
+
+
 def test_decontamination_parts(spark, frame, monkeypatch):
     monkeypatch.setattr(decontamination, "PART", 2000)
     monkeypatch.setattr(decontamination, "BLOCK", 100)
