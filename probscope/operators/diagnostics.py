@@ -3,7 +3,7 @@ alert rate, delays, completeness, and the metric as a function of detection coun
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from probscope.functions import exact as X
@@ -27,27 +27,41 @@ DELAYS = {
 }
 
 
+def message_classifiers(t: Tables) -> DataFrame:
+    """(broker_message_id, classifier_id): of the stored arrays, which have a row per message, else of the distinct pairs."""
+    if t.message_probs is not None:
+        return t.message_probs.where(F.size("probs") > 0).select("broker_message_id", "classifier_id")
+    return t.broker_classification.select("broker_message_id", "classifier_id").distinct()
+
+
 def delays(t: Tables) -> DataFrame:
     """(classifier_id, delay, seconds): a row per message of a sent alert, classifier and kind of delay whose
     two times are known (the classifier comes from the classification rows)."""
-    pairs = t.broker_classification.select("broker_message_id", "classifier_id").distinct()
     msg = t.broker_message.select("broker_message_id", "alert_id", "broker_ts", "ingest_ts").join(
         t.diaalert.select("alert_id", "alert_sent_ts").where(F.col("alert_sent_ts").isNotNull()), "alert_id")
     kinds = F.array(*[F.struct(F.lit(k).alias("delay"), F.timestamp_diff("SECOND", F.col(a), F.col(b)).alias("seconds"))
                       for k, (a, b) in DELAYS.items()])
-    rows = pairs.join(msg, "broker_message_id").select("classifier_id", F.inline(kinds))
+    rows = message_classifiers(t).join(msg, "broker_message_id").select("classifier_id", F.inline(kinds))
     return rows.where(F.col("seconds").isNotNull())
 
 
+def delay_bin(seconds: str) -> Column:
+    """-1 for no or a negative delay, else 32 bins for each doubling: at most 2016 bins, whatever the delays."""
+    s = F.col(seconds)
+    log = F.floor(F.log2(F.greatest(s, F.lit(1)).cast("double")) * 32)
+    return F.when(s <= 0, -1).otherwise(log).cast("int")
+
+
 def delay_stats(t: Tables) -> DataFrame:
-    """Per classifier and kind of delay: count, mean, min, max and exact quartiles of the seconds."""
-    rows = delays(t)
+    """Per classifier and kind of delay: count, mean, min, max and exact quartiles of the seconds, all from one count per
+    distinct number of seconds."""
     by = ["classifier_id", "delay"]
-    sums = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("seconds").alias("mean_seconds"),
+    counts = delays(t).groupBy(*by, "seconds").agg(F.count(F.lit(1)).alias("c"))
+    sums = counts.groupBy(*by).agg(
+        F.sum("c").alias("n"), (F.sum(F.col("seconds") * F.col("c")) / F.sum("c")).alias("mean_seconds"),
         F.min("seconds").alias("min_seconds"), F.max("seconds").alias("max_seconds"))
-    quartiles = exact_quantiles(rows, by, "seconds", {"q25_seconds": 0.25, "q50_seconds": 0.5, "q75_seconds": 0.75},
-                                F.floor(F.col("seconds") / 3600))
+    quartiles = exact_quantiles(counts, by, "seconds", {"q25_seconds": 0.25, "q50_seconds": 0.5, "q75_seconds": 0.75},
+                                delay_bin("seconds"), count="c")
     return sums.join(quartiles, by)
 
 
@@ -61,7 +75,7 @@ def completeness(t: Tables) -> DataFrame:
     """Per catalogued classifier: sent sources, those it classified, and the ratio."""
     sent = t.diaalert.where(F.col("alert_sent_ts").isNotNull()).select("dia_source_id").distinct()
     n_sent = sent.select(F.count(F.lit(1))).scalar()
-    pairs = t.broker_classification.select("broker_message_id", "classifier_id").distinct()
+    pairs = message_classifiers(t)
     classified = (pairs.join(message_context(t).select("broker_message_id", "dia_source_id"), "broker_message_id")
                   .select("classifier_id", "dia_source_id").distinct()
                   .join(sent, "dia_source_id", "left_semi")

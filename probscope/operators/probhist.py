@@ -6,9 +6,9 @@ messages of a classifier for one source are averaged). Everything downstream
 (normalisation, expected probability, heat maps, violin tables) works on the
 histogram, which is tiny, so only ``probhist`` touches classification rows.
 
-Plan shape: classification rows join the message-grain context (source,
-deltat, gentype) once, are averaged per (classifier, source, class) with a
-map-side-combined aggregate, binned, and counted per gentype *before* the
+Plan shape: where the messages are stored as arrays, message rows join the message-grain
+context (source, deltat, gentype) and are shuffled once by (classifier, source); else
+classification rows are, with a map-side-combined aggregate. The means per class are binned and counted per gentype *before* the
 gentype -> class fan-out join, so the fan-out only multiplies histogram rows.
 """
 
@@ -31,6 +31,10 @@ VIOLIN_HALF_WIDTH = 0.4
 TOTPROB_HI, TOTPROB_LO = 1.001, 0.999
 
 
+#: Messages of one alert up to which they meet in one task.
+MANY_MESSAGES = 10_000
+
+
 def message_source_context(t: Tables) -> DataFrame:
     """(broker_message_id, alert_id, dia_source_id, dia_object_id, deltat, gentype, filter_name,
     alert_sent_ts, ingest_ts) at message grain.
@@ -50,8 +54,21 @@ def dedupe_mean(t: Tables, ctx: DataFrame | None = None) -> DataFrame:
     Returns classifier_id, dia_source_id, class_id, probability, n_messages,
     deltat, gentype (the last two are functions of the source)."""
     ctx = ctx if ctx is not None else message_source_context(t)
-    rows = t.broker_classification.join(ctx.select("broker_message_id", "dia_source_id", "deltat", "gentype"),
-                                        "broker_message_id")
+    ctx = ctx.select("broker_message_id", "alert_id", "dia_source_id", "deltat", "gentype")
+    if t.message_probs is None:
+        return _mean_per_source(t.broker_classification.join(ctx, "broker_message_id"))
+    # message rows are shuffled by source, and the classes of a source's messages are averaged where they meet; a
+    # source of very many messages (an alert is of one source) is averaged in parts first instead
+    many = (t.broker_message.groupBy("alert_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MANY_MESSAGES)
+            .select("alert_id"))
+    rows = t.message_probs.join(ctx.join(many, "alert_id", "left_anti"), "broker_message_id")
+    keys = ["classifier_id", "dia_source_id", "deltat", "gentype"]
+    rows = rows.select(*keys, "probs").repartition("classifier_id", "dia_source_id").select(*keys, F.inline("probs"))
+    hot = t.broker_classification.join(ctx.join(many, "alert_id", "left_semi"), "broker_message_id")
+    return _mean_per_source(rows).unionByName(_mean_per_source(hot))
+
+
+def _mean_per_source(rows: DataFrame) -> DataFrame:
     return (rows.groupBy("classifier_id", "dia_source_id", "class_id", "deltat", "gentype")
             .agg(X.fmean("probability").alias("probability"), F.count(F.lit(1)).alias("n_messages")))
 

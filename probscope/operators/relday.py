@@ -149,10 +149,11 @@ def relday_distribution(t: Tables) -> DataFrame:
 def relday_quantiles(t: Tables, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Exact lower quantiles of raw probabilities per (classifier, true class, relday, class), groups of any
     size. Columns ``q25``, ``q50``, ``q75`` for the default ``probs``."""
-    rows = all_rows_with_relday(t).join(_true_classes(t), "gentype")
+    counts = (all_rows_with_relday(t).groupBy("classifier_id", "gentype", "relday", "class_id", "probability")
+              .agg(F.count(F.lit(1)).alias("c")).join(_true_classes(t), "gentype"))
     inside = F.least(F.greatest(F.col("probability"), F.lit(0.0)), F.lit(1.0))
-    return exact_quantiles(rows, ["classifier_id", "true_class_id", "relday", "class_id"], "probability",
-                           {f"q{int(round(p * 100))}": p for p in probs}, F.floor(inside * 1000))
+    return exact_quantiles(counts, ["classifier_id", "true_class_id", "relday", "class_id"], "probability",
+                           {f"q{int(round(p * 100))}": p for p in probs}, F.floor(inside * 1000), count="c")
 
 
 def prob_histogram_closed(t: Tables, n_bins: int = 20) -> DataFrame:

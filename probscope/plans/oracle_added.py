@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from probscope.plans.oracle import _ORACLE, ORDERS, oracle
 from probscope.plans.oracle_base import round6, width_bucket_sql
-from probscope.plans.oracle_more import FMEAN, HC
+from probscope.plans.oracle_more import ALLROWS, CTX, EC, FMEAN, HC, PDC, _VCOLS
 
 # a summary kept in batches is what the whole table gives
 for _name, _of in {"probhist": "probhist", "confusion": "confusion_last_best", "probdiff": "probdiff_hist",
@@ -82,3 +82,42 @@ for _name in ("answers_batch", "answers_stream"):
         SELECT classifier_id, count(DISTINCT alert_id) AS n_alerts, count(broker_message_id) AS n_messages,
                {round6('avg(seconds)')} AS mean_seconds, max(seconds) AS max_seconds
         FROM answers GROUP BY classifier_id""", {"answers": ANSWERS})
+
+oracle("prob_by_sliding_window", f"""
+        SELECT c.classifier_id, g.class_id AS true_class_id, w.window, w.t0, w.t1, {round6(FMEAN('c.probability'))} AS mean_prob,
+               count(*) AS n
+        FROM broker_classification c JOIN ctx x ON x.broker_message_id = c.broker_message_id
+        JOIN gentype_dim g ON g.gentype = x.gentype AND g.class_id = c.class_id
+        JOIN (SELECT CAST(range + 1 AS INTEGER) AS window, CAST(range - 30 AS DOUBLE) AS t0, CAST(range - 20 AS DOUBLE) AS t1
+              FROM range(130)) w ON x.deltat >= w.t0 AND x.deltat < w.t1
+        GROUP BY ALL""", {"ctx": CTX})
+oracle("deep_page", f"""
+        SELECT {_VCOLS} FROM (
+          SELECT *, row_number() OVER (ORDER BY dia_object_id, ingest_ts, class_id, broker_message_id) AS rn, count(*) OVER () AS n
+          FROM view WHERE classifier_id = 1) v
+        WHERE rn > n // 2 AND rn <= n // 2 + 1000""", {"view": EC["view"]})
+_ORACLE["relday_mean_stream"] = _ORACLE["mean_prob_by_relday"]
+_ORACLE["cached_probhist"] = _ORACLE["probhist"]
+_ORACLE["light_curve_lookup"] = _ORACLE["light_curve"]
+oracle("fractions_sum_to_one", """
+        SELECT histogram, classifier_id, true_class_id, count(*) AS n_groups,
+               CAST(sum(CASE WHEN abs(total - 1) <= 1e-9 THEN 1 ELSE 0 END) AS BIGINT) AS n_sum_to_one
+        FROM (SELECT 'probhist' AS histogram, classifier_id, true_class_id, sum(frac) AS total FROM norm
+              GROUP BY classifier_id, true_class_id, class_id, tbin
+              UNION ALL
+              SELECT 'probdiff_hist', classifier_id, true_class_id, sum(share) FROM (
+                SELECT *, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY classifier_id, true_class_id, earlytimebin, latetimebin)
+                          AS share FROM pdh) p
+              GROUP BY classifier_id, true_class_id, earlytimebin, latetimebin) g
+        GROUP BY ALL""", {**HC, **PDC})
+oracle("sketched_distinct", """
+        SELECT c.classifier_id, g.class_id AS true_class_id, count(DISTINCT x.dia_object_id) AS n_objects,
+               count(DISTINCT x.dia_source_id) AS n_sources, TRUE AS objects_close, TRUE AS sources_close
+        FROM broker_classification c JOIN ctx x ON x.broker_message_id = c.broker_message_id
+        JOIN gentype_dim g ON g.gentype = x.gentype
+        GROUP BY ALL""", {"ctx": CTX})
+oracle("sketched_quantiles", """
+        SELECT r.classifier_id, g.class_id AS true_class_id, r.class_id, count(*) AS n, TRUE AS quartiles_close
+        FROM allrows r JOIN gentype_dim g ON g.gentype = r.gentype
+        WHERE r.relday BETWEEN -10 AND 10
+        GROUP BY ALL""", {"ctx": CTX, "allrows": ALLROWS})

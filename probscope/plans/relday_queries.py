@@ -78,5 +78,5 @@ def classification_summary(t: Tables):
 
 @register("relday_quantiles")
 def relday_quantiles(t: Tables):
-    """Quartiles of raw probabilities per day and class (bounded sketch per group)."""
+    """Quartiles of raw probabilities per day and class (exact)."""
     return rd.relday_quantiles(t)

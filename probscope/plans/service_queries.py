@@ -99,13 +99,13 @@ def parameterised_sql(t: Tables):
 @register("explode_messages")
 def explode_messages(t: Tables):
     """Long rows rebuilt from per-message (class, probability) arrays."""
-    return rs.explode_messages(rs.messages_as_arrays(t.broker_classification))
+    return rs.explode_messages(rs.message_arrays(t))
 
 
 @register("argmax_from_array")
 def argmax_from_array(t: Tables):
     """Highest-probability class of every message, from the array form."""
-    return rs.argmax_from_array(rs.messages_as_arrays(t.broker_classification))
+    return rs.argmax_from_array(rs.message_arrays(t))
 
 
 @register("delay_histogram")
