@@ -59,6 +59,11 @@ def quality_sql() -> str:
         return (f"SELECT {key}, n, {cut.replace('q', 'a')} AS q1, {cut.replace('q', 'b')} AS q3 FROM (SELECT {key}, "
                 f"count(*) AS n, quantile_disc(v, 0.25)::BIGINT AS a, quantile_disc(v, 0.75)::BIGINT AS b FROM v GROUP BY {key})")
 
+    def blend(group: str, q: str, other: str) -> str:
+        """A group's quartile, by half at LEAST documents, and the coarser group's."""
+        w = f"({group}.n::DOUBLE * {group}.n::DOUBLE / ({group}.n::DOUBLE * {group}.n::DOUBLE + {quality.LEAST ** 2}::DOUBLE))"
+        return f"floor({w} * {group}.{q} + (1 - {w}) * {other})"
+
     return rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
@@ -80,8 +85,7 @@ v AS ({values}),
 own AS ({quartiles("lang, source")}), by_lang AS ({quartiles("lang")}), by_all AS ({quartiles("")}),
 picked AS (
   SELECT o.lang, o.source, o.measure,
-         CASE WHEN o.n >= {quality.LEAST} THEN o.q1 WHEN l.n >= {quality.LEAST} THEN l.q1 ELSE a.q1 END AS q1,
-         CASE WHEN o.n >= {quality.LEAST} THEN o.q3 WHEN l.n >= {quality.LEAST} THEN l.q3 ELSE a.q3 END AS q3
+         {blend("o", "q1", blend("l", "q1", "a.q1"))} AS q1, {blend("o", "q3", blend("l", "q3", "a.q3"))} AS q3
   FROM own o JOIN by_lang l ON l.lang = o.lang AND l.measure = o.measure JOIN by_all a ON a.measure = o.measure),
 f AS (
   SELECT lang, source, measure, CASE WHEN measure = 'short_words' THEN q1 - s ELSE q3 + s END AS fence

@@ -3,9 +3,9 @@
 Every document gets a few measures in integers. Per (language, source) each measure
 is summed up in a mergeable quantile sketch: counts per bucket, 32 buckets to each
 doubling, so that any quantile is off by 1/32 at most, merging is adding, and the
-order of the rows does not matter. A group of under ``LEAST`` documents takes the
-thresholds of its language, a language of under ``LEAST`` those of the corpus, from
-the merged sketches. A measure is rejected beyond the upper quartile (or the
+order of the rows does not matter. A small group tells little of itself: its quartiles are blended with those of its
+language, and these with those of the corpus, from the merged sketches, with a weight that grows smoothly with
+the number of documents and is one half at ``LEAST``. A measure is rejected beyond the upper quartile (or the
 lower, for the shortest words) by more than ``FENCE`` times the spread of the
 quartiles, which counts as ``SPREAD`` at least. The documents are then joined with
 their group's thresholds.
@@ -140,8 +140,13 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     named = lambda df, p: df.select(*[F.col(c).alias(c if c in ("lang", "source", "measure") else p + c)
                                       for c in df.columns])
     rows = own.join(named(lang, "l_"), ["lang", "measure"]).join(named(all_, "a_"), "measure")
-    pick = lambda c: F.when(F.col("total") >= LEAST, F.col(c)).when(
-        F.col("l_total") >= LEAST, F.col("l_" + c)).otherwise(F.col("a_" + c))
+
+    def blend(n: str, own: Column, other: Column) -> Column:
+        n = F.col(n).cast("double")
+        w = n * n / (n * n + float(LEAST) * float(LEAST))
+        return F.floor(w * own + (1 - w) * other)
+
+    pick = lambda c: blend("total", F.col(c), blend("l_total", F.col("l_" + c), F.col("a_" + c)))
     least = F.create_map(*[F.lit(x) for kv in SPREAD.items() for x in kv])
     spread = F.greatest(pick("q3") - pick("q1"), least[F.col("measure")]) * FENCE
     fence = F.when(F.col("measure") == "short_words", pick("q1") - spread).otherwise(pick("q3") + spread)
