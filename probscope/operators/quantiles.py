@@ -13,14 +13,12 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Mapping
     """``by`` and one column per entry of ``probs`` (name -> share): the smallest value at or below which
     at least that share of the group's values lie. Nulls and NaN are left out. A row stands for ``count`` values, or one.
 
-    ``bin_`` is a non-decreasing function of the value with a bounded number of results. Rows are counted per value
-    once, and both steps work on these counts (the shuffle is planned once and reused): counts per (group, bin)
-    locate the bin of each quantile, and only the values of these bins are ranked, so a hot group is never sorted in
-    one task and the result is exact at any size."""
+    ``bin_`` is a non-decreasing function of the value with a bounded number of results. Counts per (group, bin)
+    locate the bin of each quantile; only the rows of these bins are counted by distinct value and ranked, so a
+    hot group is never sorted in one task and the result is exact at any size."""
     by = list(by)
-    known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    rows = (known.groupBy(*by, F.col(value).alias("_v"), bin_.alias("_bin"))
-            .agg((F.count(F.lit(1)) if count is None else F.sum(count)).alias("_n")))
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(
+        *by, F.col(value).alias("_v"), bin_.alias("_bin"), (F.lit(1) if count is None else F.col(count)).alias("_n"))
     group = Window.partitionBy(*by)
     bins = rows.groupBy(*by, "_bin").agg(F.sum("_n").alias("_c"))
     bins = bins.withColumns({"_upto": F.sum("_c").over(group.orderBy("_bin")), "_total": F.sum("_c").over(group)})
@@ -28,7 +26,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Mapping
     place = F.greatest(F.ceil(F.col("_q.p") * F.col("_total") - 1e-9), F.lit(1))
     target = (bins.select("*", F.explode(asked).alias("_q")).withColumn("_rank", place - (F.col("_upto") - F.col("_c")))
               .where((F.col("_rank") > 0) & (F.col("_rank") <= F.col("_c"))).select(*by, "_bin", "_q.q", "_rank"))
-    hits = rows.join(target, [*by, "_bin"]).select(*by, "q", "_rank", "_v", "_n")
-    upto = F.sum("_n").over(Window.partitionBy(*by, "q").orderBy("_v"))
+    hits = rows.join(target, [*by, "_bin"]).groupBy(*by, "q", "_rank", "_v").agg(F.sum("_n").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*by, "q").orderBy("_v"))
     found = hits.withColumn("_upto", upto).where(F.col("_upto") >= F.col("_rank"))
     return found.groupBy(*by).agg(*[F.min(F.when(F.col("q") == n, F.col("_v"))).alias(n) for n in probs])
