@@ -9,7 +9,6 @@ class (filter the result, or pass ids, to narrow it).
 
 from __future__ import annotations
 
-import dataclasses
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -131,11 +130,11 @@ class Metrics:
         t = self.t
         if true_class_id is not None and t.context is None:
             gentypes = t.gentype.where(F.col("class_id") == true_class_id).select("gentype")
-            t = dataclasses.replace(t, truth=t.truth.join(gentypes, "gentype", "left_semi").select(*t.truth.columns))
+            t = t.but(truth=t.truth.join(gentypes, "gentype", "left_semi").select(*t.truth.columns))
         if classifier_id is not None:
             only = {n: _only(getattr(t, n), "classifier_id", classifier_id)
                     for n in ("broker_classification", "message_probs") if getattr(t, n) is not None}
-            t = dataclasses.replace(t, **only)
+            t = t.but(**only)
         return _only(_only(operator(t), "classifier_id", classifier_id), "true_class_id", true_class_id)
 
     def mean_probabilities(self, classifier_id=None, true_class_id=None) -> DataFrame:

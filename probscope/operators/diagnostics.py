@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from probscope.functions import exact as X
-from probscope.operators.context import message_context, truth_classes
+from probscope.operators.context import message_context, truth_classes, true_class_rows
 from probscope.operators.quantiles import exact_quantiles
 from probscope.sources.fixtures import Tables
 
@@ -112,7 +112,5 @@ def prob_by_detection(t: Tables) -> DataFrame:
     ctx = (message_context(t).select("broker_message_id", "dia_source_id", "dia_object_id")
            .join(detection_ordinals(t), "dia_source_id")
            .join(truth_classes(t, name="true_class_id"), "dia_object_id"))
-    rows = t.broker_classification.join(ctx, (t.broker_classification["broker_message_id"] == ctx["broker_message_id"])
-                                        & (t.broker_classification["class_id"] == ctx["true_class_id"]))
-    return rows.groupBy("classifier_id", "true_class_id", "detection").agg(
+    return true_class_rows(t, ctx).groupBy("classifier_id", "true_class_id", "detection").agg(
         X.fmean("probability").alias("mean_prob"), F.count(F.lit(1)).alias("n"))

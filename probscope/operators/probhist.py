@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from probscope.functions import bins as B
 from probscope.functions import exact as X
-from probscope.operators.context import message_context, source_deltat
+from probscope.operators.context import classified, message_context, source_deltat
 from probscope.sources.fixtures import Tables
 
 HIST_KEYS = ["classifier_id", "true_class_id", "class_id", "tbin", "probbin"]
@@ -53,18 +53,26 @@ def dedupe_mean(t: Tables, ctx: DataFrame | None = None) -> DataFrame:
 
     Returns classifier_id, dia_source_id, class_id, probability, n_messages,
     deltat, gentype (the last two are functions of the source)."""
-    ctx = ctx if ctx is not None else message_source_context(t)
-    ctx = ctx.select("broker_message_id", "alert_id", "dia_source_id", "deltat", "gentype")
+    names = ["broker_message_id", "alert_id", "dia_source_id", "deltat", "gentype"]
     if t.message_probs is None:
-        return _mean_per_source(t.broker_classification.join(ctx, "broker_message_id"))
+        ctx = ctx if ctx is not None else message_source_context(t)
+        return _mean_per_source(t.broker_classification.join(ctx.select(*names), "broker_message_id"))
     # message rows are shuffled by source, and the classes of a source's messages are averaged where they meet; a
     # source of very many messages (an alert is of one source) is averaged in parts first instead
     many = (t.broker_message.groupBy("alert_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MANY_MESSAGES)
             .select("alert_id"))
-    rows = t.message_probs.join(ctx.join(many, "alert_id", "left_anti"), "broker_message_id")
+    given = ctx if ctx is not None else t.context
+
+    def part(how: str) -> DataFrame:
+        # the messages themselves are parted, so that joins of the (mostly empty) second part end at once
+        if given is not None:
+            return given.join(many, "alert_id", how).select(*names)
+        return message_source_context(t.but(broker_message=t.broker_message.join(many, "alert_id", how))).select(*names)
+
+    rows = t.message_probs.join(part("left_anti"), "broker_message_id")
     keys = ["classifier_id", "dia_source_id", "deltat", "gentype"]
     rows = rows.select(*keys, "probs").repartition("classifier_id", "dia_source_id").select(*keys, F.inline("probs"))
-    hot = t.broker_classification.join(ctx.join(many, "alert_id", "left_semi"), "broker_message_id")
+    hot = classified(t, part("left_semi"))
     return _mean_per_source(rows).unionByName(_mean_per_source(hot))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from probscope.functions import exact as X
 from probscope.operators.intervals import interval_join
+from probscope.operators.context import true_class_rows
 from probscope.operators.probhist import message_source_context
 from probscope.sources.fixtures import Tables
 
@@ -17,9 +18,7 @@ def mean_prob_by_window(t: Tables, windows: DataFrame) -> DataFrame:
     windows, which may overlap and be many."""
     dim = t.gentype.select("gentype", F.col("class_id").alias("true_class_id"))
     ctx = message_source_context(t).select("broker_message_id", "deltat", "gentype").join(dim, "gentype")
-    cls = t.broker_classification
-    rows = cls.join(ctx, (cls["broker_message_id"] == ctx["broker_message_id"]) & (cls["class_id"] == ctx["true_class_id"]))
-    sums = (rows.groupBy("classifier_id", "true_class_id", "deltat")
+    sums = (true_class_rows(t, ctx).groupBy("classifier_id", "true_class_id", "deltat")
             .agg(*X.partial("probability", "s"), F.count("probability").alias("c")))
     met = interval_join(sums, windows, "deltat", "t0", "t1", base=5.0)
     return met.groupBy("classifier_id", "true_class_id", "window", "t0", "t1").agg(

@@ -26,10 +26,8 @@ def alert_rate(t: Tables):
 def alert_rate_stream(t: Tables):
     """The same counts from a Structured Streaming run over the alert table's files."""
     spark = t.diaalert.sparkSession
-    folder = t.paths["diaalert"] if t.paths else None
-    if folder is None:  # lazily derived tables: land the alerts as files first
-        folder = io.scratch_path(spark, "alerts", uuid.uuid4().hex[:10])
-        t.diaalert.write.mode("overwrite").parquet(folder)
+    folder = io.scratch_path(spark, "alerts", uuid.uuid4().hex[:10])  # the alerts land as files first
+    t.diaalert.write.mode("overwrite").parquet(folder)
     run = uuid.uuid4().hex[:10]
     out = io.scratch_path(spark, "alert-rate", run)
     q = st.start_alert_rate(spark, folder, io.scratch_path(spark, "stream-ckpt", run), out)

@@ -51,14 +51,12 @@ def build_summaries(tables: Tables, out_root: str, names=None, share_context: bo
     truth, three large joins) is written once under ``out_root/_context`` and every
     summary reads it: the lineage is cut on shared storage, and a lost executor
     later in the run re-reads files instead of redoing the joins."""
-    import dataclasses
-
     written = {}
     if share_context:
         spark = tables.truth.sparkSession
         ctx_path = io.join_path(out_root, "_context")
         ph.message_source_context(tables).write.mode("overwrite").parquet(ctx_path)
-        tables = dataclasses.replace(tables, context=spark.read.parquet(ctx_path))
+        tables = tables.but(context=spark.read.parquet(ctx_path))
         written["_context"] = ctx_path
     for name in names or SUMMARIES:
         fn, parts = SUMMARIES[name]
