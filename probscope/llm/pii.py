@@ -7,8 +7,7 @@ at and the dots spelt out). Boosted trees score each proposal by its format and
 the words around it, and a threshold per kind, the lowest one at which the
 held-out part of the training rows reaches ``PRECISION``, selects what is added.
 
-The trees learn from the corpus itself: of the spans of the base rules in all documents, ``FIT_SPANS`` of each kind
-(those with the smallest hashes of value and context, equal ones once, so that no kind is lost for being rare) are
+The trees learn from the corpus itself: all spans of the base rules in all documents (equal ones with equal context once) are
 rewritten in loose forms (label 1) and replaced by dates, versions, amounts, order numbers and digits that break the
 checks (label 0), each in the place where the span stood. A third of them, by a hash of the value, is held out, so that
 copies of one value are on one side. Without any span nothing is added. Proposals of equal score are taken in order of
@@ -24,13 +23,11 @@ from __future__ import annotations
 import random
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +35,10 @@ from probscope.llm.boosting import Booster
 from probscope.llm.common import ddl, slices, whole_texts, written
 
 KINDS = ("email", "ip", "card", "phone")
-FIT_SPANS = 1_500
+#: Spans of a kind up to which each is rewritten several times.
+FEW_SPANS = 1_500
 PRECISION = 0.98
+SCORES = 10_000
 #: Characters on either side of a span that the trees may look at.
 CONTEXT = 24
 
@@ -183,68 +182,72 @@ def other_numbers(kind: str, value: str, rng: random.Random) -> list[tuple[str,
             ("", f"{n(10, 99)}.{n(100, 999)}.{n(100, 999)}")]
 
 
-def training_rows(spans: list[tuple[str, str, str, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, label, held out) from base spans (kind, value, before, after)."""
-    rng = random.Random(7)
-    rows = []
-    count = Counter(s[0] for s in spans)
-    # few spans are rewritten several times each
-    for kind, value, before, after in [s for s in spans for _ in range(min(10, -(-FIT_SPANS // count[s[0]])))]:
-        held = zlib.crc32(value.encode()) % 3 == 0
-        texts = [("", v, 1) for v in loose_forms(kind, value, rng)]
-        texts += [(w, v, 0) for w, v in other_numbers(kind, value, rng)]
+def training_rows(kind: str, value: str, before: str, after: str, times: int) -> Iterator[tuple[list[float], float, bool]]:
+    """(features, label, held out) from one base span, rewritten ``times`` times."""
+    rng = random.Random(zlib.crc32("\0".join((kind, value, before, after)).encode()))
+    held = zlib.crc32(value.encode()) % 3 == 0
+    for _ in range(times):
+        texts = [("", v, 1.0) for v in loose_forms(kind, value, rng)]
+        texts += [(w, v, 0.0) for w, v in other_numbers(kind, value, rng)]
         for word, text, label in texts:
             for k, (pattern, _) in LOOSE.items():
                 if m := pattern.search(text):
-                    rows.append((features(k, m.group(), before + word + text[:m.start()], text[m.end():] + after),
-                                 label if k == kind else 0, held))
-    x = np.array([r[0] for r in rows], float).reshape(len(rows), -1)
-    return x, np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], bool)
+                    yield (features(k, m.group(), before + word + text[:m.start()], text[m.end():] + after),
+                           label if k == kind else 0.0, held)
 
 
-def train(docs: DataFrame, fit_spans: int = FIT_SPANS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Trees and thresholds from ``fit_spans`` spans of each kind, drawn from all of ``docs``."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Trees and thresholds from all different spans of ``docs``. Rows of equal features are counted, every pass of
+    the training runs over all of them in Spark, and what comes to the driver is bounded by bins."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[int, tuple[str, str, str]]] = {k: {} for k in KINDS}  # hash -> span, the smallest so far
+    def spans_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            for t in batch.column("text").to_pylist():
-                for k, a, b in base_spans(t):
-                    if b - a <= 200:
-                        row = (t[a:b], t[max(0, a - CONTEXT):a], t[b:b + CONTEXT])
-                        held[k][xxhash.xxh64_intdigest("\0".join(row)) >> 1] = row
-            for k, rows in held.items():
-                if len(rows) > 2 * fit_spans:
-                    held[k] = {h: rows[h] for h in sorted(rows)[:fit_spans]}
-        rows = [(k, h, *held[k][h]) for k in KINDS for h in sorted(held[k])[:fit_spans]]
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, kinds)],
-                                         ["kind", "hash", "value", "before", "after"])
+            rows = [(k, t[a:b], t[max(0, a - CONTEXT):a], t[b:b + CONTEXT])
+                    for t in batch.column("text").to_pylist() for k, a, b in base_spans(t)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in list(zip(*rows)) or [()] * 4],
+                                             ["kind", "value", "before", "after"])
 
     texts = whole_texts(docs, id_col, text_col)
-    found = texts.mapInArrow(run, "kind string, hash long, value string, before string, after string").distinct()
-    found = written(found, "pii-sample")
-    spans = []
-    for kind in KINDS:
-        chosen = found.where(F.col("kind") == kind).orderBy("hash", "value", "before", "after").limit(fit_spans)
-        spans += chosen.select("kind", "value", "before", "after").collect()
-    if not spans:
-        return Model()
-    x, y, held = training_rows([tuple(s) for s in spans])
-    if not y.any() or y.all():
+    spans = written(texts.mapInArrow(spans_of, "kind string, value string, before string, after string").distinct(), "pii-spans")
+    # few spans are rewritten several times each
+    times = {r.kind: min(10, -(-FEW_SPANS // r.n)) for r in spans.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "value", 1 << 14):
+            rows = [r for s in zip(*(c.to_pylist() for c in batch.columns)) for r in training_rows(*s, times[s[0]])]
+            x, y, held = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array([[float(v) for v in f] for f in x], pa.list_(pa.float64())),
+                                              pa.array(y, pa.float64()), pa.array(held, pa.bool_())], ["x", "y", "held"])
+
+    rows = spans.mapInArrow(rows_of, "x array<double>, y double, held boolean")
+    rows = written(rows.groupBy("x", "y", "held").agg(F.count(F.lit(1)).alias("n")), "pii-rows")
+    if rows.select("y").distinct().count() < 2:
         return Model()
-    trees = Booster().fit(x[~held], y[~held])
-    score = trees.predict(x[held])
+    trees = Booster().fit_frame(rows.where(~F.col("held")).select("x", "y", "n"))
+    return Model(trees, _thresholds(rows.where("held").select("x", "y", "n"), trees))
+
+
+def _thresholds(held: DataFrame, trees: Booster) -> dict[str, float]:
+    """kind -> the lowest edge of ``SCORES`` equal bins of the score from which on ``PRECISION`` is reached."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n")
+            x = batch.column("x").flatten().to_numpy().reshape(len(n), -1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[:, 0].astype(int)), pa.array(np.floor(trees.predict(x) * SCORES).astype(int)), batch.column("y"), n],
+                ["kind", "bin", "y", "n"])
+
+    bins = held.mapInArrow(run, "kind long, bin long, y double, n long").groupBy("kind", "bin").agg(
+        F.sum(F.col("y") * F.col("n")).alias("ones"), F.sum("n").alias("n")).collect()
     thresholds = {}
     for i, kind in enumerate(KINDS):
-        mine = x[held][:, 0] == i
-        s, t = score[mine], y[held][mine]
-        order = np.argsort(-s, kind="stable")
-        precise = np.cumsum(t[order]) / np.arange(1, len(order) + 1)
-        good = np.flatnonzero((precise >= PRECISION) & (t[order] == 1))
-        if len(good):
-            thresholds[kind] = max(0.5, float(s[order][good[-1]]))
-    return Model(trees, thresholds)
+        mine = sorted(((r.bin, r.ones, r.n) for r in bins if r.kind == i), reverse=True)
+        ones, n = np.cumsum([r[1] for r in mine]), np.cumsum([r[2] for r in mine])
+        good = [r[0] / SCORES for r, a, b in zip(mine, ones, n) if a >= PRECISION * b and r[1] > 0]
+        if good:
+            thresholds[kind] = max(0.5, good[-1])
+    return thresholds
 
 
 def find_spans(texts: list[str], model: Model) -> list[list[tuple[str, int, int, bool, float]]]:
