@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from probscope.llm.common import slices, whole_texts
 
 MARK = "▁"
+#: Bytes of text whose chunks and ids are held as Python objects at once, at some thirty times that size.
+SLICE = 1 << 18
 
 
 def chunks_are_closed(processor) -> bool:
@@ -44,12 +46,13 @@ class ChunkTable:
         self.processor, self.size = processor, size
         self.split = re.compile(f"{MARK}+[^{MARK}]*").findall
         self.closed = chunks_are_closed(processor)
-        self.table: dict[str, list[int]] = {}
+        self.table: dict[str, tuple[int, ...]] = {}
+        self.number = list(range(processor.get_piece_size())).__getitem__
 
     def segment(self, chunks: list[str]) -> None:
-        # the library puts one mark before what it is given
+        # the library puts one mark before what it is given; a tuple of shared numbers is a third of a list of new ones
         for chunk, ids in zip(chunks, self.processor.encode([c[1:] for c in chunks], num_threads=1)):
-            self.table[chunk] = ids if chunk != MARK else [self.processor.piece_to_id(MARK)]
+            self.table[chunk] = tuple(map(self.number, ids if chunk != MARK else [self.processor.piece_to_id(MARK)]))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         if not self.closed:
@@ -73,7 +76,7 @@ def encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col
         import sentencepiece
         processor = sentencepiece.SentencePieceProcessor(model_file=model_path)
         table = ChunkTable(processor, table_size)
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=SLICE):
             ids = table.encode(batch.column("text").to_pylist())
             columns = [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))]
             names = ["doc_id", "ids"]

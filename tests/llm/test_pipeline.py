@@ -181,3 +181,46 @@ def test_empty_and_odd(spark, tables, odd, none):
         assert stage(spark, odd, path).count() <= odd.count(), name
     ids = Counter(r.doc_id for r in cp.distinct(spark, odd, path).collect())
     assert ids == Counter({1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 1, None: 2})
+
+
+def test_batches_to_python_are_bounded(spark):
+    """Texts reach the workers in batches of bounded bytes, unless the caller has set a size."""
+    import pyarrow as pa
+
+    import corpus_pipeline
+    from probscope.llm.common import BATCH_BYTES
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.nbytes], pa.int64())})
+
+    def largest():
+        docs = spark.range(6000).selectExpr("id doc_id", "repeat('word ', 400) text", "'en' lang", "'web' source", "2000L n_chars")
+        corpus_pipeline.encode(spark, docs, "")
+        return docs.coalesce(1).mapInArrow(run, "n long").agg({"n": "max"}).first()[0]
+
+    try:
+        spark.conf.unset(key)
+        assert largest() < 1.1 * BATCH_BYTES
+        spark.conf.set(key, str(6 << 20))
+        assert largest() > 5 << 20 and spark.conf.get(key) == str(6 << 20)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_ids_of_chunks_are_shared():
+    """The table of chunks holds one object per id, whatever the number of chunks."""
+    import sentencepiece
+
+    from probscope.llm.queries import tokenizer_path
+    from probscope.llm.sentencepiece_codec import ChunkTable
+
+    processor = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    table = ChunkTable(processor, 1000)
+    texts = ["unusually spelled wordings", " unusually  wordings again ", ""]
+    assert table.encode(texts) == processor.encode(texts)
+    ids = [i for chunk in table.table.values() for i in chunk]
+    assert len({id(i) for i in ids}) == len(set(ids))
