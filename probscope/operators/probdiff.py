@@ -9,7 +9,7 @@ then a histogram of those differences.
 Pairing is done inside one aggregate per (classifier, true class, object):
 after the per-bin maximum an object has at most one row per time bin (the bin
 dimension has 14 rows), so the array of its bins is bounded and the pairs
-(at most 14*13/2) are generated with array functions; no self-join shuffle.
+(at most 14*13/2) are generated from it; no self-join shuffle.
 """
 
 from __future__ import annotations
@@ -47,13 +47,12 @@ def probdiff(maxprob: DataFrame) -> DataFrame:
     for every pair of the object's time bins with early < late."""
     per_obj = (maxprob.groupBy("classifier_id", "true_class_id", "dia_object_id")
                .agg(F.collect_list(F.struct("timebin", "maxprob")).alias("bins")))
-    pairs = F.filter(
-        F.flatten(F.transform("bins", lambda a: F.transform(
-            "bins", lambda b: F.struct(a["timebin"].alias("earlytimebin"), b["timebin"].alias("latetimebin"),
-                                       (b["maxprob"] - a["maxprob"]).alias("probdiff"))))),
-        lambda p: p["earlytimebin"] < p["latetimebin"])
-    return (per_obj.select("classifier_id", "true_class_id", "dia_object_id", F.explode(pairs).alias("p"))
-            .select("classifier_id", "true_class_id", "dia_object_id", "p.*"))
+    # the array is laid out twice, by compiled generators: lambdas over arrays are interpreted
+    keys = ["classifier_id", "true_class_id", "dia_object_id"]
+    early = per_obj.where(F.size("bins") > 1).select(*keys, "bins", F.explode("bins").alias("a"))
+    return (early.select(*keys, "a", F.explode("bins").alias("b")).where(F.col("a.timebin") < F.col("b.timebin"))
+            .select(*keys, F.col("a.timebin").alias("earlytimebin"), F.col("b.timebin").alias("latetimebin"),
+                    (F.col("b.maxprob") - F.col("a.maxprob")).alias("probdiff")))
 
 
 def with_bin_ranges(df: DataFrame, timebins: DataFrame) -> DataFrame:
