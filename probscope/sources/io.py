@@ -8,6 +8,7 @@ true class prunes to one directory.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,10 +113,19 @@ def class_catalog_json(classes: DataFrame) -> DataFrame:
     return classes.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
 
 
-def _json_cell(c: str) -> Column:
-    """One value as JSON text: quoted text, bare numbers with all their digits, null."""
+def _json_cell(c: str, kind: T.DataType | None = None) -> Column:
+    """One value as JSON text: quoted text, bare numbers with all their digits, null. Whole and ordinary double numbers and
+    plain texts are written by compiled expressions; a generator is set up for each value of the rest."""
     text = F.to_json(F.array(F.col(c)))
-    return F.substring(text, F.lit(2), F.length(text) - 2)
+    text = F.substring(text, F.lit(2), F.length(text) - 2)
+    none = F.when(F.col(c).isNull(), "null")
+    if isinstance(kind, T.IntegralType):
+        return none.otherwise(F.col(c).cast("string"))
+    if isinstance(kind, T.DoubleType):
+        return none.when(F.abs(F.col(c)) <= sys.float_info.max, F.col(c).cast("string")).otherwise(text)
+    if kind == T.StringType():
+        return none.when(F.col(c).rlike("^[A-Za-z0-9 _.:+-]*\\z"), F.concat(F.lit('"'), F.col(c), F.lit('"'))).otherwise(text)
+    return text
 
 
 def to_tight_json(df: DataFrame, by: Sequence[str], index: Sequence[str], columns: Sequence[str],
@@ -123,7 +133,7 @@ def to_tight_json(df: DataFrame, by: Sequence[str], index: Sequence[str], column
     """One pandas ``orient='tight'`` document per ``by`` group. A document is one value, so its size is
     bounded: a group of more than ``max_rows`` rows is an error (choose finer groups)."""
     def row(names: Sequence[str]) -> Column:
-        return F.concat(F.lit("["), F.concat_ws(",", *[_json_cell(c) for c in names]), F.lit("]"))
+        return F.concat(F.lit("["), F.concat_ws(",", *[_json_cell(c, df.schema[c].dataType) for c in names]), F.lit("]"))
 
     def names(values: Sequence[str]) -> Column:
         return F.to_json(F.array(*[F.lit(v) for v in values]))
@@ -145,11 +155,12 @@ def parse_tight_json(df: DataFrame, col: str = "value", keep: Sequence[str] = ()
     read from the first document (one small job). Cells are read as text and cast to ``types`` (name -> type,
     double unless given), so text and 64-bit numbers come through whole; a malformed document or a cell that its
     type cannot hold is an error."""
-    parsed = F.from_json(F.col(col), TIGHT_FRAME_JSON)
-    broken = F.col(col).isNotNull() & (parsed["index"].isNull() | parsed["data"].isNull()
-                                       | (F.size(parsed["index"]) != F.size(parsed["data"])))
-    bad = F.raise_error(F.concat(F.lit("not a tight document: "), F.substring(col, 1, 80)))
-    docs = df.select(*keep, F.when(broken, bad.cast(TIGHT_FRAME_JSON)).otherwise(parsed).alias("t"))
+    # parsed in a step of its own: the checks would parse the document again for each field they read
+    parsed = df.select(*keep, F.col(col).alias("_doc"), F.from_json(F.col(col), TIGHT_FRAME_JSON).alias("_t"))
+    broken = F.col("_doc").isNotNull() & (F.col("_t.index").isNull() | F.col("_t.data").isNull()
+                                          | (F.size("_t.index") != F.size("_t.data")))
+    bad = F.raise_error(F.concat(F.lit("not a tight document: "), F.substring("_doc", 1, 80)))
+    docs = parsed.select(*keep, F.when(broken, bad.cast(TIGHT_FRAME_JSON)).otherwise(F.col("_t")).alias("t"))
     if index_names is None or columns is None:
         first = docs.select("t.index_names", "t.columns").first()
         index_names, columns = list(first["index_names"]), list(first["columns"])

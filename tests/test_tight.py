@@ -38,3 +38,19 @@ def test_documents_are_bounded(spark):
     df = spark.createDataFrame([(1, i) for i in range(5)], "g int, id long")
     with pytest.raises(PySparkException):
         io.to_tight_json(df, ["g"], ["id"], ["id"], max_rows=4).collect()
+
+
+def test_cells_are_as_the_generator_writes_them(spark):
+    texts = ["r", "", " a_b.c:+-9", 'q"', "\\", "é", "a\n", "\n", "\x01", "a ", None]
+    numbers = [0.0, -0.0, 0.1, 1e300, -1e-300, 5e-324, 123456789.125, 1e7, 0.001, float("inf"), float("-inf"), float("nan"), None]
+    ids = [0, -1, (1 << 63) - 1, -(1 << 63), None]
+    for values, kind in ((texts, "string"), (numbers, "double"), (ids, "long"), ([1, -1, None], "int")):
+        df = spark.createDataFrame([(v,) for v in values], f"c {kind}")
+        for r in df.select("c", io._json_cell("c", df.schema["c"].dataType).alias("new"), io._json_cell("c").alias("old")).collect():
+            assert r.new == r.old, r.c
+
+
+def test_a_document_is_parsed_once(spark):
+    docs = spark.createDataFrame([(1, "{}")], "g int, value string")
+    rows = io.parse_tight_json(docs, keep=["g"], index_names=["i"], columns=["x", "y"])
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
