@@ -43,9 +43,14 @@ def message_source_context(t: Tables) -> DataFrame:
     once per run) it is read instead of repeating the three joins."""
     if t.context is not None:
         return t.context
+    # alerts meet their sources first, so that the messages, of which an alert has many, are shuffled once for all of it;
     # both tables hold the object: joining on it, too, takes a filter on objects to both scans
     src = source_deltat(t).select("dia_source_id", "dia_object_id", "deltat", "gentype", "filter_name")
-    return message_context(t).join(src, ["dia_source_id", "dia_object_id"])
+    alerts = t.diaalert.select("alert_id", "dia_source_id", "dia_object_id", "alert_sent_ts").join(
+        src, ["dia_source_id", "dia_object_id"])
+    return t.broker_message.select("broker_message_id", "alert_id", "ingest_ts").join(alerts, "alert_id").select(
+        "dia_source_id", "dia_object_id", "broker_message_id", "alert_id", "ingest_ts", "alert_sent_ts", "deltat", "gentype",
+        "filter_name")
 
 
 def dedupe_mean(t: Tables, ctx: DataFrame | None = None) -> DataFrame:

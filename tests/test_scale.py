@@ -4,6 +4,7 @@ import dataclasses
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from probscope.operators import diagnostics as dg
 from probscope.operators import probdiff as pd
@@ -12,7 +13,7 @@ from probscope.operators import relday as rd
 from probscope.operators.context import classified_sources, source_classifications
 from probscope.plans import incremental as inc
 from probscope.plans.registry import finish
-from probscope.sources.fixtures import load_tables
+from probscope.sources.fixtures import FILTER_OF_FLAG, flag_place, load_tables
 
 
 def rows(df):
@@ -59,3 +60,32 @@ def test_classifications_are_joined_by_message(tables, name):
     assert not any("ReadSchema" in x and "class_id:int" in x and "probs:" not in x for x in plan(with_arrays).splitlines())
     without = BY_MESSAGE[name](dataclasses.replace(tables, message_probs=None)).select(*with_arrays.columns)
     assert rows(with_arrays.drop("first")) == rows(without.drop("first"))
+
+
+def test_flags_keep_their_order_as_numbers(spark):
+    texts = ["", "A", "AA", "B", "M", "N", "Na", "Q", "R", "RR", "S", "é", None]
+    df = spark.createDataFrame([(k, a) for k, pair in enumerate((a, b) for a in texts for b in texts) for a in pair],
+                               "k int, l_returnflag string")
+    flags = sorted(FILTER_OF_FLAG)
+    found = df.groupBy("k").agg(F.min("l_returnflag").alias("least"), F.min(flag_place("l_returnflag", flags)).alias("place"))
+    for r in found.collect():
+        assert (None if r.place is None or r.place % 2 == 0 else flags[r.place // 2]) == (r.least if r.least in flags else None)
+
+
+def test_sources_are_hashed_not_sorted(spark, sf_dir):
+    t = load_tables(spark, sf_dir, materialize=False)
+    assert "SortAggregate" not in plan(t.diasource)
+
+
+def test_messages_meet_alerts_with_their_sources(tables):
+    joined = ph.message_source_context(tables.but(context=None))._jdf.queryExecution().optimizedPlan().toString()
+    assert "(alert_id#" in next(x for x in joined.splitlines() if "Join Inner" in x)
+
+
+def test_differences_are_compiled(spark):
+    rows_ = [(1, 7, 1, b, float(b)) for b in (3, 1, 2)] + [(1, 7, 2, 1, 0.5), (1, 7, 3, 1, None), (1, 7, 3, 4, 0.25)]
+    found = pd.probdiff(spark.createDataFrame(
+        rows_, "classifier_id int, true_class_id int, dia_object_id long, timebin int, maxprob double"))
+    assert "lambda" not in plan(found)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [(1, 7, 1, 1, 2, 1.0), (1, 7, 1, 1, 3, 2.0), (1, 7, 1, 2, 3, 1.0), (1, 7, 3, 1, 4, None)], key=repr)
