@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from probscope.llm.common import slices, whole_texts
 
 MARK = "▁"
-#: Bytes of text whose chunks and ids are held as Python objects at once, at some thirty times that size.
+#: Bytes of text whose chunks and ids are held as Python objects at once, many times that size.
 SLICE = 1 << 18
 
 
@@ -50,7 +50,7 @@ class ChunkTable:
         self.number = list(range(processor.get_piece_size())).__getitem__
 
     def segment(self, chunks: list[str]) -> None:
-        # the library puts one mark before what it is given; a tuple of shared numbers is a third of a list of new ones
+        # the library puts one mark before what it is given; a tuple of shared numbers is smaller than a list of new ones
         for chunk, ids in zip(chunks, self.processor.encode([c[1:] for c in chunks], num_threads=1)):
             self.table[chunk] = tuple(map(self.number, ids if chunk != MARK else [self.processor.piece_to_id(MARK)]))
 
