@@ -12,6 +12,8 @@ it replaces, whose running sums over k are the counts.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from probscope.operators.confusion import DEFINITIONS, TIE_BREAK
 from probscope.operators.diagnostics import detection_ordinals
 from probscope.operators.reshape import per_message_argmax
 from probscope.operators.select_one import order_key
+from probscope.sources import io
 from probscope.sources.fixtures import Tables
 
 #: Alerts of a bucket.
@@ -41,7 +44,11 @@ def best_by_alert(t: Tables, most: int | None = None) -> DataFrame:
 def verdict_changes(t: Tables, most: int | None = None) -> DataFrame:
     """(classifier_id, dia_object_id, k, class_id, change): the class that is the verdict from the k-th alert on (1) or no
     more (-1); the last verdict ends after the object's last alert (or the alert ``most``)."""
-    rows = best_by_alert(t, most).withColumn("bucket", F.floor((F.col("k") - 1) / SPAN))
+    # read four times below, from files instead of from the messages each time
+    path = io.scratch_path(t.truth.sparkSession, "best-by-alert", uuid.uuid4().hex[:10])
+    best = best_by_alert(t, most)
+    best.write.parquet(path)
+    rows = t.truth.sparkSession.read.schema(best.schema).parquet(path).withColumn("bucket", F.floor((F.col("k") - 1) / SPAN))
     inside = Window.partitionBy(*BY, "bucket").orderBy("k")
     before = Window.partitionBy(*BY).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = rows.groupBy(*BY, "bucket").agg(F.max("first").alias("first"))

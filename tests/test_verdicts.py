@@ -117,3 +117,9 @@ def test_characteristic_times(tables):
     assert got.keys() == widths.keys() and len(got) >= 5
     for c, ws in widths.items():
         assert got[c][0] == len(ws) and abs(got[c][1] - median_low(ws)) < 1e-9
+
+
+def test_messages_are_read_once(tables):
+    """What the counts are made from comes from files of its own, not from the messages each time."""
+    plan = vd.confusion_by_alerts(tables, 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "first" in plan and "probs" not in plan
