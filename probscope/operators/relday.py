@@ -152,7 +152,7 @@ def relday_quantiles(t: Tables, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     rows = all_rows_with_relday(t).join(_true_classes(t), "gentype")
     inside = F.least(F.greatest(F.col("probability"), F.lit(0.0)), F.lit(1.0))
     return exact_quantiles(rows, ["classifier_id", "true_class_id", "relday", "class_id"], "probability",
-                           {f"q{int(round(p * 100))}": p for p in probs}, F.floor(inside * 1000))
+                           {f"q{int(round(p * 100))}": p for p in probs}, F.floor(inside * 1000), few_groups=True)
 
 
 def prob_histogram_closed(t: Tables, n_bins: int = 20) -> DataFrame:

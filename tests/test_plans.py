@@ -129,3 +129,19 @@ def test_object_filter_reaches_both_scans(tables):
     plan = _plan(message_source_context(tables).where(F.col("dia_object_id") == 32))
     scans = [x for x in plan.splitlines() if "FileScan" in x and "dia_source_id" in x]  # alerts and sources
     assert len(scans) == 2 and all("EqualTo(dia_object_id,32)" in x for x in scans), scans
+
+def test_quantiles_shuffle_only_the_bins_asked_for(spark, tables):
+    """What is asked for is sent to the rows, whatever Spark would broadcast by itself."""
+    from pyspark.sql import functions as F
+
+    from probscope.operators.quantiles import exact_quantiles
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(1000).select((F.col("id") % 3).alias("k"), (F.col("id") / 1000).alias("v"))
+        found = exact_quantiles(rows, ["k"], "v", {"q50": 0.5}, F.floor(F.col("v") * 10), few_groups=True)
+        assert "SortMergeJoin" not in _plan(found) and "BroadcastHashJoin" in _plan(found)
+        plain = exact_quantiles(rows, ["k"], "v", {"q50": 0.5}, F.floor(F.col("v") * 10))
+        assert sorted(found.collect()) == sorted(plain.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
