@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from probscope.operators.select_one import asc, desc, pick_one
 from probscope.sources.fixtures import Tables
 
+#: A number that probabilities do not take; a message that holds it is only handled more slowly.
+NO_PROBABILITY = -1e300
+
 
 def messages_as_arrays(cls: DataFrame) -> DataFrame:
     """(broker_message_id, classifier_id, probs array<struct<class_id, probability>>); one
@@ -30,10 +33,19 @@ def explode_messages(msgs: DataFrame) -> DataFrame:
 def argmax_from_array(msgs: DataFrame) -> DataFrame:
     """Highest-probability class of each message without exploding (ties: smaller class), a NULL before all
     numbers, as PostgreSQL orders DESC."""
-    best = F.array_max(F.transform("probs", lambda x: F.struct(
+    values = F.col("probs.probability")
+    first = F.array_position(values, F.array_max(values))
+    # searching for a value that is not there gives NULL, not false, where there are NULLs
+    plain = F.array_contains(values, F.lit(NO_PROBABILITY)).eqNullSafe(F.lit(False)) & (
+        first + F.array_position(F.reverse(values), F.array_max(values)) == F.size("probs") + 1)
+    # a single greatest number is found by compiled expressions; functions over structs, which order NULLs and ties,
+    # are interpreted
+    ordered = F.array_max(F.transform("probs", lambda x: F.struct(
         x["probability"].isNull().alias("none"), x["probability"].alias("p"), (-x["class_id"]).alias("c"))))
+    best = F.when(plain, F.get("probs", (first - 1).cast("int"))).otherwise(
+        F.struct((-ordered["c"]).alias("class_id"), ordered["p"].alias("probability")))
     return msgs.where(F.size("probs") > 0).select(
-        "broker_message_id", "classifier_id", (-best["c"]).alias("class_id"), best["p"].alias("probability"))
+        "broker_message_id", "classifier_id", best["class_id"].alias("class_id"), best["probability"].alias("probability"))
 
 
 def message_arrays(t: Tables) -> DataFrame:

@@ -145,3 +145,20 @@ def test_quantiles_shuffle_only_the_bins_asked_for(spark, tables):
         assert sorted(found.collect()) == sorted(plain.collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_argmax_of_a_message_is_compiled(spark):
+    """Messages with one greatest number skip the interpreted functions; NULLs, NaN, ties and the number that
+    stands for none come out the same."""
+    from probscope.operators.reshape import NO_PROBABILITY, argmax_from_array
+    nan = float("nan")
+    rows = [(1, [(5, .2), (7, .9), (9, .9)], 7, .9), (2, [(5, None), (7, .9)], 5, None), (3, [(9, .9), (7, .9), (5, .1)], 7, .9),
+            (4, [(3, nan), (4, 1.)], 3, nan), (5, [(3, nan), (2, nan)], 2, nan), (6, [(3, None), (2, None)], 2, None),
+            (7, [(3, NO_PROBABILITY), (2, 2 * NO_PROBABILITY)], 3, NO_PROBABILITY), (8, [(None, .4), (2, .3)], None, .4),
+            (9, [(5, 0.0), (3, -0.0)], 3, -0.0), (10, [(1, .1), (2, .8), (3, .7)], 2, .8)]
+    schema = "broker_message_id long, classifier_id int, probs array<struct<class_id:int,probability:double>>"
+    msgs = spark.createDataFrame([(i, 1, p) for i, p, _, _ in rows] + [(11, 1, []), (12, 1, None)], schema)
+    found = argmax_from_array(msgs)
+    assert "array_position" in _plan(found)
+    assert {r.broker_message_id: (r.class_id, repr(r.probability)) for r in found.collect()} == {
+        i: (c, repr(p)) for i, _, c, p in rows}
