@@ -130,6 +130,7 @@ def test_object_filter_reaches_both_scans(tables):
     scans = [x for x in plan.splitlines() if "FileScan" in x and "dia_source_id" in x]  # alerts and sources
     assert len(scans) == 2 and all("EqualTo(dia_object_id,32)" in x for x in scans), scans
 
+
 def test_quantiles_shuffle_only_the_bins_asked_for(spark, tables):
     """What is asked for is sent to the rows, whatever Spark would broadcast by itself."""
     from pyspark.sql import functions as F
@@ -162,3 +163,22 @@ def test_argmax_of_a_message_is_compiled(spark):
     assert "array_position" in _plan(found)
     assert {r.broker_message_id: (r.class_id, repr(r.probability)) for r in found.collect()} == {
         i: (c, repr(p)) for i, _, c, p in rows}
+
+
+def test_stream_messages_land_in_more_files_than_epochs(spark, tables, monkeypatch):
+    """All tasks write the messages; an epoch still takes a third of them."""
+    from probscope.plans import added_queries as aq
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(t, path, *args, files_per_epoch=None, **kw):
+        files = len(spark.read.parquet(path).inputFiles())
+        seen.append((files, -(-files // files_per_epoch)))
+        raise Stop
+
+    monkeypatch.setattr(aq, "start_summaries", stop)
+    with pytest.raises(Stop):
+        aq.relday_mean_stream(tables)
+    assert seen[0][0] > 3 and seen[0][1] == 3
