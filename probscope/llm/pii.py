@@ -37,6 +37,8 @@ from probscope.llm.common import ddl, slices, whole_texts, written
 KINDS = ("email", "ip", "card", "phone")
 #: Spans of a kind up to which each is rewritten several times.
 FEW_SPANS = 1_500
+#: Rows of equal features that a task of a training pass reads.
+ROWS_A_TASK = 20_000
 PRECISION = 0.98
 SCORES = 10_000
 #: Characters on either side of a span that the trees may look at.
@@ -221,6 +223,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
 
     rows = spans.mapInArrow(rows_of, "x array<double>, y double, held boolean")
     rows = written(rows.groupBy("x", "y", "held").agg(F.count(F.lit(1)).alias("n")), "pii-rows")
+    # every task of a pass sends its sums, so the tasks follow from the rows, not from the partitions of the shuffle
+    rows = written(rows.coalesce(-(-rows.count() // ROWS_A_TASK) or 1), "pii-rows")
     if rows.select("y").distinct().count() < 2:
         return Model()
     trees = Booster().fit_frame(rows.where(~F.col("held")).select("x", "y", "n"))

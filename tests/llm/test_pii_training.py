@@ -37,3 +37,30 @@ def test_every_span_is_learnt_from(spark, monkeypatch):
     some = [(f"a{'b' * (i % 60)}{i}@mail.example.com") for i in range(1_800)]
     want = sum(1 for v in some for _, _, h in pii.training_rows("email", v, "write to ", " now", 1) if not h)
     assert seen[0].agg(F.sum("n")).first()[0] == want and want > 1_500
+
+
+def test_tasks_of_a_pass_follow_from_the_rows(spark, monkeypatch):
+    """Rows that a shuffle has left in many partitions are read by few tasks, each of which sends its sums."""
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(self, rows):
+        seen.append(rows)
+        raise Stop
+
+    monkeypatch.setattr(boosting.Booster, "fit_frame", stop)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("write to a"), F.repeat(F.lit("b"), (F.col("id") % 60).cast("int")), F.col("id"), F.lit("@mail.example.com now")).alias("text"))
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with pytest.raises(Stop):
+            pii.train(docs)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    n = seen[0].count()
+    assert n > 40 and len(seen[0].inputFiles()) <= -(-n // pii.ROWS_A_TASK) + 1
