@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from probscope.functions import bins as B
 from probscope.functions import exact as X
 from probscope.operators.context import message_context, source_classifications, truth_classes
+from probscope.operators.context import true_class_rows as message_true_class_rows
 from probscope.sources.fixtures import Tables
 
 VIEW_COLS = ["classifier_id", "dia_object_id", "class_id", "alert_id", "true_class_id", "probability",
@@ -120,12 +121,16 @@ def semi_join_class_rows(t: Tables, class_id: int) -> DataFrame:
 
 def true_class_rows(t: Tables) -> DataFrame:
     """Classifications of each object's true class, every class, with time rel. peak."""
-    view = source_classifications(t).where(F.col("class_id") == F.col("true_class_id"))
+    # alerts meet sources and truth before the messages, of which an alert has many, and the classifications come last,
+    # so that none of their rows is shuffled again
     src = t.diasource.select("dia_source_id", "mid_point_tai")
     peak = t.truth.select("dia_object_id", "peakmjd")
-    return (view.join(src, "dia_source_id").join(peak, "dia_object_id")
-            .select("classifier_id", "true_class_id", "dia_object_id", "probability",
-                    (F.col("mid_point_tai") - F.col("peakmjd")).alias("deltat")))
+    alerts = (t.diaalert.select("alert_id", "dia_source_id", "dia_object_id").join(src, "dia_source_id")
+              .join(peak, "dia_object_id").join(truth_classes(t, name="true_class_id"), "dia_object_id")
+              .select("alert_id", "dia_object_id", "true_class_id",
+                      (F.col("mid_point_tai") - F.col("peakmjd")).alias("deltat")))
+    ctx = t.broker_message.select("broker_message_id", "alert_id").join(alerts, "alert_id").drop("alert_id")
+    return message_true_class_rows(t, ctx).select("classifier_id", "true_class_id", "dia_object_id", "probability", "deltat")
 
 
 def naive_tbin_mean(rows: DataFrame, weight: str = "row") -> DataFrame:
