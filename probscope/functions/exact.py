@@ -45,8 +45,10 @@ def merged(name: str) -> Column:
 
 
 def total(high: Column, low: Column, rest: Column) -> Column:
-    whole = high.cast("decimal(25,0)") * F.lit(HALF).cast("decimal(10,0)") + low.cast("decimal(20,0)")
-    return whole.cast("double") / UNITS + rest
+    wide = high.cast("decimal(25,0)") * F.lit(HALF).cast("decimal(10,0)") + low.cast("decimal(20,0)")
+    # sums that fit a long, as all of a source or day do, need no decimals; the number is the same
+    fits = high.between(-(HALF >> 1), HALF >> 1) & low.between(-(HALF << 30), HALF << 30)
+    return F.when(fits, (high * HALF + low).cast("double")).otherwise(wide.cast("double")) / UNITS + rest
 
 
 def fsum(x) -> Column:

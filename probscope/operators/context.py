@@ -7,7 +7,7 @@ rows are joined to it once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from probscope.sources.fixtures import Tables
@@ -18,8 +18,20 @@ def classified(t: Tables, ctx: DataFrame) -> DataFrame:
     and the classes are laid out after the join: the shuffle has a row per message."""
     if t.message_probs is None:
         return t.broker_classification.join(ctx, "broker_message_id")
-    return t.message_probs.join(ctx, "broker_message_id").select(
-        "broker_message_id", "classifier_id", F.inline("probs"), *[c for c in ctx.columns if c != "broker_message_id"])
+    return plain_arrays(t.message_probs).join(ctx, "broker_message_id").select(
+        "broker_message_id", "classifier_id", laid_out(), *[c for c in ctx.columns if c != "broker_message_id"])
+
+
+def plain_arrays(msgs: DataFrame) -> DataFrame:
+    """Array messages with the classes and the probabilities as two arrays of numbers: half the bytes of an array of
+    structs where rows are shuffled and sorted."""
+    return msgs.select("broker_message_id", "classifier_id", F.col("probs.class_id").alias("class_ids"),
+                       F.col("probs.probability").alias("probabilities"))
+
+
+def laid_out() -> Column:
+    """The columns class_id and probability, a row for each class of the two arrays."""
+    return F.inline(F.arrays_zip("class_ids", "probabilities")).alias("class_id", "probability")
 
 
 def true_class_rows(t: Tables, ctx: DataFrame) -> DataFrame:

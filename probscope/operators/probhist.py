@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from probscope.functions import bins as B
 from probscope.functions import exact as X
-from probscope.operators.context import classified, message_context, source_deltat
+from probscope.operators.context import classified, laid_out, message_context, plain_arrays, source_deltat
 from probscope.sources.fixtures import Tables
 
 HIST_KEYS = ["classifier_id", "true_class_id", "class_id", "tbin", "probbin"]
@@ -74,11 +74,20 @@ def dedupe_mean(t: Tables, ctx: DataFrame | None = None) -> DataFrame:
             return given.join(many, "alert_id", how).select(*names)
         return message_source_context(t.but(broker_message=t.broker_message.join(many, "alert_id", how))).select(*names)
 
-    rows = t.message_probs.join(part("left_anti"), "broker_message_id")
+    rows = plain_arrays(t.message_probs).join(part("left_anti"), "broker_message_id")
     keys = ["classifier_id", "dia_source_id", "deltat", "gentype"]
-    rows = rows.select(*keys, "probs").repartition("classifier_id", "dia_source_id").select(*keys, F.inline("probs"))
+    # a message that is alone with its classifier and source, and holds no class twice, is its own mean; the rows
+    # of its classes need no aggregate, whose state would be a row per source and class
+    met = Window.partitionBy("classifier_id", "dia_source_id")
+    rows = (rows.select(*keys, "class_ids", "probabilities").repartition("classifier_id", "dia_source_id")
+            .withColumn("alone", F.count(F.lit(1)).over(met) == 1))
+    alone = F.col("alone") & (F.size(F.array_distinct("class_ids")) == F.size("class_ids"))
+    single = (rows.where(alone).select(*keys, laid_out())
+              .withColumn("probability", F.col("probability").cast("double") + 0.0)  # a sum has no -0.0
+              .withColumn("n_messages", F.lit(1).cast("long")))
+    several = rows.where(~alone).select(*keys, laid_out())
     hot = classified(t, part("left_semi"))
-    return _mean_per_source(rows).unionByName(_mean_per_source(hot))
+    return single.unionByName(_mean_per_source(several)).unionByName(_mean_per_source(hot))
 
 
 def _mean_per_source(rows: DataFrame) -> DataFrame:

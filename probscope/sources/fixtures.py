@@ -11,8 +11,8 @@ how a cluster would hold them: every query then starts from a pruned,
 pushed-down Parquet scan instead of re-deriving its inputs.
 
 A table is written when it is first asked for, so that a query pays for those that it reads. Sources, forced
-sources and alerts are columns of one aggregate of ``lineitem`` and are read from one folder (``STORED``), and the messages
-are grouped and numbered once for both tables that hold them.
+sources and alerts are columns of one aggregate of ``lineitem`` and are read from one folder (``STORED``), and so are the
+messages, which are grouped and numbered once for both tables that hold them.
 """
 
 from __future__ import annotations
@@ -166,13 +166,15 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_alert(messages: DataFrame) -> DataFrame:
+    return messages.withColumns({
+        "alert_id": F.col("source_key") + 1,
+        "ingest_ts": F.col("broker_ts") + F.make_dt_interval(secs=F.col("qty").cast("long")),
+    })
+
+
 def _broker_message(messages: DataFrame) -> DataFrame:
-    return messages.select(
-        "broker_message_id",
-        (F.col("source_key") + 1).alias("alert_id"),
-        (F.col("broker_ts") + F.make_dt_interval(secs=F.col("qty").cast("long"))).alias("ingest_ts"),
-        "broker_ts",
-    )
+    return _with_alert(messages).select("broker_message_id", "alert_id", "ingest_ts", "broker_ts")
 
 
 def _message_probs(messages: DataFrame, truth: DataFrame) -> DataFrame:
@@ -209,7 +211,7 @@ def _message_probs(messages: DataFrame, truth: DataFrame) -> DataFrame:
 LAYOUT: dict[str, dict[str, list[str]]] = {}
 
 #: Table -> folder that holds its columns, where that is not its own.
-STORED = {"diasource": "_sources", "diaforcedsource": "_sources", "diaalert": "_sources"}
+STORED = {"diasource": "_sources", "diaforcedsource": "_sources", "diaalert": "_sources", "broker_message": "_messages"}
 
 _LOCK = threading.RLock()
 _CACHE: dict[tuple[str, str], dict[str, str]] = {}
@@ -259,13 +261,12 @@ class _Store:
         if name == "_sources":
             return _sources(self.spark, self.sf_dir, self.table("truth"))
         if name == "_messages":
-            return _messages(self.spark, self.sf_dir)
+            return _with_alert(_messages(self.spark, self.sf_dir))
         if name in STORED:
             return self.table(name)
         if name == "broker_classification":
             return self.table("message_probs").select("broker_message_id", "classifier_id", F.inline("probs"))
-        messages = self.spark.read.parquet(self._write("_messages"))
-        return _broker_message(messages) if name == "broker_message" else _message_probs(messages, self.table("truth"))
+        return _message_probs(self.spark.read.parquet(self._write("_messages")), self.table("truth"))
 
 
 _TABLES: dict[tuple[str, str, bool], Tables] = {}
