@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from probscope.functions import exact as X
 from probscope.functions.bins import Bins
-from probscope.operators.probhist import dedupe_mean
+from probscope.operators import passes
+from probscope.operators import probhist as ph
 from probscope.operators.quantiles import exact_quantiles
 from probscope.sources.fixtures import Tables
 
@@ -76,9 +77,15 @@ def mean_prob_by_scaled_time(t: Tables) -> DataFrame:
     centre; classes without a characteristic time are left out."""
     taus = t.gentype.select("gentype", F.col("class_id").alias("true_class_id")).join(
         characteristic_times(t), "true_class_id").select("gentype", "true_class_id", "tau")
-    rows = dedupe_mean(t).select("classifier_id", "class_id", "gentype", "deltat", "probability")
     scaled = SCALED.bucket(F.col("deltat") / F.col("tau"))
-    return (rows.join(taus, "gentype")
-            .groupBy("classifier_id", "true_class_id", scaled.alias("scaled_bin"), "class_id")
-            .agg(X.fmean("probability").alias("mean_prob"), F.count(F.lit(1)).alias("n"))
-            .withColumn("scaled_time", SCALED.centre("scaled_bin")))
+    by = ["classifier_id", "true_class_id", "scaled_bin", "class_id"]
+    if (n := ph.slices(t)) > 1:
+        taus = passes.stored([taus], "characteristic-times")
+        means = ph.mean_cells(t, n, {"scaled_bin": scaled}, sums=True, extra=["true_class_id", "tau"],
+                              described=lambda rows: rows.join(taus, "gentype")).groupBy(*by).agg(
+            X.mean_of("s", F.sum("c")).alias("mean_prob"), F.sum("n").alias("n"))
+    else:
+        rows = ph.dedupe_mean(t).select("classifier_id", "class_id", "gentype", "deltat", "probability")
+        means = (rows.join(taus, "gentype").withColumn("scaled_bin", scaled).groupBy(*by)
+                 .agg(X.fmean("probability").alias("mean_prob"), F.count(F.lit(1)).alias("n")))
+    return means.withColumn("scaled_time", SCALED.centre("scaled_bin"))

@@ -10,15 +10,21 @@ Plan shape: where the messages are stored as arrays, message rows join the messa
 context (source, deltat, gentype) and are shuffled once by (classifier, source); else
 classification rows are, with a map-side-combined aggregate. The means per class are binned and counted per gentype *before* the
 gentype -> class fan-out join, so the fan-out only multiplies histogram rows.
+
+Many messages (``operators.passes``) are worked off in slices: which of them are alone with their classifier and source
+is told from ids first, so that the probabilities are shuffled once, to meet their source, and a lone message is counted in its cell there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from probscope.functions import bins as B
 from probscope.functions import exact as X
+from probscope.operators import passes
 from probscope.operators.context import classified, laid_out, message_context, plain_arrays, source_deltat
 from probscope.sources.fixtures import Tables
 
@@ -30,11 +36,6 @@ VIOLIN_TBINS = (5, 7, 13, 19, 27)
 VIOLIN_HALF_WIDTH = 0.4
 TOTPROB_HI, TOTPROB_LO = 1.001, 0.999
 
-
-#: Messages of one alert up to which they meet in one task.
-MANY_MESSAGES = 10_000
-
-
 def message_source_context(t: Tables) -> DataFrame:
     """(broker_message_id, alert_id, dia_source_id, dia_object_id, deltat, gentype, filter_name,
     alert_sent_ts, ingest_ts) at message grain.
@@ -64,8 +65,10 @@ def dedupe_mean(t: Tables, ctx: DataFrame | None = None) -> DataFrame:
         return _mean_per_source(t.broker_classification.join(ctx.select(*names), "broker_message_id"))
     # message rows are shuffled by source, and the classes of a source's messages are averaged where they meet; a
     # source of very many messages (an alert is of one source) is averaged in parts first instead
-    many = (t.broker_message.groupBy("alert_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MANY_MESSAGES)
-            .select("alert_id"))
+    if ctx is None and slices(t) > 1:
+        return _mean_of_sliced(t)
+    many = (t.broker_message.groupBy("alert_id").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > passes.MANY_MESSAGES).select("alert_id"))
     given = ctx if ctx is not None else t.context
 
     def part(how: str) -> DataFrame:
@@ -81,13 +84,67 @@ def dedupe_mean(t: Tables, ctx: DataFrame | None = None) -> DataFrame:
     met = Window.partitionBy("classifier_id", "dia_source_id")
     rows = (rows.select(*keys, "class_ids", "probabilities").repartition("classifier_id", "dia_source_id")
             .withColumn("alone", F.count(F.lit(1)).over(met) == 1))
-    alone = F.col("alone") & (F.size(F.array_distinct("class_ids")) == F.size("class_ids"))
-    single = (rows.where(alone).select(*keys, laid_out())
+    hot = classified(t, part("left_semi"))
+    return _mean_where_alone(rows).unionByName(_mean_per_source(hot))
+
+
+def _alone() -> Column:
+    """A message that is alone, and holds no class twice."""
+    return F.col("alone") & (F.size(F.array_distinct("class_ids")) == F.size("class_ids"))
+
+
+def _mean_where_alone(rows: DataFrame) -> DataFrame:
+    keys = ["classifier_id", "dia_source_id", "deltat", "gentype"]
+    single = (rows.where(_alone()).select(*keys, laid_out())
               .withColumn("probability", F.col("probability").cast("double") + 0.0)  # a sum has no -0.0
               .withColumn("n_messages", F.lit(1).cast("long")))
-    several = rows.where(~alone).select(*keys, laid_out())
-    hot = classified(t, part("left_semi"))
-    return single.unionByName(_mean_per_source(several)).unionByName(_mean_per_source(hot))
+    several = rows.where(~_alone()).select(*keys, laid_out())
+    return single.unionByName(_mean_per_source(several))
+
+
+def slices(t: Tables) -> int:
+    """Into how many slices the histogram family works; only stored arrays without a context are cut."""
+    return 1 if t.message_probs is None or t.context is not None else passes.slices(t)
+
+
+def _mean_of_sliced(t: Tables) -> DataFrame:
+    """``dedupe_mean`` where it is known beforehand which messages are alone: only the others meet by source."""
+    return _mean_where_alone(plain_arrays(t.message_probs).join(passes.message_sources(t), passes.ID))
+
+
+def mean_cells(t: Tables, n: int, keys: dict[str, Column], sums: bool = False, extra: Sequence[str] = (),
+               described: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """The means of ``dedupe_mean`` counted per cell in ``n`` slices: classifier_id, class_id, gentype, the columns
+    ``keys`` (of deltat, probability and ``extra``, which ``described`` adds to the messages), ``n``, and with ``sums`` the
+    partial sums ``s_*`` and the number ``c`` of the means. A cell may come in several rows.
+
+    One aggregate per slice of messages: the key of a lone message is its cell, that of another one its source, whose
+    sums are then added up by slices of sources."""
+    msgs = described(passes.message_sources(t))
+    by = ["classifier_id", "class_id", "gentype", *extra]
+    lone = F.col("lone")
+    counted = [*X.partial("probability", "s"), F.count("probability").alias("c")] if sums else []
+
+    def part(k: int) -> DataFrame:
+        rows = passes.in_slice(plain_arrays(t.message_probs), passes.ID, k, n).join(
+            passes.in_slice(msgs, passes.ID, k, n), passes.ID)
+        rows = rows.select("classifier_id", "gentype", *extra, "dia_source_id", "deltat", _alone().alias("lone"), laid_out())
+        value = F.col("probability") if sums else F.when(~lone, F.col("probability"))
+        return rows.groupBy(*by, "lone", *[F.when(lone, c).alias(f"_{name}") for name, c in keys.items()],
+                            *[F.when(~lone, F.col(c)).alias(c) for c in ("dia_source_id", "deltat")]).agg(
+            *X.partial(value, "s"), F.count(value).alias("c"), F.count(F.lit(1)).alias("n"))
+
+    first = passes.stored((part(k) for k in range(n)), "means")
+    columns = [*by, *keys, *(["s_h", "s_l", "s_r", "c"] if sums else []), "n"]
+
+    def means(k: int) -> DataFrame:
+        rows = passes.in_slice(first.where(~lone), "dia_source_id", k, n)
+        rows = rows.groupBy(*by, "dia_source_id", "deltat").agg(X.mean_of("s", F.sum("c")).alias("probability"))
+        return rows.groupBy(*by, *[c.alias(name) for name, c in keys.items()]).agg(
+            *counted, F.count(F.lit(1)).alias("n")).select(*columns)
+
+    single = first.where(lone).withColumnsRenamed({f"_{name}": name for name in keys}).select(*columns)
+    return single.unionByName(passes.stored((means(k) for k in range(n)), "mean-cells"))
 
 
 def _mean_per_source(rows: DataFrame) -> DataFrame:
@@ -97,11 +154,13 @@ def _mean_per_source(rows: DataFrame) -> DataFrame:
 
 def probhist(t: Tables, hierarchical: bool = False) -> DataFrame:
     """(classifier_id, class_id, true_class_id, tbin, probbin, n)."""
-    ded = dedupe_mean(t)
-    per_gentype = (ded.select("classifier_id", "class_id", "gentype", B.tbin("deltat").alias("tbin"),
-                              B.probbin(B.settled("probability")).alias("probbin"))
-                   .groupBy("classifier_id", "class_id", "gentype", "tbin", "probbin")
-                   .agg(F.count(F.lit(1)).alias("n")))
+    keys = {"tbin": B.tbin("deltat"), "probbin": B.probbin(B.settled("probability"))}
+    cells = ["classifier_id", "class_id", "gentype", *keys]
+    if (n := slices(t)) > 1:
+        per_gentype = mean_cells(t, n, keys).groupBy(*cells).agg(F.sum("n").alias("n"))
+    else:
+        ded = dedupe_mean(t).select("classifier_id", "class_id", "gentype", *[c.alias(name) for name, c in keys.items()])
+        per_gentype = ded.groupBy(*cells).agg(F.count(F.lit(1)).alias("n"))
     dim = (t.gentype_hier if hierarchical else t.gentype).select("gentype", F.col("class_id").alias("true_class_id"))
     return (per_gentype.join(dim, "gentype")
             .groupBy("classifier_id", "class_id", "true_class_id", "tbin", "probbin")
@@ -178,9 +237,12 @@ def tbin_counts(hist: DataFrame) -> DataFrame:
 
 def mean_prob_by_tbin(t: Tables) -> DataFrame:
     """Mean of the de-duplicated (unbinned) probabilities per (classifier, true class, tbin, class)."""
-    ded = dedupe_mean(t)
-    per_gentype = (ded.groupBy("classifier_id", "gentype", B.tbin("deltat").alias("tbin"), "class_id")
-                   .agg(*X.partial("probability", "s"), F.count(F.lit(1)).alias("c")))
+    tbin = B.tbin("deltat")
+    if (n := slices(t)) > 1:
+        per_gentype = mean_cells(t, n, {"tbin": tbin}, sums=True).drop("c").withColumnRenamed("n", "c")
+    else:
+        per_gentype = (dedupe_mean(t).groupBy("classifier_id", "gentype", tbin.alias("tbin"), "class_id")
+                       .agg(*X.partial("probability", "s"), F.count(F.lit(1)).alias("c")))
     return (per_gentype.join(t.gentype.select("gentype", F.col("class_id").alias("true_class_id")), "gentype")
             .groupBy("classifier_id", "true_class_id", "tbin", "class_id")
             .agg(X.mean_of("s", F.sum("c")).alias("mean_prob"), F.sum("c").alias("n")))
