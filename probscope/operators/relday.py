@@ -9,13 +9,16 @@ aggregated rows, never classification rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from probscope.functions import bins as B
 from probscope.functions import exact as X
+from probscope.operators import passes
 from probscope.operators.context import classified, classified_sources, source_deltat
-from probscope.operators.probhist import message_source_context
+from probscope.operators.probhist import message_source_context, slices
 from probscope.operators.reshape import message_arrays, per_message_argmax
 from probscope.operators.quantiles import exact_quantiles
 from probscope.operators.select_one import asc, desc, pick_one
@@ -39,12 +42,33 @@ def latest_message_rows(t: Tables) -> DataFrame:
     with ``deltat`` and ``gentype``. Latest = ingest time, then message id."""
     ctx = message_source_context(t).select("broker_message_id", "dia_source_id", "ingest_ts", "deltat", "gentype")
     # picked as whole messages (an array of bounded size), so the classification rows are read once
-    latest = pick_one(message_arrays(t).join(ctx, "broker_message_id"), ["classifier_id", "dia_source_id"],
+    return _latest_of(message_arrays(t), ctx)
+
+
+def _latest_of(msgs: DataFrame, ctx: DataFrame) -> DataFrame:
+    latest = pick_one(msgs.join(ctx, "broker_message_id"), ["classifier_id", "dia_source_id"],
                       [desc("ingest_ts", nulls_first=False), desc("broker_message_id", nulls_first=False)],
                       ["broker_message_id", "deltat", "gentype", "probs"])
     return latest.select("broker_message_id", "classifier_id", "deltat", "gentype", F.inline("probs"))
 
 
+def _sums_of_latest(t: Tables, n: int, sums: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``sums`` of the rows of ``latest_message_rows`` in ``n`` slices: the latest messages are found by their ids first, so
+    that the probabilities are shuffled once. A sum may come in several rows."""
+    msgs = passes.message_sources(t, latest=True)
+
+    def part(k: int) -> DataFrame:
+        arrays = passes.in_slice(message_arrays(t), passes.ID, k, n)
+        rows = arrays.join(passes.in_slice(msgs.where("clean"), passes.ID, k, n), passes.ID)
+        return sums(rows.select("classifier_id", "deltat", "gentype", F.inline("probs")))
+
+    found = passes.stored((part(k) for k in range(n)), "latest")
+    rest = msgs.where("not clean")
+    if rest.isEmpty():
+        return found
+    return found.unionByName(passes.stored([sums(_latest_of(message_arrays(t), rest))], "latest"))
+
+
 def all_rows_with_relday(t: Tables) -> DataFrame:
     """Every classification row with ``deltat``, ``relday``, ``gentype`` and source."""
     ctx = message_source_context(t).select("broker_message_id", "dia_source_id", "dia_object_id", "deltat", "gentype")
@@ -60,10 +84,12 @@ def classification_rows(t: Tables) -> DataFrame:
 def prob_by_relday(t: Tables, lo: int = RELDAY_RANGE[0], hi: int = RELDAY_RANGE[1]) -> DataFrame:
     """(classifier_id, true_class_id, relday, class_id, mean_probability, max_probability, n)
     over the latest message per classifier and source, reldays in [lo, hi]."""
-    rows = latest_message_rows(t).withColumn("relday", relday("deltat")).where(F.col("relday").between(lo, hi))
-    per_gentype = (rows.groupBy("classifier_id", "gentype", "relday", "class_id")
-                   .agg(*X.partial("probability", "s"), F.max("probability").alias("m"),
-                        F.count("probability").alias("c")))
+    def sums(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("relday", relday("deltat")).where(F.col("relday").between(lo, hi))
+        return rows.groupBy("classifier_id", "gentype", "relday", "class_id").agg(
+            *X.partial("probability", "s"), F.max("probability").alias("m"), F.count("probability").alias("c"))
+
+    per_gentype = _sums_of_latest(t, n, sums) if (n := slices(t)) > 1 else sums(latest_message_rows(t))
     return (per_gentype.join(_true_classes(t), "gentype")
             .groupBy("classifier_id", "true_class_id", "relday", "class_id")
             .agg(X.mean_of("s", F.sum("c")).alias("mean_probability"), F.max("m").alias("max_probability"),
