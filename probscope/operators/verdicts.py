@@ -12,16 +12,14 @@ it replaces, whose running sums over k are the counts.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from probscope.operators import passes
 from probscope.operators.confusion import DEFINITIONS, TIE_BREAK
 from probscope.operators.diagnostics import detection_ordinals
 from probscope.operators.reshape import per_message_argmax
 from probscope.operators.select_one import order_key
-from probscope.sources import io
 from probscope.sources.fixtures import Tables
 
 #: Alerts of a bucket.
@@ -32,10 +30,18 @@ BY = ["classifier_id", "dia_object_id"]
 def best_by_alert(t: Tables, most: int | None = None) -> DataFrame:
     """(classifier_id, dia_object_id, k, first): the row that comes first among those of the k-th alert, a struct of its
     place in the order and its class; alerts up to ``most``."""
+    return _best_of(t, _numbered_alerts(t, most))
+
+
+def _numbered_alerts(t: Tables, most: int | None) -> DataFrame:
     ordinals = detection_ordinals(t).withColumnRenamed("detection", "k")
     if most is not None:
         ordinals = ordinals.where(F.col("k") <= most)
-    alerts = t.diaalert.select("alert_id", "dia_object_id", "dia_source_id", "alert_sent_ts").join(ordinals, "dia_source_id")
+    return (t.diaalert.select("alert_id", "dia_object_id", "dia_source_id", "alert_sent_ts").join(ordinals, "dia_source_id")
+            .select("alert_id", "dia_object_id", "alert_sent_ts", "k"))
+
+
+def _best_of(t: Tables, alerts: DataFrame) -> DataFrame:
     ctx = t.broker_message.select("broker_message_id", "alert_id").join(alerts, "alert_id")
     first = F.struct(order_key(DEFINITIONS["best"] + TIE_BREAK).alias("place"), "class_id")
     return per_message_argmax(t).join(ctx, "broker_message_id").groupBy(*BY, "k").agg(F.max(first).alias("first"))
@@ -45,10 +51,11 @@ def verdict_changes(t: Tables, most: int | None = None) -> DataFrame:
     """(classifier_id, dia_object_id, k, class_id, change): the class that is the verdict from the k-th alert on (1) or no
     more (-1); the last verdict ends after the object's last alert (or the alert ``most``)."""
     # read four times below, from files instead of from the messages each time
-    path = io.scratch_path(t.truth.sparkSession, "best-by-alert", uuid.uuid4().hex[:10])
-    best = best_by_alert(t, most)
-    best.write.parquet(path)
-    rows = t.truth.sparkSession.read.schema(best.schema).parquet(path).withColumn("bucket", F.floor((F.col("k") - 1) / SPAN))
+    return _changes(passes.stored([best_by_alert(t, most)], "best-by-alert"), t, most)
+
+
+def _changes(best: DataFrame, t: Tables, most: int | None) -> DataFrame:
+    rows = best.withColumn("bucket", F.floor((F.col("k") - 1) / SPAN))
     inside = Window.partitionBy(*BY, "bucket").orderBy("k")
     before = Window.partitionBy(*BY).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = rows.groupBy(*BY, "bucket").agg(F.max("first").alias("first"))
@@ -70,9 +77,25 @@ def verdict_changes(t: Tables, most: int | None = None) -> DataFrame:
 def confusion_by_alerts(t: Tables, most: int | None = 20) -> DataFrame:
     """(classifier_id, true_class, pred_class, k, n): confusion counts of the verdicts after k alerts, k from 1 up to
     ``most`` (to the largest number of alerts of an object if None)."""
-    cells = (verdict_changes(t, most).join(t.truth.select("dia_object_id", "gentype"), "dia_object_id")
-             .groupBy("classifier_id", "gentype", F.col("class_id").alias("pred_class"), "k")
-             .agg(F.sum("change").alias("change")))
+    def changes_of(changes: DataFrame, t: Tables) -> DataFrame:
+        return (changes.join(t.truth.select("dia_object_id", "gentype"), "dia_object_id")
+                .groupBy("classifier_id", "gentype", F.col("class_id").alias("pred_class"), "k")
+                .agg(F.sum("change").alias("change")))
+
+    n = passes.slices(t)
+    if n == 1:
+        cells = changes_of(verdict_changes(t, most), t)
+    else:  # the best row per alert in slices of messages, the changes in slices of objects
+        alerts = passes.stored([_numbered_alerts(t, most)], "numbered-alerts")
+        best = passes.stored((_best_of(passes.messages_in_slice(t, k, n), alerts) for k in range(n)), "best-by-alert")
+
+        def part(k: int) -> DataFrame:
+            of = lambda df: passes.in_slice(df, "dia_object_id", k, n)
+            own = t.but(truth=of(t.truth), diasource=of(t.diasource))
+            rows = of(best).groupBy(*BY, "k").agg(F.max("first").alias("first"))
+            return changes_of(_changes(rows, own, most), own)
+
+        cells = passes.stored((part(k) for k in range(n)), "verdict-cells")
     dim = t.gentype.select("gentype", F.col("class_id").alias("true_class"))
     cells = (cells.join(dim, "gentype").groupBy("classifier_id", "true_class", "pred_class", "k")
              .agg(F.sum("change").alias("change")))
