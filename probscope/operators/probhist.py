@@ -36,6 +36,10 @@ VIOLIN_TBINS = (5, 7, 13, 19, 27)
 VIOLIN_HALF_WIDTH = 0.4
 TOTPROB_HI, TOTPROB_LO = 1.001, 0.999
 
+#: Messages of one alert up to which they meet in one task.
+MANY_MESSAGES = passes.MANY_MESSAGES
+
+
 def message_source_context(t: Tables) -> DataFrame:
     """(broker_message_id, alert_id, dia_source_id, dia_object_id, deltat, gentype, filter_name,
     alert_sent_ts, ingest_ts) at message grain.
@@ -68,7 +72,7 @@ def dedupe_mean(t: Tables, ctx: DataFrame | None = None) -> DataFrame:
     if ctx is None and slices(t) > 1:
         return _mean_of_sliced(t)
     many = (t.broker_message.groupBy("alert_id").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > passes.MANY_MESSAGES).select("alert_id"))
+            .where(F.col("n") > MANY_MESSAGES).select("alert_id"))
     given = ctx if ctx is not None else t.context
 
     def part(how: str) -> DataFrame:
